@@ -29,9 +29,10 @@ def restrict_existing(existing: DataFrame, incoming: DataFrame, key: str = ROW_K
     """Open rows whose key occurs in the batch.
 
     A semi join without a hint: Spark broadcasts the batch keys when they are small enough, so
-    the open table is not shuffled, and falls back to a shuffled join when they are not.
+    the open table is not shuffled, and falls back to a shuffled join when they are not. Distinct
+    keys keep a batch that repeats one key from gathering in a task.
     """
-    return existing.join(incoming.select(col(key)), key, "left_semi")
+    return existing.join(incoming.select(col(key)).distinct(), key, "left_semi")
 
 
 def left_join_prefixed(

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from chronotable.functions.columns import col, require_columns
 from chronotable.operators.columns import ROW_KEY, STATUS
+from chronotable.operators.keys import splittable_keys
 from chronotable.operators.rejects import reject_rows
 from chronotable.operators.status import Status, status_lit
 
@@ -76,7 +77,7 @@ def duplicates(
     salts = salts or _shuffle_partitions(df)
     order = total_order(df, order_by)
 
-    repeated = df.groupBy(col(key)).count().where("count > 1").select(col(key))
+    repeated = splittable_keys(df.select(col(key)), at_least=2)
     candidates = df.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
     candidates = candidates.join(repeated, key, "left_semi")
     # The explicit shuffle keeps Spark from reusing a partitioning by the bare key.

@@ -8,6 +8,8 @@ shuffled join can be split by adaptive execution (a full outer join allows neith
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
 
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotable.functions.columns import col, quoted, require_columns
+from chronotable.operators.keys import splittable_keys
 
 _TOO_MANY = "a target row is matched by more than one source row"
 _TIMES = "__times"
@@ -32,6 +35,15 @@ def _as_column(condition: Condition) -> Column:
     return F.expr(condition) if isinstance(condition, str) else condition
 
 
+def _all(conditions: Sequence[Column]) -> Column:
+    return functools.reduce(operator.and_, conditions)
+
+
+def _key(position: int) -> str:
+    """Name of a match key while the two sides call it differently."""
+    return f"__key{position}"
+
+
 @dataclass(frozen=True)
 class Clause:
     """One WHEN clause. ``values`` is None for "all columns"; ``kind`` is what it does."""
@@ -161,11 +173,13 @@ class Merge:
             raise ValueError(f"the target has no columns {unknown}")
         return {by_lower[n.lower()]: value for n, value in clause.values.items()}
 
-    def _keyed_condition(self) -> Column:
-        condition = F.lit(True)
-        for target_key, source_key in self.keys:
-            condition = condition & (self._t(target_key) == self._s(source_key))
-        return condition
+    def _source_keys(self) -> DataFrame:
+        """The source's side of the keys, named by position."""
+        return self.source.select([col(s).alias(_key(i)) for i, (_, s) in enumerate(self.keys)])
+
+    def _source_with_keys(self) -> DataFrame:
+        """Source rows that can match: none of their keys is null."""
+        return self.source.where(_all([col(s).isNotNull() for _, s in self.keys]))
 
     # Matched rows
 
@@ -178,25 +192,29 @@ class Merge:
 
     def _undeleted(self) -> DataFrame:
         target = self.target.alias(self.target_alias)
-        source = self.source.alias(self.source_alias)
-        on = self._keyed_condition() if self.keys else _as_column(self.condition)
-        return target.join(source, on, "left_anti")
+        if not self.keys:
+            source = self.source.alias(self.source_alias)
+            return target.join(source, _as_column(self.condition), "left_anti")
+        keys = splittable_keys(self._source_keys())
+        on = _all([self._t(t) == keys[_key(i)] for i, (t, _) in enumerate(self.keys)])
+        return target.join(keys, on, "left_anti")
 
     def _joined_on_keys(self) -> tuple[DataFrame, Column]:
         """Target rows next to their source row, and the test for a row with competing sources."""
-        usable = self.source.dropna(subset=[s for _, s in self.keys])
+        usable = self._source_with_keys()
         if self.source_unique:
             one_each = usable.withColumn(_TIMES, F.lit(1))
         else:
             # One row per key and its count: a partial aggregate, whatever the number of copies.
+            # The keys are taken from the packed row for the reason given at splittable_keys.
             one_each = (
-                usable.groupBy(*[col(s).alias(f"__key{i}") for i, (_, s) in enumerate(self.keys)])
+                usable.groupBy(*[col(s).alias(_key(i)) for i, (_, s) in enumerate(self.keys)])
                 .agg(F.count(F.lit(1)).alias(_TIMES), F.any_value(F.struct("*")).alias(_ROW))
                 .select(f"{_ROW}.*", _TIMES)
             )
         target = self.target.alias(self.target_alias)
-        joined = target.join(one_each.alias(self.source_alias), self._keyed_condition(), "left")
-        return joined, self._s(_TIMES) > 1
+        on = _all([self._t(t) == self._s(s) for t, s in self.keys])
+        return target.join(one_each.alias(self.source_alias), on, "left"), self._s(_TIMES) > 1
 
     def _joined_on_condition(self) -> tuple[DataFrame, Column]:
         target = self.target.alias(self.target_alias)
@@ -248,24 +266,21 @@ class Merge:
             source = self.source.alias(self.source_alias)
             target = self.target.alias(self.target_alias)
             return source.join(target, _as_column(self.condition), "left_anti")
-        names = [s for _, s in self.keys]
-        wanted = self.source.select([col(s).alias(f"__key{i}") for i, s in enumerate(names)])
         held = self.target.select(
-            [col(t).alias(f"__key{i}") for i, (t, _) in enumerate(self.keys)]
+            [col(t).alias(_key(i)) for i, (t, _) in enumerate(self.keys)]
         )
-        keys = held.columns
-        # No more keys than the source has, found without moving a target that is the larger side.
-        found = held.join(wanted, keys, "left_semi").distinct()
-        usable = self.source.dropna(subset=names)
-        matches = [col(s) == found[k] for s, k in zip(names, keys, strict=True)]
-        fresh = usable.join(found, matches, "left_anti")
-        nullable = [s for s in names if self.source.schema[s].nullable]
+        # The keys found are no more than the source has, and a source that is small enough to be
+        # broadcast finds them without moving the target.
+        wanted = splittable_keys(self._source_keys())
+        found = splittable_keys(held.join(wanted, held.columns, "left_semi"))
+        on = _all([col(s) == found[_key(i)] for i, (_, s) in enumerate(self.keys)])
+        fresh = self._source_with_keys().join(found, on, "left_anti")
+
+        nullable = [s for _, s in self.keys if self.source.schema[s].nullable]
         if not nullable:
             return fresh
         # A null key matches nothing. Such rows skip the join, where they would all meet in one task.
-        keyless = F.lit(False)
-        for name in nullable:
-            keyless = keyless | col(name).isNull()
+        keyless = ~_all([col(s).isNotNull() for s in nullable])
         return fresh.unionByName(self.source.where(keyless))
 
     def _inserted(self) -> DataFrame:

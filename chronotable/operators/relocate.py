@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chronotable.functions.columns import col, quoted, require_columns
@@ -101,14 +101,14 @@ def join_on_basename(
 ) -> DataFrame:
     """Files next to the lookup row whose path has the same base name.
 
-    A base name that repeats in the lookup resolves to its last row by ``latest_by``; the filter on
-    rank 1 runs before the shuffle, so a name with many rows does not gather in one task.
+    A base name that repeats in the lookup resolves to its last row by ``latest_by``, found by a
+    partial aggregate. The name comes out of the packed row, so that the planner shuffles the few
+    rows left and can split a name that very many files share.
     """
-    by_name = Window.partitionBy("base_name").orderBy(col(latest_by).desc())
+    named = lookup.withColumn("base_name", base_name(col(lookup_path)))
     last = (
-        lookup.withColumn("base_name", base_name(col(lookup_path)))
-        .withColumn("__rank", F.row_number().over(by_name))
-        .where("__rank = 1")
-        .drop("__rank")
+        named.groupBy("base_name")
+        .agg(F.max_by(F.struct("*"), col(latest_by)).alias("__row"))
+        .select("__row.*")
     )
     return files.withColumn("base_name", base_name(col(path))).join(last, "base_name")

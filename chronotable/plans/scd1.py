@@ -13,9 +13,8 @@ from chronotable.plans.spec import Dimension
 
 def scd1_upsert(open_rows: DataFrame, batch: DataFrame, dimension: Dimension) -> DataFrame:
     """The open table after every batch row replaced, or joined, the row of its key."""
-    return upsert(
-        open_rows, incoming_rows(batch, dimension), [ROW_KEY], source_unique=dimension.dedup
-    )
+    incoming = incoming_rows(dimension.enrich(batch), dimension)
+    return upsert(open_rows, incoming, [ROW_KEY], source_unique=dimension.dedup)
 
 
 def scd1_rejects(batch: DataFrame, dimension: Dimension) -> DataFrame:

@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from chronotable.operators.classify import (
+    classify_changes,
     classify_restricted,
     closed_rows,
     open_delta,
@@ -38,21 +39,28 @@ class State:
     rejects: DataFrame
 
 
-def incoming_rows(batch: DataFrame, dimension: Dimension) -> DataFrame:
-    """The batch as it would be opened: fingerprinted, one row per key, with validity."""
-    enriched = dimension.enrich(batch)
+def incoming_rows(enriched: DataFrame, dimension: Dimension) -> DataFrame:
+    """A fingerprinted batch as it would be opened: one row per key, with validity."""
     if dimension.dedup:
         enriched = deduplicate(enriched, dimension.ordering)
     return dimension.open_rows(enriched)
 
 
-def classified_batch(open_rows: DataFrame, batch: DataFrame, dimension: Dimension) -> DataFrame:
-    return classify_restricted(incoming_rows(batch, dimension), open_rows)
+def classified_batch(
+    open_rows: DataFrame, enriched: DataFrame, dimension: Dimension
+) -> DataFrame:
+    """Every incoming row with what becomes of it.
+
+    A batch that was not de-duplicated may repeat one key a great many times. It is joined with the
+    open table as that is, because adaptive execution cannot split a key of a join on a join.
+    """
+    classify = classify_restricted if dimension.dedup else classify_changes
+    return classify(incoming_rows(enriched, dimension), open_rows)
 
 
-def changes_of(classified: DataFrame, batch: DataFrame, dimension: Dimension) -> Changes:
+def changes_of(classified: DataFrame, enriched: DataFrame, dimension: Dimension) -> Changes:
     """Split a classified batch. In-batch rejects are rendered before validity is added."""
-    rejects = duplicate_rejects(dimension.enrich(batch), dimension.ordering)
+    rejects = duplicate_rejects(enriched, dimension.ordering)
     if dimension.reject_open_duplicates:
         rejects = rejects.unionByName(open_duplicate_rejects(classified))
     return Changes(open_delta(classified), closed_rows(classified), rejects)
@@ -64,7 +72,8 @@ def apply_delta(open_rows: DataFrame, delta: DataFrame, dimension: Dimension) ->
 
 
 def scd2_changes(open_rows: DataFrame, batch: DataFrame, dimension: Dimension) -> Changes:
-    return changes_of(classified_batch(open_rows, batch, dimension), batch, dimension)
+    enriched = dimension.enrich(batch)
+    return changes_of(classified_batch(open_rows, enriched, dimension), enriched, dimension)
 
 
 def scd2_run(state: State | None, batch: DataFrame, dimension: Dimension) -> State:
@@ -74,8 +83,9 @@ def scd2_run(state: State | None, batch: DataFrame, dimension: Dimension) -> Sta
     is joined with the batch a single time however many outputs are used.
     """
     open_rows = dimension.empty_open(batch) if state is None else state.open
-    classified = materialize(classified_batch(open_rows, batch, dimension))
-    changes = changes_of(classified, batch, dimension)
+    enriched = dimension.enrich(batch)
+    classified = materialize(classified_batch(open_rows, enriched, dimension))
+    changes = changes_of(classified, enriched, dimension)
     after = apply_delta(open_rows, changes.delta, dimension)
     if state is None:
         return State(after, changes.closed, changes.rejects)

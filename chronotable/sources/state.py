@@ -162,9 +162,11 @@ class HistoryStore:
             batch = conform(batch, last.batch_schema)
         number = last.number + 1
 
-        touched = self._bucket_numbers(dimension.enrich(batch), last.buckets)
+        # The batch is read and fingerprinted once, whatever it comes from.
+        enriched = materialize(dimension.enrich(batch))
+        touched = self._bucket_numbers(enriched, last.buckets)
         open_rows = self._open_of(last, touched)
-        classified = materialize(classified_batch(open_rows, batch, dimension))
+        classified = materialize(classified_batch(open_rows, enriched, dimension))
         if dimension.dedup:
             assert_unique(
                 split_by_status(classified, *(s for s in Status if s != Status.CLOSED)).select(
@@ -173,7 +175,7 @@ class HistoryStore:
                 [LEFT + ROW_KEY],
                 "the open table",
             )
-        changes = changes_of(classified, batch, dimension)
+        changes = changes_of(classified, enriched, dimension)
 
         changed = self._bucket_numbers(changes.delta, last.buckets)
         after = apply_delta(self._open_of(last, changed), changes.delta, dimension)

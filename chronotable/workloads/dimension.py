@@ -85,7 +85,7 @@ def distinct_keys(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    return incoming_rows(party_batch(spark, sf), PARTY), party_open(spark, sf)
+    return incoming_rows(PARTY.enrich(party_batch(spark, sf)), PARTY), party_open(spark, sf)
 
 
 def restricted(spark: SparkSession, sf: str) -> DataFrame:
@@ -122,7 +122,8 @@ def classified_orders(spark: SparkSession, sf: str) -> DataFrame:
     """Classification of the later orders against the earlier ones, with counts per status."""
     dimension = order_dimension()
     early, late = order_batches(spark, sf)
-    outcome = classify_restricted(incoming_rows(late, dimension), incoming_rows(early, dimension))
+    before, after = (incoming_rows(dimension.enrich(rows), dimension) for rows in (early, late))
+    outcome = classify_restricted(after, before)
     return outcome.groupBy("status").agg(
         F.count("*").alias("row_count"),
         F.countDistinct("left_row_key").alias("key_count"),
