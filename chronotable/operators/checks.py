@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +15,9 @@ _FILLERS: tuple[tuple[type, object], ...] = (
     (T.StringType, ""),
     (T.BooleanType, False),
     (T.NumericType, 0),
-    (T.DateType, "1970-01-01"),
-    (T.TimestampType, "1970-01-01 00:00:00"),
-    (T.TimestampNTZType, "1970-01-01 00:00:00"),
+    (T.DateType, datetime.date(1970, 1, 1)),
+    (T.TimestampType, datetime.datetime(1970, 1, 1)),
+    (T.TimestampNTZType, datetime.datetime(1970, 1, 1)),
 )
 
 

@@ -32,7 +32,8 @@ def restrict_existing(existing: DataFrame, incoming: DataFrame, key: str = ROW_K
     the open table is not shuffled, and falls back to a shuffled join when they are not. Distinct
     keys keep a batch that repeats one key from gathering in a task.
     """
-    return existing.join(incoming.select(col(key)).distinct(), key, "left_semi")
+    touched = existing.join(incoming.select(col(key)).distinct(), key, "left_semi")
+    return touched.select([col(n) for n in existing.columns])
 
 
 def left_join_prefixed(

@@ -24,9 +24,9 @@ MERGE_KEY = "key_match"
 
 def superseded(base: DataFrame, landing: DataFrame, key: str) -> DataFrame:
     """Open versions whose key has landed: a correlated ``IN`` as a semi join."""
-    return base.where(col(ACTIVE) == YES).join(
-        landing.select(col(key)).distinct(), key, "left_semi"
-    )
+    landed = landing.select(col(key)).distinct()
+    ending = base.where(col(ACTIVE) == YES).join(landed, key, "left_semi")
+    return ending.select([col(n) for n in base.columns])
 
 
 def merge_source(base: DataFrame, landing: DataFrame, key: str, as_of: Column) -> DataFrame:

@@ -18,6 +18,7 @@ A store has one writer at a time.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -203,13 +204,15 @@ class HistoryStore:
     def _publish(
         self, number: int, last: Version, held_by: Mapping[int, int], batch_id: str | None
     ) -> None:
-        row = (
-            batch_id,
-            last.batch_schema.toDDL(),
-            last.open_schema.toDDL(),
-            last.buckets,
-            {str(b): held for b, held in held_by.items()},
+        held = json.dumps({str(b): v for b, v in sorted(held_by.items())})
+        values = {
+            "batch_id": F.lit(batch_id).cast("string"),
+            "batch_ddl": F.lit(last.batch_schema.toDDL()),
+            "open_ddl": F.lit(last.open_schema.toDDL()),
+            "buckets": F.lit(last.buckets),
+            "held_by": F.from_json(F.lit(held), _VERSION_SCHEMA["held_by"].dataType),
+        }
+        published = self._spark.range(1, numPartitions=1).select(
+            [value.alias(name) for name, value in values.items()]
         )
-        schema = T.StructType([f for f in _VERSION_SCHEMA.fields if f.name != _VERSION])
-        published = self._spark.createDataFrame([row], schema).coalesce(1)
         published.write.json(f"{self._root}/versions/{_VERSION}={number}")

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import SparkSession
 
 ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
+sys.path[:0] = [str(ROOT), str(ROOT / "tests")]
 
 
 @pytest.fixture(scope="session")
@@ -21,6 +21,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.warehouse.dir", str(folder / "warehouse"))
         .getOrCreate()
     )
-    session.sparkContext.setLogLevel("ERROR")
+    session.sparkContext.setLogLevel("OFF")
     yield session
     session.stop()

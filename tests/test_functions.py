@@ -1,0 +1,141 @@
+import datetime
+import hashlib
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from chronotable.functions import (
+    base_name,
+    concat_values,
+    file_kind,
+    md5_of,
+    one_milli_before,
+    replace_prefix,
+    row_key,
+    row_md5,
+    row_text,
+    value_text,
+)
+
+
+def md5(text):
+    return hashlib.md5(text.encode()).hexdigest()
+
+
+@pytest.fixture(scope="module")
+def people(spark):
+    return spark.createDataFrame(
+        [("Ann", 31, "Oslo"), ("Bea", None, "Rome"), ("Ünal", 7, None)],
+        "name string, age int, city string",
+    )
+
+
+def column(df, expression):
+    return [r[0] for r in df.select(expression).collect()]
+
+
+def test_hash_of_all_columns(people):
+    expected = [md5("Ann31Oslo"), md5("BeanullRome"), md5("Ünal7null")]
+    assert column(people, md5_of(people)) == expected
+
+
+def test_ignored_and_selected_columns(people):
+    without_age = [md5("AnnOslo"), md5("BeaRome"), md5("Ünalnull")]
+    assert column(people, md5_of(people, ignore=["age", "no_such_column"])) == without_age
+    # Selected columns are taken in frame order.
+    assert column(people, md5_of(people, select=["city", "name"])) == without_age
+
+
+def test_select_and_ignore_exclude_each_other(people):
+    with pytest.raises(ValueError, match="not both"):
+        md5_of(people, select=["name"], ignore=["age"])
+
+
+def test_key_needs_known_columns(people):
+    with pytest.raises(ValueError, match="at least one"):
+        row_key(people, [])
+    with pytest.raises(ValueError, match="nmae"):
+        row_key(people, ["nmae"])
+
+
+def test_ignoring_everything_hashes_the_empty_text(people):
+    assert set(column(people, row_md5(people, people.columns))) == {md5("")}
+
+
+def test_separator_tells_apart_what_runs_together(spark):
+    rows = spark.createDataFrame([("1", "2Bob"), ("12", "Bob")], "id string, name string")
+    assert len(set(column(rows, row_key(rows, ["id", "name"])))) == 1
+    assert len(set(column(rows, row_key(rows, ["id", "name"], sep="|")))) == 2
+
+
+def test_names_with_dots_and_backticks(spark):
+    rows = spark.createDataFrame([("a", "b")], ["x.y", "o`o"])
+    assert column(rows, md5_of(rows)) == [md5("ab")]
+
+
+@pytest.mark.parametrize(
+    ("data_type", "value", "text"),
+    [
+        ("timestamp", datetime.datetime(2021, 1, 1), "2021-01-01 00:00:00.0"),
+        ("timestamp", datetime.datetime(2021, 1, 1, 5, 6, 7, 120000), "2021-01-01 05:06:07.12"),
+        ("timestamp_ntz", datetime.datetime(2021, 1, 1), "2021-01-01 00:00:00.0"),
+        ("timestamp_ntz", datetime.datetime(1969, 1, 1, 0, 0, 0, 1), "1969-01-01 00:00:00.000001"),
+        ("date", datetime.date(2021, 1, 1), "2021-01-01"),
+        ("boolean", True, "true"),
+        ("bigint", -5, "-5"),
+        ("double", 1e10, "1.0E10"),
+        ("double", 12345678.9, "1.23456789E7"),
+        ("decimal(10,2)", Decimal("1.50"), "1.50"),
+        ("binary", b"\x01\xff", "01FF"),
+        ("array<int>", [1, 2], "[1,2]"),
+        ("struct<a:int>", {"a": 1}, '{"a":1}'),
+    ],
+)
+def test_value_text(spark, data_type, value, text):
+    rows = spark.createDataFrame([(value,)], f"v {data_type}")
+    assert column(rows, value_text(F.col("v"), rows.schema["v"].dataType)) == [text]
+
+
+def test_row_text(people):
+    assert column(people, row_text(people)) == [
+        "[Ann,31,Oslo]",
+        "[Bea,null,Rome]",
+        "[Ünal,7,null]",
+    ]
+    assert column(people, concat_values(people, [])) == ["", "", ""]
+
+
+@pytest.mark.parametrize("data_type", ["timestamp", "timestamp_ntz"])
+def test_end_of_a_closed_row_drops_digits_below_a_millisecond(spark, data_type):
+    stamps = [
+        datetime.datetime(2024, 2, 1, 0, 0, 0, 123456),
+        datetime.datetime(2024, 2, 1),
+        datetime.datetime(2024, 2, 1, 0, 0, 0, 999),
+        datetime.datetime(1960, 5, 5, 12, 0, 0, 5500),
+    ]
+    rows = spark.createDataFrame([(s,) for s in stamps], f"ts {data_type}")
+    ended = rows.select(one_milli_before(F.col("ts"), rows.schema["ts"].dataType).alias("e"))
+    assert ended.schema["e"].dataType == rows.schema["ts"].dataType
+    assert [r.e for r in ended.collect()] == [
+        datetime.datetime(2024, 2, 1, 0, 0, 0, 122000),
+        datetime.datetime(2024, 1, 31, 23, 59, 59, 999000),
+        datetime.datetime(2024, 1, 31, 23, 59, 59, 999000),
+        datetime.datetime(1960, 5, 5, 12, 0, 0, 4000),
+    ]
+
+
+def test_paths(spark):
+    paths = ["s3://a.b/t/snap-1.avro", "s3://aXb/t/m.avro", "v1.metadata.json", "/s3://a.b/x", ""]
+    rows = spark.createDataFrame([(p,) for p in paths], T.StructType().add("p", "string"))
+    assert column(rows, base_name(F.col("p"))) == [
+        "snap-1.avro", "m.avro", "v1.metadata.json", "x", ""
+    ]
+    # The prefix is text, not a pattern, and only counts at the start.
+    assert column(rows, replace_prefix(F.col("p"), "s3://a.b/", "hdfs://c/")) == [
+        "hdfs://c/t/snap-1.avro", "s3://aXb/t/m.avro", "v1.metadata.json", "/s3://a.b/x", ""
+    ]
+    assert column(rows, file_kind(F.col("p"))) == [
+        "manifest_list", "manifest", "metadata", "manifest", "manifest"
+    ]

@@ -1,0 +1,80 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from chronotable.operators.relocate import (
+    LOCATION_PROPERTIES,
+    join_on_basename,
+    relocate,
+    target_directory,
+)
+
+OLD, NEW = "hdfs://a/t", "s3://b/t"
+
+
+def test_every_kind_of_path(spark):
+    tables = spark.createDataFrame(
+        [
+            (
+                f"{OLD}/x",
+                [(1, f"{OLD}/snap-1.avro", "keep"), (2, "elsewhere", None)],
+                {LOCATION_PROPERTIES[0]: f"{OLD}/data", "owner": f"{OLD}/data"},
+                "DELETED",
+            )
+        ],
+        "location string, snapshots array<struct<id:int,path:string,note:string>>, "
+        "properties map<string,string>, status string",
+    )
+    moved = relocate(
+        tables,
+        OLD,
+        NEW,
+        paths=["location"],
+        struct_paths={"snapshots": "path"},
+        properties=["properties"],
+    )
+    assert moved.schema.simpleString() == tables.schema.simpleString()
+    row = moved.first()
+    assert row.location == f"{NEW}/x"
+    assert [tuple(s) for s in row.snapshots] == [
+        (1, f"{NEW}/snap-1.avro", "keep"), (2, "elsewhere", None)
+    ]
+    assert row.properties == {LOCATION_PROPERTIES[0]: f"{NEW}/data", "owner": f"{OLD}/data"}
+    assert row.status == "DELETED"
+
+
+def test_lists_of_deletes_are_refused(spark):
+    entries = spark.createDataFrame(
+        [(f"{OLD}/1", "ADDED", "DATA"), (f"{OLD}/2", "DELETED", "DATA")],
+        "path string, status string, content string",
+    )
+    moved = relocate(entries, OLD, NEW, paths=["path"], content="content")
+    assert [tuple(r) for r in moved.collect()] == [
+        (f"{NEW}/1", "ADDED", "DATA"), (f"{NEW}/2", "DELETED", "DATA")
+    ]
+    bad = entries.withColumn("content", F.lit("DELETES"))
+    with pytest.raises(PySparkException, match="only data entries"):
+        relocate(bad, OLD, NEW, paths=["path"], content="content").collect()
+
+
+def test_unknown_path_column(spark):
+    with pytest.raises(ValueError, match="path columns"):
+        relocate(spark.range(1), OLD, NEW, paths=["path"])
+
+
+def test_target_directory():
+    assert target_directory(OLD) == f"{OLD}/metadata_updated/"
+    assert target_directory(OLD, environment="prod") == f"{OLD}/metadata_prod/"
+    assert target_directory(OLD, NEW, "prod") == f"{NEW}/metadata_prod/"
+    assert target_directory(OLD, NEW, "prod", in_place=True) == f"{NEW}/metadata/"
+    # The originals are never overwritten.
+    assert target_directory(OLD, OLD.upper(), in_place=True) == f"{OLD.upper()}/metadata_updated/"
+
+
+def test_last_lookup_row_wins(spark):
+    files = spark.createDataFrame([("x/a",), ("y/b",), ("z/none",)], "path string")
+    lookup = spark.createDataFrame([("l/a", 1), ("m/a", 2), ("b", 7)], "list string, snapshot int")
+    joined = join_on_basename(files, "path", lookup, "list", "snapshot")
+    assert {(r.base_name, r.path, r.list, r.snapshot) for r in joined.collect()} == {
+        ("a", "x/a", "m/a", 2), ("b", "y/b", "b", 7)
+    }
