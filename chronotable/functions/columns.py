@@ -18,6 +18,16 @@ def col(name: str) -> Column:
     return F.col(quoted(name))
 
 
+def text_literal(text: str) -> str:
+    """SQL for a string."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def pick(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Only the named columns, in that order."""
+    return df.select([quoted(n) for n in names])
+
+
 def require_columns(df: DataFrame, names: Sequence[str], what: str) -> None:
     missing = [n for n in names if n not in df.columns]
     if missing:

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col
+from chronotable.functions.columns import quoted, text_literal
 
 # Fixed value: the text that stands for a missing value.
 NULL_TOKEN = "null"
@@ -21,28 +21,35 @@ _NESTED = (T.ArrayType, T.MapType, T.StructType)
 _TIMESTAMPS = (T.TimestampType, T.TimestampNTZType)
 
 
-def value_text(value: Column, data_type: T.DataType) -> Column:
-    """Text of one value; null stays null.
-
-    Timestamps always show at least one fraction digit (``2021-01-01 00:00:00.0``).
-    Binary becomes hex and nested values become JSON, as both need a stable text.
-    """
+def _value_sql(name: str, data_type: T.DataType) -> str:
+    value = quoted(name)
     if isinstance(data_type, T.StringType):
         return value
-    if isinstance(data_type, _TIMESTAMPS):
-        text = value.cast("string")
-        return F.when(F.contains(text, F.lit(".")), text).otherwise(F.concat(text, F.lit(".0")))
     if isinstance(data_type, T.BinaryType):
-        return F.hex(value)
+        return f"hex({value})"
     if isinstance(data_type, _NESTED):
-        return F.to_json(value)
-    return value.cast("string")
+        return f"to_json({value})"
+    text = f"CAST({value} AS STRING)"
+    if isinstance(data_type, _TIMESTAMPS):
+        return f"CASE WHEN contains({text}, '.') THEN {text} ELSE concat({text}, '.0') END"
+    return text
+
 
+def value_text(name: str, data_type: T.DataType) -> Column:
+    """Text of one column's value; null stays null.
 
-def _texts(df: DataFrame, names: Sequence[str], null_token: str) -> list[Column]:
-    return [
-        F.coalesce(value_text(col(n), df.schema[n].dataType), F.lit(null_token)) for n in names
-    ]
+    Timestamps always show at least one fraction digit (``2021-01-01 00:00:00.0``).
+    Binary becomes hex and nested values become JSON, as both need a stable text.
+    """
+    return F.expr(_value_sql(name, data_type))
+
+
+def _joined(df: DataFrame, names: Sequence[str], sep: str, null_token: str) -> str:
+    if not names:
+        return "''"
+    types = {f.name: f.dataType for f in df.schema.fields}
+    texts = [f"coalesce({_value_sql(n, types[n])}, {text_literal(null_token)})" for n in names]
+    return f"concat_ws({text_literal(sep)}, {', '.join(texts)})"
 
 
 def concat_values(
@@ -53,12 +60,10 @@ def concat_values(
     Without a separator ``('1', '2Bob')`` and ``('12', 'Bob')`` give the same text; pass
     ``sep`` where the values themselves cannot rule that out.
     """
-    if not names:
-        return F.lit("")
-    return F.concat_ws(sep, *_texts(df, names, null_token))
+    return F.expr(_joined(df, names, sep, null_token))
 
 
 def row_text(df: DataFrame, names: Sequence[str] | None = None) -> Column:
     """A whole row as ``[v1,v2,...]``."""
-    texts = _texts(df, list(df.columns if names is None else names), NULL_TOKEN)
-    return F.concat(F.lit("["), F.concat_ws(",", *texts), F.lit("]"))
+    names = list(df.columns if names is None else names)
+    return F.expr(f"concat('[', {_joined(df, names, ',', NULL_TOKEN)}, ']')")

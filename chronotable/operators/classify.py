@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.functions.columns import col
+from chronotable.functions.columns import col, pick, quoted
 from chronotable.functions.timestamps import one_milli_before
 from chronotable.operators.columns import (
     LEFT,
@@ -23,6 +23,7 @@ from chronotable.operators.rejects import reject_rows
 from chronotable.operators.status import Status, status_lit
 
 _LEFT_KEY, _RIGHT_KEY = LEFT + ROW_KEY, RIGHT + ROW_KEY
+_NO_VALID_FROM = "a changed row needs a valid_from"
 
 
 def restrict_existing(existing: DataFrame, incoming: DataFrame, key: str = ROW_KEY) -> DataFrame:
@@ -33,7 +34,7 @@ def restrict_existing(existing: DataFrame, incoming: DataFrame, key: str = ROW_K
     keys keep a batch that repeats one key from gathering in a task.
     """
     touched = existing.join(incoming.select(col(key)).distinct(), key, "left_semi")
-    return touched.select([col(n) for n in existing.columns])
+    return pick(touched, existing.columns)
 
 
 def left_join_prefixed(
@@ -79,7 +80,7 @@ def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     new_from = col(LEFT + VALID_FROM)
     ended = F.coalesce(
         one_milli_before(new_from, incoming.schema[VALID_FROM].dataType).cast(right_end),
-        F.raise_error("a changed row needs a valid_from").cast(right_end),
+        F.raise_error(_NO_VALID_FROM).cast(right_end),
     )
 
     def outcome(status: Status, end: Column) -> Column:
@@ -92,9 +93,8 @@ def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
         .otherwise(F.array(outcome(Status.UPDATED, ended), outcome(Status.CLOSED, ended)))
     )
     kept = [n for n in joined.columns if n != RIGHT + VALID_TO]
-    return joined.select(*[col(n) for n in kept], F.inline(outcomes)).select(
-        *[col(n) for n in joined.columns], col(STATUS)
-    )
+    generated = joined.select(*[quoted(n) for n in kept], F.inline(outcomes))
+    return pick(generated, [*joined.columns, STATUS])
 
 
 def classify_restricted(incoming: DataFrame, existing: DataFrame) -> DataFrame:
@@ -102,6 +102,47 @@ def classify_restricted(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     return classify_changes(incoming, restrict_existing(existing, incoming))
 
 
+def incoming_status(
+    incoming: DataFrame, existing: DataFrame, restricted: bool = True
+) -> DataFrame:
+    """Incoming rows with ``INSERT``, ``UPDATED`` or ``DUPLICATE_RECORD_OPEN`` as their status.
+
+    The same decision as ``classify_changes`` without carrying the old rows along: of the open
+    table only the key and the fingerprint are read.
+    """
+    known = pick(existing, [ROW_KEY, ROW_MD5])
+    if restricted:
+        known = restrict_existing(known, incoming)
+    known = prefix_columns(known, RIGHT)
+    joined = incoming.join(known, incoming[ROW_KEY] == known[_RIGHT_KEY], "left")
+    same = F.lower(col(ROW_MD5)).eqNullSafe(F.lower(col(RIGHT + ROW_MD5)))
+    status = (
+        F.when(col(_RIGHT_KEY).isNull(), status_lit(Status.INSERT))
+        .when(same, status_lit(Status.DUPLICATE_RECORD_OPEN))
+        .otherwise(status_lit(Status.UPDATED))
+    )
+    return joined.select(*[quoted(n) for n in incoming.columns], status.alias(STATUS))
+
+
+def end_versions(open_rows: DataFrame, updated: DataFrame, ended: str) -> DataFrame:
+    """All open rows in one pass, with ``valid_to`` moved where ``updated`` has the key.
+
+    The column named by ``ended`` tells which rows those are. A null ``valid_from`` in ``updated``
+    fails the query.
+    """
+    end_type = open_rows.schema[VALID_TO].dataType
+    end = F.coalesce(
+        one_milli_before(col(VALID_FROM), updated.schema[VALID_FROM].dataType).cast(end_type),
+        F.raise_error(_NO_VALID_FROM).cast(end_type),
+    )
+    ends = updated.select(col(ROW_KEY).alias("__key"), end.alias("__end"))
+    joined = open_rows.join(ends, open_rows[ROW_KEY] == ends["__key"], "left")
+    rows = joined.withColumns(
+        {VALID_TO: F.coalesce("__end", VALID_TO), ended: F.col("__key").isNotNull()}
+    )
+    return pick(rows, [*open_rows.columns, ended])
+
+
 def split_by_status(classified: DataFrame, *statuses: Status) -> DataFrame:
     return classified.where(col(STATUS).isin([int(s) for s in statuses]))
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.functions.columns import col, require_columns
+from chronotable.functions.columns import col, pick, require_columns
 from chronotable.functions.hashing import row_key, row_md5
 from chronotable.functions.timestamps import bound_type, open_end
 
@@ -56,7 +56,7 @@ def add_validity(df: DataFrame, valid_from: str) -> DataFrame:
 
 def prefix_columns(df: DataFrame, prefix: str | None) -> DataFrame:
     """``x`` becomes ``<prefix>x`` for every column; no prefix changes nothing."""
-    return df.select([col(n).alias((prefix or "") + n) for n in df.columns])
+    return df.toDF(*[(prefix or "") + n for n in df.columns])
 
 
 def select_prefix(df: DataFrame, prefix: str, extra: str | None = None) -> DataFrame:
@@ -64,9 +64,9 @@ def select_prefix(df: DataFrame, prefix: str, extra: str | None = None) -> DataF
     names = [n for n in df.columns if n.startswith(prefix)]
     if extra and extra.strip():
         names.append(extra)
-    return df.select([col(n) for n in names])
+    return pick(df, names)
 
 
 def strip_prefix(df: DataFrame, prefix: str | None) -> DataFrame:
     """Take ``prefix`` off the front of every name that has it, once."""
-    return df.select([col(n).alias(n.removeprefix(prefix or "")) for n in df.columns])
+    return df.toDF(*[n.removeprefix(prefix or "") for n in df.columns])

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col, require_columns
+from chronotable.functions.columns import col, pick, quoted, require_columns
 from chronotable.operators.columns import ROW_KEY, STATUS
 from chronotable.operators.keys import splittable_keys
 from chronotable.operators.rejects import reject_rows
@@ -42,13 +42,13 @@ def _has_map(data_type: T.DataType) -> bool:
     return False
 
 
-def total_order(df: DataFrame, order_by: Sequence[str | Column] = ()) -> list[Column]:
+def total_order(df: DataFrame, order_by: Sequence[str | Column] = ()) -> list[Column | str]:
     """``order_by`` first, then every column of the frame; maps are ordered by their JSON text."""
     named = {o for o in order_by if isinstance(o, str)}
     require_columns(df, sorted(named), "order columns")
-    first = [col(o) if isinstance(o, str) else o for o in order_by]
+    first = [quoted(o) if isinstance(o, str) else o for o in order_by]
     rest = [
-        F.to_json(col(f.name)) if _has_map(f.dataType) else col(f.name)
+        F.to_json(col(f.name)) if _has_map(f.dataType) else quoted(f.name)
         for f in df.schema.fields
         if f.name not in named
     ]
@@ -93,8 +93,7 @@ def duplicates(
     later_in_key = first_in_salt.withColumn(_RANK, F.row_number().over(per_key)).where(
         F.col(_RANK) > 1
     )
-    names = [col(n) for n in df.columns]
-    return later_in_salt.select(names).unionByName(later_in_key.select(names))
+    return pick(later_in_salt, df.columns).unionByName(pick(later_in_key, df.columns))
 
 
 def mark_duplicates(
@@ -141,6 +140,6 @@ def sort_by_key(df: DataFrame, key: str = ROW_KEY) -> DataFrame:
     rest = total_order(df, [key])
     return (
         df.withColumn(_SALT, F.spark_partition_id())
-        .sort(*rest, F.col(_SALT))
+        .sort(*rest, _SALT)
         .drop(_SALT)
     )

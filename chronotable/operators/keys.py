@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.functions.columns import col
+from chronotable.functions.columns import quoted
 
 _ROW = "__row"
 
@@ -18,7 +18,7 @@ def splittable_keys(keys: DataFrame, at_least: int = 1) -> DataFrame:
     the keys are handed on as aggregated values, which the planner shuffles (they are few and
     narrow) before the join.
     """
-    names = [col(n) for n in keys.columns]
+    names = [quoted(n) for n in keys.columns]
     counted = keys.groupBy(*names).agg(
         F.count(F.lit(1)).alias("__times"), F.any_value(F.struct(*names)).alias(_ROW)
     )

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col, quoted, require_columns
+from chronotable.functions.columns import col, pick, quoted, require_columns
 from chronotable.operators.keys import splittable_keys
 
 _TOO_MANY = "a target row is matched by more than one source row"
@@ -325,4 +325,4 @@ def upsert(
         [col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
     stay = target.join(source.select([col(k) for k in keys]), list(keys), "left_anti")
-    return stay.select([col(n) for n in target.columns]).unionByName(new)
+    return pick(stay, target.columns).unionByName(new)

@@ -25,7 +25,7 @@ def status_lit(status: Status) -> Column:
 
 def status_name(code: Column) -> Column:
     """Name of a status code; the query fails on a code that does not exist."""
-    names = F.create_map(*[F.lit(part) for s in Status for part in (int(s), s.name)])
+    names = F.expr(f"map({', '.join(f"{int(s)}, '{s.name}'" for s in Status)})")
     unknown = F.concat(
         F.lit("unknown status code "), F.coalesce(code.cast("string"), F.lit("null"))
     )

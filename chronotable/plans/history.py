@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.functions.columns import col
+from chronotable.functions.columns import col, pick, quoted
 from chronotable.operators.merge import Merge
 
 # The two columns that tell versions apart and the flag's values.
@@ -26,7 +26,7 @@ def superseded(base: DataFrame, landing: DataFrame, key: str) -> DataFrame:
     """Open versions whose key has landed: a correlated ``IN`` as a semi join."""
     landed = landing.select(col(key)).distinct()
     ending = base.where(col(ACTIVE) == YES).join(landed, key, "left_semi")
-    return ending.select([col(n) for n in base.columns])
+    return pick(ending, base.columns)
 
 
 def merge_source(base: DataFrame, landing: DataFrame, key: str, as_of: Column) -> DataFrame:
@@ -35,12 +35,12 @@ def merge_source(base: DataFrame, landing: DataFrame, key: str, as_of: Column) -
     key_type = base.schema[key].dataType
     landed = landing.select(
         F.lit(None).cast(key_type).alias(MERGE_KEY),
-        *[col(n) for n in payload],
+        *[quoted(n) for n in payload],
         F.lit(YES).alias(ACTIVE),
         as_of.cast(base.schema[END].dataType).alias(END),
     )
     ending = superseded(base, landing, key).select(
-        col(key).alias(MERGE_KEY), *[col(n) for n in payload], col(ACTIVE), col(END)
+        col(key).alias(MERGE_KEY), *[quoted(n) for n in payload], ACTIVE, END
     )
     return landed.unionByName(ending)
 

@@ -2,14 +2,15 @@
 
 Layout below the root::
 
-    open/v=<n>/bucket=<b>/                  open rows, by hash bucket of the row key
-    closed/v=<n>/valid_to_day=<d>/          ended rows, appended per version
-    rejects/v=<n>/                          reject rows, appended per version
+    rows/v=<n>/state=open/part=<bucket>/    open rows, by hash bucket of the row key
+    rows/v=<n>/state=closed/part=<day>/     rows that version n ended, by the day they ended
+    rejects/v=<n>/                          rows that version n refused
     versions/v=<n>/                         one JSON row, written last: version n exists
 
-A batch writes the open buckets it changes, its closed rows and its rejects under the next
-version number and then publishes all three with the one small version file. Nothing that a
-published version refers to is ever overwritten, so a run that dies half-way leaves the last
+A batch is compared with two narrow columns of the open buckets it touches. The buckets it changes
+are then read once and written once, open and closed rows together, under the next version number;
+last comes the one small version file that publishes rows and rejects at the same time. Nothing
+that a published version refers to is ever overwritten, so a run that dies half-way leaves the last
 version readable and the next run simply writes the same folders again. Buckets that a batch
 does not change are not rewritten: the new version goes on pointing to the version that holds them.
 
@@ -27,18 +28,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col
-from chronotable.operators.checks import assert_non_null, assert_unique
-from chronotable.operators.classify import split_by_status
-from chronotable.operators.columns import LEFT, ROW_KEY, VALID_TO
-from chronotable.operators.rejects import REJECT_SCHEMA
+from chronotable.functions.columns import col, pick
+from chronotable.operators.checks import assert_unique
+from chronotable.operators.classify import end_versions, incoming_status, split_by_status
+from chronotable.operators.columns import ROW_KEY, STATUS, VALID_TO
+from chronotable.operators.dedup import duplicate_rejects
+from chronotable.operators.rejects import REJECT_SCHEMA, reject_rows
 from chronotable.operators.status import Status
-from chronotable.plans.scd2 import State, apply_delta, changes_of, classified_batch
+from chronotable.plans.scd2 import State, incoming_rows
 from chronotable.plans.spec import Dimension
 from chronotable.sources.readers import conform
 from chronotable.sources.workspace import materialize
 
-_BUCKET, _VERSION, _DAY = "bucket", "v", f"{VALID_TO}_day"
+_VERSION, _STATE, _PART = "v", "state", "part"
+_OPEN, _CLOSED = "open", "closed"
 
 _VERSION_SCHEMA = T.StructType(
     [
@@ -47,6 +50,7 @@ _VERSION_SCHEMA = T.StructType(
         T.StructField("open_ddl", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
         T.StructField("held_by", T.MapType(T.StringType(), T.IntegerType())),
+        T.StructField("closed_by", T.ArrayType(T.IntegerType())),
         T.StructField(_VERSION, T.IntegerType()),
     ]
 )
@@ -54,13 +58,18 @@ _VERSION_SCHEMA = T.StructType(
 
 @dataclass(frozen=True)
 class Version:
-    """One published version: which version's folder holds each non-empty open bucket."""
+    """One published version.
+
+    ``held_by`` tells which version's folder holds each open bucket that has rows, ``closed_by``
+    which versions ended rows.
+    """
 
     number: int
     batch_schema: T.StructType
     open_schema: T.StructType
     buckets: int
     held_by: Mapping[int, int]
+    closed_by: tuple[int, ...]
 
 
 class HistoryStore:
@@ -102,25 +111,35 @@ class HistoryStore:
             T.StructType.fromDDL(row["open_ddl"]),
             row["buckets"],
             {int(b): held for b, held in (row["held_by"] or {}).items()},
+            tuple(row["closed_by"] or ()),
         )
 
+    def _read(self, paths: list[str], schema: T.StructType) -> DataFrame:
+        if not paths:
+            return self._spark.createDataFrame([], schema)
+        reader = self._spark.read.schema(schema).option("basePath", f"{self._root}/rows")
+        return pick(reader.parquet(*paths), schema.fieldNames())
+
     def _open_of(self, version: Version, only: set[int] | None = None) -> DataFrame:
-        schema = version.open_schema
         paths = [
-            f"{self._root}/open/{_VERSION}={held}/{_BUCKET}={bucket}"
+            f"{self._root}/rows/{_VERSION}={held}/{_STATE}={_OPEN}/{_PART}={bucket}"
             for bucket, held in sorted(version.held_by.items())
             if only is None or bucket in only
         ]
-        if not paths:
-            return self._spark.createDataFrame([], schema)
-        rows = self._spark.read.schema(schema).parquet(*paths)
-        return rows.select([col(n) for n in schema.fieldNames()])
+        return self._read(paths, version.open_schema)
+
+    def _closed_of(self, version: Version) -> DataFrame:
+        paths = [
+            f"{self._root}/rows/{_VERSION}={number}/{_STATE}={_CLOSED}"
+            for number in version.closed_by
+        ]
+        return self._read(paths, version.open_schema)
 
-    def _appended(self, table: str, schema: T.StructType, version: Version) -> DataFrame:
-        found = T.StructType([*schema.fields, T.StructField(_VERSION, T.IntegerType())])
-        rows = self._spark.read.schema(found).parquet(f"{self._root}/{table}")
+    def _rejects_of(self, version: Version) -> DataFrame:
+        found = T.StructType([*REJECT_SCHEMA.fields, T.StructField(_VERSION, T.IntegerType())])
+        rows = self._spark.read.schema(found).parquet(f"{self._root}/rejects")
         rows = rows.where(F.col(_VERSION) <= version.number)
-        return rows.select([col(n) for n in schema.fieldNames()])
+        return pick(rows, REJECT_SCHEMA.fieldNames())
 
     def state(self, number: int | None = None) -> State:
         """The three tables as of a version, by default the newest."""
@@ -128,9 +147,7 @@ class HistoryStore:
         if version is None:
             raise ValueError(f"nothing has been published under {self._root}")
         return State(
-            self._open_of(version),
-            self._appended("closed", version.open_schema, version),
-            self._appended("rejects", REJECT_SCHEMA, version),
+            self._open_of(version), self._closed_of(version), self._rejects_of(version)
         )
 
     # Writing
@@ -138,11 +155,6 @@ class HistoryStore:
     def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.xxhash64(col(ROW_KEY)), F.lit(buckets)).cast("int")
 
-    def _bucket_numbers(self, df: DataFrame, buckets: int) -> set[int]:
-        """Buckets that some rows fall into: at most ``buckets`` numbers."""
-        rows = df.select(self._bucket(buckets).alias(_BUCKET)).distinct().collect()
-        return {row[_BUCKET] for row in rows}
-
     def apply(self, batch: DataFrame, batch_id: str | None = None) -> int:
         """Apply one batch and publish the next version; returns the newest version number.
 
@@ -158,51 +170,83 @@ class HistoryStore:
         if last is None:
             batch_schema = batch.schema
             empty = dimension.empty_open(batch)
-            last = Version(0, batch_schema, empty.schema, self._buckets, {})
+            last = Version(0, batch_schema, empty.schema, self._buckets, {}, ())
         else:
             batch = conform(batch, last.batch_schema)
         number = last.number + 1
+        bucket = self._bucket(last.buckets)
 
         # The batch is read and fingerprinted once, whatever it comes from.
         enriched = materialize(dimension.enrich(batch))
-        touched = self._bucket_numbers(enriched, last.buckets)
-        open_rows = self._open_of(last, touched)
-        classified = materialize(classified_batch(open_rows, enriched, dimension))
-        if dimension.dedup:
-            assert_unique(
-                split_by_status(classified, *(s for s in Status if s != Status.CLOSED)).select(
-                    col(LEFT + ROW_KEY)
-                ),
-                [LEFT + ROW_KEY],
-                "the open table",
+        # At most as many numbers as there are buckets.
+        touched = {row[0] for row in enriched.select(bucket).distinct().collect()}
+        outcome = materialize(
+            incoming_status(
+                incoming_rows(enriched, dimension),
+                self._open_of(last, touched),
+                restricted=dimension.dedup,
             )
-        changes = changes_of(classified, enriched, dimension)
-
-        changed = self._bucket_numbers(changes.delta, last.buckets)
-        after = apply_delta(self._open_of(last, changed), changes.delta, dimension)
-        self._write(
-            after.withColumn(_BUCKET, self._bucket(last.buckets)), "open", number, [_BUCKET]
         )
-        closed = assert_non_null(changes.closed, [VALID_TO]).withColumn(
-            _DAY, F.to_date(col(VALID_TO))
+        updated = split_by_status(outcome, Status.UPDATED)
+        if dimension.dedup:
+            assert_unique(pick(outcome, [ROW_KEY]), [ROW_KEY], "the open table")
+        else:
+            assert_unique(pick(updated, [ROW_KEY]), [ROW_KEY], "changed rows of the batch")
+        delta = split_by_status(outcome, Status.UPDATED, Status.INSERT)
+        found = delta.groupBy(bucket.alias(_PART), STATUS).count().collect()
+        changed = {row[_PART] for row in found}
+        ends_rows = any(row[STATUS] == Status.UPDATED for row in found)
+
+        self._write_rows(number, self._open_of(last, changed), updated, delta.drop(STATUS), bucket)
+        self._write_rejects(number, enriched, outcome)
+        self._publish(
+            number,
+            last,
+            {**last.held_by, **{b: number for b in changed}},
+            (*last.closed_by, number) if ends_rows else last.closed_by,
+            batch_id,
         )
-        self._write(closed, "closed", number, [_DAY])
-        self._write(changes.rejects, "rejects", number, [])
-
-        self._publish(number, last, {**last.held_by, **{b: number for b in changed}}, batch_id)
         return number
 
-    def _write(
-        self, rows: DataFrame, table: str, number: int, partition_by: list[str]
+    def _write_rows(
+        self,
+        number: int,
+        open_rows: DataFrame,
+        updated: DataFrame,
+        delta: DataFrame,
+        bucket: Column,
     ) -> None:
-        if partition_by:
-            # Gathers a partition's rows, but splits what would be too much for one task.
-            rows = rows.hint("rebalance", *[col(n) for n in partition_by])
-        path = f"{self._root}/{table}/{_VERSION}={number}"
-        rows.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        """The changed buckets and what ended in them, in one pass over the old open rows."""
+        ended = F.col("__ended")
+        moved = end_versions(open_rows, updated, "__ended")
+        day = F.to_date(col(VALID_TO)).cast("string")
+        moved = moved.withColumns(
+            {
+                _STATE: F.when(ended, _CLOSED).otherwise(_OPEN),
+                _PART: F.when(ended, day).otherwise(bucket.cast("string")),
+            }
+        ).drop("__ended")
+        delta = delta.withColumns({_STATE: F.lit(_OPEN), _PART: bucket.cast("string")})
+        # Gathers a partition's rows, but splits what would be too much for one task.
+        rows = moved.unionByName(delta).hint("rebalance", F.col(_STATE), F.col(_PART))
+        rows.write.mode("overwrite").partitionBy(_STATE, _PART).parquet(
+            f"{self._root}/rows/{_VERSION}={number}"
+        )
+
+    def _write_rejects(self, number: int, enriched: DataFrame, outcome: DataFrame) -> None:
+        rejects = duplicate_rejects(enriched, self._dimension.ordering)
+        if self._dimension.reject_open_duplicates:
+            same = split_by_status(outcome, Status.DUPLICATE_RECORD_OPEN)
+            rejects = rejects.unionByName(reject_rows(same))
+        rejects.write.mode("overwrite").parquet(f"{self._root}/rejects/{_VERSION}={number}")
 
     def _publish(
-        self, number: int, last: Version, held_by: Mapping[int, int], batch_id: str | None
+        self,
+        number: int,
+        last: Version,
+        held_by: Mapping[int, int],
+        closed_by: tuple[int, ...],
+        batch_id: str | None,
     ) -> None:
         held = json.dumps({str(b): v for b, v in sorted(held_by.items())})
         values = {
@@ -211,6 +255,7 @@ class HistoryStore:
             "open_ddl": F.lit(last.open_schema.toDDL()),
             "buckets": F.lit(last.buckets),
             "held_by": F.from_json(F.lit(held), _VERSION_SCHEMA["held_by"].dataType),
+            "closed_by": F.from_json(F.lit(json.dumps(closed_by)), "array<int>"),
         }
         published = self._spark.range(1, numPartitions=1).select(
             [value.alias(name) for name, value in values.items()]

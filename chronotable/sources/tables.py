@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col, quoted, require_columns
+from chronotable.functions.columns import col, quoted, require_columns, text_literal
 
 DAY = "day"
 
@@ -17,10 +17,6 @@ def _identifier(name: str) -> str:
     return ".".join(quoted(part) for part in name.split("."))
 
 
-def _literal(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def day_column(name: str) -> str:
     """Name of the derived partition column for a day transform."""
     return f"{name}_day"
@@ -56,7 +52,7 @@ def create_table(
     if partitions:
         ddl += f" PARTITIONED BY ({', '.join(quoted(n) for n in partitions)})"
     if base_location is not None:
-        ddl += f" LOCATION {_literal(base_location.rstrip('/') + '/' + name.split('.')[-1])}"
+        ddl += f" LOCATION {text_literal(base_location.rstrip('/') + '/' + name.split('.')[-1])}"
     spark.sql(ddl)
     return spark.table(_identifier(name))
 
@@ -111,7 +107,7 @@ def create_bucketed_as(
 
 
 def set_properties(spark: SparkSession, name: str, properties: Mapping[str, str]) -> None:
-    pairs = ", ".join(f"{_literal(k)} = {_literal(v)}" for k, v in properties.items())
+    pairs = ", ".join(f"{text_literal(k)} = {text_literal(v)}" for k, v in properties.items())
     spark.sql(f"ALTER TABLE {_identifier(name)} SET TBLPROPERTIES ({pairs})")
 
 

@@ -70,6 +70,11 @@ def test_separator_tells_apart_what_runs_together(spark):
     assert len(set(column(rows, row_key(rows, ["id", "name"], sep="|")))) == 2
 
 
+def test_separators_and_tokens_are_text(people):
+    joined = concat_values(people, ["city", "name"], sep="'\\", null_token="it's")
+    assert column(people, joined) == ["Oslo'\\Ann", "Rome'\\Bea", "it's'\\Ünal"]
+
+
 def test_names_with_dots_and_backticks(spark):
     rows = spark.createDataFrame([("a", "b")], ["x.y", "o`o"])
     assert column(rows, md5_of(rows)) == [md5("ab")]
@@ -95,7 +100,7 @@ def test_names_with_dots_and_backticks(spark):
 )
 def test_value_text(spark, data_type, value, text):
     rows = spark.createDataFrame([(value,)], f"v {data_type}")
-    assert column(rows, value_text(F.col("v"), rows.schema["v"].dataType)) == [text]
+    assert column(rows, value_text("v", rows.schema["v"].dataType)) == [text]
 
 
 def test_row_text(people):

@@ -59,8 +59,8 @@ def test_only_changed_buckets_are_written(store, batches, tmp_path):
     changed = {b for b, held in after.held_by.items() if held == 3}
     assert 0 < len(changed) <= 2
     assert all(after.held_by[b] == before.held_by[b] for b in before.held_by if b not in changed)
-    written = (tmp_path / "store/open/v=3").glob("bucket=*")
-    assert {int(p.name.removeprefix("bucket=")) for p in written} == changed
+    written = (tmp_path / "store/rows/v=3/state=open").glob("part=*")
+    assert {int(p.name.removeprefix("part=")) for p in written} == changed
 
 
 def test_nothing_shows_before_it_is_published(store, batches, monkeypatch):
@@ -114,11 +114,32 @@ def test_two_open_rows_of_one_key_are_found(spark, store, batches, monkeypatch):
         store.apply(batches[1])
 
 
+def test_without_dedup(spark, tmp_path, batches):
+    as_is = Dimension(["id", "name"], "update_ts", dedup=False, reject_open_duplicates=False)
+    store = HistoryStore(spark, str(tmp_path / "s"), as_is, buckets=4)
+    store.apply(batches[0])
+    store.apply(batches[2])
+    twice = batches[1].where("id = '3'").selectExpr("'9' AS id", "* EXCEPT (id)")
+    store.apply(twice.union(twice))
+    assert store.state().open.where("id = '9'").count() == 2
+    clash = batches[1].where("id = '2'")
+    with pytest.raises(ValueError, match="changed rows of the batch"):
+        store.apply(clash.union(clash))
+
+
+def test_changed_row_needs_a_valid_from(spark, store, batches):
+    store.apply(batches[0])
+    rows = spark.createDataFrame([("2", "Omar", None, "x", "y")], SCHEMA)
+    with pytest.raises(PySparkException, match="needs a valid_from"):
+        store.apply(rows)
+    assert store.version().number == 1
+
+
 def test_closed_rows_are_kept_by_day(store, batches, tmp_path):
     for batch in batches:
         store.apply(batch)
-    days = {p.name for p in (tmp_path / "store/closed").glob("v=*/valid_to_day=*")}
-    assert days == {"valid_to_day=2020-12-31", "valid_to_day=2021-02-28"}
+    days = {p.name for p in (tmp_path / "store/rows").glob("v=*/state=closed/part=*")}
+    assert days == {"part=2020-12-31", "part=2021-02-28"}
 
 
 def test_stream(spark, store, tmp_path):
