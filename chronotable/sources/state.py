@@ -229,9 +229,9 @@ class HistoryStore:
         delta = delta.withColumns({_STATE: F.lit(_OPEN), _PART: bucket.cast("string")})
         # Gathers a partition's rows, but splits what would be too much for one task.
         rows = moved.unionByName(delta).hint("rebalance", F.col(_STATE), F.col(_PART))
-        rows.write.mode("overwrite").partitionBy(_STATE, _PART).parquet(
-            f"{self._root}/rows/{_VERSION}={number}"
-        )
+        # What a run that died left under this version goes, whatever the session's default.
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(_STATE, _PART).parquet(f"{self._root}/rows/{_VERSION}={number}")
 
     def _write_rejects(self, number: int, enriched: DataFrame, outcome: DataFrame) -> None:
         rejects = duplicate_rejects(enriched, self._dimension.ordering)

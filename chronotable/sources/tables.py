@@ -96,8 +96,9 @@ def create_bucketed_as(
 ) -> DataFrame:
     """Write a frame as a table clustered and sorted by ``key``.
 
-    Joins and aggregates on the key then read it without a shuffle. Rows are gathered by key
-    before the write, with large groups split, so a hot key is written by several tasks.
+    Joins and aggregates on the key then read it without a shuffle, one task per bucket, so choose
+    a key whose values are many and even. Rows are gathered by key before the write, with large
+    groups split, so that even a hot key would be written by several tasks.
     """
     writer = df.hint("rebalance", col(key)).write.bucketBy(buckets, key).sortBy(key)
     if base_location is not None:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronotable.operators.dedup import sort_by_key
-from chronotable.sources.readers import read_csv
+from chronotable.sources.readers import inline_batch, read_csv
 from chronotable.sources.tables import (
     append,
     create_bucketed_as,
@@ -34,6 +34,16 @@ def table_scan(spark: SparkSession, sf: str) -> DataFrame:
     return read(spark, sf, "orders")
 
 
+def inline_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders next to a literal batch of status names; the literals are few enough to broadcast."""
+    names = inline_batch(
+        spark,
+        [("F", "finished", 3), ("O", "open", 1), ("P", "partial", 2)],
+        "o_orderstatus string, status_name string, status_rank int",
+    )
+    return read(spark, sf, "orders").join(F.broadcast(names), "o_orderstatus")
+
+
 def temp_view_sql(spark: SparkSession, sf: str) -> DataFrame:
     view = _fresh_name("batch")
     read(spark, sf, "lineitem").createOrReplaceTempView(view)
@@ -92,12 +102,11 @@ def table_properties(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ctas_bucketed(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders clustered by customer, then counted per customer without a shuffle."""
-    orders = read(spark, sf, "orders")
-    table = create_bucketed_as(orders, _fresh_name("orders"), 8, "o_custkey", work_folder(spark))
-    return table.groupBy("o_custkey").agg(
-        F.count("*").alias("order_count"), F.max("o_orderdate").alias("last_order")
-    )
+    """Orders clustered by their number, joined with their rows in lineitem."""
+    orders, lines = read(spark, sf, "orders"), read(spark, sf, "lineitem")
+    table = create_bucketed_as(orders, _fresh_name("orders"), 8, "o_orderkey", work_folder(spark))
+    joined = table.join(lines, table["o_orderkey"] == lines["l_orderkey"])
+    return joined.select("o_orderkey", "o_custkey", "o_orderdate", "l_linenumber", "l_shipdate")
 
 
 def sorted_by_key(spark: SparkSession, sf: str) -> DataFrame:
@@ -107,6 +116,7 @@ def sorted_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "table_scan": table_scan,
+    "inline_batch": inline_rows,
     "temp_view_sql": temp_view_sql,
     "csv_normalized": csv_normalized,
     "create_or_load": create_or_load,
@@ -122,6 +132,11 @@ _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority"
 
 SQL = {
     "table_scan": "SELECT * FROM orders",
+    "inline_batch": """
+        SELECT orders.*, status_name, status_rank
+        FROM orders
+        JOIN (VALUES ('F', 'finished', 3), ('O', 'open', 1), ('P', 'partial', 2))
+          names(code, status_name, status_rank) ON o_orderstatus = code""",
     "temp_view_sql": """
         SELECT l_returnflag, l_linestatus, count(*) AS line_count, max(l_shipdate) AS last_shipdate
         FROM lineitem GROUP BY l_returnflag, l_linestatus""",
@@ -135,8 +150,8 @@ SQL = {
     "day_partitioned_write": "SELECT *, CAST(ts AS DATE) AS ts_day FROM events",
     "table_properties": "SELECT *, 'it''s finance' AS steward FROM supplier",
     "ctas_bucketed": """
-        SELECT o_custkey, count(*) AS order_count, max(o_orderdate) AS last_order
-        FROM orders GROUP BY o_custkey""",
+        SELECT o_orderkey, o_custkey, o_orderdate, l_linenumber, l_shipdate
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
     "sorted_by_key": f"""
         SELECT {_ORDERS}, {sql_md5('o_orderstatus', 'o_orderpriority')} AS row_md5,
                {sql_md5('o_custkey')} AS row_key

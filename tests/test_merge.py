@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from chronotable.operators.merge import Merge, upsert
+from chronotable.operators.merge import Clause, Merge, upsert
 
 SCHEMA = "id int, name string, amount int"
 
@@ -92,6 +92,17 @@ def test_builder_is_immutable(target, source):
     assert start.matched == ()
 
 
+def test_statement_in_one_call(target, source):
+    done = Merge(
+        target,
+        source=source,
+        condition="target.id = source.id",
+        matched=(Clause("delete", "target.id = 2"), Clause("update")),
+        not_matched=(Clause("insert", "source.id = 4"),),
+    ).result()
+    assert bag(done) == Counter([(1, "a", 10), (None, "n", 0), (3, "C", 31), (4, "D", 41)])
+
+
 def test_missing_parts(target, source):
     with pytest.raises(ValueError, match="needs a source"):
         Merge(target).on_keys(["id"]).when_matched().delete().result()
