@@ -112,7 +112,10 @@ class Merge:
         return replace(self, source=source, source_alias=alias)
 
     def on(self, condition: Column | str) -> Merge:
-        """Match on any boolean condition over the two aliases."""
+        """Match on any boolean condition over the two aliases.
+
+        Spark takes the equalities in it as join keys; without any, the join compares every pair.
+        """
         return replace(self, condition=condition, keys=())
 
     def on_keys(
@@ -121,7 +124,7 @@ class Merge:
         """Match on equal keys, given as names or (target name, source name) pairs.
 
         Prefer this to ``on`` for equalities: it needs no second join to find source rows that
-        compete for one target row. ``source_unique`` promises that no key repeats in the source.
+        compete for one target row, and pairs a target row with one source row at most. ``source_unique`` promises that no key repeats in the source.
         """
         pairs = tuple((k, k) if isinstance(k, str) else tuple(k) for k in keys)
         return replace(self, keys=pairs, condition=None, source_unique=source_unique)
@@ -221,10 +224,10 @@ class Merge:
         source = self.source.withColumn(_TIMES, F.lit(1)).alias(self.source_alias)
         condition = _as_column(self.condition)
         joined = target.join(source, condition, "left")
-        # More matching pairs than matched target rows means that some row is matched twice.
-        pairs = target.join(source, condition, "inner").agg(F.count(F.lit(1)))
-        rows = target.join(source, condition, "left_semi").agg(F.count(F.lit(1)))
-        return joined, pairs.scalar() > rows.scalar()
+        # A left join gives more rows than its left side has only if some row is matched twice.
+        rows_after = joined.agg(F.count(F.lit(1))).scalar()
+        rows_before = self.target.agg(F.count(F.lit(1))).scalar()
+        return joined, rows_after > rows_before
 
     def _rewritten_target(self) -> DataFrame:
         if self._only_deletes():
