@@ -4,11 +4,12 @@ Both halves must stand a key that holds a large part of the batch:
 
 * The kept half is ``row_number() = 1``. Spark turns that filter into a group limit that runs
   before the shuffle, so each map task sends at most one row per key.
-* The other half is the n-1 rest, which cannot be limited. Only keys that do repeat take part,
-  and their rows are ranked in two steps: first per (key, salt), where the salt is the input
-  partition a row was read from, then once more among the first rows of each salt. No task ever
-  sees more of one key than a salt's share. The salt does not depend on row content, so exact
-  copies spread as well, and it is the same when a lost task runs again.
+* The other half cannot be limited. Keys with more rows than one task should sort are counted out
+  first (usually there are none, and adaptive execution then drops their branch). Their rows are
+  ranked in two steps: per (key, salt), where the salt is the input partition a row was read from,
+  and once more among the first rows of each salt. No task sees more of such a key than a salt's
+  share. The salt does not depend on row content, so exact copies spread as well, and it is the
+  same when a lost task runs again.
 
 The order is total (the chosen columns, then all the others), so rows that tie are exact copies
 and the two halves always add up to the batch, even when they run as separate jobs.
@@ -24,13 +25,15 @@ from pyspark.sql import types as T
 
 from chronotable.functions.columns import col, pick, quoted, require_columns
 from chronotable.operators.columns import ROW_KEY, STATUS
-from chronotable.operators.keys import splittable_keys
 from chronotable.operators.rejects import reject_rows
 from chronotable.operators.status import Status, status_lit
 
 _SALT = "__salt"
 _RANK = "__rank"
 
+# Rows of one key that a task sorts without being held up by them.
+HOT_ROWS = 1_000_000
+
 
 def _has_map(data_type: T.DataType) -> bool:
     if isinstance(data_type, T.MapType):
@@ -67,68 +70,93 @@ def deduplicate(
     return df.withColumn(_RANK, F.row_number().over(by_key)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def duplicates(
+def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows, to be broadcast.
+
+    The broadcast is bounded: there are fewer such keys than rows of the batch / ``hot_rows``,
+    that is a hundred thousand for a hundred billion rows and the default.
+    """
+    counted = df.groupBy(col(key)).count()
+    return F.broadcast(counted.where(F.col("count") > hot_rows).select(quoted(key)))
+
+
+def _ranked(
     df: DataFrame,
-    order_by: Sequence[str | Column] = (),
-    key: str = ROW_KEY,
-    salts: int | None = None,
+    order_by: Sequence[str | Column],
+    key: str,
+    hot_rows: int,
+    salts: int | None,
 ) -> DataFrame:
-    """All rows but the first of each key."""
+    """Every row with a rank that is 1 for the row to keep of its key and higher for the others."""
     salts = salts or _shuffle_partitions(df)
     order = total_order(df, order_by)
+    hot = _hot_keys(df, key, hot_rows)
+    per_key = Window.partitionBy(col(key)).orderBy(*order)
+    rank_in_key = F.row_number().over(per_key)
 
-    repeated = splittable_keys(df.select(col(key)), at_least=2)
-    candidates = df.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    candidates = candidates.join(repeated, key, "left_semi")
-    # The explicit shuffle keeps Spark from reusing a partitioning by the bare key.
-    candidates = candidates.repartition(col(key), F.col(_SALT))
+    cold_rows = df.join(hot, key, "left_anti").withColumn(_RANK, rank_in_key)
 
+    salted = df.withColumn(_SALT, F.pmod(F.spark_partition_id(), F.lit(salts)))
     per_salt = Window.partitionBy(col(key), F.col(_SALT)).orderBy(*order)
-    ranked = candidates.withColumn(_RANK, F.row_number().over(per_salt))
-    later_in_salt = ranked.where(F.col(_RANK) > 1)
-
-    # At most one row per key and salt is left for the second step.
-    per_key = Window.partitionBy(col(key)).orderBy(*order)
-    first_in_salt = ranked.where(F.col(_RANK) == 1)
-    later_in_key = first_in_salt.withColumn(_RANK, F.row_number().over(per_key)).where(
-        F.col(_RANK) > 1
+    hot_rows_ranked = (
+        salted.join(hot, key, "left_semi")
+        # The explicit shuffle keeps Spark from reusing a partitioning by the bare key.
+        .repartition(col(key), F.col(_SALT))
+        .withColumn(_RANK, F.row_number().over(per_salt))
     )
-    return pick(later_in_salt, df.columns).unionByName(pick(later_in_key, df.columns))
+    later_in_salt = hot_rows_ranked.where(F.col(_RANK) > 1)
+    # At most one row per key and salt is left for the second step.
+    first_in_salt = hot_rows_ranked.where(F.col(_RANK) == 1).withColumn(_RANK, rank_in_key)
 
+    names = [*df.columns, _RANK]
+    parts = [pick(rows, names) for rows in (cold_rows, later_in_salt, first_in_salt)]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
-def mark_duplicates(
+
+def duplicates(
     df: DataFrame,
     order_by: Sequence[str | Column] = (),
     key: str = ROW_KEY,
+    hot_rows: int = HOT_ROWS,
     salts: int | None = None,
 ) -> DataFrame:
-    """Every row with its status: ``NA`` for the one kept per key, else a batch duplicate."""
-    kept = deduplicate(df, order_by, key).withColumn(STATUS, status_lit(Status.NA))
-    rest = duplicates(df, order_by, key, salts).withColumn(
-        STATUS, status_lit(Status.DUPLICATE_IN_MICRO_BATCH)
-    )
-    return kept.unionByName(rest)
+    """All rows but the first of each key.
 
+    A key with more than ``hot_rows`` rows is spread over ``salts`` groups, by default as many as
+    there are shuffle partitions. Neither number shows in the result.
+    """
+    ranked = _ranked(df, order_by, key, hot_rows, salts)
+    return ranked.where(F.col(_RANK) > 1).drop(_RANK)
 
-def duplicate_rejects(
+
+def mark_duplicates(
     df: DataFrame,
     order_by: Sequence[str | Column] = (),
     key: str = ROW_KEY,
+    hot_rows: int = HOT_ROWS,
     salts: int | None = None,
+) -> DataFrame:
+    """Every row with its status: ``NA`` for the one kept per key, else a batch duplicate."""
+    ranked = _ranked(df, order_by, key, hot_rows, salts)
+    status = F.when(F.col(_RANK) == 1, status_lit(Status.NA)).otherwise(
+        status_lit(Status.DUPLICATE_IN_MICRO_BATCH)
+    )
+    return ranked.withColumn(STATUS, status).drop(_RANK)
+
+
+def duplicate_rejects(
+    df: DataFrame, order_by: Sequence[str | Column] = (), key: str = ROW_KEY
 ) -> DataFrame:
     """The duplicates as reject rows."""
-    rest = duplicates(df, order_by, key, salts)
+    rest = duplicates(df, order_by, key)
     return reject_rows(rest.withColumn(STATUS, status_lit(Status.DUPLICATE_IN_MICRO_BATCH)))
 
 
 def deduplicate_and_reject(
-    df: DataFrame,
-    order_by: Sequence[str | Column] = (),
-    key: str = ROW_KEY,
-    salts: int | None = None,
+    df: DataFrame, order_by: Sequence[str | Column] = (), key: str = ROW_KEY
 ) -> tuple[DataFrame, DataFrame]:
     """The kept rows and the reject rows."""
-    return deduplicate(df, order_by, key), duplicate_rejects(df, order_by, key, salts)
+    return deduplicate(df, order_by, key), duplicate_rejects(df, order_by, key)
 
 
 def sort_by_key(df: DataFrame, key: str = ROW_KEY) -> DataFrame:

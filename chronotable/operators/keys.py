@@ -10,8 +10,8 @@ from chronotable.functions.columns import quoted
 _ROW = "__row"
 
 
-def splittable_keys(keys: DataFrame, at_least: int = 1) -> DataFrame:
-    """Distinct rows that occur ``at_least`` so often, to be joined with a side that has hot keys.
+def splittable_keys(keys: DataFrame) -> DataFrame:
+    """Distinct rows of ``keys``, fit to be joined with a side that has hot keys.
 
     Adaptive execution splits a hot key only in joins whose two sides both come straight out of a
     shuffle. An aggregate that is already partitioned by the join key would be joined in place, so
@@ -19,7 +19,4 @@ def splittable_keys(keys: DataFrame, at_least: int = 1) -> DataFrame:
     narrow) before the join.
     """
     names = [quoted(n) for n in keys.columns]
-    counted = keys.groupBy(*names).agg(
-        F.count(F.lit(1)).alias("__times"), F.any_value(F.struct(*names)).alias(_ROW)
-    )
-    return counted.where(F.col("__times") >= at_least).select(f"{_ROW}.*")
+    return keys.groupBy(*names).agg(F.any_value(F.struct(*names)).alias(_ROW)).select(f"{_ROW}.*")

@@ -32,10 +32,10 @@ from chronotable.functions.columns import col, pick
 from chronotable.operators.checks import assert_unique
 from chronotable.operators.classify import end_versions, incoming_status, split_by_status
 from chronotable.operators.columns import ROW_KEY, STATUS, VALID_TO
-from chronotable.operators.dedup import duplicate_rejects
+from chronotable.operators.dedup import mark_duplicates
 from chronotable.operators.rejects import REJECT_SCHEMA, reject_rows
 from chronotable.operators.status import Status
-from chronotable.plans.scd2 import State, incoming_rows
+from chronotable.plans.scd2 import State
 from chronotable.plans.spec import Dimension
 from chronotable.sources.readers import conform
 from chronotable.sources.workspace import materialize
@@ -176,17 +176,14 @@ class HistoryStore:
         number = last.number + 1
         bucket = self._bucket(last.buckets)
 
-        # The batch is read and fingerprinted once, whatever it comes from.
-        enriched = materialize(dimension.enrich(batch))
+        # One shuffle of the batch serves the rows that are kept and those that are refused.
+        marked = materialize(mark_duplicates(dimension.enrich(batch), dimension.ordering))
+        incoming = split_by_status(marked, Status.NA) if dimension.dedup else marked
+        incoming = dimension.open_rows(incoming.drop(STATUS))
         # At most as many numbers as there are buckets.
-        touched = {row[0] for row in enriched.select(bucket).distinct().collect()}
-        outcome = materialize(
-            incoming_status(
-                incoming_rows(enriched, dimension),
-                self._open_of(last, touched),
-                restricted=dimension.dedup,
-            )
-        )
+        touched = {row[0] for row in incoming.select(bucket).distinct().collect()}
+        open_rows = self._open_of(last, touched)
+        outcome = materialize(incoming_status(incoming, open_rows, restricted=dimension.dedup))
         updated = split_by_status(outcome, Status.UPDATED)
         if dimension.dedup:
             assert_unique(pick(outcome, [ROW_KEY]), [ROW_KEY], "the open table")
@@ -198,7 +195,7 @@ class HistoryStore:
         ends_rows = any(row[STATUS] == Status.UPDATED for row in found)
 
         self._write_rows(number, self._open_of(last, changed), updated, delta.drop(STATUS), bucket)
-        self._write_rejects(number, enriched, outcome)
+        self._write_rejects(number, marked, outcome)
         self._publish(
             number,
             last,
@@ -233,8 +230,8 @@ class HistoryStore:
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         writer.partitionBy(_STATE, _PART).parquet(f"{self._root}/rows/{_VERSION}={number}")
 
-    def _write_rejects(self, number: int, enriched: DataFrame, outcome: DataFrame) -> None:
-        rejects = duplicate_rejects(enriched, self._dimension.ordering)
+    def _write_rejects(self, number: int, marked: DataFrame, outcome: DataFrame) -> None:
+        rejects = reject_rows(split_by_status(marked, Status.DUPLICATE_IN_MICRO_BATCH))
         if self._dimension.reject_open_duplicates:
             same = split_by_status(outcome, Status.DUPLICATE_RECORD_OPEN)
             rejects = rejects.unionByName(reject_rows(same))

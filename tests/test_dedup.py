@@ -64,11 +64,16 @@ def test_against_brute_force(spark, partitions, shuffle_partitions):
         spark.conf.set("spark.sql.shuffle.partitions", 8)
 
 
-@pytest.mark.parametrize("salts", [1, 2, 64])
-def test_salts_do_not_show(spark, salts):
+@pytest.mark.parametrize("hot_rows", [1, 5, 100, 10_000])
+@pytest.mark.parametrize("salts", [1, 3, None])
+def test_hot_keys_and_salts_do_not_show(spark, hot_rows, salts):
     rows = make(99)
     kept, rest = brute_force(rows)
-    assert bag(duplicates(frame(spark, rows, 5), ["ts"], salts=salts)) == rest
+    enriched = frame(spark, rows, 5)
+    assert bag(duplicates(enriched, ["ts"], hot_rows=hot_rows, salts=salts)) == rest
+    marked = mark_duplicates(enriched, ["ts"], hot_rows=hot_rows, salts=salts)
+    assert bag(marked.where("status = 0")) == kept
+    assert bag(marked.where("status = 1")) == rest
 
 
 def test_chosen_order(spark):

@@ -14,6 +14,7 @@ from chronotable.plans.spec import Dimension
 
 ROWS = 60_000
 SETTINGS = {
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
@@ -66,12 +67,24 @@ DIMENSION = Dimension(["k"], "ts")
 AS_IS = Dimension(["k"], "ts", dedup=False)
 
 
-def test_duplicates(rows):
+def test_duplicates(spark, rows):
     enriched = DIMENSION.enrich(rows)
-    split, found = is_split(duplicates(enriched, ["ts"]))
-    assert split
+    rest = duplicates(enriched, ["ts"], hot_rows=1000)
+    found = rest.collect()
     assert len(found) == ROWS - deduplicate(enriched, ["ts"]).count()
     assert Counter(r.k for r in found)[1] == ROWS // 3 - 1
+    # No partition holds the hot key whole, and only keys that are hot are salted.
+    share = rest.where("k = 1").groupBy(F.spark_partition_id()).count().collect()
+    assert len(share) >= 4
+    assert max(r["count"] for r in share) < ROWS // 3 * 0.6
+
+
+def test_without_hot_keys_their_branch_is_dropped(rows):
+    rest = duplicates(DIMENSION.enrich(rows.where("k > 1")), ["ts"])
+    rest.collect()
+    final = rest._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "__salt" not in final
+    assert len([x for x in final.splitlines() if "Exchange hashpartitioning" in x]) == 1
 
 
 def test_merge_into_a_hot_target(rows, few):
