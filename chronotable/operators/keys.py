@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from chronotable.functions.columns import quoted
 
 _ROW = "__row"
+_TIMES = "__times"
 
 
-def splittable_keys(keys: DataFrame) -> DataFrame:
-    """Distinct rows of ``keys``, fit to be joined with a side that has hot keys.
+def splittable_keys(keys: DataFrame, at_least: int = 1) -> DataFrame:
+    """Distinct rows that occur ``at_least`` so often, fit to be joined with a side with hot keys.
 
     Adaptive execution splits a hot key only in joins whose two sides both come straight out of a
     shuffle. An aggregate that is already partitioned by the join key would be joined in place, so
@@ -19,4 +20,9 @@ def splittable_keys(keys: DataFrame) -> DataFrame:
     narrow) before the join.
     """
     names = [quoted(n) for n in keys.columns]
-    return keys.groupBy(*names).agg(F.any_value(F.struct(*names)).alias(_ROW)).select(f"{_ROW}.*")
+    counted = keys.groupBy(*names).agg(
+        F.any_value(F.struct(*names)).alias(_ROW), F.count(F.lit(1)).alias(_TIMES)
+    )
+    if at_least > 1:
+        counted = counted.where(F.col(_TIMES) >= at_least)
+    return counted.select(f"{_ROW}.*")

@@ -21,8 +21,7 @@ from chronotable.functions.columns import col, pick, quoted, require_columns
 from chronotable.operators.keys import splittable_keys
 
 _TOO_MANY = "a target row is matched by more than one source row"
-_TIMES = "__times"
-_ROW = "__row"
+_FOUND = "__found"
 _ACTION = "__action"
 
 Condition = Column | str | None
@@ -180,6 +179,9 @@ class Merge:
         """The source's side of the keys, named by position."""
         return self.source.select([col(s).alias(_key(i)) for i, (_, s) in enumerate(self.keys)])
 
+    def _target_keys(self) -> DataFrame:
+        return self.target.select([col(t).alias(_key(i)) for i, (t, _) in enumerate(self.keys)])
+
     def _source_with_keys(self) -> DataFrame:
         """Source rows that can match: none of their keys is null."""
         return self.source.where(_all([col(s).isNotNull() for _, s in self.keys]))
@@ -202,38 +204,39 @@ class Merge:
         on = _all([self._t(t) == keys[_key(i)] for i, (t, _) in enumerate(self.keys)])
         return target.join(keys, on, "left_anti")
 
-    def _joined_on_keys(self) -> tuple[DataFrame, Column]:
-        """Target rows next to their source row, and the test for a row with competing sources."""
-        usable = self._source_with_keys()
-        if self.source_unique:
-            one_each = usable.withColumn(_TIMES, F.lit(1))
-        else:
-            # One row per key and its count: a partial aggregate, whatever the number of copies.
-            # The keys are taken from the packed row for the reason given at splittable_keys.
-            one_each = (
-                usable.groupBy(*[col(s).alias(_key(i)) for i, (_, s) in enumerate(self.keys)])
-                .agg(F.count(F.lit(1)).alias(_TIMES), F.any_value(F.struct("*")).alias(_ROW))
-                .select(f"{_ROW}.*", _TIMES)
-            )
+    def _joined_on_keys(self) -> tuple[DataFrame, Column, Column]:
+        """Target rows next to their source row, the test for a match and that for competition.
+
+        Competing source rows are looked for among the keys alone, before the join: keys that
+        repeat in the source (usually none) and occur in the target. The source side of the join is
+        the very frame that the insert part starts from, so its shuffle is used for both.
+        """
         target = self.target.alias(self.target_alias)
+        source = self._source_with_keys().alias(self.source_alias)
         on = _all([self._t(t) == self._s(s) for t, s in self.keys])
-        return target.join(one_each.alias(self.source_alias), on, "left"), self._s(_TIMES) > 1
+        is_match = self._s(self.keys[0][1]).isNotNull()
+        if self.source_unique:
+            return target.join(source, on, "left"), is_match, F.lit(False)
+        repeated = splittable_keys(self._source_keys(), at_least=2)
+        held = self._target_keys()
+        contested = held.join(repeated, held.columns, "left_semi").agg(F.count(F.lit(1)))
+        return target.join(source, on, "left"), is_match, contested.scalar() > 0
 
-    def _joined_on_condition(self) -> tuple[DataFrame, Column]:
+    def _joined_on_condition(self) -> tuple[DataFrame, Column, Column]:
         target = self.target.alias(self.target_alias)
-        source = self.source.withColumn(_TIMES, F.lit(1)).alias(self.source_alias)
-        condition = _as_column(self.condition)
-        joined = target.join(source, condition, "left")
+        source = self.source.withColumn(_FOUND, F.lit(1)).alias(self.source_alias)
+        joined = target.join(source, _as_column(self.condition), "left")
         # A left join gives more rows than its left side has only if some row is matched twice.
         rows_after = joined.agg(F.count(F.lit(1))).scalar()
         rows_before = self.target.agg(F.count(F.lit(1))).scalar()
-        return joined, rows_after > rows_before
+        return joined, self._s(_FOUND).isNotNull(), rows_after > rows_before
 
     def _rewritten_target(self) -> DataFrame:
         if self._only_deletes():
             return self._undeleted()
-        joined, competing = self._joined_on_keys() if self.keys else self._joined_on_condition()
-        action = F.when(self._s(_TIMES).isNull(), F.lit(-1)).when(
+        side_by_side = self._joined_on_keys if self.keys else self._joined_on_condition
+        joined, is_match, competing = side_by_side()
+        action = F.when(~is_match, F.lit(-1)).when(
             competing, F.raise_error(_TOO_MANY).cast("int")
         )
         for i, clause in enumerate(self.matched):
@@ -269,9 +272,7 @@ class Merge:
             source = self.source.alias(self.source_alias)
             target = self.target.alias(self.target_alias)
             return source.join(target, _as_column(self.condition), "left_anti")
-        held = self.target.select(
-            [col(t).alias(_key(i)) for i, (t, _) in enumerate(self.keys)]
-        )
+        held = self._target_keys()
         # The keys found are no more than the source has, and a source that is small enough to be
         # broadcast finds them without moving the target.
         wanted = splittable_keys(self._source_keys())
