@@ -63,7 +63,7 @@ def test_classification_shuffles_each_side_once(spark, no_broadcast):
     existing = dimension.open_rows(deduplicate(dimension.enrich(early), dimension.ordering))
     classified = classified_batch(existing, dimension.enrich(late), dimension)
     classified.collect()
-    final = plan(classified).split("Initial Plan")[0]
+    final = plan(classified).split("\n+- == Initial Plan ==")[0]
     shuffles = [line for line in final.splitlines() if "Exchange hashpartitioning" in line]
     assert len([s for s in shuffles if "Reused" not in s]) == 2
 

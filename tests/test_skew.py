@@ -59,7 +59,7 @@ def is_split(df):
     run = df.select("*")
     run.write.format("noop").mode("overwrite").save()
     rows = run.collect()
-    plan = run._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    plan = run._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
     return "skew=true" in plan, rows
 
 
@@ -82,7 +82,7 @@ def test_duplicates(spark, rows):
 def test_without_hot_keys_their_branch_is_dropped(rows):
     rest = duplicates(DIMENSION.enrich(rows.where("k > 1")), ["ts"])
     rest.collect()
-    final = rest._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    final = rest._jdf.queryExecution().executedPlan().toString().split("\n+- == Initial Plan ==")[0]
     assert "__salt" not in final
     assert len([x for x in final.splitlines() if "Exchange hashpartitioning" in x]) == 1
 
