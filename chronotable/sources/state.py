@@ -1,27 +1,28 @@
 """Versioned state of a type 2 dimension on plain parquet folders.
 
-Layout below the root::
+Layout below the root, where a run is ``<version>-<random>``::
 
-    rows/v=<n>/state=open/part=<bucket>/    open rows, by hash bucket of the row key
-    rows/v=<n>/state=closed/part=<day>/     rows that version n ended, by the day they ended
-    rejects/v=<n>/                          rows that version n refused
-    versions/v=<n>/                         one JSON row, written last: version n exists
+    rows/run=<run>/state=open/part=<bucket>/   open rows, by hash bucket of the row key
+    rows/run=<run>/state=closed/part=<day>/    rows that the run ended, by the day they ended
+    rejects/run=<run>/                         rows that the run refused
+    versions/v=<n>/                            one JSON row, written last: version n exists
 
 A batch is compared with two narrow columns of the open buckets it touches. The buckets it changes
-are then read once and written once, open and closed rows together, under the next version number;
-last comes the one small version file that publishes rows and rejects at the same time. Nothing
-that a published version refers to is ever overwritten, so a run that dies half-way leaves the last
-version readable and the next run simply writes the same folders again. Buckets that a batch
-does not change are not rewritten: the new version goes on pointing to the version that holds them.
+are then read once and written once, open and closed rows together, in folders of this run alone;
+last comes the one small version file that names the runs whose folders make up the version, and so
+publishes rows and rejects at the same time. Nothing is ever overwritten: a run that dies half-way
+leaves the last version as it was and some folders that no version names. Buckets that a batch does
+not change are not rewritten: the new version goes on naming the run that wrote them.
 
-A store has one writer at a time.
+Of two runs that start from the same version, the second to publish fails and changes nothing.
 """
 
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -40,7 +41,7 @@ from chronotable.plans.spec import Dimension
 from chronotable.sources.readers import conform
 from chronotable.sources.workspace import materialize
 
-_VERSION, _STATE, _PART = "v", "state", "part"
+_VERSION, _RUN, _STATE, _PART = "v", "run", "state", "part"
 _OPEN, _CLOSED = "open", "closed"
 
 _VERSION_SCHEMA = T.StructType(
@@ -49,8 +50,9 @@ _VERSION_SCHEMA = T.StructType(
         T.StructField("batch_ddl", T.StringType()),
         T.StructField("open_ddl", T.StringType()),
         T.StructField("buckets", T.IntegerType()),
-        T.StructField("held_by", T.MapType(T.StringType(), T.IntegerType())),
-        T.StructField("closed_by", T.ArrayType(T.IntegerType())),
+        T.StructField("held_by", T.MapType(T.StringType(), T.StringType())),
+        T.StructField("closed_by", T.ArrayType(T.StringType())),
+        T.StructField("rejected_by", T.ArrayType(T.StringType())),
         T.StructField(_VERSION, T.IntegerType()),
     ]
 )
@@ -60,16 +62,17 @@ _VERSION_SCHEMA = T.StructType(
 class Version:
     """One published version.
 
-    ``held_by`` tells which version's folder holds each open bucket that has rows, ``closed_by``
-    which versions ended rows.
+    ``held_by`` names the run whose folder holds each open bucket that has rows, ``closed_by`` the
+    runs that ended rows and ``rejected_by`` those that looked for rows to refuse.
     """
 
     number: int
     batch_schema: T.StructType
     open_schema: T.StructType
     buckets: int
-    held_by: Mapping[int, int]
-    closed_by: tuple[int, ...]
+    held_by: Mapping[int, str]
+    closed_by: tuple[str, ...]
+    rejected_by: tuple[str, ...]
 
 
 class HistoryStore:
@@ -110,36 +113,33 @@ class HistoryStore:
             T.StructType.fromDDL(row["batch_ddl"]),
             T.StructType.fromDDL(row["open_ddl"]),
             row["buckets"],
-            {int(b): held for b, held in (row["held_by"] or {}).items()},
+            {int(b): run for b, run in (row["held_by"] or {}).items()},
             tuple(row["closed_by"] or ()),
+            tuple(row["rejected_by"] or ()),
         )
 
-    def _read(self, paths: list[str], schema: T.StructType) -> DataFrame:
-        if not paths:
+    def _read(self, table: str, folders: list[str], schema: T.StructType) -> DataFrame:
+        if not folders:
             return self._spark.createDataFrame([], schema)
-        reader = self._spark.read.schema(schema).option("basePath", f"{self._root}/rows")
-        return pick(reader.parquet(*paths), schema.fieldNames())
+        base = f"{self._root}/{table}"
+        reader = self._spark.read.schema(schema).option("basePath", base)
+        rows = reader.parquet(*[f"{base}/{_RUN}={folder}" for folder in folders])
+        return pick(rows, schema.fieldNames())
 
     def _open_of(self, version: Version, only: set[int] | None = None) -> DataFrame:
-        paths = [
-            f"{self._root}/rows/{_VERSION}={held}/{_STATE}={_OPEN}/{_PART}={bucket}"
-            for bucket, held in sorted(version.held_by.items())
+        folders = [
+            f"{run}/{_STATE}={_OPEN}/{_PART}={bucket}"
+            for bucket, run in sorted(version.held_by.items())
             if only is None or bucket in only
         ]
-        return self._read(paths, version.open_schema)
+        return self._read("rows", folders, version.open_schema)
 
     def _closed_of(self, version: Version) -> DataFrame:
-        paths = [
-            f"{self._root}/rows/{_VERSION}={number}/{_STATE}={_CLOSED}"
-            for number in version.closed_by
-        ]
-        return self._read(paths, version.open_schema)
+        folders = [f"{run}/{_STATE}={_CLOSED}" for run in version.closed_by]
+        return self._read("rows", folders, version.open_schema)
 
     def _rejects_of(self, version: Version) -> DataFrame:
-        found = T.StructType([*REJECT_SCHEMA.fields, T.StructField(_VERSION, T.IntegerType())])
-        rows = self._spark.read.schema(found).parquet(f"{self._root}/rejects")
-        rows = rows.where(F.col(_VERSION) <= version.number)
-        return pick(rows, REJECT_SCHEMA.fieldNames())
+        return self._read("rejects", list(version.rejected_by), REJECT_SCHEMA)
 
     def state(self, number: int | None = None) -> State:
         """The three tables as of a version, by default the newest."""
@@ -170,10 +170,11 @@ class HistoryStore:
         if last is None:
             batch_schema = batch.schema
             empty = dimension.empty_open(batch)
-            last = Version(0, batch_schema, empty.schema, self._buckets, {}, ())
+            last = Version(0, batch_schema, empty.schema, self._buckets, {}, (), ())
         else:
             batch = conform(batch, last.batch_schema)
         number = last.number + 1
+        run = f"{number}-{uuid.uuid4().hex}"
         bucket = self._bucket(last.buckets)
 
         # One shuffle of the batch serves the rows that are kept and those that are refused.
@@ -194,20 +195,23 @@ class HistoryStore:
         changed = {row[_PART] for row in found}
         ends_rows = any(row[STATUS] == Status.UPDATED for row in found)
 
-        self._write_rows(number, self._open_of(last, changed), updated, delta.drop(STATUS), bucket)
-        self._write_rejects(number, marked, outcome)
+        self._write_rows(run, self._open_of(last, changed), updated, delta.drop(STATUS), bucket)
+        self._write_rejects(run, marked, outcome)
         self._publish(
-            number,
-            last,
-            {**last.held_by, **{b: number for b in changed}},
-            (*last.closed_by, number) if ends_rows else last.closed_by,
+            replace(
+                last,
+                number=number,
+                held_by={**last.held_by, **{b: run for b in changed}},
+                closed_by=(*last.closed_by, run) if ends_rows else last.closed_by,
+                rejected_by=(*last.rejected_by, run),
+            ),
             batch_id,
         )
         return number
 
     def _write_rows(
         self,
-        number: int,
+        run: str,
         open_rows: DataFrame,
         updated: DataFrame,
         delta: DataFrame,
@@ -226,35 +230,25 @@ class HistoryStore:
         delta = delta.withColumns({_STATE: F.lit(_OPEN), _PART: bucket.cast("string")})
         # Gathers a partition's rows, but splits what would be too much for one task.
         rows = moved.unionByName(delta).hint("rebalance", F.col(_STATE), F.col(_PART))
-        # What a run that died left under this version goes, whatever the session's default.
-        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(_STATE, _PART).parquet(f"{self._root}/rows/{_VERSION}={number}")
+        rows.write.partitionBy(_STATE, _PART).parquet(f"{self._root}/rows/{_RUN}={run}")
 
-    def _write_rejects(self, number: int, marked: DataFrame, outcome: DataFrame) -> None:
+    def _write_rejects(self, run: str, marked: DataFrame, outcome: DataFrame) -> None:
         rejects = reject_rows(split_by_status(marked, Status.DUPLICATE_IN_MICRO_BATCH))
         if self._dimension.reject_open_duplicates:
             same = split_by_status(outcome, Status.DUPLICATE_RECORD_OPEN)
             rejects = rejects.unionByName(reject_rows(same))
-        rejects.write.mode("overwrite").parquet(f"{self._root}/rejects/{_VERSION}={number}")
-
-    def _publish(
-        self,
-        number: int,
-        last: Version,
-        held_by: Mapping[int, int],
-        closed_by: tuple[int, ...],
-        batch_id: str | None,
-    ) -> None:
-        held = json.dumps({str(b): v for b, v in sorted(held_by.items())})
-        values = {
-            "batch_id": F.lit(batch_id).cast("string"),
-            "batch_ddl": F.lit(last.batch_schema.toDDL()),
-            "open_ddl": F.lit(last.open_schema.toDDL()),
-            "buckets": F.lit(last.buckets),
-            "held_by": F.from_json(F.lit(held), _VERSION_SCHEMA["held_by"].dataType),
-            "closed_by": F.from_json(F.lit(json.dumps(closed_by)), "array<int>"),
+        rejects.write.parquet(f"{self._root}/rejects/{_RUN}={run}")
+
+    def _publish(self, version: Version, batch_id: str | None) -> None:
+        """Write the version file; an error if there is one of that number already."""
+        row = {
+            "batch_id": batch_id,
+            "batch_ddl": version.batch_schema.toDDL(),
+            "open_ddl": version.open_schema.toDDL(),
+            "buckets": version.buckets,
+            "held_by": version.held_by,
+            "closed_by": version.closed_by,
+            "rejected_by": version.rejected_by,
         }
-        published = self._spark.range(1, numPartitions=1).select(
-            [value.alias(name) for name, value in values.items()]
-        )
-        published.write.json(f"{self._root}/versions/{_VERSION}={number}")
+        published = self._spark.range(1, numPartitions=1).select(F.lit(json.dumps(row)))
+        published.write.mode("error").text(f"{self._root}/versions/{_VERSION}={version.number}")

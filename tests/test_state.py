@@ -56,10 +56,10 @@ def test_only_changed_buckets_are_written(store, batches, tmp_path):
     before = store.version()
     store.apply(batches[2])
     after = store.version()
-    changed = {b for b, held in after.held_by.items() if held == 3}
+    changed = {b for b, run in after.held_by.items() if run.startswith("3-")}
     assert 0 < len(changed) <= 2
     assert all(after.held_by[b] == before.held_by[b] for b in before.held_by if b not in changed)
-    written = (tmp_path / "store/rows/v=3/state=open").glob("part=*")
+    written = (tmp_path / "store/rows").glob("run=3-*/state=open/part=*")
     assert {int(p.name.removeprefix("part=")) for p in written} == changed
 
 
@@ -83,6 +83,20 @@ def test_nothing_shows_before_it_is_published(store, batches, monkeypatch):
     assert reasons(store.state().rejects) == REASONS
 
 
+def test_of_two_runs_from_one_version_one_is_published(spark, store, batches, monkeypatch):
+    store.apply(batches[0])
+    start = store.version()
+    assert store.apply(batches[1], "first") == 2
+    shown = versions(store.state().open)
+    with monkeypatch.context() as patch:
+        patch.setattr(HistoryStore, "version", lambda *_: start)
+        with pytest.raises(PySparkException, match="PATH_ALREADY_EXISTS"):
+            store.apply(batches[2], "second")
+    assert store.version().number == 2
+    assert versions(store.state().open) == shown
+    assert store.state().rejects.count() == 2
+
+
 def test_schema_drift(spark, store, batches):
     store.apply(batches[0])
     with pytest.raises(ValueError, match="not expected \\['extra'\\]"):
@@ -138,7 +152,7 @@ def test_changed_row_needs_a_valid_from(spark, store, batches):
 def test_closed_rows_are_kept_by_day(store, batches, tmp_path):
     for batch in batches:
         store.apply(batch)
-    days = {p.name for p in (tmp_path / "store/rows").glob("v=*/state=closed/part=*")}
+    days = {p.name for p in (tmp_path / "store/rows").glob("run=*/state=closed/part=*")}
     assert days == {"part=2020-12-31", "part=2021-02-28"}
 
 
