@@ -99,7 +99,11 @@ def scd2_run(state: State | None, batch: DataFrame, dimension: Dimension) -> Sta
 def scd2_fold(
     batches: Iterable[DataFrame], dimension: Dimension, state: State | None = None
 ) -> State:
-    """Batches in order. The open table is written between batches, so no plan grows with them."""
+    """Batches in order.
+
+    The open table is written between batches, so its plan does not grow with them. Closed and
+    rejected rows are the union of one plan per batch: keep long sequences in a ``HistoryStore``.
+    """
     for batch in batches:
         if state is not None:
             state = State(materialize(state.open), state.closed, state.rejects)
