@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col, pick, quoted, require_columns
+from chronotable.functions.columns import as_schema, col, pick, quoted, require_columns
 from chronotable.operators.keys import splittable_keys
 
 _TOO_MANY = "a target row is matched by more than one source row"
@@ -25,7 +25,8 @@ _FOUND = "__found"
 _ACTION = "__action"
 
 Condition = Column | str | None
-Values = Mapping[str, Column]
+# New values by target column: expressions, or their SQL text.
+Values = Mapping[str, Column | str]
 
 
 def _as_column(condition: Condition) -> Column:
@@ -66,7 +67,7 @@ class Matched:
         return self.merge._matched(Clause("update", self.condition, dict(values)))
 
     def update_expr(self, values: Mapping[str, str]) -> Merge:
-        return self.update({n: F.expr(text) for n, text in values.items()})
+        return self.update(values)
 
     def delete(self) -> Merge:
         return self.merge._matched(Clause("delete", self.condition))
@@ -86,7 +87,7 @@ class NotMatched:
         return self.merge._not_matched(Clause("insert", self.condition, dict(values)))
 
     def insert_expr(self, values: Mapping[str, str]) -> Merge:
-        return self.insert({n: F.expr(text) for n, text in values.items()})
+        return self.insert(values)
 
 
 @dataclass(frozen=True)
@@ -153,22 +154,26 @@ class Merge:
 
     # The two sides
 
+    def _t_name(self, name: str) -> str:
+        return f"{quoted(self.target_alias)}.{quoted(name)}"
+
+    def _s_name(self, name: str) -> str:
+        return f"{quoted(self.source_alias)}.{quoted(name)}"
+
     def _t(self, name: str) -> Column:
-        return F.col(f"{quoted(self.target_alias)}.{quoted(name)}")
+        return F.col(self._t_name(name))
 
     def _s(self, name: str) -> Column:
-        return F.col(f"{quoted(self.source_alias)}.{quoted(name)}")
-
-    def _source_column(self, target_name: str) -> Column:
-        """The source column of that name, in any letter case."""
-        for name in self.source.columns:
-            if name.lower() == target_name.lower():
-                return self._s(name)
-        raise ValueError(f"the source has no column {target_name}")
+        return F.col(self._s_name(name))
 
-    def _values(self, clause: Clause) -> dict[str, Column]:
+    def _values(self, clause: Clause) -> dict[str, Column | str]:
+        """New values of a clause under the target's own column names."""
         if clause.values is None:
-            return {n: self._source_column(n) for n in self.target.columns}
+            by_lower = {n.lower(): n for n in self.source.columns}
+            missing = [n for n in self.target.columns if n.lower() not in by_lower]
+            if missing:
+                raise ValueError(f"the source has no columns {missing}")
+            return {n: self._s_name(by_lower[n.lower()]) for n in self.target.columns}
         by_lower = {n.lower(): n for n in self.target.columns}
         unknown = [n for n in clause.values if n.lower() not in by_lower]
         if unknown:
@@ -249,22 +254,11 @@ class Merge:
         updates = {i: self._values(c) for i, c in enumerate(self.matched) if c.kind == "update"}
         return joined.select(
             [
-                self._chosen(field, self._t(field.name), updates)
+                _chosen(field, self._t_name(field.name), updates)
                 for field in self.target.schema.fields
             ]
         )
 
-    def _chosen(
-        self, field: T.StructField, default: Column, by_action: Mapping[int, Values]
-    ) -> Column:
-        """The value of one target column after the clause picked for the row."""
-        value = default
-        for i, values in by_action.items():
-            if field.name in values:
-                new = values[field.name].cast(field.dataType)
-                value = F.when(F.col(_ACTION) == i, new).otherwise(value)
-        return value.alias(field.name)
-
     # Unmatched source rows
 
     def _unmatched(self) -> DataFrame:
@@ -296,12 +290,29 @@ class Merge:
         inserts = {i: self._values(c) for i, c in enumerate(self.not_matched)}
         return rows.select(
             [
-                self._chosen(field, F.lit(None).cast(field.dataType), inserts)
+                _chosen(field, "NULL", inserts)
                 for field in self.target.schema.fields
             ]
         )
 
 
+def _chosen(field: T.StructField, default: str, by_action: Mapping[int, Values]) -> Column:
+    """The value of one target column after the clause picked for the row."""
+    picks = [(i, values[field.name]) for i, values in by_action.items() if field.name in values]
+    # Each branch is cast by itself: a common type of all branches could lose digits of the old value.
+    if isinstance(field.dataType, T.AtomicType) and all(isinstance(v, str) for _, v in picks):
+        # One expression per column, as a wide table has many.
+        as_type = field.dataType.simpleString()
+        cases = "".join(f" WHEN {_ACTION} = {i} THEN CAST(({v}) AS {as_type})" for i, v in picks)
+        value = F.expr(f"CASE{cases} ELSE {default} END" if picks else default)
+    else:
+        value = F.expr(default)
+        for i, new in picks:
+            new = F.expr(new) if isinstance(new, str) else new
+            value = F.when(F.col(_ACTION) == i, new.cast(field.dataType)).otherwise(value)
+    return value.cast(field.dataType).alias(field.name)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,
@@ -325,8 +336,6 @@ def upsert(
             .result()
         )
     require_columns(target, keys, "target keys")
-    new = source.select(
-        [col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
-    )
+    new = as_schema(source, target.schema)
     stay = target.join(source.select([col(k) for k in keys]), list(keys), "left_anti")
     return pick(stay, target.columns).unionByName(new)

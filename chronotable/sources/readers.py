@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col
+from chronotable.functions.columns import as_schema, col
 
 
 def normalize(df: DataFrame, casts: Mapping[str, str] | None = None) -> DataFrame:
@@ -48,4 +48,4 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     extra = [n for n in df.columns if n not in schema.fieldNames()]
     if missing or extra:
         raise ValueError(f"the batch does not fit: missing {missing}, not expected {extra}")
-    return df.select([col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    return as_schema(df, schema)

@@ -92,6 +92,20 @@ def test_builder_is_immutable(target, source):
     assert start.matched == ()
 
 
+def test_old_values_keep_their_digits(spark):
+    big = 2**60 + 1
+    held = spark.createDataFrame([(1, big, [1]), (2, 5, [2])], "id int, n bigint, tags array<int>")
+    new = spark.createDataFrame([(2, 7.9, ["3"])], "id int, n double, tags array<string>")
+    start = Merge(held).using(new).on_keys(["id"])
+    for done in (
+        start.when_matched().update_all(),
+        start.when_matched().update({n: F.col(f"source.{n}") for n in held.columns}),
+    ):
+        assert done.result().schema.simpleString() == held.schema.simpleString()
+        found = sorted(tuple(r) for r in done.result().collect())
+        assert found == [(1, big, [1]), (2, 7, [3])]
+
+
 def test_statement_in_one_call(target, source):
     done = Merge(
         target,
@@ -113,7 +127,7 @@ def test_missing_parts(target, source):
         start.when_matched().update_expr({"nope": "1"}).result()
     with pytest.raises(ValueError, match="target keys"):
         Merge(target).using(source).on_keys(["nope"]).result()
-    with pytest.raises(ValueError, match="source has no column amount"):
+    with pytest.raises(ValueError, match="source has no columns \\['amount'\\]"):
         Merge(target).using(source.drop("amount")).on_keys(["id"]).when_matched().update_all(
         ).result()
 
