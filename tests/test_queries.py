@@ -4,9 +4,9 @@ import pytest
 from compare import compare, connect
 
 import __spark_entry__
+from chronotable.workloads import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = __spark_entry__.queries(), __spark_entry__.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -22,6 +22,8 @@ def test_entry(spark):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(__spark_entry__.queries())
+    assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
 
 
 @pytest.mark.parametrize("name", QUERIES)
