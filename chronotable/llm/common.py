@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,6 +35,18 @@ def in_groups(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str]]:
         yield group
 
 
+def in_slices(texts: pa.Array, size: int = 12_000_000) -> Iterator[pa.Array]:
+    """The texts in order, in slices of about so many bytes; one long text makes a slice of its own."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
+    ends = np.cumsum(sizes)
+    start = 0
+    while start < len(texts):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield texts.slice(start, stop - start)
+        start = stop
+
+
 def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     arrays = [
         column if isinstance(column, pa.Array) else pa.array(column, field.type)

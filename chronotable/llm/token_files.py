@@ -22,6 +22,7 @@ import functools
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import batch_of, in_groups, texts
+from chronotable.llm.common import batch_of, in_slices, texts
 from chronotable.llm.encoding import ChunkEncoder
 from chronotable.sources.workspace import materialize, work_folder
 
@@ -133,6 +134,7 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, length: int, rows: i
         encoder = _encoder(tokenizer, "kept")
         shard = TaskContext.get().partitionId()
         name = f"{folder.rstrip('/')}/shard-{shard:06d}-{uuid.uuid4().hex}"
+        ending = np.array([end_id], encoder.dtype)
         writer, documents = None, 0
         for batch in batches:
             if not batch.num_rows:
@@ -145,12 +147,13 @@ def _shard_writer(folder: str, tokenizer: str, end_id: int, length: int, rows: i
                 writer = SequenceWriter(sink, encoder.dtype, length, rows)
                 index = pa.ipc.new_stream(index_sink, _INDEX)
             starts, counts = [], []
-            for group in in_groups(batch.column(1)):
-                for encoded in encoder.encode(group):
+            for part in in_slices(batch.column(1)):
+                ids, bounds = encoder.encode(part)
+                for begin, end in pairwise(bounds.tolist()):
                     starts.append(writer.tokens)
-                    ids = np.frombuffer(encoded, encoder.dtype)
-                    writer.add(np.append(ids, encoder.dtype.type(end_id)))
-                    counts.append(len(ids) + 1)
+                    writer.add(ids[begin:end])
+                    writer.add(ending)
+                    counts.append(end - begin + 1)
             index.write_batch(batch_of(_INDEX, (batch.column(0), starts, counts)))
             documents += batch.num_rows
         if writer is not None:
