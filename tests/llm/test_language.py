@@ -1,0 +1,83 @@
+"""Language identification: text alone, fused evidence, and odd rows."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from chronotable.llm.language import TextModel, document_evidence, identify_languages, page_evidence, train_text_model
+from chronotable.llm.queries import op8_language
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_documents_and_pages(spark):
+    found = op8_language(spark, SF)
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    assert found.where("doc_id IS NOT NULL").count() == documents.count()
+    assert found.where("page_id IS NOT NULL").count() == spark.read.parquet(f"{SF}/pages.parquet").count()
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    good = documents.join(labels.where("quality = 1"), "doc_id").join(found, "doc_id").select("lang", "language", "kept").collect()
+    assert all(r.kept for r in good)
+    assert sum(r.lang == r.language for r in good) / len(good) > 0.97
+
+
+def test_text_model_on_texts_it_was_not_trained_on(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select(F.col("doc_id").alias("id"), "text", "lang").where("lang IS NOT NULL")
+    model = train_text_model(documents.where("id < 500"))
+    rest = document_evidence(documents.where("id >= 500").withColumnRenamed("id", "doc_id").withColumn("source", F.lit(None).cast("string"))).withColumn("declared", F.lit(None).cast("string"))
+    found = identify_languages(rest, model).join(documents.select("id", "lang"), "id").where("length(lang) > 0").collect()
+    assert sum(r.text_language == r.lang for r in found) / len(found) > 0.95
+
+
+def toy():
+    table = np.full((1 << 16, 2), -11.0, np.float32)
+    return TextModel(["de", "en"], table, np.array([-11.0, -11.0]), np.array([1.0, 1.0]))
+
+
+EVIDENCE = "kind string, id long, text string, declared string, suffix string, domain string, host string"
+
+
+def test_other_evidence_decides_where_the_text_does_not(spark):
+    # The text says nothing: both languages are as likely. The declared language goes with neither, either.
+    rows = [("page", i, "abc", None, None, None, None) for i in range(4)]
+    found = identify_languages(spark.createDataFrame(rows, EVIDENCE), toy()).collect()
+    assert all(r.posterior == pytest.approx(0.5) for r in found)
+
+
+def test_a_host_lends_its_language_to_a_short_text(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    model = train_text_model(documents.select(F.col("doc_id").alias("id"), "text", "lang"))
+    texts = documents.where("lang IN ('de', 'en') AND n_chars > 500").limit(60).collect()
+    rows = [("d", i, r.text, None, None, "x.org", f"{r.lang}.x.org") for i, r in enumerate(texts)]
+    rows += [("d", 1000, "an", None, None, "x.org", "de.x.org"), ("d", 1001, "an", None, None, "x.org", "en.x.org")]
+    found = {r.id: r for r in identify_languages(spark.createDataFrame(rows, EVIDENCE), model, weight=100.0).collect()}
+    index = model.languages.index("de")
+    assert index >= 0
+    assert found[1001].language == "en"
+    assert found[1000].posterior != found[1001].posterior
+
+
+def test_page_evidence(spark):
+    html = "<!DOCTYPE html><HTML class='x' LANG=\"fr-CA\"><style>p{}</style><script>var t='</p>';</script><p>Bon<b>jour</b><!-- no --></html>"
+    rows = [(1, "https://www.Site.example.net/x", html), (2, None, None), (3, "x", "plain")]
+    got = {r.id: r for r in page_evidence(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1].text.split() == ["Bon", "jour"]
+    assert (got[1].declared, got[1].suffix, got[1].domain, got[1].host) == ("fr", "net", "example.net", "www.site.example.net")
+    assert got[2].host is None
+    assert got[3].text == "plain"
+
+
+def test_odd_rows(spark, documents):
+    real = [(r.text, r.lang, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(50).collect()]
+    table = documents([(None, None, None), ("", "de", "s"), ("123 !!", "de", "s"), ("x" * 300_000, "xx", None), *real]).withColumn("key", F.lit(1)).withColumn("p", F.lit("clash")).withColumn("host", F.lit("clash"))
+    table = table.unionByName(table)
+    model = train_text_model(table.select(F.col("doc_id").alias("id"), "text", "lang"))
+    rows = identify_languages(document_evidence(table), model).collect()
+    assert len(rows) == 2 * 54
+    assert all(r.language == "und" and not r.kept for r in rows if r.id < 3)
+    assert all(r.kept for r in rows if r.id >= 4)
+    empty = documents([])
+    none = train_text_model(empty.select(F.col("doc_id").alias("id"), "text", "lang"))
+    assert none.languages == []
+    assert identify_languages(document_evidence(empty), model).count() == 0
+    assert {r.language for r in identify_languages(document_evidence(table), none).collect()} == {"und"}
