@@ -68,12 +68,15 @@ def unchanged_rows(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     return known_keys(incoming, existing).where(same_payload())
 
 
-def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+def classify_changes(
+    incoming: DataFrame, existing: DataFrame, reject_late: bool = False
+) -> DataFrame:
     """``left_*``, ``right_*`` and ``status`` for every incoming row.
 
     No open row: ``INSERT``. Same payload: ``DUPLICATE_RECORD_OPEN``. Changed payload: two rows,
     ``UPDATED`` and ``CLOSED``, both with ``right_valid_to`` one millisecond before the new
-    ``valid_from`` (a null there fails the query). One join; the second row is generated.
+    ``valid_from`` (a null there fails the query). One join; the second row is generated. With
+    ``reject_late`` a changed payload that is not newer than the open row is one row, ``LATE_RECORD``.
     """
     joined = left_join_prefixed(incoming, existing)
     right_end = existing.schema[VALID_TO].dataType
@@ -90,6 +93,10 @@ def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     outcomes = (
         F.when(col(_RIGHT_KEY).isNull(), F.array(outcome(Status.INSERT, as_is)))
         .when(same_payload(), F.array(outcome(Status.DUPLICATE_RECORD_OPEN, as_is)))
+        .when(
+            F.lit(reject_late) & (new_from <= col(RIGHT + VALID_FROM)),
+            F.array(outcome(Status.LATE_RECORD, as_is)),
+        )
         .otherwise(F.array(outcome(Status.UPDATED, ended), outcome(Status.CLOSED, ended)))
     )
     kept = [n for n in joined.columns if n != RIGHT + VALID_TO]
@@ -97,20 +104,22 @@ def classify_changes(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     return pick(generated, [*joined.columns, STATUS])
 
 
-def classify_restricted(incoming: DataFrame, existing: DataFrame) -> DataFrame:
+def classify_restricted(
+    incoming: DataFrame, existing: DataFrame, reject_late: bool = False
+) -> DataFrame:
     """``classify_changes`` against only those open rows whose key is in the batch."""
-    return classify_changes(incoming, restrict_existing(existing, incoming))
+    return classify_changes(incoming, restrict_existing(existing, incoming), reject_late)
 
 
 def incoming_status(
-    incoming: DataFrame, existing: DataFrame, restricted: bool = True
+    incoming: DataFrame, existing: DataFrame, restricted: bool = True, reject_late: bool = False
 ) -> DataFrame:
-    """Incoming rows with ``INSERT``, ``UPDATED`` or ``DUPLICATE_RECORD_OPEN`` as their status.
+    """Incoming rows with ``INSERT``, ``UPDATED``, ``DUPLICATE_RECORD_OPEN`` or ``LATE_RECORD`` as their status.
 
     The same decision as ``classify_changes`` without carrying the old rows along: of the open
-    table only the key and the fingerprint are read.
+    table only the key and the fingerprint are read, and the begin if late rows are to be refused.
     """
-    known = pick(existing, [ROW_KEY, ROW_MD5])
+    known = pick(existing, [ROW_KEY, ROW_MD5, *([VALID_FROM] if reject_late else [])])
     if restricted:
         known = restrict_existing(known, incoming)
     known = prefix_columns(known, RIGHT)
@@ -119,8 +128,11 @@ def incoming_status(
     status = (
         F.when(col(_RIGHT_KEY).isNull(), status_lit(Status.INSERT))
         .when(same, status_lit(Status.DUPLICATE_RECORD_OPEN))
-        .otherwise(status_lit(Status.UPDATED))
     )
+    if reject_late:
+        is_late = col(VALID_FROM) <= col(RIGHT + VALID_FROM)
+        status = status.when(is_late, status_lit(Status.LATE_RECORD))
+    status = status.otherwise(status_lit(Status.UPDATED))
     return joined.select(*[quoted(n) for n in incoming.columns], status.alias(STATUS))
 
 
@@ -158,10 +170,15 @@ def open_delta(classified: DataFrame) -> DataFrame:
     return strip_prefix(select_prefix(changed, LEFT), LEFT)
 
 
+def incoming_of(classified: DataFrame, *statuses: Status) -> DataFrame:
+    """Incoming rows that met one of these outcomes, with their status."""
+    met = split_by_status(classified, *statuses)
+    return strip_prefix(select_prefix(met, LEFT, STATUS), LEFT)
+
+
 def open_duplicates(classified: DataFrame) -> DataFrame:
     """Incoming rows equal to the open row, with their status."""
-    same = split_by_status(classified, Status.DUPLICATE_RECORD_OPEN)
-    return strip_prefix(select_prefix(same, LEFT, STATUS), LEFT)
+    return incoming_of(classified, Status.DUPLICATE_RECORD_OPEN)
 
 
 def open_duplicate_rejects(classified: DataFrame) -> DataFrame:

@@ -4,8 +4,9 @@ Both halves must stand a key that holds a large part of the batch:
 
 * The kept half is ``row_number() = 1``. Spark turns that filter into a group limit that runs
   before the shuffle, so each map task sends at most one row per key.
-* The other half cannot be limited. Keys with more rows than one task should sort are counted out
-  first (usually there are none, and adaptive execution then drops their branch). Their rows are
+* The other half cannot be limited. Keys with more than ``hot_rows`` rows, and more than a ten-thousandth of
+  the batch, are counted out first (usually there are none, and adaptive execution then drops their branch).
+  There can be ten thousand such keys at most, whatever the size of the batch, so they are broadcast. Their rows are
   ranked in two steps: per (key, salt), where the salt is the input partition a row was read from,
   and once more among the first rows of each salt. No task sees more of such a key than a salt's
   share. The salt does not depend on row content, so exact copies spread as well, and it is the
@@ -31,8 +32,9 @@ from chronotable.operators.status import Status, status_lit
 _SALT = "__salt"
 _RANK = "__rank"
 
-# Rows of one key that a task sorts without being held up by them.
-HOT_ROWS = 1_000_000
+# Rows of one key that a task sorts without being held up by them, unless a dimension says otherwise.
+HOT_ROWS = 100_000
+_MOST_HOT_KEYS = 10_000
 
 
 def _has_map(data_type: T.DataType) -> bool:
@@ -71,13 +73,14 @@ def deduplicate(
 
 
 def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows, to be broadcast.
+    """Keys with more than ``hot_rows`` rows and more than 1 / 10,000 of all, to be broadcast.
 
-    The broadcast is bounded: there are fewer such keys than rows of the batch / ``hot_rows``,
-    that is a hundred thousand for a hundred billion rows and the default.
+    By the second condition there are fewer than 10,000 of them.
     """
     counted = df.groupBy(col(key)).count()
-    return F.broadcast(counted.where(F.col("count") > hot_rows).select(quoted(key)))
+    rows = df.agg(F.count(F.lit(1))).scalar()
+    hot = (F.col("count") > hot_rows) & (F.col("count") * _MOST_HOT_KEYS > rows)
+    return F.broadcast(counted.where(hot).select(quoted(key)))
 
 
 def _ranked(
@@ -145,10 +148,13 @@ def mark_duplicates(
 
 
 def duplicate_rejects(
-    df: DataFrame, order_by: Sequence[str | Column] = (), key: str = ROW_KEY
+    df: DataFrame,
+    order_by: Sequence[str | Column] = (),
+    key: str = ROW_KEY,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """The duplicates as reject rows."""
-    rest = duplicates(df, order_by, key)
+    rest = duplicates(df, order_by, key, hot_rows)
     return reject_rows(rest.withColumn(STATUS, status_lit(Status.DUPLICATE_IN_MICRO_BATCH)))
 
 

@@ -20,9 +20,10 @@ from pyspark.sql import types as T
 from chronotable.functions.columns import as_schema, col, pick, quoted, require_columns
 from chronotable.operators.keys import splittable_keys
 
-_TOO_MANY = "a target row is matched by more than one source row"
+TOO_MANY = "a target row is matched by more than one source row"
 _FOUND = "__found"
 _ACTION = "__action"
+_ALL_PAIRS = ("NestedLoopJoin", "CartesianProduct")
 
 Condition = Column | str | None
 # New values by target column: expressions, or their SQL text.
@@ -105,29 +106,35 @@ class Merge:
     keys: tuple[tuple[str, str], ...] = ()
     condition: Condition = None
     source_unique: bool = False
+    all_pairs: bool = False
     matched: tuple[Clause, ...] = ()
     not_matched: tuple[Clause, ...] = ()
 
     def using(self, source: DataFrame, alias: str = "source") -> Merge:
         return replace(self, source=source, source_alias=alias)
 
-    def on(self, condition: Column | str) -> Merge:
+    def on(self, condition: Column | str, all_pairs: bool = False) -> Merge:
         """Match on any boolean condition over the two aliases.
 
-        Spark takes the equalities in it as join keys; without any, the join compares every pair.
+        Spark takes the equalities in it as join keys. Without any, the join would compare every pair,
+        which is an error unless ``all_pairs`` asks for it.
         """
-        return replace(self, condition=condition, keys=())
+        return replace(self, condition=condition, keys=(), all_pairs=all_pairs)
 
     def on_keys(
-        self, keys: Sequence[str | tuple[str, str]], source_unique: bool = False
+        self,
+        keys: Sequence[str | tuple[str, str]],
+        source_unique: bool = False,
+        condition: Condition = None,
     ) -> Merge:
-        """Match on equal keys, given as names or (target name, source name) pairs.
+        """Match on equal keys, given as names or (target name, source name) pairs, and a ``condition``.
 
-        Prefer this to ``on`` for equalities: it needs no second join to find source rows that
-        compete for one target row, and pairs a target row with one source row at most. ``source_unique`` promises that no key repeats in the source.
+        Prefer this to ``on`` for equalities: source rows that compete for one target row can only be
+        those whose key repeats, so the keys of the source are looked at first (a small job), and the target
+        only if some do. ``source_unique`` promises that no key repeats in the source.
         """
         pairs = tuple((k, k) if isinstance(k, str) else tuple(k) for k in keys)
-        return replace(self, keys=pairs, condition=None, source_unique=source_unique)
+        return replace(self, keys=pairs, condition=condition, source_unique=source_unique)
 
     def when_matched(self, condition: Condition = None) -> Matched:
         return Matched(self, condition)
@@ -191,6 +198,18 @@ class Merge:
         """Source rows that can match: none of their keys is null."""
         return self.source.where(_all([col(s).isNotNull() for _, s in self.keys]))
 
+    def _match(self) -> Column:
+        """The whole match condition over both aliases."""
+        equal = [self._t(t) == self._s(s) for t, s in self.keys]
+        return _all([*equal, *([] if self.condition is None else [_as_column(self.condition)])])
+
+    def _checked(self, joined: DataFrame) -> DataFrame:
+        """The join, unless it compares every pair and nobody asked for that."""
+        plan = joined._jdf.queryExecution().sparkPlan().toString()
+        if not self.all_pairs and any(name in plan for name in _ALL_PAIRS):
+            raise ValueError("the match condition has no equality of the two sides; all_pairs=True compares every pair")
+        return joined
+
     # Matched rows
 
     def _only_deletes(self) -> bool:
@@ -202,9 +221,9 @@ class Merge:
 
     def _undeleted(self) -> DataFrame:
         target = self.target.alias(self.target_alias)
-        if not self.keys:
+        if self.condition is not None:
             source = self.source.alias(self.source_alias)
-            return target.join(source, _as_column(self.condition), "left_anti")
+            return self._checked(target.join(source, self._match(), "left_anti"))
         keys = splittable_keys(self._source_keys())
         on = _all([self._t(t) == keys[_key(i)] for i, (t, _) in enumerate(self.keys)])
         return target.join(keys, on, "left_anti")
@@ -218,11 +237,13 @@ class Merge:
         """
         target = self.target.alias(self.target_alias)
         source = self._source_with_keys().alias(self.source_alias)
-        on = _all([self._t(t) == self._s(s) for t, s in self.keys])
+        on = self._match()
         is_match = self._s(self.keys[0][1]).isNotNull()
-        if self.source_unique:
-            return target.join(source, on, "left"), is_match, F.lit(False)
         repeated = splittable_keys(self._source_keys(), at_least=2)
+        if self.source_unique or repeated.isEmpty():
+            return target.join(source, on, "left"), is_match, F.lit(False)
+        if self.condition is not None:
+            return self._joined_on_condition()
         held = self._target_keys()
         contested = held.join(repeated, held.columns, "left_semi").agg(F.count(F.lit(1)))
         return target.join(source, on, "left"), is_match, contested.scalar() > 0
@@ -230,7 +251,7 @@ class Merge:
     def _joined_on_condition(self) -> tuple[DataFrame, Column, Column]:
         target = self.target.alias(self.target_alias)
         source = self.source.withColumn(_FOUND, F.lit(1)).alias(self.source_alias)
-        joined = target.join(source, _as_column(self.condition), "left")
+        joined = self._checked(target.join(source, self._match(), "left"))
         # A left join gives more rows than its left side has only if some row is matched twice.
         rows_after = joined.agg(F.count(F.lit(1))).scalar()
         rows_before = self.target.agg(F.count(F.lit(1))).scalar()
@@ -242,7 +263,7 @@ class Merge:
         side_by_side = self._joined_on_keys if self.keys else self._joined_on_condition
         joined, is_match, competing = side_by_side()
         action = F.when(~is_match, F.lit(-1)).when(
-            competing, F.raise_error(_TOO_MANY).cast("int")
+            competing, F.raise_error(TOO_MANY).cast("int")
         )
         for i, clause in enumerate(self.matched):
             action = action.when(_as_column(clause.condition), F.lit(i))
@@ -262,10 +283,10 @@ class Merge:
     # Unmatched source rows
 
     def _unmatched(self) -> DataFrame:
-        if not self.keys:
+        if self.condition is not None:
             source = self.source.alias(self.source_alias)
             target = self.target.alias(self.target_alias)
-            return source.join(target, _as_column(self.condition), "left_anti")
+            return self._checked(source.join(target, self._match(), "left_anti"))
         held = self._target_keys()
         # The keys found are no more than the source has, and a source that is small enough to be
         # broadcast finds them without moving the target.

@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from chronotable.functions.columns import col, quoted, require_columns
 from chronotable.functions.paths import base_name, replace_prefix
+from chronotable.operators.checks import assert_single_value
+from chronotable.operators.dedup import total_order
 
 # The table properties that hold a location.
 LOCATION_PROPERTIES = (
@@ -26,6 +28,7 @@ METADATA_DIR = "metadata"
 DEFAULT_ENVIRONMENT = "updated"
 
 DATA_CONTENT = "DATA"
+BASE_NAME = "base_name"
 
 
 def relocate_structs(structs: Column, field: str, source: str, target: str) -> Column:
@@ -96,19 +99,47 @@ def target_directory(
     return f"{target_base}/{METADATA_DIR}_{suffix}/"
 
 
+def relocate_from(
+    df: DataFrame, locations: DataFrame, location: str, target: str, **paths: object
+) -> DataFrame:
+    """``relocate`` from the one location that all rows of ``locations`` name, in whatever letter case.
+
+    The location is one value; rows that disagree fail.
+    """
+    source = assert_single_value(locations, exact=[], any_case=[location]).first()[location]
+    return relocate(df, source, target, **paths)
+
+
 def join_on_basename(
-    files: DataFrame, path: str, lookup: DataFrame, lookup_path: str, latest_by: str
+    files: DataFrame,
+    path: str,
+    lookup: DataFrame,
+    lookup_path: str,
+    latest_by: str,
+    missing: str = "fail",
 ) -> DataFrame:
     """Files next to the lookup row whose path has the same base name.
 
-    A base name that repeats in the lookup resolves to its last row by ``latest_by``, found by a
-    partial aggregate. The name comes out of the packed row, so that the planner shuffles the few
-    rows left and can split a name that very many files share.
+    A base name that repeats in the lookup resolves to its last row by ``latest_by``, and among equals by
+    all other columns, found by a partial aggregate. A file without a lookup row fails the query, or with
+    ``missing="keep"`` stays with nulls. The name comes out of the packed row, so that the planner
+    shuffles the few rows left and can split a name that very many files share.
     """
-    named = lookup.withColumn("base_name", base_name(col(lookup_path)))
+    if missing not in ("fail", "keep"):
+        raise ValueError(f"missing must be fail or keep, not {missing}")
+    both = [*files.columns, *lookup.columns, BASE_NAME]
+    twice = sorted({n for n in both if [m.lower() for m in both].count(n.lower()) > 1})
+    if twice:
+        raise ValueError(f"column names that occur twice: {twice}")
+    named = lookup.withColumn(BASE_NAME, base_name(col(lookup_path)))
+    order = F.struct(*[F.expr(o) if isinstance(o, str) else o for o in total_order(lookup, [latest_by])])
     last = (
-        named.groupBy("base_name")
-        .agg(F.max_by(F.struct("*"), col(latest_by)).alias("__row"))
-        .select("__row.*")
+        named.groupBy(BASE_NAME)
+        .agg(F.max_by(F.struct("*"), order).alias("__row"))
+        .select("__row.*", F.lit(True).alias("__found"))
     )
-    return files.withColumn("base_name", base_name(col(path))).join(last, "base_name")
+    joined = files.withColumn(BASE_NAME, base_name(col(path))).join(last, BASE_NAME, "left")
+    if missing == "fail":
+        lost = F.raise_error(F.concat(F.lit("no lookup row for "), F.col(BASE_NAME))).cast("string")
+        joined = joined.withColumn(BASE_NAME, F.when(F.col("__found"), F.col(BASE_NAME)).otherwise(lost))
+    return joined.drop("__found")

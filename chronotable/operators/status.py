@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 class Status(IntEnum):
-    """What became of a row. Fixed values."""
+    """What became of a row. Fixed values but for the last, which only ``late="reject"`` gives."""
 
     NA = 0
     DUPLICATE_IN_MICRO_BATCH = 1
@@ -17,6 +17,7 @@ class Status(IntEnum):
     DUPLICATE_RECORD_OPEN = 3
     UPDATED = 4
     INSERT = 5
+    LATE_RECORD = 6
 
 
 def status_lit(status: Status) -> Column:

@@ -6,17 +6,22 @@ from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from chronotable.operators.checks import assert_unique
 from chronotable.operators.classify import (
     classify_changes,
     classify_restricted,
     closed_rows,
+    incoming_of,
     open_delta,
-    open_duplicate_rejects,
+    split_by_status,
 )
-from chronotable.operators.columns import ROW_KEY
-from chronotable.operators.dedup import deduplicate, duplicate_rejects
+from chronotable.operators.columns import LEFT, ROW_KEY, STATUS
+from chronotable.operators.dedup import deduplicate, duplicate_rejects, mark_duplicates
 from chronotable.operators.merge import upsert
+from chronotable.operators.rejects import reject_rows
+from chronotable.operators.status import Status
 from chronotable.plans.spec import Dimension
 from chronotable.sources.workspace import materialize
 
@@ -46,6 +51,11 @@ def incoming_rows(enriched: DataFrame, dimension: Dimension) -> DataFrame:
     return dimension.open_rows(enriched)
 
 
+def _classified(incoming: DataFrame, open_rows: DataFrame, dimension: Dimension) -> DataFrame:
+    classify = classify_restricted if dimension.dedup else classify_changes
+    return classify(incoming, open_rows, dimension.rejects_late)
+
+
 def classified_batch(
     open_rows: DataFrame, enriched: DataFrame, dimension: Dimension
 ) -> DataFrame:
@@ -54,16 +64,18 @@ def classified_batch(
     A batch that was not de-duplicated may repeat one key a great many times. It is joined with the
     open table as that is, because adaptive execution cannot split a key of a join on a join.
     """
-    classify = classify_restricted if dimension.dedup else classify_changes
-    return classify(incoming_rows(enriched, dimension), open_rows)
+    return _classified(incoming_rows(enriched, dimension), open_rows, dimension)
+
+
+def _changes(classified: DataFrame, in_batch: DataFrame, dimension: Dimension) -> Changes:
+    against_open = reject_rows(incoming_of(classified, *dimension.refused))
+    return Changes(open_delta(classified), closed_rows(classified), in_batch.unionByName(against_open))
 
 
 def changes_of(classified: DataFrame, enriched: DataFrame, dimension: Dimension) -> Changes:
     """Split a classified batch. In-batch rejects are rendered before validity is added."""
-    rejects = duplicate_rejects(enriched, dimension.ordering)
-    if dimension.reject_open_duplicates:
-        rejects = rejects.unionByName(open_duplicate_rejects(classified))
-    return Changes(open_delta(classified), closed_rows(classified), rejects)
+    in_batch = duplicate_rejects(enriched, dimension.ordering, hot_rows=dimension.hot_rows)
+    return _changes(classified, in_batch, dimension)
 
 
 def apply_delta(open_rows: DataFrame, delta: DataFrame, dimension: Dimension) -> DataFrame:
@@ -79,13 +91,22 @@ def scd2_changes(open_rows: DataFrame, batch: DataFrame, dimension: Dimension) -
 def scd2_run(state: State | None, batch: DataFrame, dimension: Dimension) -> State:
     """One batch: the state before it in, the state after it out.
 
-    The classified batch feeds three outputs, so it is written once and read back; the open table
-    is joined with the batch a single time however many outputs are used.
+    The batch is read, fingerprinted and ranked once; its marked rows are written, and both the rows that are
+    kept and those that are refused come from there. The classified batch is written as well, as
+    it feeds three outputs. An open table with two rows of one key of the batch is an error.
     """
     open_rows = dimension.empty_open(batch) if state is None else state.open
     enriched = dimension.enrich(batch)
-    classified = materialize(classified_batch(open_rows, enriched, dimension))
-    changes = changes_of(classified, enriched, dimension)
+    marked = materialize(mark_duplicates(enriched, dimension.ordering, hot_rows=dimension.hot_rows))
+    incoming = split_by_status(marked, Status.NA) if dimension.dedup else marked
+    incoming = dimension.open_rows(incoming.drop(STATUS))
+    classified = materialize(_classified(incoming, open_rows, dimension))
+    if dimension.dedup:
+        # Each incoming key has one row but for what it closes, unless the open table repeats it.
+        incoming_keys = classified.where(F.col(STATUS) != int(Status.CLOSED))
+        assert_unique(incoming_keys, [LEFT + ROW_KEY], "the open table")
+    in_batch = reject_rows(split_by_status(marked, Status.DUPLICATE_IN_MICRO_BATCH))
+    changes = _changes(classified, in_batch, dimension)
     after = apply_delta(open_rows, changes.delta, dimension)
     if state is None:
         return State(after, changes.closed, changes.rejects)

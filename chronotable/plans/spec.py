@@ -17,6 +17,8 @@ from chronotable.operators.columns import (
     enrich,
     reject_reserved,
 )
+from chronotable.operators.dedup import HOT_ROWS
+from chronotable.operators.status import Status
 
 
 @dataclass(frozen=True)
@@ -26,7 +28,9 @@ class Dimension:
     ``ignore`` are further columns whose changes do not count. ``order_by`` says which of several
     batch rows with one key is kept (the first); it defaults to the valid-from column.
     ``dedup=False`` skips in-batch de-duplication, ``reject_open_duplicates=False`` does not
-    report rows that equal the open row.
+    report rows that equal the open row. ``late="reject"`` refuses changed rows that are not newer than the open
+    row, which would otherwise end it before it began. ``hot_rows`` is how many rows of one key a task
+    may sort; keys with more are spread.
     """
 
     keys: Sequence[str]
@@ -36,6 +40,12 @@ class Dimension:
     dedup: bool = True
     reject_open_duplicates: bool = True
     sep: str = ""
+    late: str = "accept"
+    hot_rows: int = HOT_ROWS
+
+    def __post_init__(self) -> None:
+        if self.late not in ("accept", "reject"):
+            raise ValueError(f"late must be accept or reject, not {self.late}")
 
     @property
     def ordering(self) -> Sequence[str | Column]:
@@ -48,6 +58,16 @@ class Dimension:
             *self.keys, VALID_FROM, VALID_TO, self.valid_from, DELETE_INDICATOR, *self.ignore
         ]
 
+    @property
+    def rejects_late(self) -> bool:
+        return self.late == "reject"
+
+    @property
+    def refused(self) -> list[Status]:
+        """Outcomes against the open table that make a reject."""
+        duplicates = [Status.DUPLICATE_RECORD_OPEN] if self.reject_open_duplicates else []
+        return [*duplicates, Status.LATE_RECORD]
+
     def enrich(self, batch: DataFrame) -> DataFrame:
         reject_reserved(batch, RESERVED)
         require_columns(batch, [*self.keys, self.valid_from], "dimension columns")

@@ -1,24 +1,29 @@
 """Versioned state of a type 2 dimension on plain parquet folders.
 
-Layout below the root, where a run is ``<version>-<random>``::
+Layout below the root, where a run is ``<version>-<random>`` and the folders' own columns begin with
+``__ct_``, which a batch column must not::
 
-    rows/run=<run>/state=open/part=<bucket>/   open rows, by hash bucket of the row key
-    rows/run=<run>/state=closed/part=<day>/    rows that the run ended, by the day they ended
-    rejects/run=<run>/                         rows that the run refused
-    versions/v=<n>/                            one JSON row, written last: version n exists
+    rows/__ct_run=<run>/__ct_state=open/__ct_part=<bucket>/   open rows, by hash bucket of the row key
+    rows/__ct_run=<run>/__ct_state=closed/__ct_part=<day>/    rows that the run ended, by the day they ended
+    rejects/__ct_run=<run>/                                   rows that the run refused
+    versions/v-<n>.json                                       created last and at once: version n exists
+    batches/<hash>                                            a batch id of a version before the newest
 
 A batch is compared with two narrow columns of the open buckets it touches. The buckets it changes
 are then read once and written once, open and closed rows together, in folders of this run alone;
-last comes the one small version file that names the runs whose folders make up the version, and so
-publishes rows and rejects at the same time. Nothing is ever overwritten: a run that dies half-way
-leaves the last version as it was and some folders that no version names. Buckets that a batch does
-not change are not rewritten: the new version goes on naming the run that wrote them.
-
-Of two runs that start from the same version, the second to publish fails and changes nothing.
+last comes the one small version file, which says who holds each bucket, and so publishes rows and
+rejects at the same time. Nothing is ever overwritten: a run that dies half-way leaves the last version as it
+was, and folders that no version names (``remove_orphans`` deletes them). Buckets that a batch does not change are
+not rewritten. Of two runs that start from the same version one creates its file; the other fails and changes nothing.
+
+A version file is as large as the number of buckets and names its own run only, and a run reads no version
+but the newest, so a batch costs the same after a thousand versions. Readers of closed rows and rejects
+join the run folders with the version files; ``compact`` gathers them in one run.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import uuid
 from collections.abc import Mapping
@@ -39,48 +44,43 @@ from chronotable.operators.status import Status
 from chronotable.plans.scd2 import State
 from chronotable.plans.spec import Dimension
 from chronotable.sources.readers import conform
-from chronotable.sources.workspace import materialize
+from chronotable.sources.workspace import create_once, exists, names_in, read_text, remove, scratch
 
-_VERSION, _RUN, _STATE, _PART = "v", "run", "state", "part"
+_RUN, _STATE, _PART, _ENDED = "__ct_run", "__ct_state", "__ct_part", "__ct_ended"
 _OPEN, _CLOSED = "open", "closed"
+CLOSED_ON = "closed_on"
 
-_VERSION_SCHEMA = T.StructType(
-    [
-        T.StructField("batch_id", T.StringType()),
-        T.StructField("batch_ddl", T.StringType()),
-        T.StructField("open_ddl", T.StringType()),
-        T.StructField("buckets", T.IntegerType()),
-        T.StructField("held_by", T.MapType(T.StringType(), T.StringType())),
-        T.StructField("closed_by", T.ArrayType(T.StringType())),
-        T.StructField("rejected_by", T.ArrayType(T.StringType())),
-        T.StructField(_VERSION, T.IntegerType()),
-    ]
-)
+# What readers of many versions need of each.
+_RUNS = "number int, run string, compacted boolean"
 
 
 @dataclass(frozen=True)
 class Version:
     """One published version.
 
-    ``held_by`` names the run whose folder holds each open bucket that has rows, ``closed_by`` the
-    runs that ended rows and ``rejected_by`` those that looked for rows to refuse.
+    ``held_by`` names the run whose folder holds each open bucket that has rows. A ``compacted``
+    version's run holds all closed rows and rejects up to it.
     """
 
     number: int
+    run: str
+    batch_id: str | None
     batch_schema: T.StructType
     open_schema: T.StructType
     buckets: int
     held_by: Mapping[int, str]
-    closed_by: tuple[str, ...]
-    rejected_by: tuple[str, ...]
+    compacted: bool = False
 
 
 class HistoryStore:
-    """Open, closed and reject tables that move from version to version together."""
+    """Open, closed and reject tables that move from version to version together.
 
-    def __init__(
-        self, spark: SparkSession, root: str, dimension: Dimension, buckets: int = 64
-    ) -> None:
+    ``buckets`` is the number of parts of the open table. A batch rewrites the buckets in which it changes a row,
+    so choose it by the size one task should write: the open table's bytes / 256 MB, say. It is kept
+    from the first version on; ``compact`` can change it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, dimension: Dimension, buckets: int) -> None:
         self._spark = spark
         self._root = root.rstrip("/")
         self._dimension = dimension
@@ -88,43 +88,47 @@ class HistoryStore:
 
     # Reading
 
-    def _versions(self) -> DataFrame | None:
-        try:
-            return self._spark.read.schema(_VERSION_SCHEMA).json(f"{self._root}/versions")
-        except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+    def _file(self, number: int) -> str:
+        return f"{self._root}/versions/v-{number:010d}.json"
+
+    def _numbers(self) -> list[int]:
+        names = names_in(self._spark, f"{self._root}/versions")
+        return sorted(int(n[2:-5]) for n in names if n.startswith("v-") and n.endswith(".json"))
 
     def version(self, number: int | None = None) -> Version | None:
         """A published version, by default the newest; None before the first."""
-        versions = self._versions()
-        if versions is None:
-            return None
-        if number is not None:
-            versions = versions.where(F.col(_VERSION) == number)
-        row = versions.orderBy(F.col(_VERSION).desc()).first()
-        if row is None:
-            if number is None:
+        numbers = self._numbers()
+        if number is None:
+            if not numbers:
                 return None
+            number = numbers[-1]
+        elif number not in numbers:
             raise ValueError(f"there is no version {number}")
+        row = json.loads(read_text(self._spark, self._file(number)))
         return Version(
-            row[_VERSION],
+            row["number"],
+            row["run"],
+            row["batch_id"],
             T.StructType.fromDDL(row["batch_ddl"]),
             T.StructType.fromDDL(row["open_ddl"]),
             row["buckets"],
-            {int(b): run for b, run in (row["held_by"] or {}).items()},
-            tuple(row["closed_by"] or ()),
-            tuple(row["rejected_by"] or ()),
+            {int(b): run for b, run in row["held_by"].items()},
+            row["compacted"],
         )
 
     def _read(self, table: str, folders: list[str], schema: T.StructType) -> DataFrame:
-        if not folders:
-            return self._spark.createDataFrame([], schema)
+        """Rows of folders below a table, which may be patterns, with the columns that the folders stand for."""
+        layout = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in (_RUN, _STATE, _PART)]])
         base = f"{self._root}/{table}"
-        reader = self._spark.read.schema(schema).option("basePath", base)
-        rows = reader.parquet(*[f"{base}/{_RUN}={folder}" for folder in folders])
-        return pick(rows, schema.fieldNames())
+        try:
+            if not folders:
+                return self._spark.createDataFrame([], layout)
+            reader = self._spark.read.schema(layout).option("basePath", base)
+            return reader.parquet(*[f"{base}/{_RUN}={folder}" for folder in folders])
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return self._spark.createDataFrame([], layout)
+            raise
 
     def _open_of(self, version: Version, only: set[int] | None = None) -> DataFrame:
         folders = [
@@ -132,81 +136,94 @@ class HistoryStore:
             for bucket, run in sorted(version.held_by.items())
             if only is None or bucket in only
         ]
-        return self._read("rows", folders, version.open_schema)
+        return pick(self._read("rows", folders, version.open_schema), version.open_schema.fieldNames())
+
+    def _published(self, rows: DataFrame, number: int) -> DataFrame:
+        """Of rows of all runs those of versions up to a number, from the last compacted one on."""
+        versions = self._spark.read.schema(_RUNS).json(f"{self._root}/versions/v-*.json").where(F.col("number") <= number)
+        since = versions.where("compacted").agg(F.coalesce(F.max("number"), F.lit(0)))
+        runs = versions.where(F.col("number") >= since.scalar()).select(F.col("run").alias(_RUN))
+        return rows.join(runs, _RUN, "left_semi")
 
     def _closed_of(self, version: Version) -> DataFrame:
-        folders = [f"{run}/{_STATE}={_CLOSED}" for run in version.closed_by]
-        return self._read("rows", folders, version.open_schema)
+        rows = self._read("rows", [f"*/{_STATE}={_CLOSED}"], version.open_schema)
+        return self._published(rows, version.number)
 
     def _rejects_of(self, version: Version) -> DataFrame:
-        return self._read("rejects", list(version.rejected_by), REJECT_SCHEMA)
+        rows = self._published(self._read("rejects", ["*"], REJECT_SCHEMA), version.number)
+        return pick(rows, REJECT_SCHEMA.fieldNames())
 
-    def state(self, number: int | None = None) -> State:
-        """The three tables as of a version, by default the newest."""
+    def _newest(self, number: int | None) -> Version:
         version = self.version(number)
         if version is None:
             raise ValueError(f"nothing has been published under {self._root}")
-        return State(
-            self._open_of(version), self._closed_of(version), self._rejects_of(version)
-        )
+        return version
+
+    def state(self, number: int | None = None) -> State:
+        """The three tables as of a version, by default the newest."""
+        version = self._newest(number)
+        closed = pick(self._closed_of(version), version.open_schema.fieldNames())
+        return State(self._open_of(version), closed, self._rejects_of(version))
+
+    def closed_by_day(self, number: int | None = None) -> DataFrame:
+        """Closed rows with the day they ended, ``closed_on``; a filter on it leaves other days' folders unread."""
+        version = self._newest(number)
+        names = version.open_schema.fieldNames()
+        return self._closed_of(version).select(*[col(n) for n in names], F.col(_PART).cast("date").alias(CLOSED_ON))
 
     # Writing
 
     def _bucket(self, buckets: int) -> Column:
         return F.pmod(F.xxhash64(col(ROW_KEY)), F.lit(buckets)).cast("int")
 
+    def _marker(self, batch_id: str) -> str:
+        return f"{self._root}/batches/{hashlib.sha256(batch_id.encode()).hexdigest()}"
+
     def apply(self, batch: DataFrame, batch_id: str | None = None) -> int:
         """Apply one batch and publish the next version; returns the newest version number.
 
         A ``batch_id`` that was published before is skipped.
         """
-        if batch_id is not None:
-            versions = self._versions()
-            if versions is not None and versions.where(F.col("batch_id") == batch_id).take(1):
-                return self.version().number
-
-        dimension = self._dimension
+        clash = [n for n in batch.columns if n.lower().startswith("__ct_")]
+        if clash:
+            raise ValueError(f"these column names are reserved: {clash}")
         last = self.version()
+        if batch_id is not None and last is not None:
+            if last.batch_id == batch_id or exists(self._spark, self._marker(batch_id)):
+                return last.number
+        dimension = self._dimension
         if last is None:
-            batch_schema = batch.schema
             empty = dimension.empty_open(batch)
-            last = Version(0, batch_schema, empty.schema, self._buckets, {}, (), ())
+            last = Version(0, "", None, batch.schema, empty.schema, self._buckets, {})
         else:
             batch = conform(batch, last.batch_schema)
+            if last.batch_id is not None:
+                # From now on the newest version does not tell any more that it was applied.
+                create_once(self._spark, self._marker(last.batch_id), "")
         number = last.number + 1
         run = f"{number}-{uuid.uuid4().hex}"
         bucket = self._bucket(last.buckets)
 
-        # One shuffle of the batch serves the rows that are kept and those that are refused.
-        marked = materialize(mark_duplicates(dimension.enrich(batch), dimension.ordering))
-        incoming = split_by_status(marked, Status.NA) if dimension.dedup else marked
-        incoming = dimension.open_rows(incoming.drop(STATUS))
-        # At most as many numbers as there are buckets.
-        touched = {row[0] for row in incoming.select(bucket).distinct().collect()}
-        open_rows = self._open_of(last, touched)
-        outcome = materialize(incoming_status(incoming, open_rows, restricted=dimension.dedup))
-        updated = split_by_status(outcome, Status.UPDATED)
-        if dimension.dedup:
-            assert_unique(pick(outcome, [ROW_KEY]), [ROW_KEY], "the open table")
-        else:
-            assert_unique(pick(updated, [ROW_KEY]), [ROW_KEY], "changed rows of the batch")
-        delta = split_by_status(outcome, Status.UPDATED, Status.INSERT)
-        found = delta.groupBy(bucket.alias(_PART), STATUS).count().collect()
-        changed = {row[_PART] for row in found}
-        ends_rows = any(row[STATUS] == Status.UPDATED for row in found)
-
-        self._write_rows(run, self._open_of(last, changed), updated, delta.drop(STATUS), bucket)
-        self._write_rejects(run, marked, outcome)
-        self._publish(
-            replace(
-                last,
-                number=number,
-                held_by={**last.held_by, **{b: run for b in changed}},
-                closed_by=(*last.closed_by, run) if ends_rows else last.closed_by,
-                rejected_by=(*last.rejected_by, run),
-            ),
-            batch_id,
-        )
+        with scratch(self._spark) as save:
+            # One shuffle of the batch serves the rows that are kept and those that are refused.
+            marked = save(mark_duplicates(dimension.enrich(batch), dimension.ordering, hot_rows=dimension.hot_rows))
+            incoming = split_by_status(marked, Status.NA) if dimension.dedup else marked
+            incoming = dimension.open_rows(incoming.drop(STATUS))
+            # At most as many numbers as there are buckets.
+            touched = {row[0] for row in incoming.select(bucket).distinct().collect()}
+            open_rows = self._open_of(last, touched)
+            outcome = save(incoming_status(incoming, open_rows, restricted=dimension.dedup, reject_late=dimension.rejects_late))
+            updated = split_by_status(outcome, Status.UPDATED)
+            if dimension.dedup:
+                assert_unique(pick(outcome, [ROW_KEY]), [ROW_KEY], "the open table")
+            else:
+                assert_unique(pick(updated, [ROW_KEY]), [ROW_KEY], "changed rows of the batch")
+            delta = split_by_status(outcome, Status.UPDATED, Status.INSERT)
+            changed = {row[0] for row in delta.select(bucket).distinct().collect()}
+            if changed:
+                self._write_rows(run, self._open_of(last, changed), updated, delta.drop(STATUS), bucket)
+            self._write_rejects(run, marked, outcome)
+        self._publish(replace(last, number=number, run=run, batch_id=batch_id, held_by={**last.held_by, **dict.fromkeys(changed, run)}, compacted=False))
         return number
 
     def _write_rows(
@@ -218,37 +235,75 @@ class HistoryStore:
         bucket: Column,
     ) -> None:
         """The changed buckets and what ended in them, in one pass over the old open rows."""
-        ended = F.col("__ended")
-        moved = end_versions(open_rows, updated, "__ended")
+        ended = F.col(_ENDED)
+        moved = end_versions(open_rows, updated, _ENDED)
         day = F.to_date(col(VALID_TO)).cast("string")
         moved = moved.withColumns(
             {
                 _STATE: F.when(ended, _CLOSED).otherwise(_OPEN),
                 _PART: F.when(ended, day).otherwise(bucket.cast("string")),
             }
-        ).drop("__ended")
+        ).drop(_ENDED)
         delta = delta.withColumns({_STATE: F.lit(_OPEN), _PART: bucket.cast("string")})
+        self._write_parts(run, moved.unionByName(delta))
+
+    def _write_parts(self, run: str, rows: DataFrame) -> None:
         # Gathers a partition's rows, but splits what would be too much for one task.
-        rows = moved.unionByName(delta).hint("rebalance", F.col(_STATE), F.col(_PART))
+        rows = rows.hint("rebalance", F.col(_STATE), F.col(_PART))
         rows.write.partitionBy(_STATE, _PART).parquet(f"{self._root}/rows/{_RUN}={run}")
 
     def _write_rejects(self, run: str, marked: DataFrame, outcome: DataFrame) -> None:
         rejects = reject_rows(split_by_status(marked, Status.DUPLICATE_IN_MICRO_BATCH))
-        if self._dimension.reject_open_duplicates:
-            same = split_by_status(outcome, Status.DUPLICATE_RECORD_OPEN)
-            rejects = rejects.unionByName(reject_rows(same))
+        refused = split_by_status(outcome, *self._dimension.refused)
+        rejects = rejects.unionByName(reject_rows(refused))
         rejects.write.parquet(f"{self._root}/rejects/{_RUN}={run}")
 
-    def _publish(self, version: Version, batch_id: str | None) -> None:
-        """Write the version file; an error if there is one of that number already."""
+    def _publish(self, version: Version) -> None:
+        """Create the version file; an error if there is one of that number already."""
         row = {
-            "batch_id": batch_id,
+            "number": version.number,
+            "run": version.run,
+            "batch_id": version.batch_id,
             "batch_ddl": version.batch_schema.toDDL(),
             "open_ddl": version.open_schema.toDDL(),
             "buckets": version.buckets,
             "held_by": version.held_by,
-            "closed_by": version.closed_by,
-            "rejected_by": version.rejected_by,
+            "compacted": version.compacted,
         }
-        published = self._spark.range(1, numPartitions=1).select(F.lit(json.dumps(row)))
-        published.write.mode("error").text(f"{self._root}/versions/{_VERSION}={version.number}")
+        if not create_once(self._spark, self._file(version.number), json.dumps(row)):
+            raise RuntimeError(f"version {version.number} was published by another run; nothing has been changed")
+
+    # Upkeep
+
+    def compact(self, buckets: int | None = None) -> int:
+        """Publish a version of the same rows in one run, by default with as many buckets; returns its number."""
+        last = self._newest(None)
+        number, buckets = last.number + 1, buckets or last.buckets
+        run = f"{number}-{uuid.uuid4().hex}"
+        if last.batch_id is not None:
+            create_once(self._spark, self._marker(last.batch_id), "")
+        bucket = self._bucket(buckets)
+        closed = self._closed_of(last).withColumn(_STATE, F.lit(_CLOSED)).drop(_RUN)
+        rows = self._open_of(last).withColumns({_STATE: F.lit(_OPEN), _PART: bucket.cast("string")})
+        self._write_parts(run, rows.unionByName(closed))
+        self._rejects_of(last).write.parquet(f"{self._root}/rejects/{_RUN}={run}")
+        held = {row[0]: run for row in self._open_of(last).select(bucket).distinct().collect()}
+        self._publish(replace(last, number=number, run=run, batch_id=None, buckets=buckets, held_by=held, compacted=True))
+        return number
+
+    def remove_orphans(self) -> int:
+        """Delete the folders of runs that died before they published; returns how many.
+
+        A run that is still at work is for the next version and is left alone.
+        """
+        numbers = self._numbers()
+        newest = numbers[-1] if numbers else 0
+        published = {json.loads(read_text(self._spark, self._file(n)))["run"] for n in numbers}
+        gone = set()
+        for table in ("rows", "rejects"):
+            for name in names_in(self._spark, f"{self._root}/{table}"):
+                run = name.removeprefix(f"{_RUN}=")
+                if run != name and int(run.partition("-")[0]) <= newest and run not in published:
+                    remove(self._spark, f"{self._root}/{table}/{name}")
+                    gone.add(run)
+        return len(gone)

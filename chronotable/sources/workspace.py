@@ -1,14 +1,23 @@
-"""Where intermediate tables go."""
+"""Where intermediate tables go, and small files in shared folders."""
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import os
+import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 
 _FOLDER = "spark.checkpoint.dir"
+# A session of one process; in all others a machine's own folder is not seen by the other processes.
+_ONE_PROCESS = re.compile(r"local(\[[^\]]*\])?")
+
+_written: list[str] = []
 
 
 @functools.cache
@@ -19,23 +28,111 @@ def _local_folder() -> str:
 def work_folder(spark: SparkSession) -> str:
     """A fresh folder under the shared one that the session names in ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; on a cluster a machine's own temporary
+    Only a session of one process may go without that setting; on a cluster a machine's own temporary
     folder would be lost with the machine.
     """
     shared = spark.conf.get(_FOLDER, None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        if not _ONE_PROCESS.fullmatch(spark.sparkContext.master):
             raise ValueError(f"set {_FOLDER} to a folder that every executor can reach")
         shared = _local_folder()
     return f"{shared.rstrip('/')}/chronotable-{uuid.uuid4().hex}"
 
 
+def _save(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write a frame once as a columnar table in the work folder and read it back.
 
     Cuts the lineage and survives the loss of executors; unlike a checkpoint the table still
-    allows column pruning and filter pushdown.
+    allows column pruning and filter pushdown. It stays until ``remove_intermediates``.
     """
     path = work_folder(df.sparkSession)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _written.append(path)
+    return _save(df, path)
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Delete all that ``materialize`` wrote in this process; frames that still read it fail afterwards."""
+    while _written:
+        remove(spark, _written.pop())
+
+
+@contextlib.contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Like ``materialize``, for tables that are not needed after the block."""
+    folder = work_folder(spark)
+    count = iter(range(1_000_000))
+    try:
+        yield lambda df: _save(df, f"{folder}/{next(count)}")
+    finally:
+        remove(spark, folder)
+
+
+# Small files, by the file systems that Spark itself is set up with
+
+
+def _at(spark: SparkSession, path: str) -> tuple[object, object]:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), at
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    files, at = _at(spark, path)
+    files.delete(at, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    files, at = _at(spark, path)
+    return files.exists(at)
+
+
+def names_in(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what lies in a folder; none if there is no such folder."""
+    files, at = _at(spark, folder)
+    return [s.getPath().getName() for s in files.listStatus(at)] if files.exists(at) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    files, at = _at(spark, path)
+    source = files.open(at)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a file with all its text in one step; False if it is there already.
+
+    The text goes to a file of another name, which then gets its own: locally by a hard link, elsewhere by
+    a rename that does not overwrite. Either fails if the name is taken, so of several writers one
+    succeeds, and one that dies on the way leaves nothing under the name.
+    """
+    draft = f"{path.rpartition('/')[0]}/_draft-{uuid.uuid4().hex}"
+    files, at = _at(spark, draft)
+    out = files.create(at, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    try:
+        if files.getScheme() == "file":
+            os.link(urlparse(at.toUri().toString()).path, urlparse(target.toUri().toString()).path)
+            return True
+        options = spark._jvm.org.apache.hadoop.fs.Options.Rename
+        none = spark.sparkContext._gateway.new_array(options, 1)
+        none[0] = options.NONE
+        conf = spark._jsparkSession.sessionState().newHadoopConf()
+        spark._jvm.org.apache.hadoop.fs.FileContext.getFileContext(files.getUri(), conf).rename(at, target, none)
+        return True
+    except FileExistsError:
+        return False
+    except Exception as error:
+        if "FileAlreadyExistsException" in str(error):
+            return False
+        raise
+    finally:
+        files.delete(at, False)

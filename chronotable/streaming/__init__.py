@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from chronotable.sources.state import HistoryStore
+from chronotable.sources.workspace import read_text
 
 
 def stream_into(
@@ -13,14 +16,16 @@ def stream_into(
 ) -> StreamingQuery:
     """Apply every micro-batch of ``stream`` to ``store``.
 
-    Each version is tagged with the stream's name and batch number, so a batch that is replayed
-    after a failure is not applied twice. ``trigger`` is passed on, by default all that is
-    available is read and the query ends.
+    Each version is tagged with the identity that the checkpoint keeps and the batch number, so a batch that
+    is replayed after a failure is not applied twice, while a new checkpoint, or another stream of
+    the same name, starts with batches of its own. Rows that it reads again are refused as they equal the open ones.
+    ``trigger`` is passed on, by default all that is available is read and the query ends.
     """
 
     def apply(batch: DataFrame, number: int) -> None:
         if not batch.isEmpty():
-            store.apply(batch, f"{name}-{number}")
+            identity = json.loads(read_text(batch.sparkSession, f"{checkpoint.rstrip('/')}/metadata"))["id"]
+            store.apply(batch, f"{identity}-{number}")
 
     return (
         stream.writeStream.queryName(name)

@@ -236,3 +236,30 @@ def test_against_brute_force(spark, seed):
             .result()
         )
         assert bag(done) == expected
+
+
+def test_a_condition_beside_the_keys(spark):
+    target = spark.createDataFrame([(1, 10), (2, 20), (3, 30)], "id int, v int")
+    source = spark.createDataFrame([(1, 11), (2, 5), (4, 40)], "id int, v int")
+    start = Merge(target).using(source).on_keys(["id"], condition="source.v > target.v")
+    done = start.when_matched().update_all().when_not_matched().insert_all().result()
+    assert sorted(map(tuple, done.collect())) == [(1, 11), (2, 5), (2, 20), (3, 30), (4, 40)]
+    assert sorted(map(tuple, start.when_matched().delete().result().collect())) == [(2, 20), (3, 30)]
+    # A key that repeats in the source competes only where both rows meet the condition.
+    more = source.unionByName(spark.createDataFrame([(1, 3)], "id int, v int"))
+    again = Merge(target).using(more).on_keys(["id"], condition="source.v > target.v").when_matched().update_all()
+    assert sorted(map(tuple, again.result().collect())) == [(1, 11), (2, 20), (3, 30)]
+    twice = source.unionByName(spark.createDataFrame([(1, 12)], "id int, v int"))
+    with pytest.raises(PySparkException, match="more than one source row"):
+        Merge(target).using(twice).on_keys(["id"], condition="source.v > target.v").when_matched().update_all().result().collect()
+
+
+def test_comparing_every_pair_must_be_asked_for(spark):
+    target = spark.createDataFrame([(1, 10)], "id int, v int")
+    start = Merge(target).using(target.withColumn("v", F.col("v") + 1))
+    with pytest.raises(ValueError, match="all_pairs"):
+        start.on("source.v > target.v").when_matched().update_all().result()
+    with pytest.raises(ValueError, match="all_pairs"):
+        start.on("source.v > target.v").when_not_matched().insert_all().result()
+    done = start.on("source.v > target.v", all_pairs=True).when_matched().update_all().result()
+    assert done.collect() == [(1, 11)]

@@ -6,6 +6,7 @@ from chronotable.operators.relocate import (
     LOCATION_PROPERTIES,
     join_on_basename,
     relocate,
+    relocate_from,
     target_directory,
 )
 
@@ -71,10 +72,30 @@ def test_target_directory():
     assert target_directory(OLD, OLD.upper(), in_place=True) == f"{OLD.upper()}/metadata_updated/"
 
 
+LOOKUP = [("l/a", 1, "x"), ("m/a", 2, "x"), ("n/a", 2, "y"), ("b", 7, None)]
+
+
 def test_last_lookup_row_wins(spark):
     files = spark.createDataFrame([("x/a",), ("y/b",), ("z/none",)], "path string")
-    lookup = spark.createDataFrame([("l/a", 1), ("m/a", 2), ("b", 7)], "list string, snapshot int")
-    joined = join_on_basename(files, "path", lookup, "list", "snapshot")
+    lookup = spark.createDataFrame(LOOKUP, "list string, snapshot int, note string")
+    joined = join_on_basename(files, "path", lookup, "list", "snapshot", missing="keep")
     assert {(r.base_name, r.path, r.list, r.snapshot) for r in joined.collect()} == {
-        ("a", "x/a", "m/a", 2), ("b", "y/b", "b", 7)
+        ("a", "x/a", "n/a", 2), ("b", "y/b", "b", 7), ("none", "z/none", None, None)
     }
+    with pytest.raises(PySparkException, match="no lookup row for none"):
+        join_on_basename(files, "path", lookup, "list", "snapshot").collect()
+    found = join_on_basename(files.where("path <> 'z/none'"), "path", lookup, "list", "snapshot")
+    assert found.count() == 2
+    with pytest.raises(ValueError, match="occur twice"):
+        join_on_basename(files.withColumn("Note", F.lit(1)), "path", lookup, "list", "snapshot")
+    with pytest.raises(ValueError, match="missing must be"):
+        join_on_basename(files, "path", lookup, "list", "snapshot", missing="drop")
+
+
+def test_relocation_starts_from_the_one_location(spark):
+    tables = spark.createDataFrame([(OLD,), (OLD,)], "location string")
+    files = spark.createDataFrame([(f"{OLD}/1",)], "path string")
+    assert relocate_from(files, tables, "location", NEW, paths=["path"]).collect() == [(f"{NEW}/1",)]
+    two = tables.unionByName(spark.createDataFrame([("elsewhere",)], "location string"))
+    with pytest.raises(PySparkException, match="more than one value"):
+        relocate_from(files, two, "location", NEW, paths=["path"])

@@ -167,6 +167,12 @@ def test_changed_row_needs_a_valid_from(spark, after):
     assert scd2_run(after, fresh, DIMENSION).open.where("id = '77'").count() == 1
 
 
+def test_two_open_rows_of_one_key_are_an_error(after, batches):
+    doubled = State(after.open.unionByName(after.open), after.closed, after.rejects)
+    with pytest.raises(ValueError, match="the open table: more than one row"):
+        scd2_run(doubled, batches[2], DIMENSION)
+
+
 def test_batches_that_do_not_fit(spark, batches):
     with pytest.raises(ValueError, match="reserved"):
         scd2_run(None, batches[0].withColumn("valid_to", F.lit(1)), DIMENSION)
