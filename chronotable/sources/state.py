@@ -165,6 +165,12 @@ class HistoryStore:
         closed = pick(self._closed_of(version), version.open_schema.fieldNames())
         return State(self._open_of(version), closed, self._rejects_of(version))
 
+    def create_views(self, prefix: str, number: int | None = None) -> None:
+        """Temporary views ``<prefix>_open``, ``_closed`` and ``_rejects`` of a version, for SQL by name."""
+        state = self.state(number)
+        for name, rows in (("open", state.open), ("closed", state.closed), ("rejects", state.rejects)):
+            rows.createOrReplaceTempView(f"{prefix}_{name}")
+
     def closed_by_day(self, number: int | None = None) -> DataFrame:
         """Closed rows with the day they ended, ``closed_on``; a filter on it leaves other days' folders unread."""
         version = self._newest(number)

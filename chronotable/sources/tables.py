@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chronotable.functions.columns import col, quoted, require_columns, text_literal
+from chronotable.functions.columns import as_schema, col, quoted, require_columns, text_literal
 
 DAY = "day"
 
@@ -87,6 +88,24 @@ def append(df: DataFrame, name: str) -> None:
     rows.write.mode("append").partitionBy(*partitions).saveAsTable(_identifier(name))
 
 
+def replace_rows(df: DataFrame, name: str) -> DataFrame:
+    """Give an unpartitioned table these rows, which may be made from the table's own.
+
+    They are written to a folder of their own beside the table's, and the catalog then moves the table there
+    in one step. What is read meanwhile is the old folder, which is left as it is.
+    """
+    spark = df.sparkSession
+    identifier = _identifier(name)
+    if any(c.isPartition for c in spark.catalog.listColumns(identifier)):
+        raise ValueError(f"{name} is partitioned; its rows cannot be replaced in one step")
+    details = spark.sql(f"DESCRIBE TABLE EXTENDED {identifier}").where("col_name = 'Location'")
+    path = f"{details.first()['data_type'].rstrip('/')}-{uuid.uuid4().hex}"
+    as_schema(df, spark.table(identifier).schema).write.parquet(path)
+    spark.sql(f"ALTER TABLE {identifier} SET LOCATION {text_literal(path)}")
+    spark.catalog.refreshTable(identifier)
+    return spark.table(identifier)
+
+
 def create_bucketed_as(
     df: DataFrame,
     name: str,

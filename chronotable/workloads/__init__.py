@@ -37,7 +37,7 @@ _OPEN_ENDS = {
     "store_open": _ONE,
     "stream_open": _ONE,
     "scd1_upsert": _ONE,
-    "scd2_without_dedup": _ONE,
+    "scd1_into_table": _ONE,
     "merge_upsert_row_key": _ONE,
     "merge_upsert_unique": _ONE,
 }

@@ -44,7 +44,7 @@ def enrich_scd(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lineitem_row_md5(spark: SparkSession, sf: str) -> DataFrame:
-    rows = read(spark, sf, "lineitem").drop("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    rows = read(spark, sf, "lineitem")
     keys = ["l_orderkey", "l_linenumber"]
     return rows.select(*keys, row_md5(rows, [*keys, "not_there"]).alias("row_md5"))
 
@@ -62,7 +62,7 @@ def hash_all_columns(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def add_validity_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return add_validity(read(spark, sf, "orders").drop("o_totalprice"), "o_orderdate")
+    return add_validity(read(spark, sf, "orders"), "o_orderdate")
 
 
 def prefixed(spark: SparkSession, sf: str) -> DataFrame:
@@ -93,6 +93,8 @@ def render_values(spark: SparkSession, sf: str) -> DataFrame:
         "props",
         (F.col("user_id") > 10).alias("late_user"),
         F.to_date("ts").alias("day"),
+        "value",
+        F.col("value").cast("decimal(18,4)").alias("exact"),
     )
     text = concat_values(rows, rows.columns, sep="|")
     return rows.select("event_id", text.alias("row_text"))
@@ -137,7 +139,9 @@ SQL = {
     "enrich_scd": f"WITH {PARTY_SCD_SQL} SELECT * FROM batch",
     "row_md5": f"""
         SELECT l_orderkey, l_linenumber,
-               md5(CAST(l_partkey AS VARCHAR) || CAST(l_suppkey AS VARCHAR) || l_returnflag
+               md5(CAST(l_partkey AS VARCHAR) || CAST(l_suppkey AS VARCHAR)
+                   || CAST(l_quantity AS VARCHAR) || CAST(l_extendedprice AS VARCHAR)
+                   || CAST(l_discount AS VARCHAR) || CAST(l_tax AS VARCHAR) || l_returnflag
                    || l_linestatus || {sql_timestamp('l_shipdate')}) AS row_md5
         FROM lineitem""",
     "row_key": f"""
@@ -148,8 +152,7 @@ SQL = {
         SELECT doc_id, {sql_md5('doc_id', 'text', 'lang', 'source', 'n_chars')} AS row_md5
         FROM documents""",
     "add_validity": f"""
-        SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
-               {validity_sql('o_orderdate')}
+        SELECT *, {validity_sql('o_orderdate')}
         FROM orders""",
     "prefix_columns": f"SELECT {', '.join(f'{c} AS left_{c}' for c in _PART)} FROM part",
     "select_prefix": """
@@ -167,7 +170,8 @@ SQL = {
                CAST(event_id AS VARCHAR) || '|' || {sql_timestamp('ts')} || '|'
                || coalesce(nullif(event_type, 'view'), 'null') || '|' || props || '|'
                || CASE WHEN user_id > 10 THEN 'true' ELSE 'false' END || '|'
-               || CAST(CAST(ts AS DATE) AS VARCHAR) AS row_text
+               || CAST(CAST(ts AS DATE) AS VARCHAR) || '|' || CAST(value AS VARCHAR) || '|'
+               || CAST(CAST(value AS DECIMAL(18,4)) AS VARCHAR) AS row_text
         FROM events""",
     "close_timestamp": f"""
         SELECT event_id, {sql_milli_before('ts')} AS valid_to FROM events""",

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronotable.functions.render import row_text
 from chronotable.operators.classify import (
     classify_changes,
     classify_restricted,
@@ -31,16 +34,21 @@ from chronotable.plans.history import merge_history, merge_source, superseded
 from chronotable.plans.scd1 import scd1_rejects, scd1_upsert
 from chronotable.plans.scd2 import State, incoming_rows, scd2_changes, scd2_fold, scd2_run
 from chronotable.plans.spec import Dimension
+from chronotable.plans.stored import history_into, merge_into, merge_on, scd1_into
 from chronotable.sources.state import HistoryStore
+from chronotable.sources.tables import append, create_table_like
 from chronotable.sources.workspace import work_folder
 from chronotable.streaming import stream_into
 from chronotable.workloads.recipes import (
+    BASE_TS,
     EVENTS,
     EVENTS_SQL,
+    LATE_EVENTS_SQL,
     ORDERS_SQL,
     PARTY,
     PARTY_COLUMNS,
     PARTY_SCD_SQL,
+    PARTY_SQL,
     event_batches,
     events,
     order_batches,
@@ -50,6 +58,7 @@ from chronotable.workloads.recipes import (
     party_changes,
     party_incoming,
     party_open,
+    read,
     sql_milli_before,
     sql_timestamp,
 )
@@ -248,18 +257,22 @@ def store_reject(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_open(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders read as a stream into a store, every file once."""
-    schema = spark.read.parquet(f"{sf}/orders.parquet").schema
-    stream = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "orders.parquet")
-        .parquet(sf)
-        .select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
-    )
+    """Orders landed in two steps and streamed into a store, a file at a time; then progress is lost.
+
+    The stream that starts anew reads everything again, which changes nothing.
+    """
     folder = work_folder(spark)
     store = HistoryStore(spark, f"{folder}/store", order_dimension(), buckets=8)
-    query = stream_into(stream, store, f"{folder}/progress", "orders")
-    query.awaitTermination()
+
+    def run(progress: str) -> None:
+        schema = read(spark, sf, "orders").schema
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/landed")
+        stream_into(stream, store, f"{folder}/{progress}", "orders").awaitTermination()
+
+    for rows in order_batches(spark, sf):
+        rows.coalesce(1).write.mode("append").parquet(f"{folder}/landed")
+        run("progress")
+    run("lost")
     return store.state().open
 
 
@@ -272,13 +285,34 @@ def scd1_rejected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scd2_without_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    """A batch taken as it is, with no open duplicates reported: the rows that ended."""
+    """A batch taken as it is, with no open duplicates reported.
+
+    Suppliers come twice and are opened twice; the repeats are still rejected as such, so every
+    table of the run shows, each row as text.
+    """
     dimension = Dimension(
         PARTY.keys, PARTY.valid_from, dedup=False, reject_open_duplicates=False
     )
     state = State(party_open(spark, sf), *_party_tables(spark, sf, dimension))
-    after = scd2_run(state, party_changes(spark, sf), dimension)
-    return after.open.unionByName(after.closed)
+    changes = party_changes(spark, sf)
+    batch = changes.unionByName(changes.where("kind = 'S'"))
+    after = scd2_run(state, batch, dimension)
+
+    def shown(rows: DataFrame, table: str) -> DataFrame:
+        return rows.select(F.lit(table).alias("part"), row_text(rows).alias("row_text"))
+
+    return (
+        shown(after.open, "open")
+        .unionByName(shown(after.closed, "closed"))
+        .unionByName(after.rejects.select(F.concat(F.lit("reject "), "reason").alias("part"), F.col("rowData").alias("row_text")))
+    )
+
+
+def scd2_late_reject(spark: SparkSession, sf: str) -> DataFrame:
+    """Events of the second date range, then those of the first: what changed comes too late."""
+    strict = Dimension(EVENTS.keys, EVENTS.valid_from, EVENTS.ignore, late="reject")
+    first, second, _ = event_batches(spark, sf)
+    return scd2_fold([second, first], strict).rejects
 
 
 def _party_tables(
@@ -293,11 +327,19 @@ def _party_tables(
 
 
 def _history_base(spark: SparkSession, sf: str) -> DataFrame:
-    """Every customer open, and an ended version of each one in a low nation."""
-    base = party_base(spark, sf).select("party_id", "name", "nation", "segment", "update_ts")
+    """Every customer and every nation open, and an ended version of each customer in a low nation."""
+    nations = read(spark, sf, "nation").select(
+        (F.col("n_nationkey") + 1_000_000_000).cast("bigint").alias("party_id"),
+        F.col("n_name").alias("name"),
+        F.col("n_nationkey").alias("nation"),
+        F.lit("NATION").alias("segment"),
+        F.lit(None).cast("double").alias("balance"),
+        F.lit(BASE_TS).cast("timestamp_ntz").alias("update_ts"),
+    )
+    base = party_base(spark, sf).drop("kind").unionByName(nations)
     end = F.lit(None).cast("timestamp_ntz")
     now = base.withColumns({"active_ind": F.lit("Y"), "end_dt": end})
-    before = base.where("nation < 10").withColumns(
+    before = base.where("nation < 10 AND segment <> 'NATION'").withColumns(
         {
             "segment": F.lit("EARLIER"),
             "active_ind": F.lit("N"),
@@ -308,17 +350,9 @@ def _history_base(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _history_landing(spark: SparkSession, sf: str) -> DataFrame:
-    """Customers of some segments as they are now, and suppliers under negative numbers."""
-    changes = party_changes(spark, sf).select(
-        F.when(F.col("kind") == "S", -1 - F.col("party_id"))
-        .otherwise(F.col("party_id"))
-        .alias("party_id"),
-        "name",
-        "nation",
-        "segment",
-        "update_ts",
-    )
-    return changes.where("segment IN ('CHANGED', 'MACHINERY', 'SUPPLIER')")
+    """Every customer as it is now, and suppliers under negative numbers; no nation has landed."""
+    number = F.when(F.col("kind") == "S", -1 - F.col("party_id")).otherwise(F.col("party_id"))
+    return party_changes(spark, sf).withColumn("party_id", number).drop("kind")
 
 
 AS_OF = "2024-06-01 00:00:00"
@@ -333,6 +367,32 @@ def scd2_null_key_merge(spark: SparkSession, sf: str) -> DataFrame:
     return merge_history(*_history(spark, sf))
 
 
+def history_into_table(spark: SparkSession, sf: str) -> DataFrame:
+    base, landing, key, as_of = _history(spark, sf)
+    return history_into(_stored(base, "history"), landing, key, as_of)
+
+
+def scd1_into_table(spark: SparkSession, sf: str) -> DataFrame:
+    return scd1_into(_stored(party_open(spark, sf), "open"), party_batch(spark, sf), PARTY)
+
+
+def merge_into_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in a table; the changes are merged into it twice, which is the same as once."""
+    name = _stored(party_base(spark, sf), "party")
+    for _ in range(2):
+        merge = merge_on(spark, name).using(party_changes(spark, sf)).on_keys(["kind", "party_id"])
+        merge_into(merge.when_matched().update_all().when_not_matched().insert_all(), name)
+    return spark.sql(f"SELECT * FROM {name}")
+
+
+def _stored(rows: DataFrame, stem: str) -> str:
+    """The name of a new table with these rows."""
+    name = f"{stem}_{uuid.uuid4().hex}"
+    create_table_like(rows, name, [], work_folder(rows.sparkSession))
+    append(rows, name)
+    return name
+
+
 def merge_source_union(spark: SparkSession, sf: str) -> DataFrame:
     return merge_source(*_history(spark, sf))
 
@@ -381,7 +441,11 @@ QUERIES = {
     "scd1_upsert": scd1,
     "scd1_reject": scd1_rejected,
     "scd2_without_dedup": scd2_without_dedup,
+    "scd2_late_reject": scd2_late_reject,
     "scd2_null_key_merge": scd2_null_key_merge,
+    "history_into_table": history_into_table,
+    "scd1_into_table": scd1_into_table,
+    "merge_into_table": merge_into_table,
     "merge_source_union": merge_source_union,
     "in_subquery_correlated": in_subquery_correlated,
 }
@@ -426,7 +490,7 @@ def _row_text(names: list[str], stamps: tuple[str, ...]) -> str:
 
 
 _STAMPS = ("update_ts", "valid_from", "valid_to", "ts", "o_orderdate")
-_BATCH_NAMES = _OPEN_NAMES[:8]
+_BATCH_NAMES = _OPEN_NAMES[:9]
 _BATCH_REJECTS = f"""
 SELECT 'DUPLICATE_IN_MICRO_BATCH' AS reason,
        {_row_text([*_BATCH_NAMES, '1'], _STAMPS)} AS "rowData"
@@ -437,7 +501,7 @@ SELECT 'DUPLICATE_RECORD_OPEN' AS reason,
        {_row_text([*_LEFT_NAMES, '3'], tuple(f'left_{n}' for n in _STAMPS))} AS "rowData"
 FROM classified WHERE status = 3"""
 
-_EVENT_NAMES = ["event_id", "ts", "user_id", "event_type", "props", "row_md5", "row_key"]
+_EVENT_NAMES = ["event_id", "ts", "user_id", "event_type", "value", "props", "row_md5", "row_key"]
 _ENDS = ["valid_from", "valid_to", "delete_indicator"]
 _EVENT_OPEN = f"WITH {EVENTS_SQL} SELECT * FROM open3"
 _EVENT_CLOSED = f"""WITH {EVENTS_SQL}
@@ -453,20 +517,36 @@ FROM (SELECT * FROM same1 UNION ALL SELECT * FROM same2 UNION ALL SELECT * FROM
 _ALL_EVENTS = f"""WITH {EVENTS_SQL},
 ranked AS (
   SELECT {', '.join(_EVENT_NAMES)}, row_number() OVER (
-    PARTITION BY row_key ORDER BY ts, event_id, user_id, event_type, props) AS place
+    PARTITION BY row_key ORDER BY ts, event_id, user_id, event_type, value, props) AS place
   FROM enriched)"""
 
 _HISTORY = f"""{PARTY_SCD_SQL},
 hist AS (
-  SELECT party_id, name, nation, segment, update_ts, 'Y' AS active_ind,
+  SELECT party_id, name, nation, segment, balance, update_ts, 'Y' AS active_ind,
          CAST(NULL AS TIMESTAMP) AS end_dt FROM base_raw
   UNION ALL
-  SELECT party_id, name, nation, 'EARLIER', update_ts, 'N', TIMESTAMP '2023-06-30 00:00:00'
+  SELECT CAST(n_nationkey + 1000000000 AS BIGINT), n_name, n_nationkey, 'NATION', NULL,
+         TIMESTAMP '{BASE_TS}', 'Y', NULL FROM nation
+  UNION ALL
+  SELECT party_id, name, nation, 'EARLIER', balance, update_ts, 'N', TIMESTAMP '2023-06-30 00:00:00'
   FROM base_raw WHERE nation < 10),
 land AS (
   SELECT CASE WHEN kind = 'S' THEN -1 - party_id ELSE party_id END AS party_id, name, nation,
-         segment, update_ts
-  FROM changes_raw WHERE segment IN ('CHANGED', 'MACHINERY', 'SUPPLIER'))"""
+         segment, balance, update_ts
+  FROM changes_raw)"""
+
+_NULL_KEY_MERGE = f"""WITH {_HISTORY}
+SELECT party_id, name, nation, segment, balance, update_ts,
+       CASE WHEN active_ind = 'Y' AND hit THEN 'N' ELSE active_ind END AS active_ind,
+       CASE WHEN active_ind = 'Y' AND hit THEN TIMESTAMP '{AS_OF}' ELSE end_dt END AS end_dt
+FROM (SELECT *, party_id IN (SELECT party_id FROM land) AS hit FROM hist)
+UNION ALL
+SELECT party_id, name, nation, segment, balance, update_ts, 'Y', NULL FROM land"""
+
+_SCD1 = f"""WITH {PARTY_SCD_SQL}
+SELECT {_OPEN} FROM incoming
+UNION ALL
+SELECT {_OPEN} FROM base_open WHERE row_key NOT IN (SELECT row_key FROM incoming)"""
 
 SQL = {
     "dedup_keep": f"WITH {PARTY_SCD_SQL} SELECT * EXCLUDE (rn) FROM marked WHERE rn = 1",
@@ -529,32 +609,42 @@ FROM batch""",
     "store_open": _EVENT_OPEN,
     "store_close": _EVENT_CLOSED,
     "store_reject": _EVENT_REJECTS,
-    "stream_open": f"""WITH {ORDERS_SQL},
-newest AS (
-  SELECT *, row_number() OVER (
-    PARTITION BY row_key ORDER BY o_orderdate DESC, o_orderkey) AS place
-  FROM kept)
-SELECT * EXCLUDE (batch_no, place) FROM newest WHERE place = 1""",
-    "scd1_upsert": f"""WITH {PARTY_SCD_SQL}
-SELECT {_OPEN} FROM incoming
+    "stream_open": f"""WITH {ORDERS_SQL}
+SELECT * EXCLUDE (batch_no, known, same) FROM compared WHERE known IS NULL OR NOT same
 UNION ALL
-SELECT {_OPEN} FROM base_open WHERE row_key NOT IN (SELECT row_key FROM incoming)""",
+SELECT * EXCLUDE (batch_no) FROM kept
+WHERE batch_no = 1 AND row_key NOT IN (SELECT row_key FROM compared WHERE NOT coalesce(same, false))""",
+    "scd1_upsert": _SCD1,
+    "scd1_into_table": _SCD1,
     "scd1_reject": f"WITH {PARTY_SCD_SQL} {_BATCH_REJECTS}",
-    "scd2_without_dedup": f"""WITH {_CLASSIFIED}
-SELECT * FROM next_open UNION ALL SELECT * FROM closed""",
-    "scd2_null_key_merge": f"""WITH {_HISTORY}
-SELECT party_id, name, nation, segment, update_ts,
-       CASE WHEN active_ind = 'Y' AND hit THEN 'N' ELSE active_ind END AS active_ind,
-       CASE WHEN active_ind = 'Y' AND hit THEN TIMESTAMP '{AS_OF}' ELSE end_dt END AS end_dt
-FROM (SELECT *, party_id IN (SELECT party_id FROM land) AS hit FROM hist)
+    "scd2_without_dedup": f"""WITH {_CLASSIFIED},
+twice AS (SELECT * FROM changes WHERE kind = 'S')
+SELECT 'open' AS part, {_row_text(_OPEN_NAMES, _STAMPS)} AS row_text
+FROM (SELECT {_OPEN} FROM next_open UNION ALL SELECT {_OPEN} FROM twice)
+UNION ALL
+SELECT 'closed', {_row_text(_OPEN_NAMES, _STAMPS)} FROM closed
+UNION ALL
+SELECT 'reject DUPLICATE_IN_MICRO_BATCH', {_row_text([*_BATCH_NAMES, '1'], _STAMPS)} FROM twice""",
+    "scd2_late_reject": f"""WITH {LATE_EVENTS_SQL}
+SELECT 'DUPLICATE_IN_MICRO_BATCH' AS reason,
+       {_row_text([*_EVENT_NAMES, '1'], _STAMPS)} AS "rowData"
+FROM marked WHERE rn > 1 AND batch_no < 3
+UNION ALL
+SELECT CASE WHEN same THEN 'DUPLICATE_RECORD_OPEN' ELSE 'LATE_RECORD' END,
+       {_row_text([*_EVENT_NAMES, *_ENDS, 'CASE WHEN same THEN 3 ELSE 6 END'], _STAMPS)}
+FROM paired WHERE known IS NOT NULL""",
+    "scd2_null_key_merge": _NULL_KEY_MERGE,
+    "history_into_table": _NULL_KEY_MERGE,
+    "merge_into_table": f"""WITH {PARTY_SQL}
+SELECT * FROM changes_raw
 UNION ALL
-SELECT party_id, name, nation, segment, update_ts, 'Y', NULL FROM land""",
+SELECT * FROM base_raw WHERE (kind, party_id) NOT IN (SELECT (kind, party_id) FROM changes_raw)""",
     "merge_source_union": f"""WITH {_HISTORY}
-SELECT CAST(NULL AS BIGINT) AS key_match, party_id, name, nation, segment, update_ts,
+SELECT CAST(NULL AS BIGINT) AS key_match, party_id, name, nation, segment, balance, update_ts,
        'Y' AS active_ind, TIMESTAMP '{AS_OF}' AS end_dt
 FROM land
 UNION ALL
-SELECT party_id, party_id, name, nation, segment, update_ts, active_ind, end_dt
+SELECT party_id, party_id, name, nation, segment, balance, update_ts, active_ind, end_dt
 FROM hist WHERE active_ind = 'Y' AND party_id IN (SELECT party_id FROM land)""",
     "in_subquery_correlated": f"""WITH {_HISTORY}
 SELECT * FROM hist

@@ -203,7 +203,7 @@ SQL = {
     "merge_string_cond": _UPSERT,
     "merge_column_cond": f"""WITH {PARTY_SQL}
 SELECT b.kind, b.party_id, b.name, b.nation,
-       CASE WHEN b.segment <> c.segment THEN c.segment ELSE b.segment END AS segment, b.update_ts
+       CASE WHEN b.segment <> c.segment THEN c.segment ELSE b.segment END AS segment, b.balance, b.update_ts
 FROM {_B}
 UNION ALL
 SELECT {_NEW} FROM {_FRESH} AND c.kind = 'S'""",
@@ -218,13 +218,13 @@ SELECT {_NEW} FROM {_FRESH} AND c.nation < 12""",
     "merge_update_all": _UPSERT,
     "merge_update_map": f"""WITH {PARTY_SQL}
 SELECT b.kind, b.party_id, b.name, b.nation, coalesce(c.segment, b.segment) AS segment,
-       coalesce(c.update_ts, b.update_ts) AS update_ts
+       b.balance, coalesce(c.update_ts, b.update_ts) AS update_ts
 FROM {_B}""",
     "merge_update_expr": f"""WITH {PARTY_SQL}
 SELECT b.kind, b.party_id,
        CASE WHEN c.kind IS NULL THEN b.name ELSE b.name || '/' || c.segment END AS name,
        CASE WHEN c.kind IS NULL THEN b.nation ELSE b.nation + 100 END AS nation,
-       b.segment, b.update_ts
+       b.segment, b.balance, b.update_ts
 FROM {_B}""",
     "merge_delete": f"""WITH {PARTY_SQL}
 SELECT {_SAME} FROM base_raw b
@@ -238,24 +238,24 @@ SELECT {_SAME} FROM base_raw b UNION ALL SELECT {_NEW} FROM {_FRESH}""",
     "merge_insert_map": f"""WITH {PARTY_SQL}
 SELECT {_SAME} FROM base_raw b
 UNION ALL
-SELECT c.kind, c.party_id, upper(c.name), NULL, NULL, NULL FROM {_FRESH}""",
+SELECT c.kind, c.party_id, upper(c.name), NULL, NULL, NULL, NULL FROM {_FRESH}""",
     "merge_insert_expr": f"""WITH {PARTY_SQL}
 SELECT {_SAME} FROM base_raw b
 UNION ALL
-SELECT c.kind, c.party_id, NULL, NULL, lower(c.segment), c.update_ts FROM {_FRESH}""",
+SELECT c.kind, c.party_id, NULL, NULL, lower(c.segment), NULL, c.update_ts FROM {_FRESH}""",
     "merge_first_clause_wins": f"""WITH {PARTY_SQL}
 SELECT b.kind, b.party_id, b.name, b.nation,
        CASE WHEN c.kind IS NULL THEN b.segment WHEN b.nation = 0 THEN 'FIRST'
             WHEN b.nation < 5 THEN c.segment ELSE b.segment END AS segment,
-       b.update_ts
+       b.balance, b.update_ts
 FROM {_B} WHERE c.kind IS NULL OR NOT (b.nation BETWEEN 1 AND 2)
 UNION ALL
-SELECT c.kind, c.party_id, NULL, NULL, 'LOW', NULL FROM {_FRESH} AND c.nation < 6
+SELECT c.kind, c.party_id, NULL, NULL, 'LOW', NULL, NULL FROM {_FRESH} AND c.nation < 6
 UNION ALL
 SELECT {_NEW} FROM {_FRESH} AND c.nation >= 6 AND c.nation < 12""",
     "merge_delete_update_insert": f"""WITH {PARTY_SQL}
 SELECT b.kind, b.party_id, b.name, b.nation, coalesce(c.segment, b.segment) AS segment,
-       b.update_ts
+       b.balance, b.update_ts
 FROM {_B} WHERE c.kind IS NULL OR b.nation <> 0
 UNION ALL
 SELECT {_NEW} FROM {_FRESH}""",

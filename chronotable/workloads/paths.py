@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from chronotable.functions import base_name, file_kind, replace_prefix
 from chronotable.operators.checks import assert_single_value as single_value
 from chronotable.operators.relocate import join_on_basename as on_basename
-from chronotable.operators.relocate import relocate, target_directory
+from chronotable.operators.relocate import LOCATION_PROPERTIES, relocate, target_directory
 from chronotable.workloads.recipes import read
 
 FROM, TO = "http://", "https://"
@@ -56,16 +56,12 @@ def rewrite_nested_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rewrite_map_paths(spark: SparkSession, sf: str) -> DataFrame:
-    properties = F.create_map(
-        F.lit("write.data.path"), F.col("url"), F.lit("owner"), F.col("url")
-    )
+    """Each of the properties that hold a location, and one that does not."""
+    names = [*LOCATION_PROPERTIES, "owner"]
+    properties = F.create_map(*[x for n in names for x in (F.lit(n), F.col("url"))])
     tables = _pages(spark, sf).select("page_id", properties.alias("properties"))
     moved = relocate(tables, FROM, TO, properties=["properties"])
-    return moved.select(
-        "page_id",
-        F.col("properties")["write.data.path"].alias("data_path"),
-        F.col("properties")["owner"].alias("owner"),
-    )
+    return moved.select("page_id", F.explode("properties").alias("name", "location"))
 
 
 def assert_single_value(spark: SparkSession, sf: str) -> DataFrame:
@@ -80,12 +76,16 @@ def assert_single_value(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def join_on_basename(spark: SparkSession, sf: str) -> DataFrame:
-    """Pages next to the newest of the lists that carry the same base name."""
-    lists = _pages(spark, sf).select(
+    """Pages next to the newest of the lists that carry the same base name.
+
+    Only encrypted pages are listed, so many base names have no list; ties by format go to the greater number.
+    """
+    lists = _pages(spark, sf).where(F.startswith("url", F.lit(TO))).select(
         F.col("page_id").alias("snapshot_id"),
         F.concat(F.lit("s3://lists/"), base_name(F.col("url"))).alias("list_path"),
+        (F.col("page_id") % 2).alias("format_version"),
     )
-    return on_basename(_pages(spark, sf), "url", lists, "list_path", "snapshot_id")
+    return on_basename(_pages(spark, sf), "url", lists, "list_path", "format_version", missing="keep")
 
 
 def relocate_entries(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,17 +135,22 @@ SQL = {
         SELECT page_id, page_id AS id, {_moved('url')} AS path FROM pages
         UNION ALL SELECT page_id, page_id + 1, 'copy-of-' || url FROM pages""",
     "rewrite_map_paths": f"""
-        SELECT page_id, {_moved('url')} AS data_path, url AS owner FROM pages""",
+        SELECT page_id, name, CASE WHEN name = 'owner' THEN url ELSE {_moved('url')} END AS location
+        FROM pages, (VALUES {', '.join(f"('{n}')" for n in (*LOCATION_PROPERTIES, 'owner'))}) names(name)""",
     "assert_single_value": """
         SELECT 2 AS format_version,
                min(CASE WHEN o_orderstatus = 'F' THEN 'S3://LAKE/orders'
                         ELSE 's3://lake/orders' END) AS location
         FROM orders""",
     "join_on_basename": f"""
-        WITH named AS (SELECT page_id, url, {_BASE} AS base_name FROM pages)
-        SELECT page_id, url, base_name, max(page_id) OVER (PARTITION BY base_name) AS snapshot_id,
-               's3://lists/' || base_name AS list_path
-        FROM named""",
+        WITH named AS (SELECT page_id, url, {_BASE} AS base_name FROM pages),
+        newest AS (
+          SELECT base_name AS name, page_id AS snapshot_id, 's3://lists/' || base_name AS list_path,
+                 page_id % 2 AS format_version,
+                 row_number() OVER (PARTITION BY base_name ORDER BY page_id % 2 DESC, page_id DESC) AS n
+          FROM named WHERE starts_with(url, '{TO}'))
+        SELECT page_id, url, base_name, snapshot_id, list_path, format_version
+        FROM named LEFT JOIN newest ON name = base_name AND n = 1""",
     "relocate_entries": f"""
         SELECT page_id, {_moved('url', 's3://lake/metadata_aws/')} AS url,
                CASE WHEN contains(url, '.org/') THEN 'DELETED'

@@ -26,7 +26,7 @@ def _ts(text: str) -> Column:
 
 BASE_TS, BATCH_TS = "2024-01-01 00:00:00", "2024-02-01 00:00:00.123456"
 PARTY = Dimension(keys=["kind", "party_id"], valid_from="update_ts")
-PARTY_COLUMNS = "kind, party_id, name, nation, segment, update_ts"
+PARTY_COLUMNS = "kind, party_id, name, nation, segment, balance, update_ts"
 
 
 def _party(
@@ -38,6 +38,7 @@ def _party(
         F.col(f"{prefix}_name").alias("name"),
         F.col(f"{prefix}_nationkey").alias("nation"),
         segment.alias("segment"),
+        F.col(f"{prefix}_acctbal").alias("balance"),
         _ts(ts).alias("update_ts"),
     )
 
@@ -92,15 +93,15 @@ def sql_milli_before(column: str) -> str:
 PARTY_SQL = f"""
 base_raw AS (
   SELECT 'C' AS kind, c_custkey AS party_id, c_name AS name, c_nationkey AS nation,
-         c_mktsegment AS segment, TIMESTAMP '{BASE_TS}' AS update_ts
+         c_mktsegment AS segment, c_acctbal AS balance, TIMESTAMP '{BASE_TS}' AS update_ts
   FROM customer),
 changes_raw AS (
   SELECT 'C' AS kind, c_custkey AS party_id, c_name AS name, c_nationkey AS nation,
          CASE WHEN c_nationkey < 5 THEN 'CHANGED' ELSE c_mktsegment END AS segment,
-         TIMESTAMP '{BATCH_TS}' AS update_ts
+         c_acctbal AS balance, TIMESTAMP '{BATCH_TS}' AS update_ts
   FROM customer
   UNION ALL
-  SELECT 'S', s_suppkey, s_name, s_nationkey, 'SUPPLIER', TIMESTAMP '{BATCH_TS}'
+  SELECT 'S', s_suppkey, s_name, s_nationkey, 'SUPPLIER', s_acctbal, TIMESTAMP '{BATCH_TS}'
   FROM supplier),
 batch_raw AS (
   SELECT * FROM changes_raw
@@ -109,7 +110,7 @@ batch_raw AS (
 
 
 def _party_fingerprints(source: str) -> str:
-    return f"""SELECT *, {sql_md5('name', 'nation', 'segment')} AS row_md5,
+    return f"""SELECT *, {sql_md5('name', 'nation', 'segment', 'balance')} AS row_md5,
   {sql_md5('kind', 'party_id')} AS row_key FROM {source}"""
 
 
@@ -127,7 +128,7 @@ changes AS (
 marked AS (
   SELECT *, row_number() OVER (
     PARTITION BY row_key
-    ORDER BY update_ts, kind, party_id, name, nation, segment, row_md5) AS rn
+    ORDER BY update_ts, kind, party_id, name, nation, segment, balance, row_md5) AS rn
   FROM batch),
 incoming AS (
   SELECT * EXCLUDE (rn), {validity_sql('update_ts')} FROM marked WHERE rn = 1)
@@ -141,7 +142,7 @@ EVENT_CUTS = ("2024-01-10 00:00:00", "2024-01-20 00:00:00")
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
+    return read(spark, sf_dir, "events")
 
 
 def event_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
@@ -156,14 +157,14 @@ def event_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 
 _EVENT_CTE = f"""
 enriched AS (
-  SELECT event_id, ts, user_id, event_type, props,
-         {sql_md5('event_type', 'props')} AS row_md5, {sql_md5('user_id')} AS row_key,
+  SELECT event_id, ts, user_id, event_type, value, props,
+         {sql_md5('event_type', 'value', 'props')} AS row_md5, {sql_md5('user_id')} AS row_key,
          CASE WHEN ts < TIMESTAMP '{EVENT_CUTS[0]}' THEN 1
               WHEN ts < TIMESTAMP '{EVENT_CUTS[1]}' THEN 2 ELSE 3 END AS batch_no
   FROM events),
 marked AS (
   SELECT *, row_number() OVER (
-    PARTITION BY batch_no, row_key ORDER BY ts, event_id, user_id, event_type, props) AS rn
+    PARTITION BY batch_no, row_key ORDER BY ts, event_id, user_id, event_type, value, props) AS rn
   FROM enriched),
 kept AS (SELECT *, {validity_sql('ts')} FROM marked WHERE rn = 1),
 """
@@ -171,7 +172,7 @@ kept AS (SELECT *, {validity_sql('ts')} FROM marked WHERE rn = 1),
 
 def _event_step(n: int, before: str) -> str:
     """CTEs that take batch ``n`` to the open rows after it, and what it closed and refused."""
-    names = "event_id, ts, user_id, event_type, props, row_md5, row_key"
+    names = "event_id, ts, user_id, event_type, value, props, row_md5, row_key"
     ends = "valid_from, valid_to, delete_indicator"
     both = f"kept k JOIN {before} o USING (row_key)"
     old = ", ".join(f"o.{c.strip()}" for c in names.split(",") if c.strip() != "row_key")
@@ -191,6 +192,13 @@ open{n} AS (
      OR row_key IN (SELECT row_key FROM same{n}))"""
 
 
+LATE_EVENTS_SQL = f"""{_EVENT_CTE}
+paired AS (
+  SELECT k.*, o.row_key AS known, o.row_md5 = k.row_md5 AS same
+  FROM (SELECT * FROM kept WHERE batch_no = 1) k
+  LEFT JOIN (SELECT * FROM kept WHERE batch_no = 2) o ON k.row_key = o.row_key)"""
+
+
 EVENTS_SQL = (
     _EVENT_CTE
     + "open0 AS (SELECT * EXCLUDE (batch_no, rn) FROM kept WHERE false),"
@@ -213,17 +221,15 @@ def order_dimension() -> Dimension:
 
 
 def order_batches(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
-    rows = read(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"
-    )
+    rows = read(spark, sf_dir, "orders")
     early = F.col("o_orderdate") < _ts(ORDER_CUT)
     return [rows.where(early), rows.where(~early)]
 
 
 ORDERS_SQL = f"""
 enriched AS (
-  SELECT o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority,
-         {sql_md5('o_orderstatus', 'o_orderpriority')} AS row_md5,
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+         {sql_md5('o_orderstatus', 'o_totalprice', 'o_orderpriority')} AS row_md5,
          {sql_md5('o_custkey')} AS row_key,
          CASE WHEN o_orderdate < TIMESTAMP '{ORDER_CUT}' THEN 1 ELSE 2 END AS batch_no
   FROM orders),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronotable.operators.dedup import sort_by_key
@@ -17,7 +17,7 @@ from chronotable.sources.tables import (
     get_property,
     set_properties,
 )
-from chronotable.sources.workspace import work_folder
+from chronotable.sources.workspace import materialize, work_folder
 from chronotable.workloads.recipes import (
     order_batches,
     order_dimension,
@@ -110,8 +110,17 @@ def ctas_bucketed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sorted_by_key(spark: SparkSession, sf: str) -> DataFrame:
+    """Both batches, sorted; ``place`` is the number of rows before a row in the order they come."""
     first, second = order_batches(spark, sf)
-    return sort_by_key(order_dimension().enrich(first.unionByName(second)))
+    ordered = sort_by_key(order_dimension().enrich(first.unionByName(second)))
+    # Partitions of a sorted frame follow one another: rows of earlier ones, then those of its own.
+    numbered = ordered.select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("number"))
+    numbered = materialize(numbered)
+    sizes = numbered.groupBy("part").agg(F.count("*").alias("rows"), F.min("number").alias("first"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sizes.select("part", "first", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("number") - F.col("first")
+    return numbered.join(placed, "part").select(*ordered.columns, place.alias("place"))
 
 
 QUERIES = {
@@ -128,7 +137,7 @@ QUERIES = {
     "sorted_by_key": sorted_by_key,
 }
 
-_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_orderdate, o_orderpriority"
+_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 SQL = {
     "table_scan": "SELECT * FROM orders",
@@ -153,7 +162,8 @@ SQL = {
         SELECT o_orderkey, o_custkey, o_orderdate, l_linenumber, l_shipdate
         FROM orders JOIN lineitem ON o_orderkey = l_orderkey""",
     "sorted_by_key": f"""
-        SELECT {_ORDERS}, {sql_md5('o_orderstatus', 'o_orderpriority')} AS row_md5,
-               {sql_md5('o_custkey')} AS row_key
-        FROM orders""",
+        SELECT *, row_number() OVER (ORDER BY row_key, {_ORDERS}, row_md5) - 1 AS place
+        FROM (SELECT {_ORDERS}, {sql_md5('o_orderstatus', 'o_totalprice', 'o_orderpriority')} AS row_md5,
+                     {sql_md5('o_custkey')} AS row_key
+              FROM orders)""",
 }

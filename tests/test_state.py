@@ -36,13 +36,16 @@ def test_batches(store, batches):
     assert reasons(now.rejects) == REASONS
 
 
-def test_earlier_versions_stay_readable(store, batches):
+def test_earlier_versions_stay_readable(spark, store, batches):
     for batch in batches:
         store.apply(batch)
     first = store.state(1)
     assert {r.id for r in first.open.collect()} == {"1", "2"}
     assert first.closed.count() == first.rejects.count() == 0
     assert store.state(2).closed.count() == 1
+    store.create_views("people")
+    joined = "SELECT count(*) FROM people_open JOIN people_closed USING (row_key)"
+    assert spark.sql(joined).first()[0] == len(CLOSED)
     with pytest.raises(ValueError, match="no version 9"):
         store.state(9)
 

@@ -13,6 +13,7 @@ from chronotable.sources.tables import (
     create_table,
     create_table_like,
     get_property,
+    replace_rows,
     set_properties,
 )
 
@@ -150,3 +151,18 @@ def test_merge_of_an_update_file(spark, tmp_path):
         (200, "JAN", 4400),
         (990, "DI", 1),
     }
+
+
+def test_rows_are_replaced_by_ones_made_from_them(spark, tmp_path):
+    name = "replaced"
+    create_table(spark, name, spark.range(0).schema, base_location=str(tmp_path))
+    append(spark.range(5), name)
+    old = spark.table(name)
+    assert replace_rows(old.where("id > 2").selectExpr("CAST(id AS INT) AS id"), name).count() == 2
+    assert replace_rows(spark.table(name).union(spark.table(name)), name).count() == 4
+    assert spark.sql(f"SELECT sum(id) FROM {name}").first()[0] == 14
+    append(spark.range(1), name)
+    assert spark.table(name).count() == 5
+    create_table(spark, "in_parts", spark.range(0).selectExpr("id", "id AS p").schema, ["p"], str(tmp_path))
+    with pytest.raises(ValueError, match="partitioned"):
+        replace_rows(spark.range(1).selectExpr("id", "id AS p"), "in_parts")
