@@ -6,8 +6,6 @@ change detection: landing the same row again opens another version.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

@@ -56,7 +56,6 @@ from chronotable.workloads.recipes import (
     party_base,
     party_batch,
     party_changes,
-    party_incoming,
     party_open,
     read,
     sql_milli_before,
