@@ -20,6 +20,19 @@ def texts(documents: DataFrame) -> DataFrame:
     return documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
 
 
+_SHARES = 1 << 30
+
+
+def first_by_hash(ids: DataFrame, most: int, column: str = "doc_id") -> DataFrame:
+    """At most so many of the ids, those whose hash comes first.
+
+    A bound on the hash that some four times as many pass keeps what is sorted as small as the sample, however many tasks there are.
+    """
+    order = F.pmod(F.xxhash64(column), F.lit(_SHARES))
+    bound = min(_SHARES, 4 * most * _SHARES // max(ids.count(), 1))
+    return ids.where(order < bound).orderBy(order, column).limit(most)
+
+
 def in_groups(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str]]:
     """The texts in order, in groups of about so many characters, so that lists of words stay small."""
     group: list[str] = []
@@ -35,7 +48,7 @@ def in_groups(texts: pa.Array, chars: int = 1_000_000) -> Iterator[list[str]]:
         yield group
 
 
-def in_slices(texts: pa.Array, size: int = 12_000_000) -> Iterator[pa.Array]:
+def in_slices(texts: pa.Array, size: int = 20_000_000) -> Iterator[pa.Array]:
     """The texts in order, in slices of about so many bytes; one long text makes a slice of its own."""
     sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64)
     ends = np.cumsum(sizes)

@@ -27,7 +27,9 @@ _RARE_SPACES = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in "
 _BEFORE_WORD = re.compile(r"(?= \S)")
 # Letters that every version of Unicode knows as letters, then symbols.
 _PUNCTUATED = re.compile("([A-Za-zÀ-ÖØ-öø-ɏ]+)([!-&(-/:-@\\[-`{-~]+)")
-_AT_ONCE = 8_000  # words; an encoding takes far more memory than its ids
+_NOT_LOWERED = r"[^\x00-\x{02FF}]|<\|"
+_AT_ONCE = 64  # words; long encodings cost more for each word
+_PLACED = 500_000  # words put together at a time
 _SPACE = "\u0120"  # fixed: how byte-level vocabularies write the byte of a space
 
 
@@ -57,7 +59,9 @@ class ChunkEncoder:
         if self.kept:
             self.starts[[i for token, i in vocabulary.items() if token.startswith(_SPACE)]] = True
         else:
-            self.separator, i = next((t.content, i) for i, t in self.library.get_added_tokens_decoder().items() if t.special and not t.normalized)
+            # A digit between spaces is one token, which no other character gives.
+            self.separator = "0"
+            [i] = self.library.encode(self.separator, add_special_tokens=False).ids
             self.starts[i] = True
         self.words: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -102,12 +106,12 @@ class ChunkEncoder:
             fresh = [w for w in fresh if self.separator not in w]
         if not fresh:
             return
-        mark = " " if self.kept else self.separator
+        mark = " " if self.kept else f" {self.separator} "
         encoded = self.library.encode_batch_fast([mark + mark.join(fresh)], add_special_tokens=False)[0]
         ids = np.array(encoded.ids, self.dtype)
         first = np.flatnonzero(self.starts[ids])
         if len(first) != len(fresh):
-            self.words.update((w, self._alone(mark + w if self.kept else w)) for w in fresh)
+            self.words.update((w, self._alone(" " + w if self.kept else w)) for w in fresh)
             return
         size = self.dtype.itemsize
         ends = [*(first[1:] * size).tolist(), len(ids) * size]
@@ -144,6 +148,10 @@ class ChunkEncoder:
         if len(self.words) > self.limit:
             self.words, self.older = {}, self.words
         texts = texts.fill_null("")
+        if not self.kept:
+            # The vocabulary knows lower case only. What combines with a letter, or is special, is left as it is.
+            as_is = pc.match_substring_regex(texts, _NOT_LOWERED)
+            texts = pc.if_else(as_is, texts, pc.ascii_lower(texts))
         begins: dict[int, bytes] = {}
         if self.kept:
             odd = [_unusual(t) for t in texts.to_pylist()]
@@ -153,8 +161,9 @@ class ChunkEncoder:
         bounds = lists.offsets.to_numpy().astype(np.int64)
         bounds -= bounds[0]
         coded = lists.flatten().dictionary_encode()
-        place = coded.indices.to_numpy().astype(np.int64)
+        place = coded.indices.to_numpy()
         pieces = coded.dictionary.to_pylist()
+        del lists, coded
         known = np.ones(len(pieces), bool)
         if self.kept:
             # A text's first piece has no space before it.
@@ -164,7 +173,9 @@ class ChunkEncoder:
             inner = np.ones(len(place), bool)
             inner[first] = False
             known[place[inner]] = True
+            place = place.copy()
             place[first] = len(pieces) + np.arange(len(first))
+            del inner
         used = np.flatnonzero(known).tolist()
         table = [b""] * len(pieces)
         for i, ids in zip(used, self._pieces([pieces[i] for i in used]), strict=True):
@@ -172,12 +183,19 @@ class ChunkEncoder:
         if self.kept:
             table += starts
         flat = np.frombuffer(b"".join(table), self.dtype)
-        sizes = np.fromiter(map(len, table), np.int64, len(table)) // self.dtype.itemsize
-        begin = np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, table), np.int32, len(table)) // self.dtype.itemsize
+        del pieces, table
+        begin = np.cumsum(sizes, dtype=np.int64) - sizes
+        # An Arrow array of strings has fewer than 2 ** 31 bytes, and no more ids than bytes.
         each = sizes[place]
-        after = np.concatenate([[0], np.cumsum(each)])
-        ids = flat[np.repeat(begin[place] - after[:-1], each) + np.arange(after[-1])]
-        return ids, after[bounds]
+        after = np.zeros(len(place) + 1, np.int32)
+        np.cumsum(each, out=after[1:])
+        ids = np.empty(after[-1], self.dtype)
+        for start in range(0, len(place), _PLACED):
+            some = slice(start, start + _PLACED)
+            low, high = after[start], after[min(start + _PLACED, len(place))]
+            ids[low:high] = flat[np.repeat(begin[place[some]] - after[:-1][some], each[some]) + np.arange(low, high)]
+        return ids, after[bounds].astype(np.int64)
 
     def _line(self, piece: str) -> bytes:
         return self.feed.join(map(self._head, piece.split("\n"))) if piece else b""
