@@ -22,6 +22,7 @@ those named are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
@@ -37,10 +38,13 @@ from chronotable.llm.url_lists import host_of
 from chronotable.sources.workspace import materialize
 
 _BITS = 16
+_SALTS = 64
 _ROW = ("kind", "id")
+_TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _FOLDED = np.array([b if b >= 0x80 or chr(b) in "abcdefghijklmnopqrstuvwxyz " else 0 for b in range(256)], np.uint32)
-_TAGS = r"(?s)<(?:script|style)\b.*?</(?:script|style)\s*>|<!--.*?-->|<[^>]*>"
-_DECLARED = r"(?i)<html\b[^>]*?\slang\s*=\s*[\"']?([A-Za-z]{2,3})"
+_FIRST_TAG = r"(?i)<html\b([^>]*)"
+_DECLARED = r"(?i)\slang\s*=\s*[\"']?([A-Za-z]{2,3})"
+_HIDDEN = re.compile(r"<(?:(script|style)\b|!--|)", re.IGNORECASE)
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -50,6 +54,25 @@ def trigrams(text: str) -> np.ndarray:
     return hashed[(data[:-2] > 0) & (data[1:-1] > 0) & (data[2:] > 0)].astype(np.int64)
 
 
+def visible_text(html: str) -> str:
+    """What stands between the tags, without scripts, styles and comments; one that is not closed hides the rest."""
+    lowered = html.lower()
+    if len(lowered) != len(html):  # a letter that changes its length; tags are ASCII
+        lowered = html.translate(_TO_LOWER)
+    out, at = [], 0
+    while match := _HIDDEN.search(html, at):
+        out.append(html[at : match.start()])
+        name = match.group(1)
+        closing = f"</{name.lower()}" if name else "-->" if match.group().endswith("--") else ">"
+        end = lowered.find(closing, match.end())
+        if name and end >= 0:
+            closing, end = ">", lowered.find(">", end)
+        if end < 0:
+            return " ".join(out)
+        at = end + len(closing)
+    return " ".join([*out, html[at:]])
+
+
 @dataclass(frozen=True)
 class TextModel:
     languages: list[str]
@@ -60,9 +83,13 @@ class TextModel:
 
 def train_text_model(labelled: DataFrame, most: int = 300) -> TextModel:
     """From rows (id, text, lang); texts of at most ``most`` rows of each language."""
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    # Only ids are ranked; Spark keeps the first of each language before it shuffles.
-    chosen = labelled.where("lang IS NOT NULL AND id IS NOT NULL").select("id", "lang").distinct().withColumn("rank", rank).where(F.col("rank") <= most).select("id", "lang")
+    ids = labelled.where("lang IS NOT NULL AND id IS NOT NULL").select("id", "lang").distinct()
+    ids = ids.withColumn("hash", F.xxhash64("id")).withColumn("salt", F.pmod("hash", F.lit(_SALTS)))
+    # Only ids are ranked, first among those of a language and salt, so no language gathers in a task.
+    for keys in (["lang", "salt"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash", "id"))
+        ids = ids.withColumn("rank", rank).where(F.col("rank") <= most)
+    chosen = ids.select("id", "lang")
     sample = labelled.select("id", "lang", "text").join(F.broadcast(materialize(chosen)), ["id", "lang"])
     counted = sample.groupBy("lang").applyInPandas(_trigram_counts, "lang string, counts binary").toPandas().sort_values("lang")
     if counted.empty:
@@ -90,8 +117,9 @@ def _likelihoods(model: TextModel, weight: float) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             logs, strange = [], []
-            for value in batch.column(7):
+            for value, markup in zip(batch.column(7), batch.column(8).to_pylist(), strict=True):
                 text = value.as_py() or ""
+                text = visible_text(text) if markup else text
                 if not any(map(str.isalpha, text)) or not model.languages:
                     logs.append(None)
                     strange.append(None)
@@ -128,11 +156,12 @@ def _joined(rows: DataFrame, counts: DataFrame, by: str, prefix: str, most: int
 def identify_languages(rows: DataFrame, model: TextModel, weight: float = 100.0, strength: float = 5.0, least: float = 0.5, spread: float = 3.0) -> DataFrame:
     """Language, posterior and verdict of every row.
 
-    ``rows`` has kind and id, which name a row; text, declared, suffix, domain and host, all strings, any of them null.
+    ``rows`` has kind and id, which name a row; text, declared, suffix, domain and host, all strings, any of them null;
+    ``markup`` says whether the text is HTML.
     ``mark`` is a hash of the text, which tells rows of one id apart.
     """
     n = len(model.languages)
-    rows = rows.select(*_ROW, F.xxhash64("text").alias("mark"), *[F.nullif(F.lower(F.col(c)), F.lit("")).alias(c) for c in ("declared", "suffix", "domain", "host")], "text")
+    rows = rows.select(*_ROW, F.xxhash64("text").alias("mark"), *[F.nullif(F.lower(F.col(c)), F.lit("")).alias(c) for c in ("declared", "suffix", "domain", "host")], "text", "markup")
     scored = materialize(rows.mapInArrow(_likelihoods(model, weight), "kind string, id long, mark long, declared string, suffix string, domain string, host string, text_log array<double>, strange double"))
     if not n:
         return scored.select(*_ROW, "mark", F.lit("und").alias("language"), F.lit("und").alias("text_language"), F.lit(0.0).alias("posterior"), F.lit(False).alias("kept"))
@@ -190,13 +219,15 @@ def identify_languages(rows: DataFrame, model: TextModel, weight: float = 100.0,
 
 
 def page_evidence(pages: DataFrame) -> DataFrame:
-    """Visible text, declared language and address of web pages."""
+    """Declared language, address and HTML of web pages."""
     host = host_of(F.col("url"))
+    tag = F.regexp_extract(F.coalesce("html", F.lit("")), _FIRST_TAG, 1)
     return pages.select(
         F.lit("page").alias("kind"),
         F.col("page_id").cast("long").alias("id"),
-        F.regexp_replace(F.coalesce("html", F.lit("")), _TAGS, " ").alias("text"),
-        F.regexp_extract(F.coalesce("html", F.lit("")), _DECLARED, 1).alias("declared"),
+        F.col("html").cast("string").alias("text"),
+        F.lit(True).alias("markup"),
+        F.regexp_extract(tag, _DECLARED, 1).alias("declared"),
         F.regexp_extract(host, r"\.([^.]+)$", 1).alias("suffix"),
         F.regexp_extract(host, r"([^.]+\.[^.]+)$", 1).alias("domain"),
         host.alias("host"),
@@ -209,6 +240,7 @@ def document_evidence(documents: DataFrame) -> DataFrame:
         F.lit("document").alias("kind"),
         F.col("doc_id").cast("long").alias("id"),
         F.col("text").cast("string").alias("text"),
+        F.lit(False).alias("markup"),
         F.col("lang").cast("string").alias("declared"),
         F.lit(None).cast("string").alias("suffix"),
         F.lit(None).cast("string").alias("domain"),

@@ -17,7 +17,7 @@ gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
@@ -153,23 +153,18 @@ def _distance() -> Column:
     return reduce(Column.__add__, terms)
 
 
-def _estimator(scale: bool) -> Callable:
-    """Mean and inverse covariance from a group's sums; ``scale`` corrects a half's covariance by its median distance later."""
-
-    def estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            out = []
-            for row in frame.itertuples(index=False):
-                n = row.n
-                mean = np.array([getattr(row, f"s{i}") for i in range(_P)]) / n
-                second = np.zeros((_P, _P))
-                for i, j in _PAIRS:
-                    second[i, j] = second[j, i] = getattr(row, f"s{i}_{j}") / n
-                inverse = np.linalg.inv(second - np.outer(mean, mean) + np.diag(np.square(FLOOR)))
-                out.append((row.g, *mean, *(inverse[i, j] for i, j in _PAIRS)))
-            yield pd.DataFrame(out, columns=["g", *(f"m{i}" for i in range(_P)), *(f"v{i}_{j}" for i, j in _PAIRS)])
-
-    return estimate
+def _estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Mean and inverse covariance from the sums of each group."""
+    for frame in frames:
+        out = []
+        for row in frame.itertuples(index=False):
+            mean = np.array([getattr(row, f"s{i}") for i in range(_P)]) / row.n
+            second = np.zeros((_P, _P))
+            for i, j in _PAIRS:
+                second[i, j] = second[j, i] = getattr(row, f"s{i}_{j}") / row.n
+            inverse = np.linalg.inv(second - np.outer(mean, mean) + np.diag(np.square(FLOOR)))
+            out.append((row.g, *mean, *(inverse[i, j] for i, j in _PAIRS)))
+        yield pd.DataFrame(out, columns=["g", *(f"m{i}" for i in range(_P)), *(f"v{i}_{j}" for i, j in _PAIRS)])
 
 
 _PARAMETERS = "g string, " + ", ".join([*(f"m{i} double" for i in range(_P)), *(f"v{i}_{j} double" for i, j in _PAIRS)])
@@ -177,7 +172,7 @@ _PARAMETERS = "g string, " + ", ".join([*(f"m{i} double" for i in range(_P)), *(
 
 def _from_sums(rows: DataFrame) -> DataFrame:
     sums = rows.groupBy("g").agg(F.count("*").alias("n"), *[F.sum(z).alias(f"s{i}") for i, z in enumerate(_Z)], *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i, j in _PAIRS])
-    return materialize(sums.mapInPandas(_estimator(False), _PARAMETERS))
+    return materialize(sums.mapInPandas(_estimate, _PARAMETERS))
 
 
 def _start(rows: DataFrame) -> DataFrame:
@@ -193,8 +188,8 @@ def _start(rows: DataFrame) -> DataFrame:
     )
 
 
-def fit_groups(rows: DataFrame, steps: int, share: float) -> tuple[DataFrame, DataFrame]:
-    """Estimates by group, and each group's factor that brings its median distance to that of a normal group."""
+def fit_groups(rows: DataFrame, steps: int, share: float) -> DataFrame:
+    """Estimates by group, after so many concentration steps on a share of the rows and one reweighted."""
     estimates = _start(rows)
     for step in range(steps + 1):
         measured = rows.join(_small(estimates), "g").select("g", *_Z, _distance().alias("d"))
@@ -203,7 +198,7 @@ def fit_groups(rows: DataFrame, steps: int, share: float) -> tuple[DataFrame, Da
         # The last step takes all rows within the 97.5 % bound instead of a half.
         within = F.col("near") if step < steps else F.greatest(F.col("near"), F.col("middle") * (_chi2(1.96) / _chi2(0.0)))
         estimates = _from_sums(measured.join(_small(cuts), "g").where(F.col("d") <= within))
-    return estimates, cuts
+    return estimates
 
 
 def _chi2(z: float, p: int = _P) -> float:
@@ -220,7 +215,7 @@ def judge_quality(documents: DataFrame, least: int = 60, steps: int = 3, share:
     counted = text_counts(documents).select("*", *[s.alias(z) for s, z in zip(statistics(), _Z, strict=True)])
     counted = materialize(counted)
     rows = materialize(_grouped(counted, least))
-    estimates, _ = fit_groups(rows.where("g IS NOT NULL").select("g", *_Z), steps, share)
+    estimates = fit_groups(rows.where("g IS NOT NULL").select("g", *_Z), steps, share)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     far = F.coalesce(_distance() > _chi2(deviate), F.lit(False))
     judged = rows.join(_small(estimates), "g", "left")

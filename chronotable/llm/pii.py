@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import batch_of, texts
+from chronotable.llm.common import batch_of, first_by_hash, in_groups, texts
 from chronotable.sources.workspace import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -324,23 +324,11 @@ class Finder:
         return out
 
 
-def _grouped(column: pa.Array, chars: int = 4_000_000) -> Iterator[list[str]]:
-    group, size = [], 0
-    for value in column:
-        text = value.as_py() or ""
-        group.append(text)
-        size += len(text)
-        if size >= chars:
-            yield group
-            group, size = [], 0
-    if group:
-        yield group
-
-
 def train_personal_data(documents: DataFrame, most: int = 4_000) -> Weights | None:
     """Weights of the field from the base spans of a bounded sample; None if there is no clue to learn from."""
     clues = texts(documents).where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull())
-    chosen = materialize(clues.select(F.col("doc_id").cast("long")).distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most))
+    ids = materialize(clues.select(F.col("doc_id").cast("long")).distinct())
+    chosen = materialize(first_by_hash(ids, most))
     sample = clues.withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(chosen), "doc_id")  # at most `most` ids
     trained = sample.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_fit, "part int, value array<double>").collect()
     if not trained:
@@ -368,7 +356,7 @@ def _finding(weights: Weights | None) -> Callable:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(weights)
         for batch in batches:
-            out = [found for group in _grouped(batch.column(1)) for found in finder.find(group)]
+            out = [found for group in in_groups(batch.column(1), 4_000_000) for found in finder.find(group)]
             counts = [[sum(k == kind for k, _, _ in base) for base, _ in out] for kind in range(len(KINDS))]
             digests = [hashlib.sha256(_written(base).encode()).hexdigest() for base, _ in out]
             yield batch_of(_FOUND, (batch.column(0), *counts, digests, [_written(every) for _, every in out]))

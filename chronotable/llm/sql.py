@@ -35,7 +35,7 @@ _SEGMENT = r"'^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]+)'"
 _LISTS = rf"""
 WITH c AS (
     SELECT page_id, url, page_id * 7919 % 15552000 + 1704067200 AS fetched_at,
-        nullif(lower(regexp_extract(url, {_HOST}, 1)), '') AS host,
+        CASE WHEN length(regexp_extract(url, {_HOST}, 1)) BETWEEN 1 AND 253 THEN lower(regexp_extract(url, {_HOST}, 1)) END AS host,
         nullif(regexp_extract(url, {_SEGMENT}, 1), '') AS segment
     FROM pages
 ),

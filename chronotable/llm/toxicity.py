@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import batch_of, texts
+from chronotable.llm.common import batch_of, first_by_hash, texts
 from chronotable.sources.workspace import materialize
 
 _WORD = re.compile(r"[^\W\d_]+")
@@ -158,11 +158,10 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, most_positive: int =
     if not counted.n or not counted.toxic:
         return np.zeros(1 << _BITS), -40.0
     prior = min(max(raised * counted.toxic / counted.n, 1e-4), 0.9)
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
     # Only ids are ordered and bounded; texts are fetched for the chosen few.
-    chosen = known.where("toxic = 1").select("doc_id").orderBy(*order).limit(most_positive).withColumn("positive", F.lit(True))
+    chosen = first_by_hash(known.where("toxic = 1").select("doc_id"), most_positive).withColumn("positive", F.lit(True))
     ids = documents.select(F.col("doc_id").cast("long")).where(~held_out).distinct()
-    other = ids.orderBy(*order).limit(most_unlabelled).withColumn("positive", F.lit(False))
+    other = first_by_hash(ids, most_unlabelled).withColumn("positive", F.lit(False))
     sample = F.broadcast(materialize(chosen.unionByName(other)))  # at most most_positive + most_unlabelled ids
     rows = texts(documents).withColumn("doc_id", F.col("doc_id").cast("long")).join(sample, "doc_id")
     part = F.pmod(F.xxhash64(F.lit(7), "doc_id"), F.lit(_PARTS)).cast("int")

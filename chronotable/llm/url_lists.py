@@ -25,12 +25,14 @@ from pyspark.sql import functions as F
 from chronotable.sources.workspace import materialize
 
 _HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:@]+)"
+_LONGEST_HOST = 253  # fixed: the limit of the name system
 _SEGMENT = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]+)"
 
 
 def host_of(url: Column) -> Column:
-    """Host in lower case; null if there is none."""
-    return F.nullif(F.lower(F.regexp_extract(url, _HOST, 1)), F.lit(""))
+    """Host in lower case; null if there is none. No host has more than 253 characters."""
+    host = F.lower(F.regexp_extract(url, _HOST, 1))
+    return F.when(F.char_length(host).between(1, _LONGEST_HOST), host)
 
 
 def segment_of(url: Column) -> Column:

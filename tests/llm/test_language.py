@@ -1,10 +1,12 @@
 """Language identification: text alone, fused evidence, and odd rows."""
 
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from chronotable.llm.language import TextModel, document_evidence, identify_languages, page_evidence, train_text_model
+from chronotable.llm.language import TextModel, document_evidence, identify_languages, page_evidence, train_text_model, visible_text
 from chronotable.llm.queries import op8_language
 
 SF = "/root/testdata/sf0.01"
@@ -34,12 +36,12 @@ def toy():
     return TextModel(["de", "en"], table, np.array([-11.0, -11.0]), np.array([1.0, 1.0]))
 
 
-EVIDENCE = "kind string, id long, text string, declared string, suffix string, domain string, host string"
+EVIDENCE = "kind string, id long, text string, markup boolean, declared string, suffix string, domain string, host string"
 
 
 def test_other_evidence_decides_where_the_text_does_not(spark):
     # The text says nothing: both languages are as likely. The declared language goes with neither, either.
-    rows = [("page", i, "abc", None, None, None, None) for i in range(4)]
+    rows = [("page", i, "abc", False, None, None, None, None) for i in range(4)]
     found = identify_languages(spark.createDataFrame(rows, EVIDENCE), toy()).collect()
     assert all(r.posterior == pytest.approx(0.5) for r in found)
 
@@ -48,8 +50,8 @@ def test_a_host_lends_its_language_to_a_short_text(spark):
     documents = spark.read.parquet(f"{SF}/documents.parquet")
     model = train_text_model(documents.select(F.col("doc_id").alias("id"), "text", "lang"))
     texts = documents.where("lang IN ('de', 'en') AND n_chars > 500").limit(60).collect()
-    rows = [("d", i, r.text, None, None, "x.org", f"{r.lang}.x.org") for i, r in enumerate(texts)]
-    rows += [("d", 1000, "an", None, None, "x.org", "de.x.org"), ("d", 1001, "an", None, None, "x.org", "en.x.org")]
+    rows = [("d", i, r.text, False, None, None, "x.org", f"{r.lang}.x.org") for i, r in enumerate(texts)]
+    rows += [("d", 1000, "an", False, None, None, "x.org", "de.x.org"), ("d", 1001, "an", False, None, None, "x.org", "en.x.org")]
     found = {r.id: r for r in identify_languages(spark.createDataFrame(rows, EVIDENCE), model, weight=100.0).collect()}
     index = model.languages.index("de")
     assert index >= 0
@@ -61,10 +63,25 @@ def test_page_evidence(spark):
     html = "<!DOCTYPE html><HTML class='x' LANG=\"fr-CA\"><style>p{}</style><script>var t='</p>';</script><p>Bon<b>jour</b><!-- no --></html>"
     rows = [(1, "https://www.Site.example.net/x", html), (2, None, None), (3, "x", "plain")]
     got = {r.id: r for r in page_evidence(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
-    assert got[1].text.split() == ["Bon", "jour"]
+    assert got[1].markup
     assert (got[1].declared, got[1].suffix, got[1].domain, got[1].host) == ("fr", "net", "example.net", "www.site.example.net")
     assert got[2].host is None
     assert got[3].text == "plain"
+    assert got[2].text is None
+    assert visible_text(html).split() == ["Bon", "jour"]
+
+
+def test_visible_text():
+    assert visible_text("a<b>c</b> d") == "a c  d"
+    assert visible_text("x<SCRIPT>var a = '<p>';</Script >y<!-- <b> -->z").split() == ["x", "y", "z"]
+    assert visible_text("x<scripted>y").split() == ["x", "y"]
+    for rest in ("<script>never closed", "<!-- never closed", "<p never closed"):
+        assert visible_text(f"x{rest}").strip() == "x"
+    assert visible_text("İ<B>y</B>").split() == ["İ", "y"]
+    start = time.time()
+    for unit in ("<script", "<!--", "<", "<html ", "</script", "<script>"):
+        visible_text(unit * 200_000)
+    assert time.time() - start < 20
 
 
 def test_odd_rows(spark, documents):

@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from chronotable.llm.common import first_by_hash
 from chronotable.llm.queries import op1_toxicity
 from chronotable.llm.toxicity import Examples, fit, score_toxicity, train_toxicity
 
@@ -62,3 +63,12 @@ def test_odd_rows(spark, documents):
     assert score_toxicity(table, *none).agg(F.max("score")).first()[0] < 0.5
     empty = documents([])
     assert score_toxicity(empty, *train_toxicity(empty, labels)).count() == 0
+
+
+def test_samples_come_in_one_order_whatever_their_bound(spark):
+    ids = spark.range(20_000).withColumnRenamed("id", "doc_id")
+    whole = [r.doc_id for r in first_by_hash(ids, 20_000).collect()]
+    assert sorted(whole) == list(range(20_000))
+    for most in (1, 50, 3_000):
+        assert [r.doc_id for r in first_by_hash(ids, most).collect()] == whole[:most]
+    assert first_by_hash(ids.limit(0), 5).count() == 0
