@@ -18,6 +18,7 @@ item's windows together, and equal items each count. Empty tables give no rows,
 from __future__ import annotations
 
 import string
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,12 +39,18 @@ def _lower(word: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.transform(F.array_remove(F.split(F.coalesce(text, F.lit("")), _BREAKS), ""), _lower)
+    """The words, in whatever letter case."""
+    return F.array_remove(F.split(F.coalesce(text, F.lit("")), _BREAKS), "")
+
+
+def _with_hashes(rows: DataFrame) -> DataFrame:
+    """With ``words``, and ``hashes`` of the lower-cased words."""
+    return rows.withColumn("words", words_of(F.col("text"))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(_lower(w))))
 
 
 def _with_grams(rows: DataFrame) -> DataFrame:
-    """With ``words``, and ``grams``, the hashes of all k-grams."""
-    hashed = rows.withColumn("words", words_of(F.col("text"))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    """With ``grams`` beside them, the hashes of all k-grams."""
+    hashed = _with_hashes(rows)
 
     def gram(i: Column) -> Column:
         return F.xxhash64(*[F.get("hashes", i + j) for j in range(GRAM)])
@@ -53,17 +60,21 @@ def _with_grams(rows: DataFrame) -> DataFrame:
     return hashed.withColumn("grams", grams)
 
 
-def _long_runs(rows: DataFrame, *keep: str) -> DataFrame:
-    """(start, fingerprint) of every run of ten words, with the columns to keep and ``words``."""
-    starts = F.when(F.size("grams") >= _RUN, F.sequence(F.lit(0), F.size("grams") - _RUN)).otherwise(F.array().cast("array<int>"))
+def _long_runs(rows: DataFrame, *keep: str, first: int = 0) -> DataFrame:
+    """(start, fingerprint) of every run of ten words, with the columns to keep and ``words``.
+
+    With ``first=-1`` there is one more row for each text, of start -1, without a fingerprint.
+    """
+    last = F.size("grams") - _RUN
+    starts = F.when(last >= 0, F.sequence(F.lit(first), last)).otherwise(F.array(*[F.lit(-1)] * -first).cast("array<int>"))
     exploded = _with_grams(rows).select(*keep, "words", "grams", F.explode(starts).alias("start"))
     least = F.least(*[F.get("grams", F.col("start") + j) for j in range(_RUN)])
-    return exploded.select(*keep, "words", "start", least.alias("fingerprint"))
+    return exploded.select(*keep, "words", "start", F.when(F.col("start") >= 0, least).alias("fingerprint"))
 
 
 def _short_runs(rows: DataFrame, size: int, *keep: str) -> DataFrame:
     """The same for runs of fewer words; the fingerprint is the hash of them all."""
-    hashed = rows.withColumn("words", words_of(F.col("text"))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
+    hashed = _with_hashes(rows)
     starts = F.when(F.size("hashes") >= size, F.sequence(F.lit(0), F.size("hashes") - size)).otherwise(F.array().cast("array<int>"))
     exploded = hashed.select(*keep, "words", "hashes", F.explode(starts).alias("start"))
     fingerprint = F.xxhash64(F.lit(size), *[F.get("hashes", F.col("start") + j) for j in range(size)])
@@ -75,7 +86,7 @@ def _runs(rows: DataFrame, size: int, *keep: str) -> DataFrame:
 
 
 def _as_text(size: int) -> Column:
-    return F.array_join(F.slice("words", F.col("start") + 1, size), " ")
+    return F.array_join(F.transform(F.slice("words", F.col("start") + 1, size), _lower), " ")
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -93,39 +104,44 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     return materialize(windows.distinct())
 
 
-def _hits(documents: DataFrame, windows: DataFrame, most: int) -> DataFrame:
-    """(doc_id, mark, start, size, window) of every occurrence of a window."""
-    sizes = [r["size"] for r in windows.select("size").distinct().collect()]
+def _candidates(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Runs of documents whose fingerprint the benchmark has, by way of the documents that have any of them."""
+    own = _runs(documents, size, "doc_id", "mark").select("doc_id", "mark", "fingerprint").distinct()
+    with_hit = own.join(wanted, "fingerprint", "left_semi").select("doc_id", "mark").distinct()
+    with_hit = with_hit.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
+    rows = documents.join(with_hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left_semi")
+    return _runs(rows, size, "doc_id", "mark").join(wanted, "fingerprint", "left_semi")
+
+
+def _scanned(documents: DataFrame, windows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, mark, start, size, window) of every occurrence of a window, and (doc_id, mark, n_words) of every row."""
+    sizes = sorted(r["size"] for r in windows.select("size").distinct().collect())  # ten at most
     fingerprints = materialize(windows.select("size", "fingerprint").distinct())
     few = fingerprints.limit(most + 1).count() <= most
     texts = windows.select("size", "window").distinct()
-    found = []
-    for size in sorted(sizes):
+    counts = documents.select("doc_id", "mark", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"))
+    found = [documents.select("doc_id", "mark", F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit("").alias("window")).limit(0)]
+    for size in sizes:
         wanted = fingerprints.where(F.col("size") == size).select("fingerprint")
-        rows = documents
-        if few:
-            wanted = F.broadcast(wanted)
-        else:
-            # Documents that have any of the fingerprints; the least of a run often stays for several runs.
-            own = _runs(documents, size, "doc_id", "mark").select("doc_id", "mark", "fingerprint").distinct()
-            with_hit = own.join(wanted, "fingerprint", "left_semi").select("doc_id", "mark").distinct()
-            with_hit = with_hit.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
-            rows = documents.join(with_hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left_semi")
-        runs = _runs(rows, size, "doc_id", "mark").join(wanted, "fingerprint", "left_semi")
+        if few and size == WINDOW:
+            # One scan gives the runs to look at, and beside them the number of words of each text.
+            runs = _long_runs(documents, "doc_id", "mark", first=-1)
+            runs = runs.join(F.broadcast(wanted.withColumn("found", F.lit(True))), "fingerprint", "left").where("found OR start = -1")
+            both = materialize(runs.select("doc_id", "mark", "start", F.when(F.col("found"), _as_text(size)).alias("window"), F.when(F.col("start") == -1, F.size("words")).cast("long").alias("n_words")))
+            counts = both.where("start = -1").select("doc_id", "mark", "n_words")
+            found.append(both.where("start >= 0").select("doc_id", "mark", "start", F.lit(size).alias("size"), "window"))
+            continue
+        runs = _runs(documents, size, "doc_id", "mark").join(F.broadcast(wanted), "fingerprint", "left_semi") if few else _candidates(documents, wanted, size)
         found.append(runs.select("doc_id", "mark", "start", F.lit(size).alias("size"), _as_text(size).alias("window")))
-    if not found:
-        return documents.select("doc_id", "mark", F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit("").alias("window")).limit(0)
-    hits = found[0]
-    for more in found[1:]:
-        hits = hits.unionByName(more)
-    return materialize(hits.distinct().join(texts, ["size", "window"], "left_semi"))
+    hits = reduce(DataFrame.unionByName, found)
+    return materialize(hits.distinct().join(texts, ["size", "window"], "left_semi")), counts
 
 
 def find_contamination(documents: DataFrame, benchmark: DataFrame, most: int = 1_000_000) -> DataFrame:
     """Words, hit words and the items of every document; ``mark`` is a hash of its text."""
-    rows = documents.select("doc_id", F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("mark"))
+    rows = documents.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.xxhash64("text").alias("mark"))
     windows = item_windows(benchmark)
-    hits = _hits(rows, windows, most)
+    hits, counted = _scanned(rows, windows, most)
     key = ["doc_id", "mark"]
     before = Window.partitionBy(*key).orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
     stretches = hits.select(*key, F.col("start").cast("long"), (F.col("start") + F.col("size")).cast("long").alias("end")).distinct()
@@ -135,7 +151,6 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, most: int = 1
     items = hits.select(*key, "size", "window").distinct().join(windows.select("size", "window", "item_id"), ["size", "window"]).select(*key, "item_id").distinct()
     ids = items.groupBy(*key).agg(F.sort_array(F.collect_list("item_id")).alias("items"))
     one = hit_words.join(ids, [hit_words.doc_id.eqNullSafe(ids.doc_id), hit_words.mark.eqNullSafe(ids.mark)]).select(hit_words.doc_id.alias("_id"), hit_words.mark.alias("_mark"), "n_hit", "items")
-    counted = rows.select(*key, F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD)).cast("long").alias("n_words"))
     joined = counted.join(one, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("mark").eqNullSafe(F.col("_mark")), "left")
     n_hit = F.coalesce("n_hit", F.lit(0))
     items = F.coalesce("items", F.array().cast("array<string>"))
