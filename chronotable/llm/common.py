@@ -2,14 +2,45 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from chronotable.sources.workspace import work_folder
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the package to the session's Python workers, which need not have it on their path.
+
+    Like ``--py-files``, but from the place that this process imported it from; once for each application.
+    """
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    _shipped.add(application)
+    package = Path(__file__).resolve().parents[1]
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
+        for path in sorted(package.rglob("*.py")):
+            archive.write(path, path.relative_to(package.parent))
+    folder = work_folder(spark)
+    files, at = fs.FileSystem.from_uri(folder)
+    files.create_dir(at, recursive=True)
+    with files.open_output_stream(f"{at}/{package.name}.zip") as out:
+        out.write(packed.getvalue())
+    spark.sparkContext.addPyFile(f"{at if isinstance(files, fs.LocalFileSystem) else folder}/{package.name}.zip")
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")

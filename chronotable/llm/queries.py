@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import read
+from chronotable.llm.common import read, ship
 from chronotable.llm.decontaminate import find_contamination
 from chronotable.llm.jaccard_join import join_similar
 from chronotable.llm.language import document_evidence, identify_languages, page_evidence, train_text_model
@@ -21,6 +24,8 @@ from chronotable.llm.url_lists import host_of, judge_captures, segment_of
 
 __all__ = ["QUERIES", "SQL"]
 
+Query = Callable[[SparkSession, str], DataFrame]
+
 # The tables hold no time of fetching; it is derived from the number of a page, over half a year.
 _FIRST_SECOND = 1_704_067_200
 _SECONDS = 180 * 86_400
@@ -112,8 +117,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def _shipped(query: Query) -> Query:
+    """The query, on workers that have this package."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
-    f.__name__: f
+    f.__name__: _shipped(f)
     for f in (
         op1_toxicity,
         op2_token_files,

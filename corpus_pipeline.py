@@ -8,13 +8,14 @@ stage; extra columns are carried along up to the last stage.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import read
+from chronotable.llm.common import read, ship
 from chronotable.llm.decontaminate import find_contamination
 from chronotable.llm.jaccard_join import join_similar
 from chronotable.llm.language import document_evidence, identify_languages, train_text_model
@@ -74,12 +75,23 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def _shipped(stage: Stage) -> Stage:
+    """The stage, on workers that have the package."""
+
+    @functools.wraps(stage)
+    def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return stage(spark, docs, sf_dir)
+
+    return apply
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("language", languages),
-    ("near_duplicates", near_duplicates),
-    ("decontamination", decontaminated),
-    ("personal_data", personal_data),
-    ("packing", packed),
+    ("language", _shipped(languages)),
+    ("near_duplicates", _shipped(near_duplicates)),
+    ("decontamination", _shipped(decontaminated)),
+    ("personal_data", _shipped(personal_data)),
+    ("packing", _shipped(packed)),
 ]
 
 # Stages that train models or use a tokenizer have no SQL; tests compare with brute force instead.

@@ -1,5 +1,6 @@
 """The pipeline's stages, alone and together, and the guard around this folder."""
 
+import os
 import subprocess
 import sys
 from pathlib import Path
@@ -101,3 +102,18 @@ def test_the_rest_works_without_this_folder():
         "import __spark_entry__ as e; q = e.queries(); assert 'scd2_open' in q and 'pipeline' not in q; assert set(e.oracle_sql()) <= set(q)"
     )
     subprocess.run([sys.executable, "-c", code], cwd=ROOT, check=True)
+
+
+def test_workers_get_the_package_with_the_query(tmp_path):
+    """A driver that has the repository on its own path alone, in another folder."""
+    code = (
+        f"import sys; sys.path.insert(0, {str(ROOT)!r})\n"
+        "from pyspark.sql import SparkSession\n"
+        "s = SparkSession.builder.master('local[2]').config('spark.ui.enabled', 'false').config('spark.sql.shuffle.partitions', '2')"
+        f".config('spark.checkpoint.dir', {str(tmp_path / 'shared')!r}).getOrCreate()\n"
+        "import __spark_entry__ as e\n"
+        f"assert e.queries()['op3_token_counts'](s, {SF!r}).count() > 0\n"
+        f"assert e.queries()['op4_personal_data'](s, {SF!r}).count() > 0\n"
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, check=True)
