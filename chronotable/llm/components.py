@@ -32,13 +32,22 @@ def _print_of(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
 
+def _least(links: DataFrame) -> DataFrame:
+    """(node, m): the least neighbour of each node.
+
+    The node is handed on as an aggregated value, so the join with it shuffles both of its sides and
+    adaptive execution can split a node that very many others are linked to.
+    """
+    return links.groupBy("u").agg(F.any_value("u").alias("node"), F.min("v").alias("m")).select("node", "m")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    joined = both.join(_least(both), F.col("u") == F.col("node")).where("v > u")
+    return joined.select(F.col("v").alias("u"), F.least("m", "u").alias("v")).where("u <> v").distinct()
 
 
 def _small_star(links: DataFrame) -> DataFrame:
-    least = links.groupBy("u").agg(F.min("v").alias("m"))
-    handed = links.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
-    return handed.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    least = _least(links)
+    handed = links.join(least, F.col("u") == F.col("node")).select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")
+    return handed.unionByName(least.select(F.col("node").alias("u"), F.col("m").alias("v"))).distinct()
