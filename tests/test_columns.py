@@ -90,7 +90,7 @@ def test_status_names(spark):
     codes = spark.createDataFrame([(int(s),) for s in Status], "code int")
     names = [r[0] for r in codes.select(status_name(F.col("code"))).collect()]
     assert names == [s.name for s in Status]
-    assert [int(s) for s in Status] == [0, 1, 2, 3, 4, 5]
+    assert [int(s) for s in Status] == [0, 1, 2, 3, 4, 5, 6]
     with pytest.raises(PySparkException, match=r"unknown status code \d+"):
         codes.select(status_name(F.col("code") + 9)).collect()
     with pytest.raises(ValueError):

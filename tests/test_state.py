@@ -197,14 +197,20 @@ def test_work_folder(spark, monkeypatch):
     first, second = workspace.work_folder(spark), workspace.work_folder(spark)
     assert first != second
     assert Path(first).parent == Path(shared)
+    def folders():
+        return set(Path(shared).glob("chronotable-*"))
+
+    workspace.remove_intermediates(spark)
+    others = folders()  # tables and stores that a query made for good
     saved = workspace.materialize(spark.range(3))
     assert saved.count() == 3
+    assert len(folders() - others) == 1
     workspace.remove_intermediates(spark)
-    assert not any(Path(shared).glob("chronotable-*"))
+    assert folders() == others
     with workspace.scratch(spark) as save:
         assert save(spark.range(4)).count() == 4
-        assert len(list(Path(shared).glob("chronotable-*"))) == 1
-    assert not any(Path(shared).glob("chronotable-*"))
+        assert len(folders() - others) == 1
+    assert folders() == others
 
     class Unset:
         """A session of a cluster, and of one machine, without the setting."""
