@@ -30,10 +30,14 @@ def _same(docs: DataFrame, keys: DataFrame) -> Column:
     return docs["doc_id"].cast("long").eqNullSafe(keys["_id"]) & (F.xxhash64(docs["text"]) == keys["_mark"])
 
 
-def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
-    """Documents but those that (doc_id, mark) names; Spark sends the names to all tasks if they are few."""
+def _without(docs: DataFrame, gone: DataFrame, most: int = 500_000) -> DataFrame:
+    """Documents but those that (doc_id, mark) names.
+
+    Up to ``most`` names, of 16 bytes each, are sent to all tasks, so that no text moves; beyond that both sides are shuffled.
+    """
     keys = materialize(gone.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")).distinct())
-    return docs.join(keys, _same(docs, keys), "left_anti")
+    few = keys.limit(most + 1).count() <= most
+    return docs.join(F.broadcast(keys) if few else keys, _same(docs, keys), "left_anti")
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -72,7 +76,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of packed sequences."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, keep=False)
 
 
 def _shipped(stage: Stage) -> Stage:
