@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
 from collections.abc import Iterable, Iterator
@@ -91,6 +92,14 @@ def in_slices(texts: pa.Array, size: int = 20_000_000) -> Iterator[pa.Array]:
         start = stop
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker process outlives its task, and other stages need the room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def batch_of(schema: pa.Schema, columns: Iterable) -> pa.RecordBatch:
     arrays = [
         column if isinstance(column, pa.Array) else pa.array(column, field.type)

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import batch_of
+from chronotable.llm.common import batch_of, give_back
 from chronotable.llm.components import components
 from chronotable.sources.workspace import materialize
 
@@ -61,7 +61,7 @@ class _Hashes(dict):
     """Hash of a word, remembered."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 300_000:
+        if len(self) > 150_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word.encode("utf-8", "replace"))
         return value
@@ -121,6 +121,8 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(digest)
             signatures.append(known[digest])
         yield batch_of(_SIGNED, (batch.column(0), batch.column(1), counts, digests, signatures))
+    del hashes, known
+    give_back()
 
 
 class _Forest:
@@ -152,6 +154,12 @@ def _spanning(similar: np.ndarray, forest: _Forest, rows: np.ndarray, columns: n
         forest.join((int(rows[i]), int(p)) for p in partners)
 
 
+def _one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows, of which each may be large, without all of them at once as Python values."""
+    for i in range(batch.num_rows):
+        yield batch.slice(i, 1).to_pylist()[0]
+
+
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -160,7 +168,7 @@ def _estimating(least: float) -> Callable:
         """Edges between classes of a node whose signatures agree in a share of at least ``least``."""
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 members = row["members"]
                 ids = np.array([m["cid"] for m in members])
                 sides = np.array([m["side"] for m in members])
@@ -177,6 +185,7 @@ def _estimating(least: float) -> Callable:
                         forest.join((int(x), int(y)) for y in close)
                 found += [(int(ids[x]), int(ids[y])) for x, y in forest.edges()]
             yield batch_of(_EDGES, list(zip(*found, strict=True)) or ([], []))
+        give_back()
 
     return estimate
 
@@ -214,7 +223,7 @@ def _verifying(threshold: float) -> Callable:
         """Links of every class of a block pair, weighted by copies, and what it hangs together with."""
         for batch in batches:
             out: list[tuple[int, int, int]] = []
-            for row in batch.to_pylist():
+            for row in _one_by_one(batch):
                 members = {m["cid"]: m for m in row["members"]}  # a repeated row brings a class twice
                 members = sorted(members.values(), key=lambda m: m["cid"])
                 ids = [m["cid"] for m in members]
@@ -237,6 +246,7 @@ def _verifying(threshold: float) -> Callable:
                 links = similar @ copies
                 out += [(ids[x], int(links[x]), ids[forest.root(x)]) for x in np.flatnonzero(links)]
             yield batch_of(_VERIFIED, list(zip(*out, strict=True)) or ([], [], []))
+        give_back()
 
     return verify
 
@@ -268,14 +278,17 @@ _SETS = pa.schema([("cid", pa.int64()), ("root", pa.int64()), ("copies", pa.int6
 def _build_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingle sets of the texts that stand for a class; a row of the same id but another text is passed over."""
     hashes = _Hashes()
-    for batch in batches:
-        out = []
-        rows = zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True)
-        for cid, root, copies, digest, text in rows:
-            own = shingles(text.as_py() or "", hashes)
-            if xxhash.xxh3_128_digest(own.tobytes()) == digest:
-                out.append((cid, root, copies, own.tobytes()))
-        yield batch_of(_SETS, list(zip(*out, strict=True)) or ([],) * 4)
+    for whole in batches:
+        for start in range(0, whole.num_rows, 1_000):
+            batch, out = whole.slice(start, 1_000), []
+            rows = zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True)
+            for cid, root, copies, digest, text in rows:
+                own = shingles(text.as_py() or "", hashes)
+                if xxhash.xxh3_128_digest(own.tobytes()) == digest:
+                    out.append((cid, root, copies, own.tobytes()))
+            yield batch_of(_SETS, list(zip(*out, strict=True)) or ([],) * 4)
+    del hashes
+    give_back()
 
 
 def _verified(documents: DataFrame, classes: DataFrame, groups: DataFrame, threshold: float, most: int) -> DataFrame:

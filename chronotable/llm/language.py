@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import batch_of
+from chronotable.llm.common import batch_of, give_back
 from chronotable.llm.url_lists import host_of
 from chronotable.sources.workspace import materialize
 
@@ -137,6 +137,7 @@ def _likelihoods(model: TextModel, weight: float) -> Callable:
                 best = int(mean.argmax())
                 strange.append((model.usual[best] - mean[best]) / model.apart[best])
             yield batch_of(schema, (*(batch.column(i) for i in range(7)), logs, strange))
+        give_back()
 
     return score
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import batch_of, in_slices, texts
+from chronotable.llm.common import batch_of, give_back, in_slices, texts
 from chronotable.llm.cutting_stock import cut
 from chronotable.llm.encoding import ChunkEncoder
 from chronotable.sources.workspace import materialize, work_folder
@@ -42,13 +42,13 @@ def _encoder(path: str) -> ChunkEncoder:
     return ChunkEncoder(path, "dropped")
 
 
-def _encoding(path: str, end_id: int) -> Callable:
+def _encoding(path: str, end_id: int, keep: bool) -> Callable:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = _encoder(path) if keep else ChunkEncoder(path, "dropped", limit=30_000)
         ending = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             at = 0
-            for part in in_slices(batch.column(2)):
+            for part in in_slices(batch.column(2), 20_000_000 if keep else 3_000_000):
                 ids, bounds = encoder.encode(part)
                 data, places = ids.tobytes(), (bounds * encoder.dtype.itemsize).tolist()
                 rows = [data[b:e] + ending for b, e in zip(places, places[1:], strict=False)]
@@ -56,14 +56,17 @@ def _encoding(path: str, end_id: int) -> Callable:
                 keys = (batch.column(i).slice(at, len(part)) for i in (0, 1))
                 yield batch_of(_TOKENS, (*keys, rows, pa.array(counts)))
                 at += len(part)
+        if not keep:
+            del encoder
+            give_back()
 
     return encode
 
 
-def encode_documents(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def encode_documents(documents: DataFrame, tokenizer: str, end_id: int, keep: bool = True) -> DataFrame:
     """A written table of (row, doc_id, ids, n); ``row`` numbers the rows."""
     rows = texts(documents).select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long"), "text")
-    encoded = rows.mapInArrow(_encoding(tokenizer, end_id), "row long, doc_id long, ids binary, n long")
+    encoded = rows.mapInArrow(_encoding(tokenizer, end_id, keep), "row long, doc_id long, ids binary, n long")
     path = work_folder(documents.sparkSession)
     encoded.write.option("compression", "zstd").parquet(path)
     return documents.sparkSession.read.schema("row long, doc_id long, ids binary, n long").parquet(path)
@@ -204,11 +207,15 @@ def _cutting(dtype: str, with_ids: bool) -> Callable:
     return cut_rows
 
 
-def pack_documents(documents: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, with_ids: bool = False) -> DataFrame:
-    """The pieces of all documents, with their place and checksum, and with their ids as bytes if wanted."""
-    tokens = encode_documents(documents, tokenizer, end_id)
+def pack_documents(documents: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096, with_ids: bool = False, keep: bool = True) -> DataFrame:
+    """The pieces of all documents, with their place and checksum, and with their ids as bytes if wanted.
+
+    Workers ``keep`` the words they have encoded for their next task; without, they give that memory back, which other
+    stages of the same application may need.
+    """
+    tokens = encode_documents(documents, tokenizer, end_id, keep)
     pieces = place(tokens.select("row", "n"), capacity)
     by_row = pieces.groupBy("row").agg(F.collect_list(F.struct("start", "length", "sequence", "offset")).alias("pieces"))
     joined = tokens.join(by_row, "row").select("doc_id", "ids", "n", "pieces")
     columns = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return joined.mapInArrow(_cutting(_encoder(tokenizer).dtype.str, with_ids), columns + ", ids binary" * with_ids)
+    return joined.mapInArrow(_cutting(ChunkEncoder(tokenizer, "dropped").dtype.str, with_ids), columns + ", ids binary" * with_ids)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chronotable.llm.common import batch_of, first_by_hash, in_groups, texts
+from chronotable.llm.common import batch_of, first_by_hash, give_back, in_groups, texts
 from chronotable.sources.workspace import materialize
 
 KINDS = ("email", "ip", "card", "phone")
@@ -394,5 +394,7 @@ def redact(documents: DataFrame, weights: Weights | None, column: str = "text")
                 part = filled[start : start + 500]
                 out += [_masked(t, every) if every else t for t, (_, every) in zip(part, finder.find(part), strict=True)]
             yield pd.Series([None if t is None else o for t, o in zip(column_texts, out, strict=True)], dtype=object)
+            del column_texts, filled, out
+        give_back()
 
     return documents.withColumn(column, masked(F.col(column)))
