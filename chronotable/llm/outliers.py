@@ -6,8 +6,9 @@ start from medians and median deviations, keep the half of a group's rows that l
 covariance, and measure again; then one reweighted estimate. A row is rejected if its squared Mahalanobis
 distance passes the cut. A step moves one row of sums per group and task, so a group may hold any share of all rows.
 
-``FLOOR`` is added to the variances, as a half without any symbol or repeated line would else have none and
-a single symbol would be infinitely far. Groups of fewer than ``least`` rows are pooled with the
+A half without any symbol or repeated line has no variance, and a single symbol would be infinitely far. So the
+chance variance of counts in texts as long as those of the half is added, which is small where texts are long, and
+``RIDGE``, which keeps the inverse sound. Groups of fewer than ``least`` rows are pooled with the
 other small ones of their language, and those pools with one another; a last pool below ``least`` rows is kept.
 
 Nulls: a null text has no words and fails the base rule. Null languages and sources are groups like others.
@@ -39,9 +40,11 @@ _WINDOW = 8
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_marks", "n_upper")
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("lang", pa.string()), ("source", pa.string()), *((c, pa.int64()) for c in _COUNTS)])
 
-# Standard deviations below which a statistic is not told apart, in the order of `statistics`.
-FLOOR = (0.12, 0.12, 0.12, 0.10, 0.12, 0.10)
-_P = len(FLOOR)
+# Chance variance of each of `statistics`: which of `chances`, and how many are counted at once (a window and its repetition).
+_CHANCE = (("e_words", 1), ("e_words", 1), ("e_lines", 1), ("e_words", 2 * _WINDOW), ("e_words", 1), ("e_chars", 1))
+_E = ["e_words", "e_lines", "e_chars"]
+RIDGE = 0.03  # a standard deviation
+_P = len(_CHANCE)
 _Z = [f"z{i}" for i in range(_P)]
 _PAIRS = [(i, j) for i in range(_P) for j in range(i, _P)]
 
@@ -122,6 +125,12 @@ def statistics() -> list[Column]:
     ]
 
 
+def chances() -> list[Column]:
+    """Variances of the root of a share by chance alone: a quarter of one over the size, as for a Poisson count."""
+    n, chars, lines = F.col("n_words"), F.col("word_chars"), F.col("n_lines")
+    return [0.25 / (n + 20), 0.25 / (lines + 5), 0.25 / (chars + 100)]
+
+
 def _grouped(rows: DataFrame, least: int) -> DataFrame:
     """With ``g``: the group whose estimate holds for a row, null if there is none."""
 
@@ -159,10 +168,11 @@ def _estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         out = []
         for row in frame.itertuples(index=False):
             mean = np.array([getattr(row, f"s{i}") for i in range(_P)]) / row.n
+            chance = np.array([times * getattr(row, e) for e, times in _CHANCE]) / row.n
             second = np.zeros((_P, _P))
             for i, j in _PAIRS:
                 second[i, j] = second[j, i] = getattr(row, f"s{i}_{j}") / row.n
-            inverse = np.linalg.inv(second - np.outer(mean, mean) + np.diag(np.square(FLOOR)))
+            inverse = np.linalg.inv(second - np.outer(mean, mean) + np.diag(chance + RIDGE**2))
             out.append((row.g, *mean, *(inverse[i, j] for i, j in _PAIRS)))
         yield pd.DataFrame(out, columns=["g", *(f"m{i}" for i in range(_P)), *(f"v{i}_{j}" for i, j in _PAIRS)])
 
@@ -171,19 +181,19 @@ _PARAMETERS = "g string, " + ", ".join([*(f"m{i} double" for i in range(_P)), *(
 
 
 def _from_sums(rows: DataFrame) -> DataFrame:
-    sums = rows.groupBy("g").agg(F.count("*").alias("n"), *[F.sum(z).alias(f"s{i}") for i, z in enumerate(_Z)], *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i, j in _PAIRS])
+    sums = rows.groupBy("g").agg(F.count("*").alias("n"), *[F.sum(e).alias(e) for e in _E], *[F.sum(z).alias(f"s{i}") for i, z in enumerate(_Z)], *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i, j in _PAIRS])
     return materialize(sums.mapInPandas(_estimate, _PARAMETERS))
 
 
 def _start(rows: DataFrame) -> DataFrame:
     """Medians as the mean, median deviations as a diagonal covariance."""
-    middle = materialize(rows.groupBy("g").agg(*[F.percentile_approx(z, 0.5, 1000).alias(f"m{i}") for i, z in enumerate(_Z)]))
-    apart = rows.join(_small(middle), "g").groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(z) - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i, z in enumerate(_Z)])
+    middle = materialize(rows.groupBy("g").agg(*[F.percentile_approx(z, 0.5, 1000).alias(f"m{i}") for i, z in enumerate(_Z)], *[F.avg(e).alias(e) for e in _E]))
+    apart = rows.join(_small(middle.drop(*_E)), "g").groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(z) - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i, z in enumerate(_Z)])
     return materialize(
         middle.join(apart, "g").select(
             "g",
             *[f"m{i}" for i in range(_P)],
-            *[(1 / (F.pow(1.4826 * F.col(f"d{i}"), F.lit(2)) + FLOOR[i] ** 2) if i == j else F.lit(0.0)).alias(f"v{i}_{j}") for i, j in _PAIRS],
+            *[(1 / (F.pow(1.4826 * F.col(f"d{i}"), F.lit(2)) + _CHANCE[i][1] * F.col(_CHANCE[i][0]) + RIDGE**2) if i == j else F.lit(0.0)).alias(f"v{i}_{j}") for i, j in _PAIRS],
         )
     )
 
@@ -192,7 +202,7 @@ def fit_groups(rows: DataFrame, steps: int, share: float) -> DataFrame:
     """Estimates by group, after so many concentration steps on a share of the rows and one reweighted."""
     estimates = _start(rows)
     for step in range(steps + 1):
-        measured = rows.join(_small(estimates), "g").select("g", *_Z, _distance().alias("d"))
+        measured = rows.join(_small(estimates), "g").select("g", *_Z, *_E, _distance().alias("d"))
         quantile = F.percentile_approx("d", [share, 0.5], 1000)
         cuts = materialize(measured.groupBy("g").agg(quantile.alias("q")).select("g", F.col("q")[0].alias("near"), F.col("q")[1].alias("middle")))
         # The last step takes all rows within the 97.5 % bound instead of a half.
@@ -206,16 +216,16 @@ def _chi2(z: float, p: int = _P) -> float:
     return p * (1 - 2 / (9 * p) + z * (2 / (9 * p)) ** 0.5) ** 3
 
 
-def judge_quality(documents: DataFrame, least: int = 60, steps: int = 3, share: float = 0.5, deviate: float = 5.0) -> DataFrame:
+def judge_quality(documents: DataFrame, least: int = 60, steps: int = 3, share: float = 0.5, deviate: float = 3.09) -> DataFrame:
     """Counts, the base rule and the verdict of every document.
 
     ``deviate`` sets the cut as a normal deviate: squared distances beyond that quantile of the chi-squared
-    distribution are rejected.
+    distribution are rejected; the default is its 99.9 % quantile.
     """
-    counted = text_counts(documents).select("*", *[s.alias(z) for s, z in zip(statistics(), _Z, strict=True)])
+    counted = text_counts(documents).select("*", *[s.alias(z) for s, z in zip([*statistics(), *chances()], [*_Z, *_E], strict=True)])
     counted = materialize(counted)
     rows = materialize(_grouped(counted, least))
-    estimates = fit_groups(rows.where("g IS NOT NULL").select("g", *_Z), steps, share)
+    estimates = fit_groups(rows.where("g IS NOT NULL").select("g", *_Z, *_E), steps, share)
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     far = F.coalesce(_distance() > _chi2(deviate), F.lit(False))
     judged = rows.join(_small(estimates), "g", "left")

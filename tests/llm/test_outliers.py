@@ -73,6 +73,24 @@ def test_small_groups_are_pooled_and_the_last_pool_is_kept(spark, documents):
     assert all(r.kept for r in judge_quality(documents(rows[-3:])).collect())
 
 
+def test_own_verdict_on_rows_that_pass_the_base_rule(spark):
+    rows = op7_outliers(spark, "/root/testdata/sf0.1").select("doc_id", "kept", "base_failed")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "quality")
+    passed = rows.where("NOT base_failed").join(labels, "doc_id").groupBy("quality").agg(F.avg(F.col("kept").cast("int"))).collect()
+    kept = dict(passed)
+    assert kept[0] < 0.1
+    assert kept[1] > 0.99
+
+
+def test_few_symbols_in_a_long_text_are_far(spark, documents):
+    rng = random.Random(6)
+    clean = [(sentence(rng, 600), "en", "s") for _ in range(100)]
+    junk = [(" ".join(w + "#" * (i % 3 == 0) for i, w in enumerate(sentence(rng, 600).split())), "en", "s") for _ in range(10)]
+    kept = {r.doc_id: r.kept for r in judge_quality(documents(clean + junk)).collect()}
+    assert all(kept[i] for i in range(100))
+    assert not any(kept[i] for i in range(100, 110))
+
+
 def test_odd_rows(spark, documents):
     rng = random.Random(5)
     table = documents([None, "", "x " * 200_000, *[(sentence(rng), None, None) for _ in range(70)]])
