@@ -3,8 +3,8 @@
 1. Every text becomes its set of hashed five-word shingles (lower-cased ``\\w+`` words; a text of fewer words is one
    shingle). Texts of equal sets are one class; only classes go on, so copies never meet in pairs.
 2. The forest: ``TREES`` tries over the sorted MinHash signatures, each with ``DEEPEST`` values on a path. All tries
-   are cut at one depth: starting from the deepest, prefixes are shortened until a pair exactly at the threshold
-   shares one with a probability of at least ``recall``. Classes under one node are candidates. Nodes of the same members
+   are cut at one fixed depth, the deepest at which a pair exactly at the threshold shares a prefix with a probability
+   of at least ``recall``; so they serve as bands, whose width follows from these two numbers and not from the data. Classes under one node are candidates. Nodes of the same members
    are kept once.
 3. Within a node, signatures estimate the similarity; classes well above noise are joined, which leaves out
    those that merely share a common passage. Nodes of many classes are compared as pairs of blocks; a block pair
@@ -306,7 +306,7 @@ def _verified(documents: DataFrame, classes: DataFrame, groups: DataFrame, thres
     return materialize(blocks.select("i", "j", "members").mapInArrow(_verifying(threshold), "cid long, links long, linked long"))
 
 
-def join_similar(documents: DataFrame, threshold: float = 0.8, recall: float = 0.999, most: int = 400_000) -> DataFrame:
+def join_similar(documents: DataFrame, threshold: float = 0.8, recall: float = 0.9999, most: int = 400_000) -> DataFrame:
     """``class_id`` and ``n_links`` of every document (doc_id, mark).
 
     ``most`` is the number of candidate classes (some 60 bytes each) up to which they are sent to all tasks

@@ -77,6 +77,17 @@ def test_groups_around_the_threshold(spark, documents, monkeypatch, block):
         assert found(join_similar(table, recall=0.9999, most=most)) == expected
 
 
+def test_a_pair_at_the_threshold_that_shares_four_values_at_most(spark, documents):
+    """With the default recall, as the queries run it."""
+    rng = random.Random(128)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(49)]
+    pair = [" ".join(words), " ".join(words[:44] + [f"x{rng.randrange(10**6)}" for _ in range(5)])]
+    same = np.equal(*(signature(shingles(t, module._Hashes())) for t in pair)).reshape(module.TREES, module.DEEPEST)
+    assert not same.all(axis=1).any()
+    assert same[:, :4].all(axis=1).any()
+    assert found(join_similar(documents(pair))) == brute(pair) == {0: (0, 1), 1: (0, 1)}
+
+
 def test_depth_keeps_the_recall():
     for recall in (0.9, 0.99, 0.999, 0.9999):
         depth = depth_for(0.8, recall)
