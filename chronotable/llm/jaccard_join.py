@@ -12,7 +12,8 @@
 4. Components of those edges are candidate groups. Shingle sets are built again for their members alone, once
    each, and all pairs of a group are verified exactly, again by pairs of blocks bounded by classes and by
    shingles. A block pair returns the number of links of each class and a spanning forest of the links.
-5. Components of the links are the groups; ``class_id`` is the least ``doc_id`` of a group, and ``n_links`` counts the other documents
+5. Components of the links are the groups; ``class_id`` is the least ``doc_id`` of a group, ``class_mark`` the least
+   mark of that id in it (both together name the group, also where ids repeat), and ``n_links`` counts the other documents
    at or above the threshold, copies included.
 
 The number of links needs every pair of different texts in a group to be looked at, so the work of step 4 grows with
@@ -307,7 +308,12 @@ def _verified(documents: DataFrame, classes: DataFrame, groups: DataFrame, thres
 
 
 def join_similar(documents: DataFrame, threshold: float = 0.8, recall: float = 0.9999, most: int = 400_000) -> DataFrame:
-    """``class_id`` and ``n_links`` of every document (doc_id, mark).
+    """``class_id`` and ``n_links`` of every document (doc_id, mark); see ``similar_groups``."""
+    return similar_groups(documents, threshold, recall, most).drop("class_mark")
+
+
+def similar_groups(documents: DataFrame, threshold: float = 0.8, recall: float = 0.9999, most: int = 400_000) -> DataFrame:
+    """``class_id``, ``n_links`` and ``class_mark`` of every document (doc_id, mark).
 
     ``most`` is the number of candidate classes (some 60 bytes each) up to which they are sent to all tasks
     that read texts; beyond it texts and candidates are joined by a shuffle.
@@ -315,15 +321,15 @@ def join_similar(documents: DataFrame, threshold: float = 0.8, recall: float = 0
     rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
     signed = materialize(rows.mapInArrow(_sign, "doc_id long, mark long, n_shingles long, digest binary, signature binary"))
     real = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    classes = real.groupBy("digest").agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
-    classes = materialize(classes.withColumn("cid", F.monotonically_increasing_id()))
+    classes = real.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+    classes = materialize(classes.select("digest", "first.doc_id", "first.mark", "copies", "signature", "n_shingles").toDF("digest", "first_doc", "first_mark", "copies", "signature", "n_shingles").withColumn("cid", F.monotonically_increasing_id()))
     groups = components(_candidate_edges(classes, threshold, recall))
     verified = _verified(rows.select("doc_id", "text"), classes, groups, threshold, most)
     links = verified.groupBy("cid").agg(F.sum("links").alias("links"))
     joined = components(verified.select(F.col("cid").alias("a"), F.col("linked").alias("b")))
-    rooted = materialize(classes.select("cid", "digest", "first_doc", "copies").join(joined.withColumnRenamed("node", "cid"), "cid", "left").join(links, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
-    least = rooted.groupBy("root").agg(F.min("first_doc").alias("class_id"))
-    by_digest = rooted.join(least, "root").select("digest", "class_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    known = real.select("doc_id", "mark", "digest").join(by_digest, "digest").select("doc_id", "mark", "class_id", "n_links")
-    alone = signed.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "mark", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    rooted = materialize(classes.select("cid", "digest", "first_doc", "first_mark", "copies").join(joined.withColumnRenamed("node", "cid"), "cid", "left").join(links, "cid", "left").withColumn("root", F.coalesce("root", "cid")))
+    least = rooted.groupBy("root").agg(F.min(F.struct("first_doc", "first_mark")).alias("first")).select("root", F.col("first.first_doc").alias("class_id"), F.col("first.first_mark").alias("class_mark"))
+    by_digest = rooted.join(least, "root").select("digest", "class_id", "class_mark", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    known = real.select("doc_id", "mark", "digest").join(by_digest, "digest").select("doc_id", "mark", "class_id", "n_links", "class_mark")
+    alone = signed.where("n_shingles = 0 OR doc_id IS NULL").select("doc_id", "mark", F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"), F.col("mark").alias("class_mark"))
     return known.unionByName(alone)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from chronotable.llm.common import read, ship
 from chronotable.llm.decontaminate import find_contamination
-from chronotable.llm.jaccard_join import join_similar
+from chronotable.llm.jaccard_join import similar_groups
 from chronotable.llm.language import document_evidence, identify_languages, train_text_model
 from chronotable.llm.packing import pack_documents
 from chronotable.llm.pii import redact, train_personal_data
@@ -48,17 +48,14 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one of the least id."""
-    joined = materialize(join_similar(docs)).where("doc_id IS NOT NULL")
-    first = joined.groupBy("class_id").agg(F.min(F.struct("doc_id", "mark")).alias("first")).select("first.doc_id", "first.mark")
-    first = materialize(first)
-    others = joined.select("doc_id", "mark").distinct().join(first, ["doc_id", "mark"], "left_anti")
-    kept = _without(docs, others)
+    """Of each group of similar documents the one of the least id, and of its rows the one of the least mark."""
+    joined = materialize(similar_groups(docs)).where("doc_id IS NOT NULL")
+    kept = _without(docs, joined.where("doc_id != class_id OR mark != class_mark"))
     # Equal rows share their name; one of them stays.
     again = materialize(joined.groupBy("doc_id", "mark").count().where("count > 1").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark")))
     if again.isEmpty():
         return kept
-    single = kept.join(again, _same(kept, again), "left_semi").dropDuplicates(["doc_id"])
+    single = kept.join(again, _same(kept, again), "left_semi").dropDuplicates(["doc_id", "text"])
     return kept.join(again, _same(kept, again), "left_anti").unionByName(single)
 
 

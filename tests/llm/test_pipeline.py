@@ -96,6 +96,16 @@ def test_odd_rows_pass_every_stage(spark, stages):
         assert stage(spark, empty, SF).count() == 0
 
 
+def test_rows_of_one_id_with_different_texts_are_judged_each(spark, stages):
+    words = [[f"{name}{i}" for i in range(60)] for name in "abcd"]
+    groups = [(1, words[0]), (2, words[0] + ["x"]), (1, words[1]), (3, words[1] + ["x"])]  # two groups of one least id
+    rows = [(i, " ".join(text)) for i, text in [*groups, (4, words[2]), (4, words[2]), (4, words[3]), (4, words[3])]] + [(1, None)]
+    columns = [F.lit(None).cast(t).alias(c) for c, t in stages[""].dtypes if c not in ("doc_id", "text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").select("doc_id", "text", *columns)
+    kept = corpus_pipeline.near_duplicates(spark, docs, SF).collect()
+    assert sorted((r.doc_id, (r.text or "-")[0]) for r in kept) == [(1, "-"), (1, "a"), (1, "b"), (4, "c"), (4, "d")]
+
+
 def test_the_rest_works_without_this_folder():
     code = (
         "import sys; sys.modules['chronotable.llm'] = None; sys.modules['corpus_pipeline'] = None\n"
