@@ -11,6 +11,8 @@ repeated for each bucket in which its entry is looked up, so neither a key that
 lasts for years makes a capture meet more than the changes of one bucket; a host with a third of all
 captures is a skewed key of a plain join, which adaptive execution splits. Only built-in functions are used.
 
+A host of more than 253 characters is looked up under its last labels, as no entry is longer.
+
 Nulls: a null or unreadable URL, or a null fetch time, matches nothing and is not blocked; the row stays. Entries with
 a null entry or time are left out; an action other than ``add`` counts as ``remove``. At one time removal
 wins over addition; repeated changes count once. Repeated captures are each judged. Empty tables give no rows,
@@ -29,12 +31,24 @@ _LONGEST_HOST = 253  # fixed: the limit of the name system
 _SEGMENT = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^/?#]+)"
 
 
+def _written_host(url: Column) -> Column:
+    return F.lower(F.regexp_extract(url, _HOST, 1))
+
+
 def host_of(url: Column) -> Column:
     """Host in lower case; null if there is none. No host has more than 253 characters."""
-    host = F.lower(F.regexp_extract(url, _HOST, 1))
+    host = _written_host(url)
     return F.when(F.char_length(host).between(1, _LONGEST_HOST), host)
 
 
+def listable_host(url: Column) -> Column:
+    """The host, of a longer one the most last labels that have 253 characters together, which is all that an entry can name."""
+    host = _written_host(url)
+    # One more character tells whether the first label is whole; what stands before the first dot goes.
+    tail = F.regexp_extract(F.substring(host, -_LONGEST_HOST - 1, _LONGEST_HOST + 1), r"\.(.+)$", 1)
+    return F.nullif(F.when(F.char_length(host) > _LONGEST_HOST, tail).otherwise(host), F.lit(""))
+
+
 def segment_of(url: Column) -> Column:
     """First path segment; null if there is none."""
     return F.nullif(F.regexp_extract(url, _SEGMENT, 1), F.lit(""))
@@ -82,7 +96,7 @@ def judge_captures(captures: DataFrame, changes: DataFrame, url: str = "url", fe
     rows = captures.select("page_id", F.col(url).alias("url"), F.col(fetched).cast("long").alias("fetched_at"))
     lookups = (
         rows.where("fetched_at IS NOT NULL")
-        .select("page_id", "url", "fetched_at", F.inline(_keys(host_of(F.col("url")), segment_of(F.col("url")))))
+        .select("page_id", "url", "fetched_at", F.inline(_keys(listable_host(F.col("url")), segment_of(F.col("url")))))
         .withColumn("bucket", F.floor(F.col("fetched_at") / bucket))
     )
     # Of an interval's buckets only those are used in which its entry is looked up.

@@ -131,6 +131,16 @@ def test_captures_see_the_list_of_their_time(spark, bucket):
     ]
 
 
+def test_overlong_hosts_are_looked_up_under_their_last_labels(spark):
+    whole = "b" * 241 + ".example.com"  # 253 characters
+    changes = [("example.com", "block", "add", 0), ("ok.example.com/a", "allow", "add", 0), (whole, "block", "add", 0)]
+    pages = [
+        (1, "http://" + "x" * 300 + ".example.com/y", 5), (2, "http://" + "x." * 50_000 + "ok.example.com/a", 5), (3, f"http://z.{whole}/", 5),
+        (4, "http://" + "x" * 300 + ".notexample.com/", 5), (5, "http://" + "x" * 300, 5), (6, "http://x" + whole + "/", 5),
+    ]
+    assert judged(spark, pages, changes) == [(1, "example.com", 1, True), (2, "ok.example.com/a", 2, False), (3, whole, 2, True), (4, None, 0, False), (5, None, 0, False), (6, "example.com", 1, True)]
+
+
 def test_odd_captures(spark):
     pages = [(1, None, 5), (2, "http://a.de/", None), (None, "http://a.de/", 5), (3, "http://a.de/", 5), (3, "http://a.de/", 5), (4, "http://" + "x" * 100_000 + ".de/", 5)]
     changes = [("a.de", "block", "add", 0), ("a.de", "allow", "add", 0)]
