@@ -44,7 +44,7 @@ _TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvw
 _FOLDED = np.array([b if b >= 0x80 or chr(b) in "abcdefghijklmnopqrstuvwxyz " else 0 for b in range(256)], np.uint32)
 _FIRST_TAG = r"(?i)<html\b([^>]*)"
 _DECLARED = r"(?i)\slang\s*=\s*[\"']?([A-Za-z]{2,3})"
-_HIDDEN = re.compile(r"<(?:(script|style)\b|!--|)", re.IGNORECASE)
+_HIDDEN = re.compile(r"<(?:(script|style)\b|!--|(?=[a-z/!?]))", re.IGNORECASE)
 
 
 def trigrams(text: str) -> np.ndarray:
@@ -55,7 +55,7 @@ def trigrams(text: str) -> np.ndarray:
 
 
 def visible_text(html: str) -> str:
-    """What stands between the tags, without scripts, styles and comments; one that is not closed hides the rest."""
+    """What stands between the tags, without scripts, styles and comments; one that is not closed hides the rest, as in browsers. A ``<`` that begins none is text."""
     lowered = html.lower()
     if len(lowered) != len(html):  # a letter that changes its length; tags are ASCII
         lowered = html.translate(_TO_LOWER)

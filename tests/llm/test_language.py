@@ -84,6 +84,11 @@ def test_visible_text():
     assert time.time() - start < 20
 
 
+def test_a_sign_that_begins_no_tag_hides_nothing():
+    assert visible_text("<p>5 < 6, et la suite").strip() == "5 < 6, et la suite"
+    assert visible_text("<b>a</b> <3 und <").split() == ["a", "<3", "und", "<"]
+
+
 def test_odd_rows(spark, documents):
     real = [(r.text, r.lang, r.source) for r in spark.read.parquet(f"{SF}/documents.parquet").limit(50).collect()]
     table = documents([(None, None, None), ("", "de", "s"), ("123 !!", "de", "s"), ("x" * 300_000, "xx", None), *real]).withColumn("key", F.lit(1)).withColumn("p", F.lit("clash")).withColumn("host", F.lit("clash"))
