@@ -15,6 +15,7 @@ from chronotable.llm.jaccard_join import join_similar
 from chronotable.llm.language import document_evidence, identify_languages, page_evidence, train_text_model
 from chronotable.llm.outliers import judge_quality
 from chronotable.llm.packing import pack_documents
+from chronotable.llm.phrases import find_collocations
 from chronotable.llm.pii import find_personal_data, train_personal_data
 from chronotable.llm.sql import SQL
 from chronotable.llm.token_counts import count_tokens
@@ -117,6 +118,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_collocations(read(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     """The query, on workers that have this package."""
 
@@ -141,5 +146,6 @@ QUERIES = {
         op8_language,
         op9_url_lists,
         op10_packing,
+        op11_collocations,
     )
 }

