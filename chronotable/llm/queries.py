@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronotable.llm.common import read, ship
+from chronotable.llm.context_tree import score_documents
 from chronotable.llm.decontaminate import find_contamination
 from chronotable.llm.jaccard_join import join_similar
 from chronotable.llm.language import document_evidence, identify_languages, page_evidence, train_text_model
@@ -122,6 +123,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(read(spark, sf_dir, "documents"))
+
+
 def _shipped(query: Query) -> Query:
     """The query, on workers that have this package."""
 
@@ -147,5 +152,6 @@ QUERIES = {
         op9_url_lists,
         op10_packing,
         op11_collocations,
+        op13_context_tree,
     )
 }
