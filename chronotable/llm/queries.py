@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from chronotable.llm.common import read, ship
 from chronotable.llm.context_tree import score_documents
+from chronotable.llm.conversation_trie import conversation_trie
 from chronotable.llm.decontaminate import find_contamination
 from chronotable.llm.jaccard_join import join_similar
 from chronotable.llm.language import document_evidence, identify_languages, page_evidence, train_text_model
@@ -123,6 +124,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_collocations(read(spark, sf_dir, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 def op13_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(read(spark, sf_dir, "documents"))
 
@@ -152,6 +157,7 @@ QUERIES = {
         op9_url_lists,
         op10_packing,
         op11_collocations,
+        op12_conversation_trie,
         op13_context_tree,
     )
 }

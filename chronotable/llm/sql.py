@@ -108,4 +108,40 @@ SELECT ranked.lang, rank, phrase, a, l, r, CAST(n.n AS BIGINT) AS n, CAST(score
 FROM ranked JOIN n ON n.lang = ranked.lang WHERE rank <= 2000
 """
 
-SQL = {"op5_contamination": _CONTAMINATION, "op9_url_lists": _LISTS, "op11_collocations": _PHRASES}
+# The checksum of a decimal number, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(string_split({0}, ''), lambda c: ascii(c)::BIGINT)),
+    lambda acc, b: list_reduce(list_prepend(xor(acc, b), [0::BIGINT, 0, 0, 0, 0, 0, 0, 0]), lambda x, y: xor(x >> 1, (x & 1) * 3988292384))))"""
+
+_TRIE = f"""
+WITH own AS (
+    SELECT conv_id, list(struct_pack(r := coalesce(role, ''), t := coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+),
+headed AS (SELECT *, CAST({_CRC.format("CAST(conv_id AS VARCHAR)")} % 9 AS BIGINT) AS h FROM own),
+rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.turns[1:c.h], []), c.turns[c.h + 1:]) AS turns
+    FROM headed AS c LEFT JOIN own AS b ON b.conv_id = c.conv_id - c.conv_id % 5
+),
+prefixes AS (SELECT conv_id, d AS depth, turns[1:d] AS prefix, len(turns) = d AS ends FROM rebuilt, unnest(range(0, len(turns) + 1)) AS u(d)),
+nodes AS (
+    SELECT min(conv_id) AS node, depth, prefix, count(*) AS n,
+        CASE WHEN depth > 0 THEN strlen(prefix[-1].t) ELSE 0 END AS bytes,
+        sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+    FROM prefixes GROUP BY depth, prefix
+),
+placed AS (SELECT p.conv_id, p.depth, n.node FROM prefixes AS p JOIN nodes AS n ON n.depth = p.depth AND n.prefix = p.prefix),
+ups AS (SELECT DISTINCT a.node, a.depth, b.node AS up FROM placed AS a JOIN placed AS b ON b.conv_id = a.conv_id AND b.depth = a.depth - 1),
+born AS (SELECT up AS node, depth - 1 AS depth, count(*) AS children FROM ups GROUP BY ALL),
+full_nodes AS (SELECT nodes.*, up, coalesce(children, 0) AS children FROM nodes LEFT JOIN ups USING (node, depth) LEFT JOIN born USING (node, depth)),
+under AS (SELECT DISTINCT a.node, a.depth, b.node AS low, b.depth AS low_depth FROM placed AS a JOIN placed AS b ON b.conv_id = a.conv_id AND b.depth >= a.depth),
+sums AS (
+    SELECT under.node, under.depth, count(*) FILTER (f.children = 0) AS leaves, sum((f.n - 1) * f.bytes) AS saved
+    FROM under JOIN full_nodes AS f ON f.node = under.low AND f.depth = under.low_depth GROUP BY ALL
+)
+SELECT node AS conv_id, depth, up AS parent_conv_id, n AS n_convs, CAST(children AS BIGINT) AS n_children,
+    CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM full_nodes JOIN sums USING (node, depth)
+"""
+
+SQL = {"op5_contamination": _CONTAMINATION, "op9_url_lists": _LISTS, "op11_collocations": _PHRASES, "op12_conversation_trie": _TRIE}

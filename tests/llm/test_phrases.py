@@ -1,0 +1,122 @@
+"""Collocations against brute force, with containers that burst and tasks that spill."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from compare import compare, connect
+
+import chronotable.llm.phrases as phrases
+from chronotable.llm.phrases import HatTrie, find_collocations
+from chronotable.llm.queries import QUERIES, SQL
+
+SF = "/root/testdata/sf0.001"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least=10, top=2_000, contained=50):
+    counts, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for size in (1, 2, 3):
+                counts.update((lang, tuple(words[i : i + size])) for i in range(len(words) - size + 1))
+    kept = {k: a for k, a in counts.items() if len(k[1]) > 1 and a >= least}
+    out = {}
+    for (lang, words), a in kept.items():
+        if any(k[0] == lang and len(k[1]) > len(words) and words in (k[1][:2], k[1][1:]) and 100 * f >= contained * a for k, f in kept.items()):
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = counts[lang, words[:k]], counts[lang, words[k:]]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        out.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    rows = []
+    for lang, found in out.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found)[:top], 1):
+            rows.append((lang, rank, phrase.decode(), -a, left, right, n[lang], -score))
+    return sorted(rows)
+
+
+def found(frame):
+    assert frame.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
+    return sorted(tuple(row) for row in frame.collect())
+
+
+TEXTS = [
+    ("en", "New York City is big. new york city, NEW YORK"),
+    ("en", "new york city\tnew york\x0bnew york"),
+    (None, "ein zwei drei ein zwei drei ein zwei"),
+    ("und", "ein zwei drei; ein zwei\x0cdrei"),
+    ("fr", "a a a a a a a a a a a a a a"),
+    ("fr", "ünï çà ünï çà — ünï\x1cçà ünï çà"),
+    ("fr", ""),
+    ("fr", None),
+    ("", "no lang no lang no lang x\x00y z x\x00y z"),
+]
+
+
+@pytest.mark.parametrize("held", [400_000, 5])
+def test_against_brute_force(spark, held):
+    rows = TEXTS * 5 + [("en", "of the city of the city of the town of a city, the city of york")] * 8
+    documents = spark.createDataFrame([(text, lang, 1) for lang, text in rows], "text string, lang string, n long").repartition(3)
+    assert found(find_collocations(documents, held=held)) == brute(rows)
+    assert found(find_collocations(documents, least=3, top=2, contained=100, held=held)) == brute(rows, 3, 2, 100)
+
+
+def test_large_counts_score_exactly(spark):
+    rows = spark.createDataFrame([("x", "p q", 3_000_000_001)], "lang string, phrase string, n long")
+    words = spark.createDataFrame([("x", "p", 3_000_000_007), ("x", "q", 9_000_000_000_001)], "lang string, phrase string, n long")
+    totals = spark.createDataFrame([("x", 10**13)], "lang string, words long")
+    (row,) = phrases._ranked(words, rows, rows.limit(0), totals, 10, 50).collect()
+    assert row.score == 1_000_000 * 3_000_000_001**2 // (3_000_000_007 * 9_000_000_000_001)
+
+
+def test_empty_tables(spark):
+    assert find_collocations(spark.createDataFrame([], "text string, lang string")).collect() == []
+    assert find_collocations(spark.createDataFrame([(None, None)], "text string, lang string")).collect() == []
+
+
+def test_long_text_is_cut_without_loss(spark, monkeypatch):
+    """Stretches shorter than a text overlap by the words that a phrase can reach over."""
+    counting = phrases._Counting(3, 4, None, np.full((phrases._MASK + 1) // 8, 255, np.uint8), 10**6)
+    monkeypatch.setattr(phrases, "_STRETCH", 7)
+    text = "a b c d e f g h i j k l m n o p q r s t u v w x y z " * 3
+    runs = [run for run in counting.add("en", text)] + list(counting.end())
+    total = sum(sum(run.column("total").to_pylist()) for run in runs)
+    assert total == len(text.split()) - 2
+
+
+@pytest.mark.parametrize("length", [1, 2, 3])
+def test_trie_bursts_and_spills_whole_subtrees(length):
+    random = np.random.default_rng(0)
+    trie, expected = HatTrie(length, burst=4), Counter()
+    spilled = Counter()
+    for _ in range(30):
+        words = random.integers(0, 6, (40, length))
+        keys = np.zeros(40, np.uint64)
+        for step in range(length):
+            keys = keys << np.uint64(20) | words[:, step].astype(np.uint64)
+        expected.update(keys.tolist())
+        trie.add(*np.unique(keys, return_counts=True))
+        if trie.entries > 60:
+            before = set(trie.root)
+            keys, counts = trie.spill(30)
+            assert {k >> 20 * (length - 1) for k in keys.tolist()}.isdisjoint(trie.root) and set(trie.root) <= before
+            for k, n in zip(keys.tolist(), counts.tolist(), strict=True):
+                spilled[k] += n
+    if length == 3:
+        assert any(isinstance(node, phrases._Branch) for node in trie.root.values()) or spilled
+    keys, counts = trie.spill(0)
+    assert trie.entries == 0 and not trie.root
+    for k, n in zip(keys.tolist(), counts.tolist(), strict=True):
+        spilled[k] += n
+    assert spilled == expected
+
+
+def test_query_against_sql(spark):
+    assert compare(spark, connect(SF), QUERIES["op11_collocations"], SQL["op11_collocations"], SF) == []
