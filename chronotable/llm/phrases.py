@@ -69,10 +69,12 @@ class HatTrie:
 
     def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Adds sorted packed keys."""
+        if not len(keys):
+            return
         shift = np.uint64(_ID * (self.length - 1))
         firsts = keys >> shift
         rests = (keys - (firsts << shift)).tolist()
-        starts = np.flatnonzero(np.concatenate([[True], firsts[1:] != firsts[:-1]])) if len(keys) else np.empty(0, np.int64)
+        starts = np.flatnonzero(np.concatenate([[True], firsts[1:] != firsts[:-1]]))
         stops = np.append(starts[1:], len(keys)).tolist()
         numbers = counts.tolist()
         for first, start, stop in zip(firsts[starts].tolist(), starts.tolist(), stops, strict=True):
