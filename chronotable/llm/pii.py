@@ -4,31 +4,36 @@
 stay. The field then looks at the tokens (runs of visible characters) that hold a digit or an at sign; all
 others are O by definition, so the graph of a text has only clue tokens as nodes, and what a plain neighbour
 contributes is a constant. Edges join neighbouring clue tokens (the chain) and tokens that say the same or
-nearly the same (the skips): equal but for case and punctuation, the same digits, or the same name before an at sign.
-Each occurrence is joined to the next one, so a token that recurs a thousand times costs a thousand edges. Tokens inside base spans are
+nearly the same (the skips). Strong skips join the same name before an at sign, the same seven digits or more, also as the end of
+a whole phone or card number, and the same first three parts of an address; weak ones the same four to six digits or the same
+mixed word. Each occurrence is joined to the next one, so a token that recurs a thousand times costs a thousand edges. Tokens inside base spans are
 observed; loopy sum-product message passing finds the beliefs of the rest, and tokens that are ``certain`` to be
 personal data become further spans, unless they touch a base span.
 
-Training is distant supervision: the patterns label the clue tokens of a sample, and the weights maximise
-the pseudo-likelihood. Sampling: at most ``most`` documents with clues, in the order of a hash of the id.
+Training is distant supervision with hidden mentions. In a sample every base span is mentioned once more in a shortened form
+that no pattern finds: in its own text, as a hidden token of its kind that a skip joins to it, and in another
+text, as a hidden token that is O. So the form alone tells nothing and the skips must. Other tokens are O if no strong skip joins them to a base span;
+those that one does join have no label. The weights maximise the pseudo-likelihood of the hidden tokens. Sampling: at most ``most``
+documents with clues, in the order of a hash of the id, and of those the ones whose clues take no more than ``_MOST_CLUES`` bytes; only clue tokens are gathered, never texts.
 
 Offsets count code points, ends are exclusive. All passes over a text are linear in its length.
 
 Nulls: a null text is empty and has no spans; a null ``doc_id`` stays. Rows may repeat. An empty table gives no
-rows; without any clue to train on no spans are added. Other columns are not read by ``find_personal_data`` and
+rows; without a span to learn from no spans are added. Other columns are not read by ``find_personal_data`` and
 kept by ``redact``.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import re
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,19 +157,52 @@ def _features(word: str) -> list[float]:
 _WIDTH = len(_features("0"))
 
 
-def _skip_keys(word: str) -> list[str]:
-    """Tokens that share a key are joined."""
-    plain = _NOT_WORD.sub("", word.lower())
-    keys = [f"w{plain}"] if len(plain) >= 4 else []
-    digits = _NOT_DIGIT.sub("", word)
-    if len(digits) >= 4 and digits != plain and not any(c.isalpha() for c in word):
-        keys.append(f"w{digits}")
-    name = word.partition("@")[0].lower()
-    if "@" in word and len(name) >= 4:
-        keys.append(f"n{name}")
+_STRONG, _WEAK = 0, 1
+_SKIPS = 2
+
+
+def _skip_keys(word: str) -> list[tuple[str, int]]:
+    """Tokens that share a key are joined, by an edge of that kind."""
+    core = word.strip(".,;:!?\"'()[]<>")
+    plain = _NOT_WORD.sub("", core.lower())
+    if "@" in core:
+        name, _, domain = core.lower().partition("@")
+        name = name or domain
+        return [(f"n{name}", _STRONG)] if len(name) >= 4 else []
+    digits = _NOT_DIGIT.sub("", core)
+    if any(c.isalpha() for c in core):
+        return [(f"w{plain}", _STRONG if len(digits) >= 7 else _WEAK)] if len(plain) >= 4 else []
+    keys = []
+    if len(digits) >= 4:
+        keys.append((f"d{digits}", _STRONG if len(digits) >= 7 else _WEAK))
+    parts = core.split(".")
+    if len(parts) >= 3 and all(0 < len(p) <= 3 and p.isascii() and p.isdigit() for p in parts[:3]):
+        keys.append((f"p{'.'.join(parts[:3])}", _STRONG))
     return keys
 
 
+def _span_keys(kind: int, text: str) -> list[str]:
+    """Strong keys of a base span as a whole."""
+    if kind == 0:
+        name = text.lower().partition("@")[0]
+        return [f"n{name}"] if len(name) >= 4 else []
+    if kind == 1:
+        return [f"p{'.'.join(text.split('.')[:3])}"]
+    digits = _NOT_DIGIT.sub("", text)
+    return [f"d{digits[-n:]}" for n in range(7, len(digits) + 1)]
+
+
+def _hidden_form(kind: int, text: str) -> str:
+    """A mention of a base span that the patterns do not find."""
+    if kind == 0:
+        name, _, domain = text.partition("@")
+        return f"{name}@{domain.partition('.')[0]}"
+    if kind == 1:
+        return ".".join(text.split(".")[:3])
+    digits = _NOT_DIGIT.sub("", text)
+    return f"{digits[-7:-4]}-{digits[-4:]}" if kind == 3 else ".".join(digits[i : i + 4] for i in range(0, len(digits), 4))
+
+
 class Graph:
     """Clue tokens of many texts side by side."""
 
@@ -175,6 +213,9 @@ class Graph:
         self.open_right: list[bool] = []
         self.chain: list[tuple[int, int]] = []
         self.skips: list[tuple[int, int]] = []
+        self.skip_kinds: list[int] = []
+        self.hidden: list[tuple[int, int]] = []  # planted tokens and their labels
+        self.spans: list[tuple[int, int, str]] = []  # last token, kind and text of base spans
 
     def add(self, tokens: Tokens, spans: list[Span]) -> int:
         """Adds a text; returns the place of its first token."""
@@ -193,23 +234,59 @@ class Graph:
                 self.chain.append((first + before, first + i))
             self.open_left.append(before == -1)
             self.open_right.append(not tokens.last[i] and not (i + 1 < count and tokens.before[i + 1] == i))
+            keys = _skip_keys(word)
+            if inside and ordered[at][1] <= tokens.ends[i]:  # the last token of a span stands for all of it
+                start, end, kind = ordered[at]
+                whole = _covered(tokens, i, start, end)
+                self.spans.append((first + i, kind, whole))
+                keys += [(key, _STRONG) for key in _span_keys(kind, whole)]
             joined = set()
-            for key in _skip_keys(word):
+            for key, kind in sorted(set(keys), key=lambda pair: pair[1]):
                 if key in seen and seen[key] not in joined:
                     joined.add(seen[key])
                     self.skips.append((first + seen[key], first + i))
+                    self.skip_kinds.append(kind)
                 seen[key] = i
         return first
 
-    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def plant(self, word: str, label: int, partner: int | None) -> None:
+        """A hidden token between plain ones, joined to ``partner`` by a strong skip."""
+        self.hidden.append((len(self.features), label))
+        if partner is not None:
+            self.skips.append((partner, len(self.features)))
+            self.skip_kinds.append(_STRONG)
+        self.features.append(_features(word))
+        self.observed.append(-1)
+        self.open_left.append(True)
+        self.open_right.append(True)
+
+    def plant_mentions(self) -> None:
+        """Each base span once more, shortened, beside itself and where it has no partner."""
+        for partner, kind, text in self.spans:
+            form = _hidden_form(kind, text)
+            self.plant(form, kind + 1, partner)
+            self.plant(form, 0, None)
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         features = np.array(self.features, np.float64).reshape(-1, _WIDTH)
-        return features, np.array(self.observed, np.int64), np.array(self.chain, np.int64).reshape(-1, 2), np.array(self.skips, np.int64).reshape(-1, 2)
+        pairs = (np.array(edges, np.int64).reshape(-1, 2) for edges in (self.chain, self.skips))
+        return features, np.array(self.observed, np.int64), *pairs, np.array(self.skip_kinds, np.int64)
+
+
+def _covered(tokens: Tokens, last: int, start: int, end: int) -> str:
+    """The text of a span that ends in a token, as far as clue tokens hold it."""
+    parts = []
+    i = last
+    while i >= 0 and tokens.ends[i] > start:
+        parts.append(tokens.words[i][max(0, start - tokens.starts[i]) : max(0, end - tokens.starts[i])])
+        i -= 1
+    return " ".join(reversed(parts))
 
 
 class Weights(NamedTuple):
     unary: np.ndarray
     chain: np.ndarray  # by left and right label
-    skip: np.ndarray  # symmetric
+    skip: np.ndarray  # by kind of skip; symmetric
 
 
 def _softmax(logits: np.ndarray) -> np.ndarray:
@@ -217,30 +294,45 @@ def _softmax(logits: np.ndarray) -> np.ndarray:
     return raised / raised.sum(axis=1, keepdims=True)
 
 
-def train(graph: Graph, steps: int = 400, rate: float = 0.1, decay: float = 2e-3) -> Weights:
-    """Pseudo-likelihood of the base labels, by Adam over the whole sample."""
-    features, observed, chain, skips = graph.arrays()
+def train(graph: Graph, steps: int = 400, rate: float = 0.1, decay: float = 2e-5) -> Weights:
+    """Pseudo-likelihood of the hidden tokens, by Adam over the whole sample; planted ones weigh as much as all others."""
+    features, observed, chain, skips, kinds = graph.arrays()
     n = len(features)
     labels = np.where(observed < 0, 0, observed)
+    planted = np.zeros(n, bool)
+    for place, label in graph.hidden:
+        labels[place], planted[place] = label, True
+    known = observed >= 0
+    # What a strong skip joins to a base span may be anything.
+    strong = skips[kinds == _STRONG]
+    unclear = np.zeros(n, bool)
+    for a, b in (strong.T, strong.T[::-1]):
+        unclear[a[known[b]]] = True
+    unclear &= ~known & ~planted
+    weight = (~known & ~unclear & ~planted).astype(float)
+    weight[planted] = max(weight.sum(), 1.0) / max(planted.sum(), 1)
+    weight /= max(weight.sum(), 1.0)
     hot = np.eye(_LABELS)[labels]
+    hot[unclear] = 0
     left, right = (np.zeros((n, _LABELS)) for _ in range(2))
     left[chain[:, 1]] = hot[chain[:, 0]]
     right[chain[:, 0]] = hot[chain[:, 1]]
     left[np.array(graph.open_left, bool), 0] = 1
     right[np.array(graph.open_right, bool), 0] = 1
-    beside = np.zeros((n, _LABELS))
-    np.add.at(beside, skips[:, 1], hot[skips[:, 0]])
-    np.add.at(beside, skips[:, 0], hot[skips[:, 1]])
-    shapes = [(_WIDTH, _LABELS), (_LABELS, _LABELS), (_LABELS, _LABELS)]
+    beside = np.zeros((_SKIPS, n, _LABELS))
+    np.add.at(beside, (kinds, skips[:, 1]), hot[skips[:, 0]])
+    np.add.at(beside, (kinds, skips[:, 0]), hot[skips[:, 1]])
+    shapes = [(_WIDTH, _LABELS), (_LABELS, _LABELS), (_SKIPS, _LABELS, _LABELS)]
     values = [np.zeros(s) for s in shapes]
     means, squares = [np.zeros(s) for s in shapes], [np.zeros(s) for s in shapes]
     for step in range(1, steps + 1):
         unary, pair, skip = values
-        off = (_softmax(features @ unary + left @ pair + right @ pair.T + beside @ skip) - hot) / n
-        by_skip = beside.T @ off
-        gradients = [features.T @ off, left.T @ off + (right.T @ off).T, (by_skip + by_skip.T) / 2]
+        off = _softmax(features @ unary + left @ pair + right @ pair.T + np.einsum("knl,klm->nm", beside, skip)) - np.eye(_LABELS)[labels]
+        off *= weight[:, None]
+        by_skip = np.einsum("knl,nm->klm", beside, off)
+        gradients = [features.T @ off, left.T @ off + (right.T @ off).T, (by_skip + by_skip.transpose(0, 2, 1)) / 2]
         for value, mean, square, gradient in zip(values, means, squares, gradients, strict=True):
-            gradient = gradient + decay * value / 10
+            gradient = gradient + decay * value
             mean += 0.1 * (gradient - mean)
             square += 0.01 * (gradient**2 - square)
             value -= rate * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
@@ -249,7 +341,7 @@ def train(graph: Graph, steps: int = 400, rate: float = 0.1, decay: float = 2e-3
 
 def beliefs(graph: Graph, weights: Weights, rounds: int = 30, damping: float = 0.3, enough: float = 1e-4) -> np.ndarray:
     """Marginals of all tokens by damped loopy message passing over all texts at once."""
-    features, observed, chain, skips = graph.arrays()
+    features, observed, chain, skips, kinds = graph.arrays()
     unary = features @ weights.unary
     unary[np.array(graph.open_left, bool)] += weights.chain[0]
     unary[np.array(graph.open_right, bool)] += weights.chain[:, 0]
@@ -260,7 +352,7 @@ def beliefs(graph: Graph, weights: Weights, rounds: int = 30, damping: float = 0
     if not len(edges):
         return _softmax(unary)
     m = len(edges)
-    potentials = np.concatenate([np.repeat(weights.chain[None], len(chain), 0), np.repeat(weights.skip[None], len(skips), 0)])
+    potentials = np.concatenate([np.repeat(weights.chain[None], len(chain), 0), weights.skip[kinds]])
     source = np.concatenate([edges[:, 0], edges[:, 1]])
     target = np.concatenate([edges[:, 1], edges[:, 0]])
     potentials = np.concatenate([potentials, potentials.transpose(0, 2, 1)])
@@ -324,25 +416,47 @@ class Finder:
         return out
 
 
+_MOST_CLUES = 20_000  # bytes
+_CLUES = pa.schema([("doc_id", pa.int64()), ("clues", pa.string())])
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Clue tokens and base spans of texts, in place of the texts."""
+    for batch in batches:
+        ids, out = [], []
+        for doc_id, value in zip(batch.column(0), batch.column(1), strict=True):
+            text = value.as_py()
+            clues = json.dumps([clue_tokens(text), base_spans(text)])
+            if len(clues) <= _MOST_CLUES:
+                ids.append(doc_id.as_py())
+                out.append(clues)
+        yield batch_of(_CLUES, (ids, out))
+
+
 def train_personal_data(documents: DataFrame, most: int = 4_000) -> Weights | None:
     """Weights of the field from the base spans of a bounded sample; None if there is no clue to learn from."""
     clues = texts(documents).where(F.col("text").rlike("[0-9@]") & F.col("doc_id").isNotNull())
     ids = materialize(clues.select(F.col("doc_id").cast("long")).distinct())
     chosen = materialize(first_by_hash(ids, most))
     sample = clues.withColumn("doc_id", F.col("doc_id").cast("long")).join(F.broadcast(chosen), "doc_id")  # at most `most` ids
-    trained = sample.withColumn("all", F.lit(0)).groupBy("all").applyInPandas(_fit, "part int, value array<double>").collect()
+    gathered = sample.select("doc_id", "text").mapInArrow(_gather, "doc_id long, clues string")
+    # Ids that repeat bring more rows.
+    bounded = gathered.orderBy(F.xxhash64("doc_id", "clues"), "doc_id", "clues").limit(most)
+    trained = bounded.withColumn("all", F.lit(0)).groupBy("all").applyInArrow(_fit, "part int, value array<double>").collect()
     if not trained:
         return None
     parts = {row.part: np.array(row.value) for row in trained}
-    return Weights(parts[0].reshape(_WIDTH, _LABELS), parts[1].reshape(_LABELS, _LABELS), parts[2].reshape(_LABELS, _LABELS))
+    return Weights(parts[0].reshape(_WIDTH, _LABELS), parts[1].reshape(_LABELS, _LABELS), parts[2].reshape(_SKIPS, _LABELS, _LABELS))
 
 
-def _fit(sample: pd.DataFrame) -> pd.DataFrame:
+def _fit(sample: pa.Table) -> pa.Table:
     graph = Graph()
-    for text in sample.sort_values(["doc_id", "text"])["text"]:
-        graph.add(clue_tokens(text), base_spans(text))
+    for clues in sorted(sample.column("clues").to_pylist()):
+        tokens, spans = json.loads(clues)
+        graph.add(Tokens(*tokens), [tuple(span) for span in spans])
+    graph.plant_mentions()
     weights = train(graph)
-    return pd.DataFrame({"part": range(3), "value": [w.ravel() for w in weights]})
+    return pa.table({"part": pa.array(range(3), pa.int32()), "value": pa.array([w.ravel() for w in weights], pa.list_(pa.float64()))})
 
 
 def _written(spans: list[Span]) -> str:
@@ -382,19 +496,18 @@ def _masked(text: str, spans: list[Span]) -> str:
 
 def redact(documents: DataFrame, weights: Weights | None, column: str = "text") -> DataFrame:
     """The same rows with every span replaced by its kind in angle brackets; a null text stays null."""
+    place = documents.columns.index(column)
 
-    @F.pandas_udf("string")
-    def masked(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         finder = Finder(weights)
         for batch in batches:
-            column_texts = [None if t is None else t for t in batch]
-            filled = [t or "" for t in column_texts]
             out: list[str | None] = []
-            for start in range(0, len(filled), 500):
-                part = filled[start : start + 500]
-                out += [_masked(t, every) if every else t for t, (_, every) in zip(part, finder.find(part), strict=True)]
-            yield pd.Series([None if t is None else o for t, o in zip(column_texts, out, strict=True)], dtype=object)
-            del column_texts, filled, out
+            for group in in_groups(batch.column(place)):
+                out += [_masked(t, every) if every else t for t, (_, every) in zip(group, finder.find(group), strict=True)]
+            known = batch.column(place).is_valid()
+            texts_out = pc.if_else(known, pa.array(out, batch.schema.field(place).type), pa.scalar(None, batch.schema.field(place).type))
+            yield batch.set_column(place, batch.schema.field(place), texts_out)
+            del out, texts_out
         give_back()
 
-    return documents.withColumn(column, masked(F.col(column)))
+    return documents.mapInArrow(masked, documents.schema)

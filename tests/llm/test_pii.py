@@ -77,35 +77,98 @@ def test_whole_table(spark):
     assert more <= 0.05 * sum(len(r.spans.split(",")) for r in rows if r.spans)
 
 
+def made_up(rng):
+    """A phone number, an address and more, with names that are all different."""
+    number = f"{rng.integers(200, 999)}-{rng.integers(1000, 9999)}"
+    name = "".join(rng.choice(list("abcdefghijklm"), 5)) + "." + "".join(rng.choice(list("nopqrstuvw"), 6))
+    return {
+        "phone": (f"+1 ({rng.integers(200, 999)}) {number}", number),
+        "mail": (f"{name}@mail{rng.integers(9)}.example.com", f"{name}@mail"),
+        "ip": (f"{rng.integers(11, 254)}.{rng.integers(11, 254)}.7.{rng.integers(1, 254)}", None),
+    }
+
+
 def sample():
+    """Weights from texts in which nothing is mentioned twice."""
     rng = np.random.default_rng(2)
     graph = Graph()
     for i in range(600):
-        number = f"{rng.integers(200, 999)}-{rng.integers(1000, 9999)}"
-        mail = f"u{rng.integers(1000, 9999)}@mail{i % 9}.example.com"
-        phone = f"+1 ({rng.integers(200, 999)}) {number}"
-        text = f"call {phone} or {mail} and again {mail} then {phone} version 2.0. key AKIA{rng.integers(10**9)} on 12. from {rng.integers(1, 254)}.7.9.{rng.integers(1, 254)} end"
+        made = made_up(rng)
+        text = f"call {made['phone'][0]} or {made['mail'][0]} with version 2.0. key AKIA{rng.integers(10**9)} on 12. from {made['ip'][0]} end, order {rng.integers(100, 999)}-{rng.integers(1000, 9999)}"
         graph.add(clue_tokens(text), base_spans(text))
+    graph.plant_mentions()
     return train(graph)
 
 
+def near_repeats(n=200):
+    """Texts with mentions that no pattern finds, their true spans, and numbers of the same form that belong to nobody."""
+    rng = np.random.default_rng(7)
+    for _ in range(n):
+        made, other = made_up(rng), made_up(rng)
+        kind = rng.choice(["phone", "mail"])
+        whole, near = made[kind]
+        text = f"please use {whole} today; part {other['phone'][1]} is sold out. Again: {near} is what we need, not {other['mail'][1]} or 2.5."
+        start = text.index(near, text.index("Again"))
+        yield text, (3 if kind == "phone" else 0, start, start + len(near))
+
+
+def added_spans(weights):
+    found = wanted = right = 0
+    for text, truth in near_repeats():
+        [(base, every)] = Finder(weights).find([text])
+        assert named(base) == brute(text) and set(base) <= set(every)
+        more = set(every) - set(base)
+        found, wanted, right = found + len(more), wanted + 1, right + (truth in more)
+    return found, wanted, right
+
+
 def test_the_field_carries_labels_along_skips():
-    finder = Finder(sample(), certain=0.9)
-    phone = "+1 (415) 555-2671"
-    text = f"write to {phone} please. The number 555-2671 is the same, 4.0. is not."
-    [(base, every)] = finder.find([text])
-    assert named(base) == brute(text)
-    added = [text[s:e] for k, s, e in every if (k, s, e) not in base]
-    assert all(a in ("555-2671",) for a in added)
-    [(base, every)] = finder.find(["nothing at 4.0. or AKIA123456789 to see 2 of 12."])
-    assert base == every == []
+    weights = sample()
+    found, wanted, right = added_spans(weights)
+    assert right >= 0.95 * wanted
+    assert right >= 0.95 * found
+
+
+def test_without_skips_nothing_is_carried():
+    weights = sample()
+    found, _, right = added_spans(weights._replace(skip=np.zeros_like(weights.skip)))
+    assert right == 0 and found == 0
+
+
+def test_what_only_looks_alike_is_left():
+    finder = Finder(sample())
+    for text in ("nothing at 4.0. or AKIA123456789 to see 2 of 12.", "parts 555-2671 and 555-2671 and 4155552671", "card 4111 1111 1111 1112 fails, 4111.1111.1111.1112 too", "bob.smith@example and bob.smith@example"):
+        [(base, every)] = finder.find([text])
+        assert base == every == []
+
+
+def test_labels_go_through_repeats_of_repeats():
+    """The second repeat is joined to the first only."""
+    text = "ring +44 20 7946 0958 now. 7946-0958 again, 7946-0958 once more, 7946-0958"
+    [(base, every)] = Finder(sample()).find([text])
+    assert len(base) == 1 and [text[s:e] for k, s, e in every if (k, s, e) not in base] == ["7946-0958"] * 3
+
+
+def test_trained_in_spark_it_finds_repeats(spark, documents):
+    rng = np.random.default_rng(4)
+    plain = []
+    for _ in range(300):
+        made = made_up(rng)
+        plain.append(f"call {made['phone'][0]} or mail {made['mail'][0]} from {made['ip'][0]}, item {rng.integers(100, 999)}-{rng.integers(1000, 9999)}")
+    cases = list(near_repeats(100))
+    table = documents(plain + [text for text, _ in cases])
+    rows = {r.doc_id: r for r in find_personal_data(table, train_personal_data(table)).collect()}
+    caught = [f"{KINDS[k]}:{s}:{e}" in rows[len(plain) + i].spans.split(",") for i, (_, (k, s, e)) in enumerate(cases)]
+    assert np.mean(caught) >= 0.9
+    more = sum(len(r.spans.split(",")) - r.n_email - r.n_ip - r.n_card - r.n_phone for r in rows.values() if r.spans)
+    assert more <= 1.05 * len(cases)
 
 
 def test_repeats_agree_and_cost_one_edge_each():
     weights = sample()
     graph = Graph()
     graph.add(clue_tokens("x 555-2671 y " * 3000), [])
-    _, _, _, skips = graph.arrays()
+    _, _, _, skips, _ = graph.arrays()
     assert len(skips) == 2999
     marginals = beliefs(graph, weights)
     assert np.allclose(marginals[1000:2000], marginals[1500], atol=1e-2)
