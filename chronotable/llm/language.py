@@ -12,8 +12,8 @@ For every row and language the logarithms of these add up:
 A row is kept if its text has letters (three in a row, or at an end), its best language has a posterior of at least ``least``, and its trigrams
 are as likely as those of the language's own sample, within ``spread`` deviations.
 
-Sampling: only the trigram model is fitted on a bounded sample, ``most`` labelled rows of each
-language, in the order of a hash of the id. All counts cover all rows.
+Sampling: only the trigram model is fitted on a bounded sample, ``most`` labelled rows of each of the ``languages`` most frequent
+labels, in the order of a hash of the id; texts stay in the tasks that read them and hand out counts of trigrams. All counts of evidence cover all rows.
 
 Nulls: missing evidence adds nothing; a null or empty text has no letters, so its language is ``und`` and it is not
 kept. Rows may repeat. An empty table gives no rows; without labelled rows everything is ``und``. Columns other than
@@ -25,10 +25,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,6 +38,7 @@ from chronotable.sources.workspace import materialize
 _BITS = 16
 _SALTS = 64
 _ROW = ("kind", "id")
+_EVIDENCE = ("declared", "suffix", "domain", "host")
 _TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _FOLDED = np.array([b if b >= 0x80 or chr(b) in "abcdefghijklmnopqrstuvwxyz " else 0 for b in range(256)], np.uint32)
 _FIRST_TAG = r"(?i)<html\b([^>]*)"
@@ -81,34 +80,48 @@ class TextModel:
     apart: np.ndarray  # and the deviation of single trigrams from it
 
 
-def train_text_model(labelled: DataFrame, most: int = 300) -> TextModel:
-    """From rows (id, text, lang); texts of at most ``most`` rows of each language."""
-    ids = labelled.where("lang IS NOT NULL AND id IS NOT NULL").select("id", "lang").distinct()
-    ids = ids.withColumn("hash", F.xxhash64("id")).withColumn("salt", F.pmod("hash", F.lit(_SALTS)))
-    # Only ids are ranked, first among those of a language and salt, so no language gathers in a task.
+def train_text_model(labelled: DataFrame, most: int = 300, languages: int = 64) -> TextModel:
+    """From rows (id, text, lang); at most ``most`` texts of each of the ``languages`` most frequent labels."""
+    rows = labelled.where("lang IS NOT NULL AND id IS NOT NULL").select(F.col("id").cast("long").alias("id"), F.col("lang").cast("string").alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    frequent = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages)
+    names = sorted(row.lang for row in frequent.collect())
+    ids = rows.where(F.col("lang").isin(names)).select("lang", F.xxhash64("id", "text").alias("hash")).distinct()
+    ids = ids.withColumn("salt", F.pmod("hash", F.lit(_SALTS)))
+    # Only hashes are ranked, first among those of a language and salt, so no language gathers in a task.
     for keys in (["lang", "salt"], ["lang"]):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash", "id"))
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy("hash"))
         ids = ids.withColumn("rank", rank).where(F.col("rank") <= most)
-    chosen = ids.select("id", "lang")
-    sample = labelled.select("id", "lang", "text").join(F.broadcast(materialize(chosen)), ["id", "lang"])
-    counted = sample.groupBy("lang").applyInPandas(_trigram_counts, "lang string, counts binary").toPandas().sort_values("lang")
-    if counted.empty:
+    chosen = materialize(ids.select(F.col("lang").alias("l"), F.col("hash").alias("h")))
+    same = (F.col("lang") == F.col("l")) & (F.xxhash64("id", "text") == F.col("h"))
+    sample = rows.join(F.broadcast(chosen), same, "left_semi").select("lang", "id", "text")  # at most `most` x `languages` hashes
+    parts = sample.dropDuplicates(["lang", "id", "text"]).select("lang", "text").mapInArrow(_trigram_counts, "lang string, trigram int, units long")
+    # At most 65,536 sums of each of the languages.
+    counted = parts.groupBy("lang", "trigram").agg(F.sum("units").alias("units")).toArrow()
+    counts = np.zeros((1 << _BITS, len(names)))
+    index = {name: i for i, name in enumerate(names)}
+    counts[counted.column(1).to_numpy(), [index[name] for name in counted.column(0).to_pylist()]] = counted.column(2).to_numpy() / _UNIT
+    if not names:
         return TextModel([], np.zeros((1 << _BITS, 0), np.float32), np.zeros(0), np.zeros(0))
-    counts = np.stack([np.frombuffer(c, np.float64) for c in counted["counts"]], axis=1)
     table = np.log((counts + 0.1) / (counts.sum(axis=0) + 0.1 * (1 << _BITS)))
     shares = counts / np.maximum(counts.sum(axis=0), 1)
     usual = (shares * table).sum(axis=0)
     apart = np.sqrt((shares * (table - usual) ** 2).sum(axis=0))
-    return TextModel(counted["lang"].tolist(), table.astype(np.float32), usual, apart)
+    # A language whose sample has no trigram has no deviation either.
+    return TextModel(names, table.astype(np.float32), usual, np.where(apart > 0, apart, 1.0))
 
 
-def _trigram_counts(sample: pd.DataFrame) -> pd.DataFrame:
-    counts = np.zeros(1 << _BITS)
-    for text in sample["text"]:
-        # A long text counts as much as ten thousand trigrams, so that no single one makes the model.
-        found = np.bincount(trigrams(text or ""), minlength=1 << _BITS)
-        counts += found * min(1.0, 10_000 / max(found.sum(), 1))
-    return pd.DataFrame({"lang": [sample["lang"].iloc[0]], "counts": [counts.tobytes()]})
+_UNIT = 1 << 20  # sums of whole numbers do not depend on their order
+_TRIGRAMS = pa.schema([("lang", pa.string()), ("trigram", pa.int32()), ("units", pa.int64())])
+
+
+def _trigram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lang, value in zip(batch.column(0), batch.column(1), strict=True):
+            found, times = np.unique(trigrams(value.as_py()), return_counts=True)
+            # A long text counts as much as ten thousand trigrams, so that no single one makes the model.
+            share = min(1.0, 10_000 / max(times.sum(), 1))
+            units = np.rint(times * (share * _UNIT)).astype(np.int64)
+            yield batch_of(_TRIGRAMS, (pa.array([lang.as_py()] * len(found), pa.string()), found.astype(np.int32), units))
 
 
 def _likelihoods(model: TextModel, weight: float) -> Callable:
@@ -117,9 +130,9 @@ def _likelihoods(model: TextModel, weight: float) -> Callable:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             logs, strange = [], []
-            for value, markup in zip(batch.column(7), batch.column(8).to_pylist(), strict=True):
+            for value, markup in zip(batch.column(7), batch.column(8), strict=True):
                 text = value.as_py() or ""
-                text = visible_text(text) if markup else text
+                text = visible_text(text) if markup.as_py() else text
                 if not any(map(str.isalpha, text)) or not model.languages:
                     logs.append(None)
                     strange.append(None)
@@ -142,21 +155,50 @@ def _likelihoods(model: TextModel, weight: float) -> Callable:
     return score
 
 
-def _soft_counts(rows: DataFrame, by: str, n: int, prefix: str) -> DataFrame:
-    """Text posteriors summed by a column."""
-    return rows.where(F.col(by).isNotNull() & F.col("p").isNotNull()).groupBy(F.col(by).alias(f"{prefix}_key")).agg(*[F.sum(F.col("p")[k]).alias(f"{prefix}{k}") for k in range(n)])
+def _soft_counts(rows: DataFrame, by: str, name: str) -> DataFrame:
+    """Text posteriors summed by a column, as an array in the order of the languages."""
+    shares = rows.where(F.col(by).isNotNull() & F.col("p").isNotNull()).select(F.col(by).alias(f"{name}_key"), F.posexplode("p").alias("k", "share"))
+    sums = shares.groupBy(f"{name}_key", "k").agg(F.sum("share").alias("share"))
+    inorder = F.array_sort(F.collect_list(F.struct("k", "share")))
+    return sums.groupBy(f"{name}_key").agg(F.transform(inorder, lambda s: s["share"]).alias(name))
+
+
+def _sums(arrays: DataFrame, column: str, n: int) -> np.ndarray:
+    """An array column summed over all rows."""
+    rows = arrays.select(F.posexplode(column).alias("k", "share")).groupBy("k").agg(F.sum("share").alias("share")).collect()
+    out = np.zeros(n)
+    for row in rows:
+        out[row.k] = row.share
+    return out
+
+
+def _left(counts: str) -> Column:
+    """An array of counts without a row's own share."""
+    return F.transform("own", lambda own, k: F.greatest(F.coalesce(F.get(counts, k), F.lit(0.0)) - own, F.lit(0.0)))
 
 
-def _joined(rows: DataFrame, counts: DataFrame, by: str, prefix: str, most: int = 50_000) -> DataFrame:
+def _with_evidence(name: str, values: int, totals: np.ndarray) -> Column:
+    """``logs`` plus how often a value of an evidence occurs with each language, smoothed."""
+    every = F.lit(totals.tolist())
+
+    def more(log: Column, k: Column) -> Column:
+        smoothed = (F.get(f"n_{name}", k) + 1) / (F.greatest(F.get(every, k) - F.get("own", k), F.lit(0.0)) + values + 1)
+        return log + F.when(F.col(name).isNotNull(), F.log(smoothed)).otherwise(F.lit(0.0))
+
+    return F.transform("logs", more)
+
+
+def _joined(rows: DataFrame, counts: DataFrame, by: str, name: str, most: int) -> DataFrame:
     """With the counts of the row's value; sent to all tasks only if there are at most ``most`` values."""
-    counts = materialize(counts)
     few = counts.limit(most + 1).count() <= most
-    return rows.join(F.broadcast(counts) if few else counts, F.col(by) == F.col(f"{prefix}_key"), "left").drop(f"{prefix}_key")
+    return rows.join(F.broadcast(counts) if few else counts, F.col(by) == F.col(f"{name}_key"), "left").drop(f"{name}_key")
 
 
-def identify_languages(rows: DataFrame, model: TextModel, weight: float = 100.0, strength: float = 5.0, least: float = 0.5, spread: float = 3.0) -> DataFrame:
+def identify_languages(rows: DataFrame, model: TextModel, weight: float = 100.0, strength: float = 5.0, least: float = 0.5, spread: float = 3.0, most: int = 50_000) -> DataFrame:
     """Language, posterior and verdict of every row.
 
+    Counts of at most ``most`` different values of an evidence are sent to all tasks; beyond that they are joined by a shuffle.
+
     ``rows`` has kind and id, which name a row; text, declared, suffix, domain and host, all strings, any of them null;
     ``markup`` says whether the text is HTML.
     ``mark`` is a hash of the text, which tells rows of one id apart.
@@ -170,41 +212,29 @@ def identify_languages(rows: DataFrame, model: TextModel, weight: float = 100.0,
     raised = F.transform("text_log", lambda x: F.exp(x - peak))
     scored = scored.withColumn("raised", raised).withColumn("p", F.transform("raised", lambda x: x / F.aggregate("raised", F.lit(0.0), lambda a, b: a + b)))
     scored = materialize(scored.drop("raised"))
-    overall = scored.where("p IS NOT NULL").agg(*[F.sum(F.col("p")[k]).alias(f"a{k}") for k in range(n)]).first()
-    all_counts = np.array([overall[k] or 0.0 for k in range(n)])
-    shares = (all_counts + 1) / (all_counts + 1).sum()
-    fused = scored
+    all_counts = _sums(scored.where("p IS NOT NULL"), "p", n)
+    shares = F.lit(((all_counts + 1) / (all_counts + 1).sum()).tolist())
+    fused = scored.withColumn("own", F.coalesce("p", F.lit([0.0] * n)))
     sizes = {}
-    for by, prefix in (("declared", "d"), ("suffix", "s"), ("domain", "m"), ("host", "h")):
-        counts = _soft_counts(scored, by, n, prefix)
-        if prefix in "ds":
-            counts = materialize(counts)
-            found = counts.agg(F.count("*").alias("values"), *[F.sum(f"{prefix}{k}").alias(f"t{k}") for k in range(n)]).first()
-            sizes[prefix] = (found["values"], [found[f"t{k}"] or 0.0 for k in range(n)])
-        fused = _joined(fused, counts, by, prefix)
-
-    def own(k: int) -> Column:
-        return F.coalesce(F.col("p")[k], F.lit(0.0))
-
-    def left(prefix: str, k: int) -> Column:
-        """The count of the row's value without the row itself."""
-        return F.greatest(F.coalesce(F.col(f"{prefix}{k}"), F.lit(0.0)) - own(k), F.lit(0.0))
-
-    def total(prefix: str) -> Column:
-        return reduce(Column.__add__, [left(prefix, k) for k in range(n)])
-
-    logs = []
-    for k in range(n):
-        domain = (left("m", k) + strength * float(shares[k])) / (total("m") + strength)
-        host = (left("h", k) + strength * domain) / (total("h") + strength)
-        log = F.coalesce(F.col("text_log")[k], F.lit(0.0)) + F.log(host)
-        for by, prefix in (("declared", "d"), ("suffix", "s")):
-            values, totals = sizes[prefix]
-            smoothed = (left(prefix, k) + 1) / (F.greatest(F.lit(totals[k]) - own(k), F.lit(0.0)) + values + 1)
-            log = log + F.when(F.col(by).isNotNull(), F.log(smoothed)).otherwise(F.lit(0.0))
-        logs.append(log)
+    for name in _EVIDENCE:
+        counts = materialize(_soft_counts(scored, name, f"n_{name}"))
+        sizes[name] = counts
+        fused = _joined(fused, counts, name, f"n_{name}", most)
+        # The counts of the row's value without the row itself.
+        fused = fused.withColumn(f"n_{name}", _left(f"n_{name}"))
+
+    def total(name: str) -> Column:
+        return F.aggregate(f"n_{name}", F.lit(0.0), lambda a, x: a + x)
+
+    fused = fused.withColumns({f"t_{name}": total(name) for name in ("domain", "host")})
+    domain = F.transform("n_domain", lambda x, k: (x + strength * F.get(shares, k)) / (F.col("t_domain") + strength))
+    fused = fused.withColumn("n_domain", domain)
+    fused = fused.withColumn("n_host", F.transform("n_host", lambda x, k: (x + strength * F.get("n_domain", k)) / (F.col("t_host") + strength)))
+    fused = fused.withColumn("logs", F.transform("n_host", lambda x, k: F.coalesce(F.get("text_log", k), F.lit(0.0)) + F.log(x)))
+    for name in ("declared", "suffix"):
+        fused = fused.withColumn("logs", _with_evidence(name, sizes[name].count(), _sums(sizes[name], f"n_{name}", n)))
     names = F.array(*[F.lit(name) for name in model.languages])
-    with_logs = fused.select(*_ROW, "mark", "text_log", "strange", F.array(*logs).alias("logs"))
+    with_logs = fused.select(*_ROW, "mark", "text_log", "strange", "logs")
     best = with_logs.withColumn("top", F.array_max("logs")).withColumn("posterior", 1 / F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top"))))
     language = F.element_at(names, F.array_position("logs", F.col("top")).cast("int"))
     by_text = F.element_at(names, F.array_position("text_log", F.array_max("text_log")).cast("int"))

@@ -103,3 +103,47 @@ def test_odd_rows(spark, documents):
     assert none.languages == []
     assert identify_languages(document_evidence(empty), model).count() == 0
     assert {r.language for r in identify_languages(document_evidence(table), none).collect()} == {"und"}
+
+
+def test_many_languages_are_bounded(spark):
+    """One model of the most frequent labels, whatever the number of labels; texts under other labels are judged by it."""
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [(i, " ".join(letters[(i * j + j) % 26] * 3 + letters[i % 26] for j in range(30)), f"x{i % 26}") for i in range(260)]
+    rows += [(1_000 + i, f"short text {i}", f"rare{i}") for i in range(700)]
+    labelled = spark.createDataFrame(rows, "id long, text string, lang string")
+    model = train_text_model(labelled, languages=20)
+    assert len(model.languages) == 20 and model.table.shape[1] == 20
+    assert set(model.languages) <= {f"x{i}" for i in range(26)}
+    evidence = document_evidence(labelled.withColumnRenamed("id", "doc_id").withColumn("source", F.lit("s")))
+    found = identify_languages(evidence, model).collect()
+    assert len(found) == len(rows)
+    assert {r.language for r in found} <= {*model.languages, "und"}
+
+
+def test_repeated_ids_do_not_enlarge_the_sample(spark):
+    labelled = spark.createDataFrame([(7, f"text number {i} of the one id", "en") for i in range(500)], "id long, text string, lang string")
+    model = train_text_model(labelled, most=10)
+    assert model.languages == ["en"]
+    # A sample of ten texts has few trigrams: about as many as ten such texts do.
+    assert (model.table[:, 0] > model.table[:, 0].min()).sum() < 40
+
+
+def test_the_declaration_is_withheld_or_wrong(spark):
+    """For documents the declared language is the column the text model is fitted on, so here it says nothing or the wrong thing."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet").where("length(lang) > 0")
+    model = train_text_model(documents.where("doc_id < 500").select(F.col("doc_id").alias("id"), "text", "lang"))
+    rest = documents.where("doc_id >= 500 AND n_chars > 100")
+    truth = {r.doc_id: r.lang for r in rest.collect()}
+    for declared in (F.lit(None).cast("string"), F.lit("fr")):
+        rows = document_evidence(rest).withColumn("declared", declared)
+        found = identify_languages(rows, model).collect()
+        assert sum(r.language == truth[r.id] for r in found) / len(found) > 0.95
+
+
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_counts_joined_or_sent_alike(spark, most):
+    documents = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    model = train_text_model(documents.select(F.col("doc_id").alias("id"), "text", "lang"))
+    found = {r.id: (r.language, round(r.posterior, 9), r.kept) for r in identify_languages(document_evidence(documents), model, most=most).collect()}
+    sent = {r.id: (r.language, round(r.posterior, 9), r.kept) for r in identify_languages(document_evidence(documents), model).collect()}
+    assert found == sent and len(found) == documents.count()
