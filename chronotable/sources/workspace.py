@@ -25,10 +25,10 @@ def _local_folder() -> str:
     return tempfile.mkdtemp(prefix="chronotable-")
 
 
-def work_folder(spark: SparkSession) -> str:
+def work_folder(spark: SparkSession, lasting: bool = False) -> str:
     """A fresh folder under the shared one that the session names in ``spark.checkpoint.dir``.
 
-    Only a session of one process may go without that setting; on a cluster a machine's own temporary
+    ``remove_intermediates`` deletes it unless it is ``lasting``. Only a session of one process may go without that setting; on a cluster a machine's own temporary
     folder would be lost with the machine.
     """
     shared = spark.conf.get(_FOLDER, None)
@@ -36,7 +36,10 @@ def work_folder(spark: SparkSession) -> str:
         if not _ONE_PROCESS.fullmatch(spark.sparkContext.master):
             raise ValueError(f"set {_FOLDER} to a folder that every executor can reach")
         shared = _local_folder()
-    return f"{shared.rstrip('/')}/chronotable-{uuid.uuid4().hex}"
+    path = f"{shared.rstrip('/')}/chronotable-{uuid.uuid4().hex}"
+    if not lasting:
+        _written.append(path)
+    return path
 
 
 def _save(df: DataFrame, path: str) -> DataFrame:
@@ -50,13 +53,22 @@ def materialize(df: DataFrame) -> DataFrame:
     Cuts the lineage and survives the loss of executors; unlike a checkpoint the table still
     allows column pruning and filter pushdown. It stays until ``remove_intermediates``.
     """
-    path = work_folder(df.sparkSession)
-    _written.append(path)
-    return _save(df, path)
+    return _save(df, work_folder(df.sparkSession))
+
+
+def materialize_step(spark: SparkSession, step: Callable[[], DataFrame]) -> DataFrame:
+    """Like ``materialize`` for what a step returns; what the step wrote on its way there is deleted afterwards."""
+    before = len(_written)
+    done = materialize(step())
+    result = _written.pop()
+    while len(_written) > before:
+        remove(spark, _written.pop())
+    _written.append(result)
+    return done
 
 
 def remove_intermediates(spark: SparkSession) -> None:
-    """Delete all that ``materialize`` wrote in this process; frames that still read it fail afterwards."""
+    """Delete all work folders of this process; frames that still read them fail afterwards."""
     while _written:
         remove(spark, _written.pop())
 
@@ -64,7 +76,7 @@ def remove_intermediates(spark: SparkSession) -> None:
 @contextlib.contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """Like ``materialize``, for tables that are not needed after the block."""
-    folder = work_folder(spark)
+    folder = work_folder(spark, lasting=True)
     count = iter(range(1_000_000))
     try:
         yield lambda df: _save(df, f"{folder}/{next(count)}")

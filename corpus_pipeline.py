@@ -3,7 +3,8 @@
 Each stage applies one operator of ``chronotable.llm`` to all that the stage before kept. Documents are named
 by their id and a hash of their text, so rows that repeat an id are judged each. Rows with nulls, empty texts
 and empty tables pass as the operators define it: a text without a letter has no language and goes in the first
-stage; extra columns are carried along up to the last stage.
+stage; extra columns are carried along up to the last stage. Texts are long, so Python workers are given ``BATCH`` rows at a time,
+unless the session asks for fewer.
 """
 
 from __future__ import annotations
@@ -21,7 +22,10 @@ from chronotable.llm.jaccard_join import similar_groups
 from chronotable.llm.language import document_evidence, identify_languages, train_text_model
 from chronotable.llm.packing import pack_documents
 from chronotable.llm.pii import redact, train_personal_data
-from chronotable.sources.workspace import materialize
+from chronotable.sources.workspace import materialize, materialize_step
+
+BATCH = 1_000
+_ROWS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -72,16 +76,18 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of packed sequences."""
-    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, keep=False)
+    """The pieces of packed sequences, with their ids."""
+    return pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=2, with_ids=True, keep=False)
 
 
 def _shipped(stage: Stage) -> Stage:
-    """The stage, on workers that have the package."""
+    """The stage, on workers that have the package and get few rows at a time."""
 
     @functools.wraps(stage)
     def apply(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
         ship(spark)
+        if not 0 < int(spark.conf.get(_ROWS_AT_ONCE)) <= BATCH:
+            spark.conf.set(_ROWS_AT_ONCE, str(BATCH))
         return stage(spark, docs, sf_dir)
 
     return apply
@@ -100,8 +106,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages in turn, each on the written result of the one before."""
+    """All stages in turn, each on the written result of the one before; what a stage wrote on its way is deleted."""
     docs = read(spark, sf_dir, "documents")
     for _, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir))
+        docs = materialize_step(spark, functools.partial(stage, spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
