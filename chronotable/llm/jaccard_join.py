@@ -280,13 +280,12 @@ def _build_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Shingle sets of the texts that stand for a class; a row of the same id but another text is passed over."""
     hashes = _Hashes()
     for whole in batches:
-        for start in range(0, whole.num_rows, 1_000):
-            batch, out = whole.slice(start, 1_000), []
-            rows = zip(*(batch.column(i).to_pylist() for i in range(4)), batch.column(4), strict=True)
-            for cid, root, copies, digest, text in rows:
-                own = shingles(text.as_py() or "", hashes)
-                if xxhash.xxh3_128_digest(own.tobytes()) == digest:
-                    out.append((cid, root, copies, own.tobytes()))
+        for start in range(0, whole.num_rows, 200):
+            batch, out = whole.slice(start, 200), []
+            for *key, digest, text in zip(*batch.columns, strict=True):
+                own = shingles(text.as_py() or "", hashes).tobytes()
+                if xxhash.xxh3_128_digest(own) == digest.as_py():
+                    out.append((*(k.as_py() for k in key), own))
             yield batch_of(_SETS, list(zip(*out, strict=True)) or ([],) * 4)
     del hashes
     give_back()

@@ -19,7 +19,7 @@ ROOT = Path(__file__).resolve().parents[2]
 def test_every_query_is_registered():
     registered = __spark_entry__.queries()
     assert set(QUERIES) | {"pipeline"} <= set(registered)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.fixture(scope="module")
@@ -82,15 +82,48 @@ def test_run_is_the_stages_in_turn(spark, stages):
     assert {r[0] for r in rows} == ids(stages["personal_data"])
 
 
+def test_the_last_stage_returns_what_can_be_trained_on(stages):
+    """The ids of a document's pieces, put together again, are those of the library."""
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = {r.doc_id: r.text for r in stages["personal_data"].limit(20).collect()}
+    pieces = [r for r in stages["packing"].collect() if r.doc_id in texts]
+    for doc_id, text in texts.items():
+        own = sorted((r for r in pieces if r.doc_id == doc_id), key=lambda r: r.start)
+        ids = np.frombuffer(b"".join(r.ids for r in own), "<u2").tolist()
+        assert ids == [*library.encode(text, add_special_tokens=False).ids, 2]
+
+
+def test_a_step_keeps_its_result_alone(spark):
+    from chronotable.sources import workspace
+
+    before = list(workspace._written)
+    kept = workspace.materialize_step(spark, lambda: workspace.materialize(spark.range(5)).where("id > 1"))
+    assert len(workspace._written) == len(before) + 1
+    assert kept.count() == 3
+
+
 def test_odd_rows_pass_every_stage(spark, stages):
     docs = stages[""].limit(60)
     odd = docs.limit(3).withColumn("text", F.when(F.col("doc_id") % 2 == 0, F.lit(None)).otherwise(F.lit(""))).withColumn("doc_id", F.col("doc_id") + 10_000)
     nulls = docs.limit(2).select([F.col("text") if c == "text" else F.lit(None).cast(t).alias(c) for c, t in docs.dtypes])
-    table = docs.unionByName(odd).unionByName(nulls).unionByName(docs.limit(5)).withColumn("mark", F.lit("extra")).withColumn("_id", F.lit(1))
+    # All that is clean of one language, ten times over, is like no other text.
+    clean = " ".join(r.text for r in stages["decontamination"].where("lang = 'en'").orderBy("doc_id").collect())
+    length = len(clean) * 10
+    long = spark.createDataFrame([(20_000, " ".join([clean] * 10), "en", "s", length)], stages[""].schema)
+    table = docs.unionByName(odd).unionByName(nulls).unionByName(docs.limit(5)).unionByName(long).withColumn("mark", F.lit("extra")).withColumn("_id", F.lit(1))
     for name, stage in corpus_pipeline.STAGES[:-1]:
         table = corpus_pipeline.materialize(stage(spark, table, SF))
         assert {"mark", "_id"} <= set(table.columns), name
     assert table.where("doc_id IS NOT NULL").count() == table.where("doc_id IS NOT NULL").select("doc_id").distinct().count()
+    assert table.agg(F.max(F.length("text"))).first()[0] > length // 2 > 400_000
+    pieces = corpus_pipeline.STAGES[-1][1](spark, table, SF)
+    found = pieces.groupBy("doc_id").agg(F.sum("length").alias("n"), F.max("doc_tokens").alias("whole"), F.max("length").alias("most")).collect()
+    assert all(r.n == r.whole and r.most <= 4096 for r in found)
+    assert {r.doc_id for r in found} == ids(table)
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, SF).count() == 0
