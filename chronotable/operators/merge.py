@@ -109,6 +109,7 @@ class Merge:
     all_pairs: bool = False
     matched: tuple[Clause, ...] = ()
     not_matched: tuple[Clause, ...] = ()
+    seen: str | None = None  # what a named target held when the merge was made
 
     def using(self, source: DataFrame, alias: str = "source") -> Merge:
         return replace(self, source=source, source_alias=alias)
@@ -159,6 +160,15 @@ class Merge:
         rows = self._rewritten_target() if self.matched else self.target
         return rows.unionByName(self._inserted()) if self.not_matched else rows
 
+    def touched(self) -> DataFrame:
+        """Target rows that some source row matches, whether a clause applies to them or not."""
+        target = self.target.alias(self.target_alias)
+        if self.keys and self.condition is None:
+            keys = splittable_keys(self._source_keys())
+            on = _all([self._t(t) == keys[_key(i)] for i, (t, _) in enumerate(self.keys)])
+            return target.join(keys, on, "left_semi")
+        return self._checked(target.join(self.source.alias(self.source_alias), self._match(), "left_semi"))
+
     # The two sides
 
     def _t_name(self, name: str) -> str:

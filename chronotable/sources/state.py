@@ -116,8 +116,11 @@ class HistoryStore:
             row["compacted"],
         )
 
-    def _read(self, table: str, folders: list[str], schema: T.StructType) -> DataFrame:
-        """Rows of folders below a table, which may be patterns, with the columns that the folders stand for."""
+    def _read(self, table: str, folders: list[str], schema: T.StructType, required: bool = False) -> DataFrame:
+        """Rows of folders below a table, which may be patterns, with the columns that the folders stand for.
+
+        No folder may match a pattern, as not every run ends or refuses rows; ``required`` ones must all be there.
+        """
         layout = T.StructType([*schema.fields, *[T.StructField(n, T.StringType()) for n in (_RUN, _STATE, _PART)]])
         base = f"{self._root}/{table}"
         try:
@@ -126,9 +129,11 @@ class HistoryStore:
             reader = self._spark.read.schema(layout).option("basePath", base)
             return reader.parquet(*[f"{base}/{_RUN}={folder}" for folder in folders])
         except AnalysisException as error:
-            if error.getCondition() == "PATH_NOT_FOUND":
-                return self._spark.createDataFrame([], layout)
-            raise
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            if required:
+                raise FileNotFoundError(f"a folder of open rows is gone from {base}: {error.getMessage()}") from error
+            return self._spark.createDataFrame([], layout)
 
     def _open_of(self, version: Version, only: set[int] | None = None) -> DataFrame:
         folders = [
@@ -136,7 +141,7 @@ class HistoryStore:
             for bucket, run in sorted(version.held_by.items())
             if only is None or bucket in only
         ]
-        return pick(self._read("rows", folders, version.open_schema), version.open_schema.fieldNames())
+        return pick(self._read("rows", folders, version.open_schema, required=True), version.open_schema.fieldNames())
 
     def _published(self, rows: DataFrame, number: int) -> DataFrame:
         """Of rows of all runs those of versions up to a number, from the last compacted one on."""

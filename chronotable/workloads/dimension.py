@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -384,10 +385,19 @@ def merge_into_table(spark: SparkSession, sf: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {name}")
 
 
-def _stored(rows: DataFrame, stem: str) -> str:
+def merge_into_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers in a table partitioned by nation; nations that change are merged, others are neither read nor written."""
+    name = _stored(party_base(spark, sf), "party", ["nation"])
+    changes = party_changes(spark, sf).where("segment = 'CHANGED' OR kind = 'S' AND nation > 20")
+    merge = merge_on(spark, name).using(changes).on_keys(["kind", "party_id"])
+    merge_into(merge.when_matched("source.nation = 0").delete().when_matched().update_all().when_not_matched().insert_all(), name)
+    return spark.sql(f"SELECT {PARTY_COLUMNS} FROM {name}")
+
+
+def _stored(rows: DataFrame, stem: str, partition_by: Sequence[str] = ()) -> str:
     """The name of a new table with these rows."""
     name = f"{stem}_{uuid.uuid4().hex}"
-    create_table_like(rows, name, [], work_folder(rows.sparkSession))
+    create_table_like(rows, name, partition_by, work_folder(rows.sparkSession))
     append(rows, name)
     return name
 
@@ -445,6 +455,7 @@ QUERIES = {
     "history_into_table": history_into_table,
     "scd1_into_table": scd1_into_table,
     "merge_into_table": merge_into_table,
+    "merge_into_partitions": merge_into_partitions,
     "merge_source_union": merge_source_union,
     "in_subquery_correlated": in_subquery_correlated,
 }
@@ -638,6 +649,11 @@ FROM paired WHERE known IS NOT NULL""",
 SELECT * FROM changes_raw
 UNION ALL
 SELECT * FROM base_raw WHERE (kind, party_id) NOT IN (SELECT (kind, party_id) FROM changes_raw)""",
+    "merge_into_partitions": f"""WITH {PARTY_SQL},
+chosen AS (SELECT * FROM changes_raw WHERE segment = 'CHANGED' OR kind = 'S' AND nation > 20)
+SELECT * FROM chosen WHERE NOT (kind = 'C' AND nation = 0)
+UNION ALL
+SELECT * FROM base_raw WHERE (kind, party_id) NOT IN (SELECT (kind, party_id) FROM chosen)""",
     "merge_source_union": f"""WITH {_HISTORY}
 SELECT CAST(NULL AS BIGINT) AS key_match, party_id, name, nation, segment, balance, update_ts,
        'Y' AS active_ind, TIMESTAMP '{AS_OF}' AS end_dt

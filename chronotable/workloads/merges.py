@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chronotable.operators.merge import Merge, upsert
+from chronotable.operators.merge import Clause, Merge, upsert
 from chronotable.workloads.recipes import (
     PARTY_COLUMNS,
     PARTY_SCD_SQL,
@@ -162,6 +162,21 @@ def upsert_unique(spark: SparkSession, sf: str) -> DataFrame:
     return upsert(party_open(spark, sf), party_incoming(spark, sf), source_unique=True)
 
 
+def one_call(spark: SparkSession, sf: str) -> DataFrame:
+    """A whole statement in one call: target, source, condition and the clauses."""
+    return Merge(
+        party_base(spark, sf),
+        source=party_changes(spark, sf),
+        condition="target.kind = source.kind AND target.party_id = source.party_id",
+        matched=(
+            Clause("delete", "target.nation BETWEEN 10 AND 11"),
+            Clause("update", "source.segment = 'CHANGED'", {"segment": "source.segment", "name": F.upper(F.col("target.name"))}),
+            Clause("update"),
+        ),
+        not_matched=(Clause("insert", "source.nation < 6", {"kind": "source.kind", "party_id": "source.party_id", "name": "source.name"}), Clause("insert", "source.nation < 12")),
+    ).result()
+
+
 QUERIES = {
     "merge_string_cond": string_condition,
     "merge_column_cond": column_condition,
@@ -179,6 +194,7 @@ QUERIES = {
     "merge_delete_update_insert": delete_update_insert,
     "merge_upsert_row_key": upsert_row_key,
     "merge_upsert_unique": upsert_unique,
+    "merge_one_call": one_call,
 }
 
 # Target rows b with their source row c, if any; and the source rows without a target row.
@@ -261,4 +277,13 @@ UNION ALL
 SELECT {_NEW} FROM {_FRESH}""",
     "merge_upsert_row_key": _UPSERT_OPEN,
     "merge_upsert_unique": _UPSERT_OPEN,
+    "merge_one_call": f"""WITH {PARTY_SQL}
+SELECT b.kind, b.party_id, upper(b.name) AS name, b.nation, c.segment, b.balance, b.update_ts
+FROM {_B} WHERE c.segment = 'CHANGED' AND b.nation NOT BETWEEN 10 AND 11
+UNION ALL
+SELECT {_NEW} FROM {_B} WHERE c.segment <> 'CHANGED' AND b.nation NOT BETWEEN 10 AND 11
+UNION ALL
+SELECT c.kind, c.party_id, c.name, NULL, NULL, NULL, NULL FROM {_FRESH} AND c.nation < 6
+UNION ALL
+SELECT {_NEW} FROM {_FRESH} AND c.nation >= 6 AND c.nation < 12""",
 }

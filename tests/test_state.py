@@ -334,3 +334,25 @@ def test_late_rows(store, batches, spark, tmp_path):
         assert reasons(state.rejects) == REASONS + Counter({"LATE_RECORD": 1})
     with pytest.raises(ValueError, match="late must be"):
         Dimension(["id"], "update_ts", late="drop")
+
+
+def test_a_lost_folder_is_an_error_and_not_an_empty_table(spark, tmp_path):
+    """Each of the buckets that the newest version names, one at a time."""
+    import shutil
+
+    store = HistoryStore(spark, str(tmp_path / "store"), DIMENSION, buckets=4)
+    rows = [(str(i), f"n{i}", day(1), "a", "c") for i in range(20)]
+    store.apply(spark.createDataFrame(rows, SCHEMA))
+    later = spark.createDataFrame([(i, n, day(2), "b", c) for i, n, _, _, c in rows], SCHEMA)
+    for folder in sorted((tmp_path / "store/rows").glob("__ct_run=1-*/__ct_state=open/__ct_part=*")):
+        aside = tmp_path / f"aside-{folder.name}"
+        shutil.copytree(folder, aside)
+        shutil.rmtree(folder)
+        with pytest.raises(FileNotFoundError, match="open rows is gone"):
+            store.state()
+        with pytest.raises(FileNotFoundError, match="open rows is gone"):
+            store.apply(later)
+        shutil.copytree(aside, folder)
+    assert store.version().number == 1
+    assert store.apply(later) == 2
+    assert store.state().open.count() == store.state().closed.count() == 20
