@@ -72,13 +72,13 @@ def deduplicate(
     return df.withColumn(_RANK, F.row_number().over(by_key)).where(F.col(_RANK) == 1).drop(_RANK)
 
 
-def _hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
+def frequent_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and more than 1 / 10,000 of all, to be broadcast.
 
-    By the second condition there are fewer than 10,000 of them.
+    By the second condition there are fewer than 10,000 of them. All rows are the sum of the counts, so the table is read once for both.
     """
     counted = df.groupBy(col(key)).count()
-    rows = df.agg(F.count(F.lit(1))).scalar()
+    rows = counted.agg(F.sum("count")).scalar()
     hot = (F.col("count") > hot_rows) & (F.col("count") * _MOST_HOT_KEYS > rows)
     return F.broadcast(counted.where(hot).select(quoted(key)))
 
@@ -93,7 +93,7 @@ def _ranked(
     """Every row with a rank that is 1 for the row to keep of its key and higher for the others."""
     salts = salts or _shuffle_partitions(df)
     order = total_order(df, order_by)
-    hot = _hot_keys(df, key, hot_rows)
+    hot = frequent_keys(df, key, hot_rows)
     per_key = Window.partitionBy(col(key)).orderBy(*order)
     rank_in_key = F.row_number().over(per_key)
 

@@ -34,6 +34,8 @@ _OPEN_ENDS = {
     "scd2_open": _ONE,
     "scd2_two_batches_open": _ONE,
     "scd2_events_open": _ONE,
+    "scd2_late_insert": _ONE,
+    "scd2_chain": _ONE,
     "store_open": _ONE,
     "stream_open": _ONE,
     "scd1_upsert": _ONE,

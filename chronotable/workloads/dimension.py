@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chronotable.functions.render import row_text
+from chronotable.operators.asof import as_of_join
 from chronotable.operators.classify import (
     classify_changes,
     classify_restricted,
@@ -35,6 +36,7 @@ from chronotable.plans.history import merge_history, merge_source, superseded
 from chronotable.plans.scd1 import scd1_rejects, scd1_upsert
 from chronotable.plans.scd2 import State, incoming_rows, scd2_changes, scd2_fold, scd2_run
 from chronotable.plans.spec import Dimension
+from chronotable.plans.timeline import History, chain_run, history_fold, history_run
 from chronotable.plans.stored import history_into, merge_into, merge_on, scd1_into
 from chronotable.sources.state import HistoryStore
 from chronotable.sources.tables import append, create_table_like
@@ -45,11 +47,15 @@ from chronotable.workloads.recipes import (
     EVENTS,
     EVENTS_SQL,
     LATE_EVENTS_SQL,
+    ORDER_HISTORY,
+    ORDER_TIMELINE_SQL,
     ORDERS_SQL,
     PARTY,
     PARTY_COLUMNS,
     PARTY_SCD_SQL,
     PARTY_SQL,
+    STEPS,
+    TIMELINE_SQL,
     event_batches,
     events,
     order_batches,
@@ -61,6 +67,7 @@ from chronotable.workloads.recipes import (
     read,
     sql_milli_before,
     sql_timestamp,
+    validity_sql,
 )
 
 # Duplicates
@@ -315,6 +322,43 @@ def scd2_late_reject(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_fold([second, first], strict).rejects
 
 
+def _late_events(spark: SparkSession, sf: str) -> History:
+    """The last date range first, the first one last."""
+    return history_fold(reversed(event_batches(spark, sf)), STEPS)
+
+
+def scd2_late_insert(spark: SparkSession, sf: str) -> DataFrame:
+    return _late_events(spark, sf).versions
+
+
+def scd2_late_confirmed(spark: SparkSession, sf: str) -> DataFrame:
+    return _late_events(spark, sf).confirmed.drop("valid_to")
+
+
+def _event_chain(spark: SparkSession, sf: str) -> State:
+    """All events of the first date range in one batch, all others in a second one."""
+    first, *rest = event_batches(spark, sf)
+    return chain_run(chain_run(None, first, STEPS), rest[0].unionByName(rest[1]), STEPS)
+
+
+def scd2_chain(spark: SparkSession, sf: str) -> DataFrame:
+    state = _event_chain(spark, sf)
+    return state.open.unionByName(state.closed)
+
+
+def scd2_chain_reject(spark: SparkSession, sf: str) -> DataFrame:
+    return _event_chain(spark, sf).rejects
+
+
+def as_of(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order with what its customer's newest order was 45 days later, by the history of all orders."""
+    orders = read(spark, sf, "orders")
+    history = history_run(None, orders, ORDER_HISTORY)
+    facts = orders.select("o_orderkey", "o_custkey", (F.col("o_orderdate") + F.expr("INTERVAL '45' DAY")).alias("looked_at"))
+    joined = as_of_join(facts, history.versions, ["o_custkey"], "looked_at")
+    return joined.select("o_orderkey", "o_custkey", "looked_at", "version_o_orderkey", "version_o_orderstatus", "version_valid_from")
+
+
 def _party_tables(
     spark: SparkSession, sf: str, dimension: Dimension
 ) -> tuple[DataFrame, DataFrame]:
@@ -451,6 +495,11 @@ QUERIES = {
     "scd1_reject": scd1_rejected,
     "scd2_without_dedup": scd2_without_dedup,
     "scd2_late_reject": scd2_late_reject,
+    "scd2_late_insert": scd2_late_insert,
+    "scd2_late_confirmed": scd2_late_confirmed,
+    "scd2_chain": scd2_chain,
+    "scd2_chain_reject": scd2_chain_reject,
+    "as_of_join": as_of,
     "scd2_null_key_merge": scd2_null_key_merge,
     "history_into_table": history_into_table,
     "scd1_into_table": scd1_into_table,
@@ -635,6 +684,20 @@ UNION ALL
 SELECT 'closed', {_row_text(_OPEN_NAMES, _STAMPS)} FROM closed
 UNION ALL
 SELECT 'reject DUPLICATE_IN_MICRO_BATCH', {_row_text([*_BATCH_NAMES, '1'], _STAMPS)} FROM twice""",
+    "scd2_late_insert": f"WITH {TIMELINE_SQL} SELECT {', '.join([*_EVENT_NAMES, *_ENDS])} FROM versions",
+    "scd2_late_confirmed": f"WITH {TIMELINE_SQL} SELECT {', '.join(_EVENT_NAMES)}, ts AS valid_from, 'NA' AS delete_indicator FROM points WHERE NOT starts",
+    "scd2_chain": f"WITH {TIMELINE_SQL} SELECT {', '.join([*_EVENT_NAMES, *_ENDS])} FROM versions",
+    "scd2_chain_reject": f"""WITH {TIMELINE_SQL}
+SELECT 'DUPLICATE_IN_MICRO_BATCH' AS reason, {_row_text([*_EVENT_NAMES, '1'], _STAMPS)} AS "rowData" FROM moments WHERE place > 1
+UNION ALL
+SELECT 'DUPLICATE_RECORD_OPEN', {_row_text([*_EVENT_NAMES, *_ENDS, '3'], _STAMPS)}
+FROM (SELECT *, {validity_sql('ts')} FROM points WHERE NOT starts)""",
+    "as_of_join": f"""WITH {ORDER_TIMELINE_SQL}
+SELECT f.o_orderkey, f.o_custkey, f.o_orderdate + INTERVAL 45 DAY AS looked_at,
+       v.o_orderkey AS version_o_orderkey, v.o_orderstatus AS version_o_orderstatus, v.o_orderdate AS version_valid_from
+FROM orders f LEFT JOIN versions v ON f.o_custkey = v.o_custkey
+  AND v.o_orderdate <= f.o_orderdate + INTERVAL 45 DAY
+  AND (v.following IS NULL OR f.o_orderdate + INTERVAL 45 DAY < v.following)""",
     "scd2_late_reject": f"""WITH {LATE_EVENTS_SQL}
 SELECT 'DUPLICATE_IN_MICRO_BATCH' AS reason,
        {_row_text([*_EVENT_NAMES, '1'], _STAMPS)} AS "rowData"

@@ -244,3 +244,34 @@ compared AS (
   FROM (SELECT * FROM kept WHERE batch_no = 2) k
   LEFT JOIN (SELECT * FROM kept WHERE batch_no = 1) o ON k.row_key = o.row_key)
 """
+
+
+# Versions from all observations, whatever their order
+
+
+def _timeline(keys: str, payload: str, moment: str, columns: str, table: str) -> str:
+    """CTEs: one row of each key and moment, which of them start a version, and the versions."""
+    return f"""
+observed AS (
+  SELECT {columns}, {sql_md5(*[c.strip() for c in payload.split(',')])} AS row_md5, {sql_md5(keys)} AS row_key FROM {table}),
+moments AS (
+  SELECT *, row_number() OVER (PARTITION BY row_key, {moment} ORDER BY {columns}) AS place FROM observed),
+points AS (
+  SELECT * EXCLUDE (place),
+         lag(row_md5) OVER (PARTITION BY row_key ORDER BY {moment}) IS DISTINCT FROM row_md5 AS starts
+  FROM moments WHERE place = 1),
+versions AS (
+  SELECT * EXCLUDE (starts), {moment} AS valid_from, 'NA' AS delete_indicator,
+         lead({moment}) OVER (PARTITION BY row_key ORDER BY {moment}) AS following,
+         CASE WHEN following IS NULL THEN TIMESTAMP '9999-12-31 00:00:00' ELSE greatest({sql_milli_before('following')}, {moment}) END AS valid_to
+  FROM points WHERE starts)"""
+
+
+# What a user did last: values and details do not count, so many events say nothing new.
+STEPS = Dimension(keys=["user_id"], valid_from="ts", ignore=["event_id", "value", "props"])
+TIMELINE_SQL = _timeline("user_id", "event_type", "ts", "event_id, ts, user_id, event_type, value, props", "events")
+
+ORDER_HISTORY = Dimension(keys=["o_custkey"], valid_from="o_orderdate", ignore=["o_orderkey"])
+ORDER_TIMELINE_SQL = _timeline(
+    "o_custkey", "o_orderstatus, o_totalprice, o_orderpriority", "o_orderdate", "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority", "orders"
+)
