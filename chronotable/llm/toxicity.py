@@ -169,10 +169,16 @@ def train_toxicity(documents: DataFrame, labels: DataFrame, most_positive: int =
     sparse = materialize(found.groupBy("positive", "features").agg(F.min("part").alias("part")))  # copies count once
     members = sparse.withColumn("member", F.explode(F.array(*[F.lit(k) for k in range(_PARTS)]))).where("member <> part")
     weights = members.groupBy("member").applyInPandas(_trainer(prior, least), "feature int, weight double")
-    averaged = weights.groupBy("feature").agg((F.sum("weight") / _PARTS).alias("weight")).toPandas()
-    vector, inside = np.zeros(1 << _BITS), averaged["feature"].to_numpy() >= 0
-    vector[averaged["feature"].to_numpy()[inside]] = averaged["weight"].to_numpy()[inside]
-    return vector, float(averaged["weight"].to_numpy()[~inside].sum())
+    # Each member hands out one intercept, as feature -1; a sample may be too small to fit them all.
+    summed = weights.groupBy("feature").agg(F.sum("weight").alias("weight"), F.count("*").alias("members")).toArrow()
+    features, sums, members = (summed.column(i).to_numpy() for i in range(3))
+    inside = features >= 0
+    fitted = int(members[~inside].sum())
+    if not fitted:
+        return np.zeros(1 << _BITS), float(np.log(prior / (1 - prior)))
+    vector = np.zeros(1 << _BITS)
+    vector[features[inside]] = sums[inside] / fitted
+    return vector, float(sums[~inside].sum() / fitted)
 
 
 class Scorer:

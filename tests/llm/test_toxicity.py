@@ -72,3 +72,29 @@ def test_samples_come_in_one_order_whatever_their_bound(spark):
     for most in (1, 50, 3_000):
         assert [r.doc_id for r in first_by_hash(ids, most).collect()] == whole[:most]
     assert first_by_hash(ids.limit(0), 5).count() == 0
+
+
+def test_no_confirmed_example_among_the_documents(spark, documents):
+    """Labels of other rows, or of held-out rows only: every score is the prior, and nothing is predicted toxic."""
+    import zlib
+
+    table = documents(["some text"] * 30)
+    held = [i for i in range(30) if zlib.crc32(str(i).encode()) % 5 == 0]
+    elsewhere = [(i, int(i % 3 == 0)) for i in range(1_000, 1_030)]
+    for rows in (elsewhere, [(held[0], 1), *elsewhere]):
+        labels = spark.createDataFrame(rows, "doc_id long, toxic int")
+        scored = score_toxicity(table, *train_toxicity(table, labels)).collect()
+        scores = {round(r.score, 6) for r in scored}
+        assert len(scores) == 1 and 0.2 < scores.pop() < 0.5
+        assert not any(r.predicted for r in scored)
+
+
+def test_an_average_is_over_the_members_that_were_fitted(spark, documents):
+    """One document, in one part of the sample, leaves one member without any row."""
+    table = documents(["a single document"] + [None] * 5).limit(1)
+    doc = table.first().doc_id
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(2_000, 2_040)], "doc_id long, toxic int")
+    _, intercept = train_toxicity(table, labels)
+    known = [i for i in range(2_000, 2_040) if __import__("zlib").crc32(str(i).encode()) % 5]
+    prior = 1.1 * sum(i % 4 == 0 for i in known) / len(known)
+    assert doc is not None and abs(intercept - np.log(prior / (1 - prior))) < 1e-9
