@@ -43,7 +43,7 @@ _DOCUMENTS = pa.schema([*_INDEX, ("ids_crc32", pa.int64())])
 def sequence_schema(dtype: np.dtype, length: int) -> pa.Schema:
     return pa.schema([
         ("ids", pa.list_(pa.field("item", pa.from_numpy_dtype(dtype), nullable=False), length)),
-        ("mask", pa.list_(pa.field("item", pa.bool_(), nullable=False), length)),
+        ("mask", pa.list_(pa.field("item", pa.uint8(), nullable=False), length)),
     ])
 
 
@@ -72,7 +72,8 @@ class SequenceWriter:
         rows = -(-len(ids) // self.length)
         padded = np.zeros(rows * self.length, self.dtype)
         padded[: len(ids)] = ids
-        mask = np.arange(len(padded)) < len(ids)
+        # A byte for each position, as packed bits could not be mapped without a copy.
+        mask = (np.arange(len(padded)) < len(ids)).astype(np.uint8)
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), type=f.type) for x, f in zip((padded, mask), self.schema, strict=True)]
         self.stream.write_batch(pa.RecordBatch.from_arrays(columns, schema=self.schema))
         self.sequences += rows
@@ -95,7 +96,8 @@ class SequenceFile:
         self.length = self.schema.field("ids").type.list_size
         head = pa.ipc.read_message(self.source)
         self.step = self.source.tell() - self.first
-        self.rows = pa.ipc.read_record_batch(head, self.schema).num_rows
+        self.kept = (0, pa.ipc.read_record_batch(head, self.schema))
+        self.rows = self.kept[1].num_rows
 
     def __enter__(self) -> SequenceFile:
         return self
@@ -104,13 +106,16 @@ class SequenceFile:
         self.source.close()
 
     def batch(self, k: int) -> pa.RecordBatch:
-        self.source.seek(self.first + k * self.step)
-        return pa.ipc.read_record_batch(pa.ipc.read_message(self.source), self.schema)
+        """A batch; the last one is kept, as neighbouring texts share it."""
+        if self.kept[0] != k:
+            self.source.seek(self.first + k * self.step)
+            self.kept = (k, pa.ipc.read_record_batch(pa.ipc.read_message(self.source), self.schema))
+        return self.kept[1]
 
     def sequence(self, number: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids, without a copy, and mask of one sequence."""
+        """Ids and mask of one sequence, both without a copy."""
         row = self.batch(number // self.rows).slice(number % self.rows, 1)
-        return row["ids"].flatten().to_numpy(), row["mask"].flatten().to_numpy(zero_copy_only=False)
+        return row["ids"].flatten().to_numpy(), row["mask"].flatten().to_numpy().view(bool)
 
     def ids(self, start: int, count: int) -> np.ndarray:
         """So many ids of the shard from a position."""
@@ -173,7 +178,9 @@ def write_token_files(documents: DataFrame, tokenizer: str, end_id: int = 0, len
     of ``rows`` sequences of ``length`` ids at a time.
     """
     folder = folder or work_folder(documents.sparkSession)
-    ordered = texts(documents).withColumn("doc_id", F.col("doc_id").cast("long")).repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    marked = texts(documents).select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("mark"))
+    # The mark cuts through ids that many rows share, nulls among them; texts themselves would be sampled for the bounds.
+    ordered = marked.repartitionByRange("doc_id", "mark").sortWithinPartitions("doc_id", "mark", "text").drop("mark")
     return materialize(ordered.mapInArrow(_shard_writer(folder, tokenizer, end_id, length, rows), "shard int, ids_path string, index_path string, n_documents long, n_sequences long, n_tokens long"))
 
 

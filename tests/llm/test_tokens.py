@@ -113,9 +113,21 @@ def test_files(spark, documents, length):
 def test_reading_a_sequence_does_not_copy(spark, documents):
     shard = write_token_files(documents(["some words " * 500]), BYTES, length=16).first()
     with SequenceFile(shard.ids_path) as file:
-        ids, _ = file.sequence(3)
-        assert not ids.flags.owndata
-        assert ids.base is not None
+        ids, mask = file.sequence(3)
+        assert not ids.flags.owndata and ids.base is not None
+        assert mask.dtype == bool and not mask.flags.owndata and mask.base is not None
+
+
+def test_an_id_that_most_rows_share_is_dealt_out(spark, documents):
+    """Rows without an id, half of the table, lie in several shards, in one order, and none is lost."""
+    table = documents([f"text number {i} of many" for i in range(400)])
+    table = table.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    manifest = write_token_files(table, BYTES)
+    assert manifest.count() > 2
+    assert max(r.n_documents for r in manifest.collect()) < 150
+    found = read_documents(manifest).orderBy("start").collect()
+    ids = [r.doc_id for r in found]
+    assert ids == [None] * 200 + list(range(0, 400, 2))
 
 
 def test_no_documents_and_odd_rows(spark, documents):
