@@ -2,8 +2,9 @@
 
 Counts of every whole text become a vector of transformed statistics. For each language and source the minimum
 covariance determinant estimate is approached by concentration steps that Spark carries out as grouped sums:
-start from medians and median deviations, keep the half of a group's rows that lies nearest, take its mean and
-covariance, and measure again; then one reweighted estimate. A row is rejected if its squared Mahalanobis
+keep the half of a group's rows that lies nearest, take its mean and covariance (raised by the consistency factor of the half), and measure again, until
+no determinant falls any more. There are three starts, all around the medians: with no correlations, with those of squashed values
+and with those of directions; of their ends each group keeps the one of the least determinant. One reweighted estimate follows. A row is rejected if its squared Mahalanobis
 distance passes the cut. A step moves one row of sums per group and task, so a group may hold any share of all rows.
 
 A half without any symbol or repeated line has no variance, and a single symbol would be infinitely far. So the
@@ -18,11 +19,12 @@ gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Callable, Iterator
 from functools import reduce
+from statistics import NormalDist
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -162,53 +164,113 @@ def _distance() -> Column:
     return reduce(Column.__add__, terms)
 
 
-def _estimate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Mean and inverse covariance from the sums of each group."""
-    for frame in frames:
-        out = []
-        for row in frame.itertuples(index=False):
-            mean = np.array([getattr(row, f"s{i}") for i in range(_P)]) / row.n
-            chance = np.array([times * getattr(row, e) for e, times in _CHANCE]) / row.n
-            second = np.zeros((_P, _P))
-            for i, j in _PAIRS:
-                second[i, j] = second[j, i] = getattr(row, f"s{i}_{j}") / row.n
-            inverse = np.linalg.inv(second - np.outer(mean, mean) + np.diag(chance + RIDGE**2))
-            out.append((row.g, *mean, *(inverse[i, j] for i, j in _PAIRS)))
-        yield pd.DataFrame(out, columns=["g", *(f"m{i}" for i in range(_P)), *(f"v{i}_{j}" for i, j in _PAIRS)])
+_SCATTER = pa.schema([("g", pa.string()), *((f"m{i}", pa.float64()) for i in range(_P)), *((f"v{i}_{j}", pa.float64()) for i, j in _PAIRS), ("log_det", pa.float64())])
+_PARAMETERS = "g string, " + ", ".join([*(f"m{i} double" for i in range(_P)), *(f"v{i}_{j} double" for i, j in _PAIRS)]) + ", log_det double"
+
 
+def _estimating(factor: float) -> Callable:
+    def estimate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Mean, inverse covariance and its determinant from the sums of each group; the scatter is raised by ``factor``."""
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                n = row["n"]
+                mean = np.array([row[f"s{i}"] for i in range(_P)]) / n
+                chance = np.array([times * row[e] for e, times in _CHANCE]) / n
+                second = np.zeros((_P, _P))
+                for i, j in _PAIRS:
+                    second[i, j] = second[j, i] = row[f"s{i}_{j}"] / n
+                out.append((row["g"], *_described(mean, factor * (second - np.outer(mean, mean)) + np.diag(chance + RIDGE**2))))
+            yield batch_of(_SCATTER, list(zip(*out, strict=True)) or ([],) * len(_SCATTER))
 
-_PARAMETERS = "g string, " + ", ".join([*(f"m{i} double" for i in range(_P)), *(f"v{i}_{j} double" for i, j in _PAIRS)])
+    return estimate
 
 
-def _from_sums(rows: DataFrame) -> DataFrame:
+def _described(mean: np.ndarray, covariance: np.ndarray) -> tuple[float, ...]:
+    inverse = np.linalg.inv(covariance)
+    return (*mean.tolist(), *(float(inverse[i, j]) for i, j in _PAIRS), float(np.linalg.slogdet(covariance)[1]))
+
+
+def _from_sums(rows: DataFrame, factor: float) -> DataFrame:
     sums = rows.groupBy("g").agg(F.count("*").alias("n"), *[F.sum(e).alias(e) for e in _E], *[F.sum(z).alias(f"s{i}") for i, z in enumerate(_Z)], *[F.sum(F.col(f"z{i}") * F.col(f"z{j}")).alias(f"s{i}_{j}") for i, j in _PAIRS])
-    return materialize(sums.mapInPandas(_estimate, _PARAMETERS))
+    return materialize(sums.mapInArrow(_estimating(factor), _PARAMETERS))
+
+
+def _beginning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A start's scatter: the correlations of transformed statistics between the median deviations."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            spread = np.sqrt([row[f"d{i}"] ** 2 + _CHANCE[i][1] * row[_CHANCE[i][0]] + RIDGE**2 for i in range(_P)])
+            second = np.zeros((_P, _P))
+            for i, j in _PAIRS:
+                second[i, j] = second[j, i] = row[f"c{i}_{j}"] / row["n"]
+            scale = np.sqrt(np.maximum(np.diag(second), 1e-12))
+            # A tenth of the way to no correlation keeps the matrix well away from a singular one.
+            correlation = 0.9 * second / np.outer(scale, scale)
+            np.fill_diagonal(correlation, 1.0)
+            out.append((row["g"], *_described(np.array([row[f"m{i}"] for i in range(_P)]), correlation * np.outer(spread, spread))))
+        yield batch_of(_SCATTER, list(zip(*out, strict=True)) or ([],) * len(_SCATTER))
 
 
-def _start(rows: DataFrame) -> DataFrame:
-    """Medians as the mean, median deviations as a diagonal covariance."""
+def _starts(rows: DataFrame) -> list[DataFrame]:
+    """Three starts around the medians: without correlations, with those of squashed values, and with those of directions."""
     middle = materialize(rows.groupBy("g").agg(*[F.percentile_approx(z, 0.5, 1000).alias(f"m{i}") for i, z in enumerate(_Z)], *[F.avg(e).alias(e) for e in _E]))
     apart = rows.join(_small(middle.drop(*_E)), "g").groupBy("g").agg(*[F.percentile_approx(F.abs(F.col(z) - F.col(f"m{i}")), 0.5, 1000).alias(f"d{i}") for i, z in enumerate(_Z)])
-    return materialize(
-        middle.join(apart, "g").select(
-            "g",
-            *[f"m{i}" for i in range(_P)],
-            *[(1 / (F.pow(1.4826 * F.col(f"d{i}"), F.lit(2)) + _CHANCE[i][1] * F.col(_CHANCE[i][0]) + RIDGE**2) if i == j else F.lit(0.0)).alias(f"v{i}_{j}") for i, j in _PAIRS],
-        )
-    )
+    apart = apart.select("g", *[(1.4826 * F.col(f"d{i}")).alias(f"d{i}") for i in range(_P)])
+    known = materialize(middle.join(apart, "g"))
+    standard = rows.drop(*_E).join(_small(known.drop(*_E)), "g").select("g", *[((F.col(f"z{i}") - F.col(f"m{i}")) / (F.col(f"d{i}") + RIDGE)).alias(f"u{i}") for i in range(_P)])
+    length = F.sqrt(reduce(Column.__add__, [F.col(f"u{i}") * F.col(f"u{i}") for i in range(_P)])) + 1e-9
+    alone = [F.lit(1.0) if i == j else F.lit(0.0) for i, j in _PAIRS]
+    squashed = [F.tanh(F.col(f"u{i}")) * F.tanh(F.col(f"u{j}")) for i, j in _PAIRS]
+    directed = [F.col(f"u{i}") * F.col(f"u{j}") / (length * length) for i, j in _PAIRS]
+    out = []
+    for products in (alone, squashed, directed):
+        sums = standard.groupBy("g").agg(F.count("*").alias("n"), *[F.sum(x).alias(f"c{i}_{j}") for x, (i, j) in zip(products, _PAIRS, strict=True)])
+        out.append(materialize(sums.join(_small(known), "g").mapInArrow(_beginning, _PARAMETERS)))
+    return out
+
+
+def _nearest(rows: DataFrame, estimates: DataFrame, share: float) -> DataFrame:
+    """The given share of each group's rows that lie nearest, and the middle distance of all."""
+    measured = rows.join(_small(estimates), "g").select("g", *_Z, *_E, _distance().alias("d"))
+    quantile = F.percentile_approx("d", [share, 0.5], 1000)
+    cuts = materialize(measured.groupBy("g").agg(quantile.alias("q")).select("g", F.col("q")[0].alias("near"), F.col("q")[1].alias("middle")))
+    return measured.join(_small(cuts), "g")
+
+
+def concentrate(rows: DataFrame, start: DataFrame, steps: int, share: float, enough: float = 1e-3) -> DataFrame:
+    """Concentration steps from a start until no group's determinant falls by more than ``enough``, ``steps`` at most.
+
+    A group keeps the estimate of its least determinant: of approximate quantiles a step may give a larger one.
+    """
+    estimates, best = start, None
+    for _ in range(steps):
+        near = _nearest(rows, estimates, share)
+        estimates = _from_sums(near.where(F.col("d") <= F.col("near")), consistency(share))
+        fallen = None
+        if best is not None:
+            was = best.select("g", F.col("log_det").alias("was"))
+            fallen = estimates.join(_small(was), "g").agg(F.max(F.col("was") - F.col("log_det"))).first()[0]
+        best = estimates if best is None else _least([best, estimates])
+        if fallen is not None and fallen <= enough:
+            break
+    return best
+
+
+def _least(candidates: list[DataFrame]) -> DataFrame:
+    """Of several estimates of a group the one of the least determinant."""
+    every = reduce(DataFrame.unionByName, candidates)
+    whole = F.struct(*[F.col(n) for n in every.columns])
+    return materialize(every.groupBy("g").agg(F.min_by(whole, "log_det").alias("e")).select("e.*"))
 
 
 def fit_groups(rows: DataFrame, steps: int, share: float) -> DataFrame:
-    """Estimates by group, after so many concentration steps on a share of the rows and one reweighted."""
-    estimates = _start(rows)
-    for step in range(steps + 1):
-        measured = rows.join(_small(estimates), "g").select("g", *_Z, *_E, _distance().alias("d"))
-        quantile = F.percentile_approx("d", [share, 0.5], 1000)
-        cuts = materialize(measured.groupBy("g").agg(quantile.alias("q")).select("g", F.col("q")[0].alias("near"), F.col("q")[1].alias("middle")))
-        # The last step takes all rows within the 97.5 % bound instead of a half.
-        within = F.col("near") if step < steps else F.greatest(F.col("near"), F.col("middle") * (_chi2(1.96) / _chi2(0.0)))
-        estimates = _from_sums(measured.join(_small(cuts), "g").where(F.col("d") <= within))
-    return estimates
+    """Minimum covariance determinant of each group: the best of several starts, then one step on all rows within the 97.5 % bound."""
+    best = _least([concentrate(rows, start, steps, share) for start in _starts(rows)])
+    near = _nearest(rows, best, share)
+    within = F.greatest(F.col("near"), F.lit(_chi2(1.96)))
+    return _from_sums(near.where(F.col("d") <= within), consistency(NormalDist().cdf(1.96)))
 
 
 def _chi2(z: float, p: int = _P) -> float:
@@ -216,7 +278,14 @@ def _chi2(z: float, p: int = _P) -> float:
     return p * (1 - 2 / (9 * p) + z * (2 / (9 * p)) ** 0.5) ** 3
 
 
-def judge_quality(documents: DataFrame, least: int = 60, steps: int = 3, share: float = 0.5, deviate: float = 3.09) -> DataFrame:
+def consistency(share: float, p: int = _P) -> float:
+    """What the scatter of the nearest share of normal rows must be multiplied by to be that of all; for an even number of dimensions."""
+    half = _chi2(NormalDist().inv_cdf(share), p) / 2
+    terms = [half**k / math.factorial(k) for k in range((p + 2) // 2)]
+    return share / (1 - math.exp(-half) * sum(terms))
+
+
+def judge_quality(documents: DataFrame, least: int = 60, steps: int = 8, share: float = 0.5, deviate: float = 3.09) -> DataFrame:
     """Counts, the base rule and the verdict of every document.
 
     ``deviate`` sets the cut as a normal deviate: squared distances beyond that quantile of the chi-squared

@@ -101,3 +101,34 @@ def test_odd_rows(spark, documents):
     assert all(r.n_words == 0 and r.base_failed and not r.kept for r in rows if r.doc_id in (None, 0, 1))
     assert all(r.kept for r in rows if r.doc_id is not None and r.doc_id >= 3)
     assert judge_quality(documents([])).count() == 0
+
+
+def test_the_half_is_made_consistent():
+    """Squared distances of normal rows by the raised scatter of their nearest half have the median of the distribution."""
+    import numpy as np
+
+    from chronotable.llm.outliers import _chi2, consistency
+
+    x = np.random.default_rng(1).normal(size=(200_000, 6))
+    d = (x**2).sum(axis=1)
+    half = x[d <= np.median(d)]
+    assert abs(consistency(0.5) * half.var(axis=0).mean() - 1) < 0.02
+    assert abs(np.median(d) - _chi2(0.0)) < 0.05
+
+
+def test_the_start_of_the_least_determinant_wins(spark):
+    """A cloud of contaminated rows along a direction: from no correlations alone the steps end in a larger determinant than the best start does."""
+    import numpy as np
+
+    from chronotable.llm.outliers import _E, _Z, _least, _starts, concentrate
+
+    rng = np.random.default_rng(3)
+    mixing = rng.normal(size=(6, 6))
+    x = np.concatenate([rng.normal(size=(1_400, 6)) @ mixing, rng.normal(size=(600, 6)) * 0.3 + 4])
+    rows = spark.createDataFrame([("g", *map(float, r), 1e-4, 1e-4, 1e-4) for r in x], ["g", *_Z, *_E])
+    ends = [concentrate(rows, start, 10, 0.5) for start in _starts(rows)]
+    dets = [end.first().log_det for end in ends]
+    assert _least(ends).first().log_det == min(dets)
+    # Of every start the last determinant is no larger than after one step.
+    for start, det in zip(_starts(rows), dets, strict=True):
+        assert det <= concentrate(rows, start, 1, 0.5).first().log_det + 1e-9
