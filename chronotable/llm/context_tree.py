@@ -39,11 +39,11 @@ from chronotable.llm.common import batch_of, give_back
 from chronotable.sources.workspace import materialize
 
 DEPTH = 4
-HOT = 400_000  # grams and words sent to all tasks
+HOT = 250_000  # grams and words sent to all tasks
 _START, _END = 0xFE, 0xFF  # no bytes of UTF-8
 _GRAM = 8 * (DEPTH + 1)
-_SLICE = 1 << 21  # bytes of texts looked at together
-_HELD = 600_000  # grams, and words, that a task counts before it hands them out
+_SLICE = 1 << 20  # bytes of texts looked at together
+_HELD = 300_000  # grams, and words, that a task counts before it hands them out
 _WORD_END = b"\xff"
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
