@@ -3,9 +3,9 @@
 Phrases are counted one length after the other, in a trie of word ids whose lower parts are hash containers (a
 HAT-trie): the root branches on the first word, a container holds the rest of a phrase with its count, and one that
 grows past ``BURST`` entries bursts into a branch on the next word. A task that holds more than ``HELD`` entries
-spills its largest subtrees, whole, as runs that are sorted by phrase. A run is cut by prefix partition (the words but the
-last, and one of ``FAN`` parts of the last, so that no frequent beginning is one partition), and Spark brings the runs of
-a partition together, where they are merged and only phrases of at least ``least`` occurrences stay.
+spills its largest subtrees, whole, as runs that are sorted by first word. A run belongs to a prefix partition, given by
+the first word and, for the few thousand most frequent ones, also by one of ``FAN`` parts of the second. Spark brings the runs of
+a partition together, where they are merged, one first word after the other, and only phrases of at least ``least`` occurrences stay.
 
 A phrase is never more frequent than a phrase within it. So words below ``least`` are left out of pairs and pairs below it out
 of triples, which loses nothing. What is frequent goes to the tasks as a bit map of hashes of a fixed size, however
@@ -21,8 +21,12 @@ table gives no rows. Other columns are not read.
 
 from __future__ import annotations
 
-from collections import Counter
+import gc
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
+from itertools import groupby
+from operator import itemgetter
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -34,15 +38,16 @@ from chronotable.llm.common import batch_of, give_back
 from chronotable.sources.workspace import materialize
 
 BURST = 4_096
-HELD = 400_000
+HELD = 800_000
 FAN = 16
 BITS = 26  # of a position in the map of frequent hashes: 8 MB
+_HOT = 4_096  # a word with more than this part of all occurrences begins phrases in FAN partitions
 _MASK = (1 << BITS) - 1
 _PIECE = 1 << 15  # bits of a row of the map
 _TURN = 20  # the second hash of a pair is turned by so many bits
-_ID = 20  # bits of a word's id
-_STRETCH = 200_000  # words looked at together
-_KNOWN = (1 << _ID) - 2 * _STRETCH - 1_000  # words met before two more stretches could exceed the ids
+_ID = 21  # bits of a word's id
+_STRETCH = 400_000  # words looked at together
+_KNOWN = 600_000  # words after which a task begins with new ids
 _BYTES = 4 << 20  # of text behind a prefix partition
 
 _END = b"\xff"  # no byte of UTF-8
@@ -114,72 +119,73 @@ class HatTrie:
             branch.setdefault(rest >> _ID, {})[rest & ((1 << _ID) - 1)] = count
         return branch
 
-    def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray]:
-        """Takes whole subtrees out, the largest first, until ``keep`` entries stay; their keys and counts."""
-        keys: list[int] = []
-        counts: list[int] = []
-        shift = _ID * (self.length - 1)
-        for first, size in self.sizes.most_common():
-            if self.entries <= keep:
-                break
-            node, head = self.root.pop(first), first << shift
-            for rest, inner in node.items():
-                if isinstance(node, _Branch):
-                    below = head | rest << _ID
-                    keys.extend([below | last for last in inner])
-                    counts.extend(inner.values())
-                else:
-                    keys.append(head | rest)
-                    counts.append(inner)
-            del self.sizes[first]
-            self.entries -= size
-        return np.array(keys, np.uint64), np.array(counts, np.int64)
+    def spill(self, keep: int) -> Iterator[tuple[int, list[int], list[int]]]:
+        """Takes whole subtrees out, the largest first, until ``keep`` entries stay: first id, packed rests and counts."""
+        if keep:
+            chosen, left = [], self.entries
+            for first, size in self.sizes.most_common():
+                if left <= keep:
+                    break
+                left -= size
+                chosen.append((first, self.root.pop(first)))
+                del self.sizes[first]
+            self.entries = left
+        else:
+            chosen = list(self.root.items())
+            self.root, self.sizes, self.entries = {}, Counter(), 0
+        for first, node in chosen:
+            if isinstance(node, _Branch):
+                rests = [child << _ID | last for child, inner in node.items() for last in inner]
+                yield first, rests, [n for inner in node.values() for n in inner.values()]
+            else:
+                yield first, list(node), list(node.values())
 
 
 class _Words:
-    """Ids of the words a task has met, each of one language, and which of them are frequent."""
+    """Ids of the words a task has met, each of one language. A word that is not frequent gets none."""
 
     def __init__(self, frequent: np.ndarray | None):
         self.words: list[bytes] = []
         self.langs: list[str] = []
-        self.hashes = np.zeros(1 << 12, np.uint64)
-        self.kept = np.zeros(1 << 12, bool)
+        self.hashes: list[int] = []
         self.frequent = frequent
         self.by_lang: dict[str, _OfLang] = {}
+        self.array = np.zeros(0, np.uint64)
 
     def of(self, lang: str) -> _OfLang:
         if lang not in self.by_lang:
             self.by_lang[lang] = _OfLang(self, lang)
         return self.by_lang[lang]
 
-    def settle(self, known: int) -> None:
-        """Hashes of the words from a number on."""
-        n = len(self.words)
-        while len(self.hashes) < n:
-            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
-            self.kept = np.concatenate([self.kept, np.zeros_like(self.kept)])
-        fresh = (xxhash.xxh64_intdigest(_marked(lang, word), 42) for lang, word in zip(self.langs[known:], self.words[known:], strict=True))
-        self.hashes[known:n] = np.fromiter(fresh, np.uint64, n - known)
-        self.kept[known:n] = True if self.frequent is None else _set(self.frequent, self.hashes[known:n])
+    def hashed(self) -> np.ndarray:
+        """The hashes by id."""
+        if len(self.array) < len(self.hashes):
+            fresh = self.hashes[len(self.array) :]
+            self.array = np.concatenate([self.array, np.fromiter(fresh, np.uint64, len(fresh))])
+        return self.array
 
 
 class _OfLang(dict):
     def __init__(self, every: _Words, lang: str):
         super().__init__()
         self.every, self.lang = every, lang
+        self.mark = lang.encode("utf-8", "replace") + b"\x00"
         self[_END] = -1
 
     def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.every.words)
-        self.every.words.append(word)
-        self.every.langs.append(self.lang)
+        every = self.every
+        value = xxhash.xxh64_intdigest(self.mark + word, 42)
+        if every.frequent is not None:
+            at = value & _MASK
+            if not every.frequent[at >> 3] >> (at & 7) & 1:
+                return -1
+        number = self[word] = len(every.words)
+        every.words.append(word)
+        every.langs.append(self.lang)
+        every.hashes.append(value)
         return number
 
 
-def _marked(lang: str, word: bytes) -> bytes:
-    return lang.encode("utf-8", "replace") + b"\x00" + word
-
-
 def _set(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     """Whether the bits of these hashes are set."""
     at = hashes & np.uint64(_MASK)
@@ -190,14 +196,22 @@ _RUN = pa.schema([("part", pa.int64()), ("lang", pa.string()), ("phrases", pa.bi
 _RUN_DDL = "part long, lang string, phrases binary, counts binary, total long"
 
 
+class _Filters(NamedTuple):
+    """What is known of shorter phrases: bit maps of frequent words and pairs, and the hashes of very frequent words."""
+
+    words: np.ndarray | None = None
+    pairs: np.ndarray | None = None
+    hot: frozenset[int] = frozenset()
+
+
 class _Counting:
     """Counts phrases of one length in the texts of a task and hands out sorted runs."""
 
-    def __init__(self, length: int, parts: int, words: np.ndarray | None, pairs: np.ndarray | None, held: int):
-        self.length, self.parts, self.pairs, self.held = length, parts, pairs, held
-        self.frequent = words
-        self.words = _Words(words)
+    def __init__(self, length: int, parts: int, filters: _Filters, held: int):
+        self.length, self.parts, self.filters, self.held = length, parts, filters, held
+        self.words = _Words(filters.words)
         self.trie = HatTrie(length)
+        self.single = np.zeros(0, np.int64)  # counts of single words by id: a root without anything below
         self.waiting: list[np.ndarray] = []
         self.size = 0
 
@@ -206,11 +220,8 @@ class _Counting:
         reach = _STRETCH + self.length - 1
         for start in range(0, len(tokens), _STRETCH):
             part = tokens[start : start + reach]
-            known = len(self.words.words)
-            ids = np.fromiter(map(self.words.of(lang).__getitem__, part), np.int64, len(part))
-            self.words.settle(known)
-            self.waiting.append(ids)
-            self.size += len(ids)
+            self.waiting.append(np.fromiter(map(self.words.of(lang).__getitem__, part), np.int64, len(part)))
+            self.size += len(part)
             # A stretch that goes on overlaps the next one; its last phrases begin before that.
             self.waiting.append(np.full(1, -1))
             if self.size >= _STRETCH:
@@ -219,7 +230,7 @@ class _Counting:
                     yield from self._runs(self.held // 2)
                 if len(self.words.words) > _KNOWN:
                     yield from self.end()
-                    self.words = _Words(self.frequent)
+                    self.words = _Words(self.filters.words)
 
     def _take(self) -> None:
         """Phrases of the waiting stretches go into the trie."""
@@ -227,15 +238,20 @@ class _Counting:
             return
         ids = np.concatenate(self.waiting)
         self.waiting, self.size = [], 0
-        good = (ids >= 0) & self.words.kept[np.maximum(ids, 0)]
+        good = ids >= 0
+        if self.length == 1:
+            counts = np.bincount(ids[good], minlength=len(self.words.words))
+            counts[: len(self.single)] += self.single
+            self.single = counts
+            return
         places = np.flatnonzero(good[: len(ids) - self.length + 1])
         for step in range(1, self.length):
             places = places[good[places + step]]
         if self.length > 2:
-            hashes = self.words.hashes
+            hashes = self.words.hashed()
             for step in range(self.length - 1):
                 left, right = hashes[ids[places + step]], hashes[ids[places + step + 1]]
-                places = places[_set(self.pairs, left ^ (right >> np.uint64(_TURN)))]
+                places = places[_set(self.filters.pairs, left ^ (right >> np.uint64(_TURN)))]
         keys = np.zeros(len(places), np.uint64)
         for step in range(self.length):
             keys = keys << np.uint64(_ID) | ids[places + step].astype(np.uint64)
@@ -245,50 +261,64 @@ class _Counting:
         self._take()
         yield from self._runs(0)
 
-    def _runs(self, keep: int) -> Iterator[pa.RecordBatch]:
-        keys, counts = self.trie.spill(keep)
-        if not len(keys):
+    def _fanned(self, value: int, rests: list[int]) -> Iterator[tuple[int, list[int]]]:
+        """The prefix partitions of a hot word's subtree, and which of its entries go there."""
+        second = np.array(rests, np.int64) >> _ID * (self.length - 2)
+        fan = self.words.hashed()[second] % np.uint64(FAN)
+        for branch in np.unique(fan).tolist():
+            yield (value + branch) % self.parts, np.flatnonzero(fan == branch).tolist()
+
+    def _subtrees(self, keep: int) -> Iterator[tuple[int, bytes, int, list[int]]]:
+        """Partition, line, first word and counts of what is spilled."""
+        words, hashes = self.words.words, self.words.hashes
+        if self.length == 1:
+            counts = self.single.tolist()
+            self.single = np.zeros(0, np.int64)
+            for i in sorted(range(len(counts)), key=words.__getitem__):
+                if counts[i]:
+                    yield hashes[i] % self.parts, words[i], i, counts[i : i + 1]
             return
-        ids = [(keys >> np.uint64(_ID * (self.length - 1 - step)) & np.uint64((1 << _ID) - 1)).astype(np.int64) for step in range(self.length)]
-        hashes = self.words.hashes
-        prefix = hashes[ids[0]]
-        for step in ids[1:-1]:
-            prefix = prefix * np.uint64(0x9E3779B97F4A7C15) + hashes[step]
-        if self.length > 1:
-            prefix = (prefix >> np.uint64(8)) + hashes[ids[-1]] % np.uint64(FAN)
-        parts = (prefix % np.uint64(self.parts)).astype(np.int64)
-        words, langs = self.words.words, self.words.langs
-        columns = [step.tolist() for step in ids]
-        phrases = [words[i] for i in columns[0]] if self.length == 1 else [b" ".join([words[i] for i in row]) for row in zip(*columns, strict=True)]
-        spoken = [langs[i] for i in columns[0]]
-        numbers = {lang: n for n, lang in enumerate(sorted(set(spoken)))}
-        tongue = np.fromiter(map(numbers.__getitem__, spoken), np.int64, len(spoken))
-        # One run of a partition and a language after the other, each sorted by phrase.
-        order = np.array(sorted(range(len(phrases)), key=phrases.__getitem__), np.int64)
-        order = order[np.lexsort((tongue[order], parts[order]))]
-        parts, tongue, counts = parts[order], tongue[order], counts[order].astype("<i8")
-        cuts = np.flatnonzero((parts[1:] != parts[:-1]) | (tongue[1:] != tongue[:-1])) + 1
-        order = order.tolist()
-        names = list(numbers)
-        out = []
-        for start, stop in zip([0, *cuts.tolist()], [*cuts.tolist(), len(order)], strict=True):
-            blob = b"\n".join([phrases[i] for i in order[start:stop]])
-            out.append((int(parts[start]), names[tongue[start]], blob, counts[start:stop].tobytes(), int(counts[start:stop].sum())))
-            if len(out) >= 2_000:
+        low = (1 << _ID) - 1
+        subtrees = self.trie.spill(keep)
+        for first, rests, counts in sorted(subtrees, key=lambda subtree: words[subtree[0]]):
+            found = [words[i] for i in rests] if self.length == 2 else [words[i >> _ID] + b" " + words[i & low] for i in rests]
+            value = hashes[first]
+            if value not in self.filters.hot:
+                yield value % self.parts, words[first] + b"\t" + b"\t".join(found), first, counts
+                continue
+            for part, chosen in self._fanned(value, rests):
+                yield part, b"\t".join([words[first], *[found[i] for i in chosen]]), first, [counts[i] for i in chosen]
+
+    def _runs(self, keep: int) -> Iterator[pa.RecordBatch]:
+        """Subtrees as lines of a first word and what follows it, sorted by first word in each partition and language."""
+        langs = self.words.langs
+        runs: dict[tuple[int, str], tuple[list[bytes], list[int]]] = defaultdict(lambda: ([], []))
+        for part, line, first, counts in self._subtrees(keep):
+            lines, numbers = runs[part, langs[first]]
+            lines.append(line)
+            numbers += counts
+        out, size = [], 0
+        for (part, lang), (lines, counts) in sorted(runs.items(), key=itemgetter(0)):
+            numbers = np.array(counts, "<i8")
+            out.append((part, lang, b"\n".join(lines), numbers.tobytes(), int(numbers.sum())))
+            size += len(numbers)
+            if size > 50_000:
                 yield batch_of(_RUN, zip(*out, strict=True))
-                out = []
+                out, size = [], 0
         if out:
             yield batch_of(_RUN, zip(*out, strict=True))
 
 
-def _counter(length: int, parts: int, words: np.ndarray | None, pairs: np.ndarray | None, held: int) -> Callable:
+def _counter(length: int, parts: int, filters: _Filters, held: int) -> Callable:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counting = _Counting(length, parts, words, pairs, held)
+        counting = _Counting(length, parts, filters, held)
+        gc.disable()  # very many small containers, none in a cycle
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1), strict=True):
                 yield from counting.add(lang.as_py(), text.as_py())
         yield from counting.end()
         del counting
+        gc.enable()
         give_back()
 
     return count
@@ -297,33 +327,45 @@ def _counter(length: int, parts: int, words: np.ndarray | None, pairs: np.ndarra
 _PHRASES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
 
 
+def _lines(runs: pa.Table, lang: str) -> list[tuple[bytes, list[bytes], list[int]]]:
+    """First word, rests and counts of the subtrees of a language, sorted by first word."""
+    lines = []
+    for i in range(runs.num_rows):
+        if runs.column("lang")[i].as_py() != lang:
+            continue
+        counts = np.frombuffer(runs.column("counts")[i].as_py(), "<i8").tolist()
+        at = 0
+        for line in runs.column("phrases")[i].as_py().split(b"\n"):
+            first, *rests = line.split(b"\t")
+            lines.append((first, rests or [b""], counts[at : at + max(1, len(rests))]))
+            at += max(1, len(rests))
+    # Each run is sorted, and Python's sort merges what is.
+    lines.sort(key=itemgetter(0))
+    return lines
+
+
 def _merger(least: int) -> Callable:
     def merge(runs: pa.Table) -> pa.Table:
-        """Sums of equal phrases of a partition's runs; phrases below ``least`` go."""
+        """Sums of equal phrases of a partition's runs, one first word after the other; phrases below ``least`` go."""
         out: list[tuple[str, str, int]] = []
-        langs = runs.column("lang").to_pylist()
-        for lang in sorted(set(langs)):
-            phrases: list[bytes] = []
-            blobs = []
-            for i in (i for i, spoken in enumerate(langs) if spoken == lang):
-                phrases += runs.column("phrases")[i].as_py().split(b"\n")
-                blobs.append(runs.column("counts")[i].as_py())
-            counts = np.frombuffer(b"".join(blobs), "<i8")
-            # The runs are sorted, and Python's sort merges what is.
-            order = np.array(sorted(range(len(phrases)), key=phrases.__getitem__), np.int64)
-            ranked = [phrases[i] for i in order.tolist()]
-            starts = np.array([0, *(i for i in range(1, len(ranked)) if ranked[i] != ranked[i - 1])], np.int64)
-            sums = np.add.reduceat(counts[order], starts)
-            for at in np.flatnonzero(sums >= least).tolist():
-                out.append((lang, ranked[starts[at]].decode("utf-8", "replace"), int(sums[at])))
+        for lang in sorted(set(runs.column("lang").to_pylist())):
+            for first, same in groupby(_lines(runs, lang), itemgetter(0)):
+                sums: dict[bytes, int] = {}
+                for _, rests, counts in same:
+                    for rest, n in zip(rests, counts, strict=True):
+                        sums[rest] = sums.get(rest, 0) + n
+                for rest, n in sums.items():
+                    if n >= least:
+                        phrase = first + b" " + rest if rest else first
+                        out.append((lang, phrase.decode("utf-8", "replace"), n))
         columns = list(zip(*out, strict=True)) or ([], [], [])
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _PHRASES, strict=True)], schema=_PHRASES)
 
     return merge
 
 
-def _runs(rows: DataFrame, length: int, parts: int, words: np.ndarray | None = None, pairs: np.ndarray | None = None, held: int = HELD) -> DataFrame:
-    return rows.mapInArrow(_counter(length, parts, words, pairs, held), _RUN_DDL)
+def _runs(rows: DataFrame, length: int, parts: int, filters: _Filters, held: int) -> DataFrame:
+    return rows.mapInArrow(_counter(length, parts, filters, held), _RUN_DDL)
 
 
 def _merged(runs: DataFrame, least: int) -> DataFrame:
@@ -362,14 +404,18 @@ def find_collocations(documents: DataFrame, least: int = 10, top: int = 2_000, c
     rows = documents.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     parts = max(64, size // _BYTES)
-    runs = materialize(_runs(rows, 1, parts, held=held))
-    totals = runs.groupBy("lang").agg(F.sum("total").alias("words"))
+    runs = materialize(_runs(rows, 1, parts, _Filters(), held))
+    totals = materialize(runs.groupBy("lang").agg(F.sum("total").alias("words")))
     words = _merged(runs, least)
-    word_bits = _bits(words.select(_hash("lang", F.col("phrase")).alias("h")))
-    pairs = _merged(_runs(rows, 2, parts, word_bits, held=held), least)
+    hashes = words.select(_hash("lang", F.col("phrase")).alias("h"), "n")
+    # Fewer than _HOT words can be that frequent, however many there are.
+    every = totals.agg(F.sum("words")).first()[0] or 0
+    hot = frozenset(row.h % (1 << 64) for row in hashes.where(F.col("n") * _HOT > every).select("h").collect())
+    filters = _Filters(_bits(hashes.select("h")), None, hot)
+    pairs = _merged(_runs(rows, 2, parts, filters, held), least)
     both = [F.split_part("phrase", F.lit(" "), F.lit(k)) for k in (1, 2)]
     pair_hash = _hash("lang", both[0]).bitwiseXOR(F.shiftrightunsigned(_hash("lang", both[1]), _TURN))
-    triples = _merged(_runs(rows, 3, parts, word_bits, _bits(pairs.select(pair_hash.alias("h"))), held), least)
+    triples = _merged(_runs(rows, 3, parts, filters._replace(pairs=_bits(pairs.select(pair_hash.alias("h")))), held), least)
     return _ranked(words, pairs, triples, totals, top, contained)
 
 
