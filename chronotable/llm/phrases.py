@@ -46,7 +46,8 @@ _MASK = (1 << BITS) - 1
 _PIECE = 1 << 15  # bits of a row of the map
 _TURN = 20  # the second hash of a pair is turned by so many bits
 _ID = 21  # bits of a word's id
-_STRETCH = 400_000  # words looked at together
+_STRETCH = 400_000  # words of a text looked at together
+_TOGETHER = 1_000_000  # words sorted together; with a stretch more and _KNOWN, fewer than there are ids
 _KNOWN = 600_000  # words after which a task begins with new ids
 _BYTES = 4 << 20  # of text behind a prefix partition
 
@@ -224,7 +225,7 @@ class _Counting:
             self.size += len(part)
             # A stretch that goes on overlaps the next one; its last phrases begin before that.
             self.waiting.append(np.full(1, -1))
-            if self.size >= _STRETCH:
+            if self.size >= _TOGETHER:
                 self._take()
                 if self.trie.entries > self.held:
                     yield from self._runs(self.held // 2)
@@ -336,9 +337,10 @@ def _lines(runs: pa.Table, lang: str) -> list[tuple[bytes, list[bytes], list[int
         counts = np.frombuffer(runs.column("counts")[i].as_py(), "<i8").tolist()
         at = 0
         for line in runs.column("phrases")[i].as_py().split(b"\n"):
-            first, *rests = line.split(b"\t")
-            lines.append((first, rests or [b""], counts[at : at + max(1, len(rests))]))
-            at += max(1, len(rests))
+            first, _, more = line.partition(b"\t")
+            rests = more.split(b"\t")  # of a single word: one empty rest
+            lines.append((first, rests, counts[at : at + len(rests)]))
+            at += len(rests)
     # Each run is sorted, and Python's sort merges what is.
     lines.sort(key=itemgetter(0))
     return lines
@@ -347,6 +349,7 @@ def _lines(runs: pa.Table, lang: str) -> list[tuple[bytes, list[bytes], list[int
 def _merger(least: int) -> Callable:
     def merge(runs: pa.Table) -> pa.Table:
         """Sums of equal phrases of a partition's runs, one first word after the other; phrases below ``least`` go."""
+        gc.disable()
         out: list[tuple[str, str, int]] = []
         for lang in sorted(set(runs.column("lang").to_pylist())):
             for first, same in groupby(_lines(runs, lang), itemgetter(0)):
@@ -358,6 +361,7 @@ def _merger(least: int) -> Callable:
                     if n >= least:
                         phrase = first + b" " + rest if rest else first
                         out.append((lang, phrase.decode("utf-8", "replace"), n))
+        gc.enable()
         columns = list(zip(*out, strict=True)) or ([], [], [])
         return pa.table([pa.array(c, f.type) for c, f in zip(columns, _PHRASES, strict=True)], schema=_PHRASES)
 
