@@ -2,10 +2,11 @@
 
 1. Every text becomes its set of hashed five-word shingles (lower-cased ``\\w+`` words; a text of fewer words is one
    shingle). Texts of equal sets are one class; only classes go on, so copies never meet in pairs.
-2. The forest: ``TREES`` tries over the sorted MinHash signatures, each with ``DEEPEST`` values on a path. All tries
-   are cut at one fixed depth, the deepest at which a pair exactly at the threshold shares a prefix with a probability
-   of at least ``recall``; so they serve as bands, whose width follows from these two numbers and not from the data. Classes under one node are candidates. Nodes of the same members
-   are kept once.
+2. The forest: ``TREES`` tries over the sorted MinHash signatures, each with ``DEEPEST`` values on a path. Every class
+   starts with its whole paths and shortens the prefix it matches, tree by tree, until a pair at the threshold is met with a
+   probability of at least ``recall``: first where the node it comes to holds at most ``large`` classes, and where it holds more only
+   while the recall is still short, the smallest node first (``prefix_lengths``). So one class may match four values in one tree and five in
+   another. A class meets all classes under the nodes it stops at, those that stopped deeper included. Nodes of the same members are kept once.
 3. Within a node, signatures estimate the similarity; classes well above noise are joined, which leaves out
    those that merely share a common passage. Nodes of many classes are compared as pairs of blocks; a block pair
    returns a spanning forest, never its pairs.
@@ -27,6 +28,7 @@ that tells them apart. An empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 import functools
+import math
 import re
 from collections.abc import Callable, Iterator
 
@@ -44,6 +46,7 @@ SHINGLE = 5
 TREES = 20
 DEEPEST = 5
 _VALUES = TREES * DEEPEST
+_LARGE = 1024  # classes of a node that its classes come to only if they must
 _BLOCK = 1024  # classes of a node or group compared at a time with as many others
 _SHINGLES = 400_000  # and shingles of a block
 _WORD = re.compile(r"\w+")
@@ -58,6 +61,22 @@ def depth_for(similarity: float, recall: float, trees: int = TREES, deepest: int
     return 1
 
 
+def prefix_lengths(large: dict[tuple[int, int], int], similarity: float, recall: float) -> list[int]:
+    """How many values of its path a class matches in each tree.
+
+    ``large`` holds the sizes of its large nodes by (tree, length). Matching the shortest useful length everywhere reaches the recall, so
+    a tree is never shortened further; what that leaves over lets large nodes stay deep.
+    """
+    shortest = depth_for(similarity, recall)
+    lengths = [next((d for d in range(shortest, DEEPEST) if (t, d) not in large), DEEPEST) for t in range(TREES)]
+    missed = math.prod(1 - similarity**d for d in lengths)
+    while missed > 1 - recall and max(lengths) > shortest:
+        tree = min((t for t in range(TREES) if lengths[t] > shortest), key=lambda t: (large.get((t, lengths[t] - 1), 0), t))
+        missed *= (1 - similarity ** (lengths[tree] - 1)) / (1 - similarity ** lengths[tree])
+        lengths[tree] -= 1
+    return lengths
+
+
 class _Hashes(dict):
     """Hash of a word, remembered."""
 
@@ -173,6 +192,7 @@ def _estimating(least: float) -> Callable:
                 members = row["members"]
                 ids = np.array([m["cid"] for m in members])
                 sides = np.array([m["side"] for m in members])
+                seeks = np.array([m["seeks"] for m in members])
                 values = np.frombuffer(b"".join(m["signature"] for m in members), ">u2").reshape(len(ids), _VALUES).astype(np.uint16)
                 forest = _Forest(len(ids))
                 across = row["i"] != row["j"]
@@ -181,6 +201,7 @@ def _estimating(least: float) -> Callable:
                 needed = least * _VALUES
                 for x in left:
                     others = right if across else right[right > x]
+                    others = others if seeks[x] else others[seeks[others]]
                     if len(others):
                         close = others[(values[others] == values[x]).sum(axis=1) >= needed]
                         forest.join((int(x), int(y)) for y in close)
@@ -259,15 +280,65 @@ def _in_blocks(rows: DataFrame, blocks: Column) -> DataFrame:
     return spread.withColumn("i", F.least("side", "other")).withColumn("j", F.greatest("side", "other")).drop("other", "blocks")
 
 
-def _candidate_edges(classes: DataFrame, threshold: float, recall: float) -> DataFrame:
-    depth = depth_for(threshold, recall)
-    prefix = [F.struct(F.lit(t).alias("tree"), F.substring("signature", 1 + 2 * DEEPEST * t, 2 * depth).alias("prefix")) for t in range(TREES)]
-    paths = classes.select("cid", F.inline(F.array(*prefix)))
-    nodes = paths.groupBy("tree", "prefix").agg(F.count("*").alias("n"), F.sum(F.xxhash64("cid").cast("decimal(20,0)")).alias("members"), F.min("cid").alias("head")).where("n > 1")
-    once = nodes.groupBy("n", "members", "head").agg(F.min(F.struct("tree", "prefix")).alias("node")).select("node.tree", "node.prefix", "n")
-    inside = paths.join(once, ["tree", "prefix"]).join(classes.select("cid", "signature"), "cid")
+def _node(tree: int, length: int) -> Column:
+    """Name of the node that a class's path passes at this length."""
+    return F.xxhash64(F.lit(tree), F.lit(length), F.substring("signature", 1 + 2 * DEEPEST * tree, 2 * length))
+
+
+def _choosing(similarity: float, recall: float) -> Callable:
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = ({(m["tree"], m["length"]): m["n"] for m in row} for row in batch.column(1).to_pylist())
+            lengths = [prefix_lengths(large, similarity, recall) for large in sizes]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lengths, pa.list_(pa.int32()))], ["cid", "lengths"])
+
+    return choose
+
+
+def _chosen_lengths(classes: DataFrame, similarity: float, recall: float, large: int) -> DataFrame | None:
+    """The prefix lengths (cid, lengths) of classes that come to a large node; None if there is no such node."""
+    shortest = depth_for(similarity, recall)
+    at_shortest = classes.select("cid", "signature", F.inline(F.array(*[F.struct(F.lit(t).alias("tree"), _node(t, shortest).alias("node")) for t in range(TREES)])))
+    sizes = materialize(at_shortest.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > large))
+    if sizes.isEmpty():
+        return None
+    # Of the longer prefixes only those below a large node can be large, and all their classes are here.
+    hit = at_shortest.join(sizes, "node")
+    flagged = hit.select("cid", "tree", F.lit(shortest).alias("length"), "n")
+    if shortest < DEEPEST - 1:
+        trees = [F.array(*[F.struct(F.lit(d).alias("length"), _node(t, d).alias("node")) for d in range(shortest + 1, DEEPEST)]) for t in range(TREES)]
+        longer = materialize(hit.select("cid", "tree", F.inline(F.element_at(F.array(*trees), F.col("tree") + 1))))
+        deeper = longer.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") > large)
+        flagged = flagged.unionByName(longer.join(deeper, "node").select("cid", "tree", "length", "n"))
+    by_class = flagged.groupBy("cid").agg(F.collect_list(F.struct("tree", "length", "n")).alias("large"))  # some entries for each tree
+    return materialize(by_class.mapInArrow(_choosing(similarity, recall), "cid long, lengths array<int>"))
+
+
+def _stops(classes: DataFrame, similarity: float, recall: float, large: int) -> DataFrame:
+    """The nodes (tree, node) where a class stops (``seeks``), and those above it, where others may stop that it must meet."""
+    shortest = depth_for(similarity, recall)
+
+    def stop(tree: int, length: int, seeks: Column) -> Column:
+        return F.struct(F.lit(tree).alias("tree"), _node(tree, length).alias("node"), seeks.alias("seeks"))
+
+    plain = F.inline(F.array(*[stop(t, shortest, F.lit(True)) for t in range(TREES)]))
+    lengths = _chosen_lengths(classes, similarity, recall, large)
+    if lengths is None:
+        return classes.select("cid", plain)
+    own = [F.element_at("lengths", t + 1) for t in range(TREES)]
+    passed = [F.when(own[t] >= d, stop(t, d, own[t] == d)) for t in range(TREES) for d in range(shortest, DEEPEST + 1)]
+    chosen = classes.join(lengths, "cid").select("cid", F.inline(F.filter(F.array(*passed), lambda s: s.isNotNull())))
+    return classes.join(lengths, "cid", "left_anti").select("cid", plain).unionByName(chosen)
+
+
+def _candidate_edges(classes: DataFrame, threshold: float, recall: float, large: int) -> DataFrame:
+    paths = _stops(classes, threshold, recall, large)
+    members = F.sum(F.xxhash64("cid", "seeks").cast("decimal(20,0)")).alias("members")
+    nodes = paths.groupBy("tree", "node").agg(F.count("*").alias("n"), members, F.min("cid").alias("head"), F.max("seeks").alias("sought")).where("n > 1 AND sought")
+    once = nodes.groupBy("n", "members", "head").agg(F.min(F.struct("tree", "node")).alias("first")).select("first.tree", "first.node", "n")
+    inside = paths.join(once, ["tree", "node"]).join(classes.select("cid", "signature"), "cid")
     dealt = _in_blocks(inside, F.ceil(F.col("n") / _BLOCK))
-    blocks = dealt.groupBy("tree", "prefix", "i", "j").agg(F.collect_list(F.struct("cid", "side", "signature")).alias("members")).where(F.size("members") > 1)
+    blocks = dealt.groupBy("tree", "node", "i", "j").agg(F.collect_list(F.struct("cid", "side", "seeks", "signature")).alias("members")).where(F.size("members") > 1)
     # Noise of an estimate from so many values: 0.04; three fifths are five deviations below the threshold 0.8.
     least = max(0.0, threshold - 5 * (threshold * (1 - threshold) / _VALUES) ** 0.5)
     return blocks.select("i", "j", "members").mapInArrow(_estimating(least), "a long, b long")
@@ -306,23 +377,24 @@ def _verified(documents: DataFrame, classes: DataFrame, groups: DataFrame, thres
     return materialize(blocks.select("i", "j", "members").mapInArrow(_verifying(threshold), "cid long, links long, linked long"))
 
 
-def join_similar(documents: DataFrame, threshold: float = 0.8, recall: float = 0.9999, most: int = 400_000) -> DataFrame:
+def join_similar(documents: DataFrame, threshold: float = 0.8, recall: float = 0.9999, most: int = 400_000, large: int = _LARGE) -> DataFrame:
     """``class_id`` and ``n_links`` of every document (doc_id, mark); see ``similar_groups``."""
-    return similar_groups(documents, threshold, recall, most).drop("class_mark")
+    return similar_groups(documents, threshold, recall, most, large).drop("class_mark")
 
 
-def similar_groups(documents: DataFrame, threshold: float = 0.8, recall: float = 0.9999, most: int = 400_000) -> DataFrame:
+def similar_groups(documents: DataFrame, threshold: float = 0.8, recall: float = 0.9999, most: int = 400_000, large: int = _LARGE) -> DataFrame:
     """``class_id``, ``n_links`` and ``class_mark`` of every document (doc_id, mark).
 
     ``most`` is the number of candidate classes (some 60 bytes each) up to which they are sent to all tasks
-    that read texts; beyond it texts and candidates are joined by a shuffle.
+    that read texts; beyond it texts and candidates are joined by a shuffle. ``large`` is the number
+    of classes of a node above which its classes try to do without it.
     """
     rows = documents.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("mark"), F.col("text").cast("string").alias("text"))
     signed = materialize(rows.mapInArrow(_sign, "doc_id long, mark long, n_shingles long, digest binary, signature binary"))
     real = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
     classes = real.groupBy("digest").agg(F.min(F.struct("doc_id", "mark")).alias("first"), F.count("*").alias("copies"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
     classes = materialize(classes.select("digest", "first.doc_id", "first.mark", "copies", "signature", "n_shingles").toDF("digest", "first_doc", "first_mark", "copies", "signature", "n_shingles").withColumn("cid", F.monotonically_increasing_id()))
-    groups = components(_candidate_edges(classes, threshold, recall))
+    groups = components(_candidate_edges(classes, threshold, recall, large))
     verified = _verified(rows.select("doc_id", "text"), classes, groups, threshold, most)
     links = verified.groupBy("cid").agg(F.sum("links").alias("links"))
     joined = components(verified.select(F.col("cid").alias("a"), F.col("linked").alias("b")))

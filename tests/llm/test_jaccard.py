@@ -88,6 +88,54 @@ def test_a_pair_at_the_threshold_that_shares_four_values_at_most(spark, document
     assert found(join_similar(documents(pair))) == brute(pair) == {0: (0, 1), 1: (0, 1)}
 
 
+def test_prefixes_are_as_short_as_the_recall_needs():
+    shortest = depth_for(0.8, 0.9999)
+    assert module.prefix_lengths({}, 0.8, 0.9999) == [shortest] * module.TREES
+
+    def missed(lengths):
+        return np.prod([1 - 0.8**d for d in lengths])
+
+    # Some large nodes are left alone, and only as deep as they are large.
+    few = {(3, shortest): 5_000, (9, shortest): 4_000}
+    lengths = module.prefix_lengths(few, 0.8, 0.9999)
+    assert [t for t, d in enumerate(lengths) if d == shortest + 1] == [3, 9] and sum(lengths) == shortest * module.TREES + 2
+    assert missed(lengths) <= 1e-4
+    assert depth_for(0.7, 0.9999) == 2
+    lengths = module.prefix_lengths({(3, 2): 5_000, (9, 2): 4_000, (9, 3): 2_000}, 0.7, 0.9999)
+    assert (lengths[3], lengths[9], sum(lengths)) == (3, 4, 2 * 18 + 7)
+    # If all are large, the smallest are taken until the recall is met, and no more.
+    every = {(t, d): 10_000 * (t + 1) // d for t in range(module.TREES) for d in range(shortest, module.DEEPEST)}
+    lengths = module.prefix_lengths(every, 0.8, 0.9999)
+    assert missed(lengths) <= 1e-4 and lengths[0] == shortest and lengths[-1] > shortest
+    assert missed([*lengths[:-1], lengths[-1] + 1]) > missed(lengths)
+
+
+def test_classes_stop_at_different_lengths(spark, documents):
+    """Texts that share a long passage have large nodes, single texts none; both are found whole."""
+    rng = random.Random(5)
+    texts = variants(rng, 60, 200, 3)
+    texts += [t for _ in range(10) for t in variants(rng, 2, 60, 1)]
+    signatures = [signature(shingles(t, module._Hashes())).tobytes() for t in texts]
+    classes = spark.createDataFrame(list(enumerate(map(bytearray, signatures))), "cid long, signature binary")
+    lengths = {r.cid: r.lengths for r in module._chosen_lengths(classes, 0.8, 0.9999, 4).collect()}
+    assert set(lengths) == set(range(60))
+    assert all(4 <= d <= module.DEEPEST for own in lengths.values() for d in own)
+    assert all(np.prod([1 - 0.8**d for d in own]) <= 1e-4 for own in lengths.values())
+    assert len({tuple(own) for own in lengths.values()}) > 1 and any(max(own) > 4 for own in lengths.values())
+    stops = module._stops(classes, 0.8, 0.9999, 4).where("seeks").groupBy("cid").count().collect()
+    assert {r["count"] for r in stops} == {module.TREES} and len(stops) == len(texts)
+    assert found(join_similar(documents(texts), large=4)) == brute(texts)
+    lower = module._chosen_lengths(classes, 0.7, 0.9999, 4).collect()
+    assert {d for r in lower for d in r.lengths} > {2, 3}
+    assert found(join_similar(documents(texts), threshold=0.7, large=4)) == brute(texts, 0.7)
+
+
+def test_whole_table_with_nodes_of_three_as_large(spark):
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    expected = brute([r.text for r in table.orderBy("doc_id").collect()])
+    assert found(join_similar(table, large=2)) == expected
+
+
 def test_depth_keeps_the_recall():
     for recall in (0.9, 0.99, 0.999, 0.9999):
         depth = depth_for(0.8, recall)
