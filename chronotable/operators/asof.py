@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chronotable.functions.columns import col, pick, quoted, require_columns
 from chronotable.operators.columns import VALID_FROM, VALID_TO
+from chronotable.operators.ranges import whole_seconds
 from chronotable.sources.workspace import materialize
 
 _LEVEL, _BUCKET, _FACT = "__level", "__bucket", "__fact"
@@ -23,14 +24,6 @@ _LEVEL, _BUCKET, _FACT = "__level", "__bucket", "__fact"
 _STEP = 3  # widths grow by factors of eight: a version lies in nine buckets at most, and there are a third of the widths
 
 
-def _seconds(moment: Column, data_type: T.DataType) -> Column:
-    """Whole seconds since 1970; of a timestamp without a zone by its own clock."""
-    if isinstance(data_type, T.TimestampType):
-        return F.unix_seconds(moment)
-    clock = F.hour(moment) * 3_600 + F.minute(moment) * 60 + F.second(moment)
-    return F.unix_date(F.to_date(moment)).cast("long") * 86_400 + clock
-
-
 def as_of_join(
     facts: DataFrame,
     versions: DataFrame,
@@ -59,7 +52,7 @@ def as_of_join(
     clock = T.TimestampType() if zoned else T.TimestampNTZType()
     held = versions.where(col(valid_from) <= col(valid_to))
     # The millisecond after the end may lie in the next second.
-    spans = held.withColumns({"__low": _seconds(col(valid_from).cast(clock), clock), "__high": _seconds(col(valid_to).cast(clock), clock) + 1})
+    spans = held.withColumns({"__low": whole_seconds(col(valid_from).cast(clock), clock), "__high": whole_seconds(col(valid_to).cast(clock), clock) + 1})
     size = F.ceil(F.log2((F.col("__high") - F.col("__low") + 1).cast("double")) / _STEP).cast("int")
     spans = spans.withColumn(_LEVEL, F.greatest(size - 1, F.lit(0)) * _STEP)
     levels = sorted(row[0] for row in spans.select(_LEVEL).distinct().collect())  # at most 22 numbers
@@ -70,8 +63,9 @@ def as_of_join(
 
     numbered = facts
     if how == "left":
-        numbered = materialize(facts).withColumn(_FACT, F.monotonically_increasing_id())
-    when = _seconds(col(at).cast(clock), clock)
+        # Written with their numbers: files may be split in another way each time they are read.
+        numbered = materialize(facts.withColumn(_FACT, F.monotonically_increasing_id()))
+    when = whole_seconds(col(at).cast(clock), clock)
     seen = numbered.where(col(at).isNotNull()).withColumn(_LEVEL, F.explode(F.lit(levels).cast("array<int>")))
     seen = seen.withColumn("__at", when).withColumn(_BUCKET, F.expr(f"shiftright(__at, {_LEVEL})")).drop("__at")
     on = [_LEVEL, _BUCKET]

@@ -19,10 +19,13 @@ from pyspark.sql import types as T
 
 from chronotable.functions.columns import as_schema, col, pick, quoted, require_columns
 from chronotable.operators.keys import splittable_keys
+from chronotable.operators.ranges import join_in_range
+from chronotable.sources.workspace import materialize
 
 TOO_MANY = "a target row is matched by more than one source row"
 _FOUND = "__found"
 _ACTION = "__action"
+_ROW, _SOURCE_ROW = "__target_row", "__source_row"
 _ALL_PAIRS = ("NestedLoopJoin", "CartesianProduct")
 
 Condition = Column | str | None
@@ -54,6 +57,16 @@ class Clause:
     values: Values | None = None
 
 
+@dataclass(frozen=True)
+class Between:
+    """A match of one side's ``point`` with the other side's interval."""
+
+    point: str
+    low: str
+    high: str
+    point_in: str
+
+
 @dataclass(frozen=True)
 class Matched:
     """An open WHEN MATCHED clause."""
@@ -107,6 +120,7 @@ class Merge:
     condition: Condition = None
     source_unique: bool = False
     all_pairs: bool = False
+    between: Between | None = None
     matched: tuple[Clause, ...] = ()
     not_matched: tuple[Clause, ...] = ()
     seen: str | None = None  # what a named target held when the merge was made
@@ -120,7 +134,7 @@ class Merge:
         Spark takes the equalities in it as join keys. Without any, the join would compare every pair,
         which is an error unless ``all_pairs`` asks for it.
         """
-        return replace(self, condition=condition, keys=(), all_pairs=all_pairs)
+        return replace(self, condition=condition, keys=(), between=None, all_pairs=all_pairs)
 
     def on_keys(
         self,
@@ -135,7 +149,26 @@ class Merge:
         only if some do. ``source_unique`` promises that no key repeats in the source.
         """
         pairs = tuple((k, k) if isinstance(k, str) else tuple(k) for k in keys)
-        return replace(self, keys=pairs, condition=condition, source_unique=source_unique)
+        return replace(self, keys=pairs, condition=condition, between=None, source_unique=source_unique)
+
+    def on_range(
+        self,
+        point: str,
+        low: str,
+        high: str,
+        point_in: str = "target",
+        keys: Sequence[str | tuple[str, str]] = (),
+        condition: Condition = None,
+    ) -> Merge:
+        """Match the target's ``point`` with source rows where ``low`` <= ``point`` <= ``high``; further ``keys`` and a ``condition`` as in ``on_keys``.
+
+        With ``point_in="source"`` the source has the point and the target the bounds. Numbers, dates and times will do. No
+        pairs are compared beyond those that share a bucket (``join_in_range``); both sides are written once, with row numbers.
+        """
+        if point_in not in ("target", "source"):
+            raise ValueError(f"point_in must be target or source, not {point_in}")
+        merge = self.on_keys(keys, condition=condition)
+        return replace(merge, between=Between(point, low, high, point_in))
 
     def when_matched(self, condition: Condition = None) -> Matched:
         return Matched(self, condition)
@@ -153,15 +186,20 @@ class Merge:
         """The target after the merge."""
         if self.source is None:
             raise ValueError("a merge needs a source")
-        if self.condition is None and not self.keys:
+        if self.condition is None and not self.keys and self.between is None:
             raise ValueError("a merge needs a match condition")
         require_columns(self.target, [t for t, _ in self.keys], "target keys")
         require_columns(self.source, [s for _, s in self.keys], "source keys")
+        if self.between is not None:
+            return self._merged_in_range()
         rows = self._rewritten_target() if self.matched else self.target
         return rows.unionByName(self._inserted()) if self.not_matched else rows
 
     def touched(self) -> DataFrame:
         """Target rows that some source row matches, whether a clause applies to them or not."""
+        if self.between is not None:
+            numbered, _, pairs = self._numbered()
+            return pick(numbered.join(splittable_keys(pairs.select(_ROW)), _ROW, "left_semi"), self.target.columns)
         target = self.target.alias(self.target_alias)
         if self.keys and self.condition is None:
             keys = splittable_keys(self._source_keys())
@@ -290,9 +328,38 @@ class Merge:
             ]
         )
 
+    # Matches by range
+
+    def _numbered(self) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Both sides with row numbers, and the pairs of numbers that match."""
+        target = materialize(self.target.withColumn(_ROW, F.monotonically_increasing_id()))
+        source = materialize(self.source.withColumn(_SOURCE_ROW, F.monotonically_increasing_id()))
+        sides, aliases, keys = (target, source), (self.target_alias, self.source_alias), self.keys
+        if self.between.point_in == "source":
+            sides, aliases, keys = sides[::-1], aliases[::-1], [(s, t) for t, s in keys]
+        bounds = (self.between.point, self.between.low, self.between.high)
+        condition = None if self.condition is None else _as_column(self.condition)
+        met = join_in_range(*sides, *bounds, aliases, keys, condition)
+        return target, source, materialize(met.select(self._t(_ROW), self._s(_SOURCE_ROW)))
+
+    def _merged_in_range(self) -> DataFrame:
+        """The merge on row numbers: every source row goes on once for each target row that it matches."""
+        target, source, pairs = self._numbered()
+        rows = self.target
+        if self.matched:
+            matching = source.join(pairs, _SOURCE_ROW).drop(_SOURCE_ROW)
+            numbered = replace(self, target=target, source=matching, keys=((_ROW, _ROW),), condition=None, between=None)
+            rows = pick(numbered._rewritten_target(), self.target.columns)
+        return rows.unionByName(self._inserted(self._alone(source, pairs))) if self.not_matched else rows
+
+    def _alone(self, source: DataFrame, pairs: DataFrame) -> DataFrame:
+        return source.join(splittable_keys(pairs.select(_SOURCE_ROW)), _SOURCE_ROW, "left_anti").drop(_SOURCE_ROW)
+
     # Unmatched source rows
 
     def _unmatched(self) -> DataFrame:
+        if self.between is not None:
+            return self._alone(*self._numbered()[1:])
         if self.condition is not None:
             source = self.source.alias(self.source_alias)
             target = self.target.alias(self.target_alias)
@@ -312,8 +379,8 @@ class Merge:
         keyless = ~_all([col(s).isNotNull() for s in nullable])
         return fresh.unionByName(self.source.where(keyless))
 
-    def _inserted(self) -> DataFrame:
-        rows = self._unmatched().alias(self.source_alias)
+    def _inserted(self, unmatched: DataFrame | None = None) -> DataFrame:
+        rows = (self._unmatched() if unmatched is None else unmatched).alias(self.source_alias)
         action = F.when(_as_column(self.not_matched[0].condition), F.lit(0))
         for i, clause in enumerate(self.not_matched[1:], start=1):
             action = action.when(_as_column(clause.condition), F.lit(i))

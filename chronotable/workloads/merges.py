@@ -177,7 +177,30 @@ def one_call(spark: SparkSession, sf: str) -> DataFrame:
     ).result()
 
 
+def range_condition(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against spans of order numbers, one for each customer; some spans hold no order."""
+    spans = read(spark, sf, "customer").select(
+        (F.col("c_custkey") * 8).alias("low_key"),
+        (F.col("c_custkey") * 8 + F.col("c_custkey") % 11 - 4).alias("high_key"),
+        "c_custkey",
+        "c_nationkey",
+    )
+    return (
+        Merge(read(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"), "o")
+        .using(spans, "s")
+        .on_range("o_orderkey", "low_key", "high_key")
+        .when_matched("s.c_nationkey % 5 = 0")
+        .delete()
+        .when_matched()
+        .update_expr({"o_custkey": "s.c_custkey", "o_orderstatus": "'M'"})
+        .when_not_matched()
+        .insert_expr({"o_orderkey": "-s.low_key", "o_custkey": "s.c_custkey", "o_orderstatus": "'N'"})
+        .result()
+    )
+
+
 QUERIES = {
+    "merge_range_cond": range_condition,
     "merge_string_cond": string_condition,
     "merge_column_cond": column_condition,
     "merge_conditional_update": conditional_update,
@@ -286,4 +309,12 @@ UNION ALL
 SELECT c.kind, c.party_id, c.name, NULL, NULL, NULL, NULL FROM {_FRESH} AND c.nation < 6
 UNION ALL
 SELECT {_NEW} FROM {_FRESH} AND c.nation >= 6 AND c.nation < 12""",
+    "merge_range_cond": """
+        WITH spans AS (SELECT c_custkey * 8 AS low_key, c_custkey * 8 + c_custkey % 11 - 4 AS high_key, c_custkey, c_nationkey FROM customer)
+        SELECT o_orderkey, coalesce(c_custkey, o_custkey) AS o_custkey, CASE WHEN c_custkey IS NULL THEN o_orderstatus ELSE 'M' END AS o_orderstatus
+        FROM orders LEFT JOIN spans ON o_orderkey BETWEEN low_key AND high_key
+        WHERE c_nationkey IS NULL OR c_nationkey % 5 <> 0
+        UNION ALL
+        SELECT -low_key, c_custkey, 'N' FROM spans
+        WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey BETWEEN low_key AND high_key)""",
 }
