@@ -6,6 +6,7 @@ entries) and in property maps.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +16,7 @@ from chronotable.functions.columns import col, quoted, require_columns
 from chronotable.functions.paths import base_name, replace_prefix
 from chronotable.operators.checks import assert_single_value
 from chronotable.operators.dedup import total_order
+from chronotable.sources.workspace import materialize
 
 # The table properties that hold a location.
 LOCATION_PROPERTIES = (
@@ -143,3 +145,48 @@ def join_on_basename(
         lost = F.raise_error(F.concat(F.lit("no lookup row for "), F.col(BASE_NAME))).cast("string")
         joined = joined.withColumn(BASE_NAME, F.when(F.col("__found"), F.col(BASE_NAME)).otherwise(lost))
     return joined.drop("__found")
+
+
+def relocate_many(df: DataFrame, prefixes: DataFrame, source: str, target: str, paths: Sequence[str]) -> DataFrame:
+    """Move paths by many pairs of directories at once; of those that hold a path the deepest counts.
+
+    ``prefixes`` names the pairs in its columns ``source`` and ``target``. A directory holds a path that equals it or goes on after it with
+    a slash; slashes at its end mean nothing, so ``/`` holds all paths that begin with one. Paths in no directory, null and empty ones among them, stay, and
+    so do all other columns. Pairs with a null are passed over. A directory with two targets fails the query.
+
+    Each different path is unfolded into those of its ancestors that are as deep as some directory, which meet the directories by equality, however many
+    those are. Only moved paths are joined back, as aggregated values, so that the planner can split a path that very many rows share.
+    """
+    require_columns(df, paths, "path columns")
+    require_columns(prefixes, [source, target], "prefix columns")
+    bare = prefixes.select(F.rtrim(col(source), F.lit("/")).alias("__from"), F.rtrim(col(target), F.lit("/")).alias("__to"))
+    depth = F.size(F.split("__from", "/", -1))
+    two = F.raise_error(F.concat(F.lit("two targets for "), F.col("__from"))).cast("string")
+    pairs = (
+        bare.where(F.col("__from").isNotNull() & F.col("__to").isNotNull())
+        .groupBy("__from")
+        .agg(F.min("__to").alias("__to"), F.max("__to").alias("__last"))
+        .select("__from", F.when(F.col("__to") == F.col("__last"), F.col("__to")).otherwise(two).alias("__to"), depth.alias("__depth"))
+    )
+    pairs = materialize(pairs)
+    depths = sorted(row[0] for row in pairs.select("__depth").distinct().collect())  # no more than a directory has parts
+    if not depths or not paths:
+        return df
+
+    parts = F.split("__path", "/", -1)
+    ancestors = F.transform(
+        F.filter(F.lit(depths).cast("array<int>"), lambda d: d <= F.size("__parts")),
+        lambda d: F.struct(d.alias("__depth"), F.array_join(F.slice("__parts", 1, d), "/").alias("__from")),
+    )
+    every = functools.reduce(DataFrame.union, [df.select(col(n).cast("string").alias("__path")) for n in paths])
+    known = every.where("__path <> ''").distinct().withColumn("__parts", parts)
+    met = known.select("__path", F.inline(ancestors)).join(pairs, ["__from", "__depth"])
+    best = met.groupBy("__path").agg(F.max_by(F.struct("__path", "__from", "__to"), "__depth").alias("__row")).select("__row.*")
+    moved = materialize(best.select("__path", F.concat("__to", F.expr("substring(__path, length(__from) + 1)")).alias("__moved")))
+
+    out = df
+    for name in paths:
+        found = moved.select(F.col("__path").alias("__old"), F.col("__moved").alias("__new"))
+        joined = out.join(found, col(name) == F.col("__old"), "left")
+        out = joined.withColumn(name, F.coalesce("__new", col(name))).drop("__old", "__new")
+    return out

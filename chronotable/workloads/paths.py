@@ -9,6 +9,7 @@ from chronotable.functions import base_name, file_kind, replace_prefix
 from chronotable.operators.checks import assert_single_value as single_value
 from chronotable.operators.relocate import join_on_basename as on_basename
 from chronotable.operators.relocate import LOCATION_PROPERTIES, relocate, target_directory
+from chronotable.operators.relocate import relocate_many as by_many
 from chronotable.workloads.recipes import read
 
 FROM, TO = "http://", "https://"
@@ -100,7 +101,21 @@ def relocate_entries(spark: SparkSession, sf: str) -> DataFrame:
     return relocate(entries, FROM, target, paths=["url"], content="content")
 
 
+def relocate_many(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages of every host that has an encrypted one move to that host's bucket, one of its languages to another, all others to a lake."""
+    host = F.regexp_extract("url", "^https://[^/?#]+", 0)
+    language = F.regexp_extract("url", "^https://[^/?#]+/[a-z]+", 0)
+    by_host = _pages(spark, sf).select(host.alias("old")).where("old <> ''")
+    by_language = _pages(spark, sf).select(language.alias("old")).where("old LIKE '%/de'")
+    pairs = by_host.select("old", F.concat(F.lit("s3://hosts/"), F.md5("old"), F.lit("/")).alias("new"))
+    pairs = pairs.union(by_language.select(F.concat("old", F.lit("/")), F.concat(F.lit("s3://german/"), F.md5("old"))))
+    pairs = pairs.union(spark.range(1).select(F.lit("http://"), F.lit("s3://lake")))
+    pages = _pages(spark, sf).withColumn("copy", F.concat(F.lit("x"), F.col("url")))
+    return by_many(pages, pairs, "old", "new", ["url", "copy"])
+
+
 QUERIES = {
+    "relocate_many": relocate_many,
     "path_basename": path_basename,
     "path_prefix_rewrite": path_prefix_rewrite,
     "classify_paths": classify_paths,
@@ -157,4 +172,17 @@ SQL = {
                     WHEN contains(url, '?') THEN 'EXISTING' ELSE 'ADDED' END AS status,
                'DATA' AS content
         FROM pages""",
+    "relocate_many": """
+        WITH pairs AS (
+          SELECT regexp_extract(url, '^https://[^/?#]+') AS old, 's3://hosts/' || md5(regexp_extract(url, '^https://[^/?#]+')) AS new
+          FROM pages WHERE url LIKE 'https://_%'
+          UNION
+          SELECT regexp_extract(url, '^https://[^/?#]+/[a-z]+'), 's3://german/' || md5(regexp_extract(url, '^https://[^/?#]+/[a-z]+'))
+          FROM pages WHERE regexp_extract(url, '^https://[^/?#]+/[a-z]+') LIKE '%/de'
+          UNION SELECT 'http:', 's3://lake'),
+        deepest AS (
+          SELECT page_id, new || substr(url, length(old) + 1) AS moved
+          FROM pages JOIN pairs ON url = old OR starts_with(url, old || '/')
+          QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(old) DESC) = 1)
+        SELECT page_id, coalesce(moved, url) AS url, 'x' || url AS copy FROM pages LEFT JOIN deepest USING (page_id)""",
 }

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from chronotable.operators.dedup import sort_by_key
+from chronotable.operators.diff import table_diff as diff
 from chronotable.sources.readers import inline_batch, read_csv
 from chronotable.sources.tables import (
     append,
@@ -123,7 +124,17 @@ def sorted_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return numbered.join(placed, "part").select(*ordered.columns, place.alias("place"))
 
 
+def table_diff(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders against a later state of them: some changed, some gone, some there twice."""
+    orders = read(spark, sf, "orders")
+    status = F.when(F.col("o_orderkey") % 997 == 0, F.lit(None)).otherwise(F.col("o_orderstatus"))
+    later = orders.where("o_orderkey % 1009 <> 3").withColumn("o_orderstatus", status)
+    later = later.unionByName(orders.where("o_orderkey % 503 = 1"))
+    return diff(orders, later, ["o_orderkey"])
+
+
 QUERIES = {
+    "table_diff": table_diff,
     "table_scan": table_scan,
     "inline_batch": inline_rows,
     "temp_view_sql": temp_view_sql,
@@ -166,4 +177,14 @@ SQL = {
         FROM (SELECT {_ORDERS}, {sql_md5('o_orderstatus', 'o_totalprice', 'o_orderpriority')} AS row_md5,
                      {sql_md5('o_custkey')} AS row_key
               FROM orders)""",
+    "table_diff": """
+        SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority,
+               CAST(sum(a) AS BIGINT) AS n_left, CAST(sum(b) AS BIGINT) AS n_right
+        FROM (
+          SELECT *, 1 AS a, 0 AS b FROM orders
+          UNION ALL
+          SELECT * REPLACE (CASE WHEN o_orderkey % 997 = 0 THEN NULL ELSE o_orderstatus END AS o_orderstatus), 0, 1
+          FROM orders WHERE o_orderkey % 1009 <> 3
+          UNION ALL SELECT *, 0, 1 FROM orders WHERE o_orderkey % 503 = 1)
+        GROUP BY ALL HAVING sum(a) <> sum(b)""",
 }

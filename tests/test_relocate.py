@@ -7,6 +7,7 @@ from chronotable.operators.relocate import (
     join_on_basename,
     relocate,
     relocate_from,
+    relocate_many,
     target_directory,
 )
 
@@ -99,3 +100,66 @@ def test_relocation_starts_from_the_one_location(spark):
     two = tables.unionByName(spark.createDataFrame([("elsewhere",)], "location string"))
     with pytest.raises(PySparkException, match="more than one value"):
         relocate_from(files, two, "location", NEW, paths=["path"])
+
+
+def moved_many(spark, paths, pairs):
+    table = spark.createDataFrame([(i, p, "kept") for i, p in enumerate(paths)], "n int, path string, old string")
+    prefixes = spark.createDataFrame(pairs, "old string, new string")
+    done = relocate_many(table, prefixes, "old", "new", ["path"])
+    assert done.columns == ["n", "path", "old"]
+    return [r.path for r in done.orderBy("n").collect()]
+
+
+def test_of_many_directories_the_deepest_counts(spark):
+    pairs = [("a/b", "X"), ("a", "Y"), ("a/b/c.d/", "Z/"), ("/", "s3://root"), ("a/b", "X/"), ("s3://x/y", "a/b"), (None, "n"), ("q", None)]
+    paths = {
+        "a/b/c.d/e": "Z/e", "a/b/c.d": "Z", "a/b/cxd/e": "X/cxd/e", "a/b": "X", "a/bb": "Y/bb", "a": "Y", "ab": "ab", "a//b": "Y//b", "a/b/": "X/",
+        "/": "s3://root/", "/a/b": "s3://root/a/b", "s3://x/y/z/a/b": "a/b/z/a/b", "s3://x/yy": "s3://x/yy", "q/1": "q/1", "": "", "n": "n", "a/😀/é": "Y/😀/é",
+    }
+    assert moved_many(spark, [*paths, None], pairs) == [*paths.values(), None]
+    long = "a/" + "d/" * 20_000
+    assert moved_many(spark, [long], pairs) == ["Y" + long[1:]]
+
+
+def test_two_targets_of_a_directory_fail(spark):
+    with pytest.raises(PySparkException, match="two targets for a/b"):
+        moved_many(spark, ["a/b/c"], [("a/b", "X"), ("a/b/", "Y")])
+
+
+def test_no_directories_and_no_rows(spark):
+    assert moved_many(spark, ["a/b", None], []) == ["a/b", None]
+    assert moved_many(spark, [], [("a", "b")]) == []
+
+
+def test_several_path_columns_and_repeated_rows(spark):
+    table = spark.createDataFrame([("a/1", "b/2"), ("a/1", "b/2"), ("b/2", "c")], "x string, `y.z` string")
+    prefixes = spark.createDataFrame([("a", "A"), ("b", "a")], "f string, t string")
+    got = relocate_many(table, prefixes, "f", "t", ["x", "y.z"])
+    assert sorted(map(tuple, got.collect())) == [("A/1", "a/2"), ("A/1", "a/2"), ("a/2", "c")]
+
+
+def test_a_path_that_most_rows_share_is_split(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+    }
+    old = {name: spark.conf.get(name, None) for name in settings}
+    table = spark.range(0, 200_000, 1, 8).select("id", F.expr("if(id % 3 > 0, 'hot/x', concat('cold/', id))").alias("path"), F.md5(F.col("id").cast("string")).alias("pad"))
+    table.write.parquet(str(tmp_path / "rows"))
+    prefixes = spark.createDataFrame([("hot", "H"), ("cold", "C")], "f string, t string")
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        done = relocate_many(spark.read.parquet(str(tmp_path / "rows")), prefixes, "f", "t", ["path"])
+        counts = {r["kind"]: r["count"] for r in done.groupBy(F.substring("path", 1, 1).alias("kind")).count().collect()}
+        rows = done.select("id", "path", "pad")
+        rows.write.format("noop").mode("overwrite").save()
+        rows.collect()
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in old.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert counts == {"H": 133_333, "C": 66_667}
+    assert "skew=true" in plan
