@@ -187,3 +187,17 @@ def test_history_is_kept_from_a_lost_update(spark, make, monkeypatch):
     with pytest.raises(RuntimeError, match="has changed"):
         replace_rows(spark.table(name).limit(0), name, seen)
     assert spark.table(name).count() == 3
+
+
+@pytest.mark.parametrize("partition_by", [[], ["part"]])
+def test_ranges_into_a_named_table(spark, make, partition_by):
+    name = make(partition_by)
+    spans = spark.createDataFrame([(2, 3), (5, 5), (20, 30)], "low long, high long")
+    start = merge_on(spark, name).using(spans).on_range("id", "low", "high")
+    changed = start.when_matched("target.id = 5").delete().when_matched().update({"value": "'in'"})
+    merge_into(changed.when_not_matched().insert({"id": "source.high", "part": "'b'"}), name)
+    kept = [(1, "a", "x"), (2, "a", "in"), (3, "b", "in"), (4, None, "w"), (30, "b", None)]
+    assert bag(spark.table(name).select("id", "part", "value")) == Counter(kept)
+    again = merge_on(spark, name).using(spans).on_range("id", "low", "high")
+    merge_into(again.when_not_matched().insert({"id": "source.low", "part": "'a'"}), name)
+    assert bag(spark.table(name).select("id", "part", "value")) == Counter([*kept, (5, "a", None)])
