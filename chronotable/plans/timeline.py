@@ -67,8 +67,8 @@ def history_run(state: History | None, batch: DataFrame, dimension: Dimension) -
             pool = pool.unionByName(pick(rows.join(touched, ROW_KEY, "left_semi"), names))
     # Where a version ended does not tell its first row from others.
     pool = pool.withColumn(VALID_TO, end).withColumn(_POINT, point_key())
-    marked = materialize(mark_duplicates(pool, dimension.ordering, key=_POINT, hot_rows=dimension.hot_rows))
-    points = marked.where(F.col(STATUS) == int(Status.NA)).drop(_POINT, STATUS)
+    marked = materialize(mark_duplicates(pool, dimension.ordering, key=_POINT, hot_rows=dimension.hot_rows).drop(_POINT))
+    points = marked.where(F.col(STATUS) == int(Status.NA)).drop(STATUS)
     cut = materialize(cut_versions(points, dimension.hot_rows))
     versions, confirmed = cut.where(STARTS).drop(STARTS), cut.where(~F.col(STARTS)).drop(STARTS)
     refused = pick(marked.where(F.col(STATUS) != int(Status.NA)), [*batch.columns, ROW_MD5, ROW_KEY, STATUS])

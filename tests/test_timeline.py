@@ -229,3 +229,86 @@ def test_a_hot_key_is_split_and_no_pairs_are_compared(spark):
     finally:
         for k, v in before_.items():
             spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+@pytest.mark.parametrize("beside", [0, 1, 4])
+def test_how_many_versions_are_few_does_not_show(spark, how, beside):
+    """Keys with more versions than that go through buckets, the others not; overlaps and copies of versions give a row each."""
+    facts, versions = facts_and_versions()
+    versions += [(1, "p", at(0), at(3 * DAY), "overlap"), (1, "p", at(0), at(3 * DAY), "overlap"), (7, "p", at(0), OPEN, "open too"), (0, "p", at(-3_000 * DAY), OPEN, "long")]
+    left = spark.createDataFrame(facts, "k long, part string, seen timestamp_ntz").withColumn("k.k", F.col("k"))
+    right = spark.createDataFrame(versions, VERSIONS)
+    expected = Counter({row: n for row, n in matched(facts, versions).items() if how == "left" or row[3] is not None})
+    for key in ("long", "int", "string"):
+        side = right.withColumn("k", F.col("k").cast(key))
+        joined = as_of_join(left, side, [("k.k", "k"), "part"], "seen", how=how, beside=beside)
+        assert joined.columns == ["k", "part", "seen", "k.k", *[f"version_{n}" for n in right.columns]]
+        assert bag(joined, "k", "part", "seen", "version_value") == expected
+
+
+def test_texts_that_are_one_number_are_one_key(spark):
+    left = spark.createDataFrame([(1, at(5)), (2, at(5))], "k long, seen timestamp_ntz")
+    right = spark.createDataFrame([("1", at(0), OPEN, "a"), ("1", at(0), at(9_000), "b"), ("01", at(0), OPEN, "c")], "k string, valid_from timestamp_ntz, valid_to timestamp_ntz, value string")
+    for beside in (0, 1, 64):
+        joined = as_of_join(left, right, ["k"], "seen", beside=beside)
+        assert bag(joined, "k", "version_value") == Counter([(1, "a"), (1, "b"), (1, "c"), (2, None)])
+
+
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_facts_and_versions_of_keys_with_few_versions_are_shuffled_once(spark, how):
+    """Whatever lengths the versions have: no row is repeated for buckets, and what a caller leaves out is not moved."""
+    facts = spark.range(2_000).select((F.col("id") % 100).alias("k"), (F.lit(START) + F.make_dt_interval(days=F.col("id") % 900)).alias("seen"))
+    begin = F.lit(START) + F.make_dt_interval(days=F.pow(F.lit(3), F.floor(F.col("id") / 100)).cast("int"))
+    end = F.lit(START) + F.make_dt_interval(days=F.pow(F.lit(3), F.floor(F.col("id") / 100) + 1).cast("int"))
+    versions = spark.range(600).select((F.col("id") % 100).alias("k"), begin.alias("valid_from"), (end - F.expr("INTERVAL '0.001' SECOND")).alias("valid_to"), F.lit("much").alias("payload"), F.col("id").alias("n"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = as_of_join(facts, versions, ["k"], "seen", how=how).select("k", "seen", "version_n")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert text.count("Exchange hashpartitioning") == 2 and "Generate" not in text and "payload" not in text
+        # Of the first 900 days all but the first of each round lie in a version.
+        assert joined.where("version_n IS NOT NULL").count() == facts.where(F.col("seen") >= F.lit(START) + F.expr("INTERVAL '1' DAY")).where(F.col("seen") < F.lit(START) + F.expr("INTERVAL '729' DAY")).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_version_lies_in_two_buckets_or_is_short(spark):
+    from pyspark.sql import types as T
+
+    from chronotable.operators.asof import _span_buckets
+
+    rows = [(i, at(977_777 * i), at(977_777 * i + 10**j)) for i in range(0, 9_000, 500) for j in range(3, 16)]
+    spans = _span_buckets(spark.createDataFrame(rows, "k long, valid_from timestamp_ntz, valid_to timestamp_ntz"), "valid_from", "valid_to", T.TimestampNTZType())
+    copies = spans.groupBy("valid_from", "valid_to").count()
+    assert copies.where("count > 2 AND valid_to - valid_from >= INTERVAL '7' SECOND").isEmpty()
+    assert copies.where("count > 9").isEmpty()
+
+
+def test_a_hot_key_with_many_versions_goes_through_buckets(spark):
+    """Half of the facts and most versions have one key; nothing joins by that key alone."""
+    facts = spark.range(20_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("k"), (F.lit(START) + F.make_dt_interval(secs=F.col("id") % 5_000)).alias("seen"))
+    begin = F.lit(START) + F.make_dt_interval(secs=F.col("id") * 10)
+    versions = spark.range(500).select(F.lit(0).cast("long").alias("k"), begin.alias("valid_from"), (begin + F.expr("INTERVAL '9.999' SECOND")).alias("valid_to"))
+    versions = versions.unionByName(versions.limit(1).withColumn("k", F.lit(1).cast("long")))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        joined = as_of_join(facts, versions, ["k"], "seen")
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in text and "Cartesian" not in text and "__bucket" in text
+        assert joined.count() == 20_000 and joined.where("version_valid_from IS NOT NULL AND k = 0").count() == 10_000
+        assert joined.where("k = 0 AND NOT seen BETWEEN version_valid_from AND version_valid_to").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_history_writes_no_texts_of_points(spark, monkeypatch):
+    from chronotable.plans import timeline
+
+    written = []
+    keep = timeline.materialize
+    monkeypatch.setattr(timeline, "materialize", lambda rows: written.append(rows.columns) or keep(rows))
+    history = history_run(None, spark.createDataFrame([(1, at(0), "a", 0)], SCHEMA), DIMENSION)
+    assert history.open.count() == 1 and written and not any("__point" in names for names in written)
