@@ -21,14 +21,23 @@ from chronotable.operators.dedup import HOT_ROWS, frequent_keys
 STARTS = "__starts"
 _NEXT, _BLOCK, _BEFORE = "__next", "__block", "__before"
 _MOST_BLOCKS = 200
+_NO_MOMENT = "a point needs a valid_from"
 
 
 def point_key() -> Column:
     """One text for a key and a moment; a null moment fails the query."""
-    moment = F.coalesce(col(VALID_FROM).cast("string"), F.raise_error("a point needs a valid_from").cast("string"))
+    moment = F.coalesce(col(VALID_FROM).cast("string"), F.raise_error(_NO_MOMENT).cast("string"))
     return F.concat(col(ROW_KEY), F.lit(" "), moment)
 
 
+def assert_moments(points: DataFrame) -> None:
+    """Fail if a point has no moment, in a job of its own that reads one column.
+
+    Where several stages meet the null at once, Spark reports how many failed, as an error of another kind.
+    """
+    points.agg(F.count(F.when(col(VALID_FROM).isNull(), F.raise_error(_NO_MOMENT)))).collect()
+
+
 def _print() -> Column:
     return F.lower(col(ROW_MD5))
 

@@ -25,7 +25,7 @@ from chronotable.operators.dedup import mark_duplicates
 from chronotable.operators.keys import splittable_keys
 from chronotable.operators.rejects import reject_rows
 from chronotable.operators.status import Status, status_lit
-from chronotable.operators.timeline import STARTS, cut_versions, point_key
+from chronotable.operators.timeline import STARTS, assert_moments, cut_versions, point_key
 from chronotable.plans.scd2 import State
 from chronotable.plans.spec import Dimension
 from chronotable.sources.workspace import materialize
@@ -58,6 +58,7 @@ def history_run(state: History | None, batch: DataFrame, dimension: Dimension) -
     Keys that the batch does not touch are passed on as they are. A null valid-from fails the query.
     """
     incoming = dimension.open_rows(dimension.enrich(batch))
+    assert_moments(incoming)
     names = incoming.columns
     end = open_end(incoming.schema[VALID_TO].dataType).cast(incoming.schema[VALID_TO].dataType)
     touched = splittable_keys(incoming.select(col(ROW_KEY)))
@@ -105,6 +106,7 @@ def chain_run(state: State | None, batch: DataFrame, dimension: Dimension) -> St
     duplicate, one that is not newer than the open row of its key, and says something else, as late.
     """
     incoming = dimension.open_rows(dimension.enrich(batch))
+    assert_moments(incoming)
     names = incoming.columns
     held = incoming.limit(0) if state is None else state.open
     touched = splittable_keys(incoming.select(col(ROW_KEY)))

@@ -312,3 +312,15 @@ def test_a_history_writes_no_texts_of_points(spark, monkeypatch):
     monkeypatch.setattr(timeline, "materialize", lambda rows: written.append(rows.columns) or keep(rows))
     history = history_run(None, spark.createDataFrame([(1, at(0), "a", 0)], SCHEMA), DIMENSION)
     assert history.open.count() == 1 and written and not any("__point" in names for names in written)
+
+
+@pytest.mark.parametrize("run", [history_run, chain_run])
+def test_a_null_moment_is_found_before_several_stages_meet_it(spark, run, monkeypatch):
+    from chronotable.plans import timeline
+
+    def late(*_):
+        raise AssertionError("the null came as far as a join of stages")
+
+    monkeypatch.setattr(timeline, "materialize", late)
+    with pytest.raises(PySparkException, match="needs a valid_from"):
+        run(None, spark.createDataFrame([(1, at(0), "a", 0), (1, None, "a", 0)], SCHEMA).repartition(4), DIMENSION)
