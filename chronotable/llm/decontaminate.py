@@ -10,6 +10,10 @@ Only built-in functions are used. The fingerprints of the benchmark go to every
 at most ``most`` (8 bytes each); the runs are then tested while the documents are scanned, and no text is
 shuffled. Beyond that the fingerprints of documents are shuffled and joined, and only documents with a hit are read on.
 
+Memory: texts of more than ``WHOLE`` bytes are cut into pieces of ``PIECE`` words, each with the first words of the next, so a task
+holds the words of one piece, however long a text is. Generated code keeps all rows that one piece gives until the last is made,
+so the words of a piece are not among their columns, only the ten of a run.
+
 Nulls: a null text has no words. Documents of one id are told apart by a hash of their text; equal rows get equal results.
 A null ``doc_id`` is a value like others. Items with a null id are left out; rows that repeat an item's id are that
 item's windows together, and equal items each count. Empty tables give no rows, or no hits. Other columns are not read.
@@ -27,6 +31,8 @@ from chronotable.sources.workspace import materialize
 
 WINDOW = 10
 GRAM = 5
+PIECE = 8_192
+WHOLE = 65_536
 _RUN = WINDOW - GRAM + 1  # k-grams in a window
 _BREAKS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 _WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -43,14 +49,34 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), _BREAKS), "")
 
 
-def _with_hashes(rows: DataFrame) -> DataFrame:
-    """With ``words``, and ``hashes`` of the lower-cased words."""
-    return rows.withColumn("words", words_of(F.col("text"))).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(_lower(w))))
+def _in_pieces(rows: DataFrame, size: int, *keep: str) -> DataFrame:
+    """(at, last, piece) of every text, with the columns to keep; ``at`` is the number of words before.
+
+    Each run of so many words is in the piece it begins in.
+    """
+
+    def some(most: int) -> str:  # possessive, so that no stack grows with the number of words
+        return f"(?:{_WORD}+{_BREAKS[:-1]}*+){{1,{most}}}+"
+
+    def piece(part: Column, i: Column) -> Column:
+        more = F.regexp_extract(F.get("parts", i + 1), f"^{some(size - 1)}", 0) if size > 1 else F.lit("")
+        return F.struct((i * PIECE).alias("at"), (i == F.size("parts") - 1).alias("last"), F.concat(part, F.coalesce(more, F.lit(""))).alias("piece"))
+
+    parts = F.when(F.octet_length("text") > WHOLE, F.regexp_extract_all("text", F.lit(f"{_BREAKS[:-1]}*+{some(PIECE)}"), F.lit(0)))
+    whole = F.array(F.struct(F.lit(0).alias("at"), F.lit(True).alias("last"), F.col("text").alias("piece")))
+    cut = rows.select(*keep, "text", parts.alias("parts"))
+    return cut.select(*keep, F.inline(F.when(F.get("parts", F.lit(0)).isNotNull(), F.transform("parts", piece)).otherwise(whole)))
+
+
+def _with_hashes(rows: DataFrame, size: int, *keep: str) -> DataFrame:
+    """Pieces with ``words``, in lower case, and their ``hashes``."""
+    lower = F.transform(words_of(F.col("piece")), _lower)
+    return _in_pieces(rows, size, *keep).select(*keep, "at", "last", lower.alias("words")).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
 
 
-def _with_grams(rows: DataFrame) -> DataFrame:
+def _with_grams(rows: DataFrame, *keep: str) -> DataFrame:
     """With ``grams`` beside them, the hashes of all k-grams."""
-    hashed = _with_hashes(rows)
+    hashed = _with_hashes(rows, WINDOW, *keep)
 
     def gram(i: Column) -> Column:
         return F.xxhash64(*[F.get("hashes", i + j) for j in range(GRAM)])
@@ -61,24 +87,26 @@ def _with_grams(rows: DataFrame) -> DataFrame:
 
 
 def _long_runs(rows: DataFrame, *keep: str, first: int = 0) -> DataFrame:
-    """(start, fingerprint) of every run of ten words, with the columns to keep and ``words``.
+    """(at, start, fingerprint) of every run of ten words, with the columns to keep and ``words``; ``start`` counts from ``at``.
 
-    With ``first=-1`` there is one more row for each text, of start -1, without a fingerprint.
+    With ``first=-1`` there is one more row for each text, in its last piece, of start -1, without a fingerprint.
     """
     last = F.size("grams") - _RUN
-    starts = F.when(last >= 0, F.sequence(F.lit(first), last)).otherwise(F.array(*[F.lit(-1)] * -first).cast("array<int>"))
-    exploded = _with_grams(rows).select(*keep, "words", "grams", F.explode(starts).alias("start"))
+    least = F.when(F.col("last"), F.lit(first)).otherwise(F.lit(0))
+    alone = F.when(F.col("last"), F.array(*[F.lit(-1)] * -first).cast("array<int>")).otherwise(F.array().cast("array<int>"))
+    starts = F.when(last >= 0, F.sequence(least, last)).otherwise(alone)
+    exploded = _with_grams(rows, *keep).select(*keep, "at", "words", "grams", F.explode(starts).alias("start"))
     least = F.least(*[F.get("grams", F.col("start") + j) for j in range(_RUN)])
-    return exploded.select(*keep, "words", "start", F.when(F.col("start") >= 0, least).alias("fingerprint"))
+    return exploded.select(*keep, "at", "words", "start", F.when(F.col("start") >= 0, least).alias("fingerprint"))
 
 
 def _short_runs(rows: DataFrame, size: int, *keep: str) -> DataFrame:
     """The same for runs of fewer words; the fingerprint is the hash of them all."""
-    hashed = _with_hashes(rows)
+    hashed = _with_hashes(rows, size, *keep)
     starts = F.when(F.size("hashes") >= size, F.sequence(F.lit(0), F.size("hashes") - size)).otherwise(F.array().cast("array<int>"))
-    exploded = hashed.select(*keep, "words", "hashes", F.explode(starts).alias("start"))
+    exploded = hashed.select(*keep, "at", "words", "hashes", F.explode(starts).alias("start"))
     fingerprint = F.xxhash64(F.lit(size), *[F.get("hashes", F.col("start") + j) for j in range(size)])
-    return exploded.select(*keep, "words", "start", fingerprint.alias("fingerprint"))
+    return exploded.select(*keep, "at", "words", "start", fingerprint.alias("fingerprint"))
 
 
 def _runs(rows: DataFrame, size: int, *keep: str) -> DataFrame:
@@ -86,7 +114,8 @@ def _runs(rows: DataFrame, size: int, *keep: str) -> DataFrame:
 
 
 def _as_text(size: int) -> Column:
-    return F.array_join(F.transform(F.slice("words", F.col("start") + 1, size), _lower), " ")
+    """The words of a run. Without a lambda, so that it is made where the run is found and ``words`` goes no further."""
+    return F.array_join(F.slice("words", F.col("start") + 1, size), " ")
 
 
 def item_windows(benchmark: DataFrame) -> DataFrame:
@@ -105,12 +134,13 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def _candidates(documents: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """Runs of documents whose fingerprint the benchmark has, by way of the documents that have any of them."""
+    """(doc_id, mark, start, window) of runs whose fingerprint the benchmark has, by way of the documents that have any of them."""
     own = _runs(documents, size, "doc_id", "mark").select("doc_id", "mark", "fingerprint").distinct()
     with_hit = own.join(wanted, "fingerprint", "left_semi").select("doc_id", "mark").distinct()
     with_hit = with_hit.select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"))
     rows = documents.join(with_hit, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("mark") == F.col("_mark")), "left_semi")
-    return _runs(rows, size, "doc_id", "mark").join(wanted, "fingerprint", "left_semi")
+    runs = _runs(rows, size, "doc_id", "mark").select("doc_id", "mark", (F.col("at") + F.col("start")).alias("start"), _as_text(size).alias("window"), "fingerprint")
+    return runs.join(wanted, "fingerprint", "left_semi").drop("fingerprint")
 
 
 def _scanned(documents: DataFrame, windows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
@@ -121,18 +151,22 @@ def _scanned(documents: DataFrame, windows: DataFrame, most: int) -> tuple[DataF
     texts = windows.select("size", "window").distinct()
     counts = documents.select("doc_id", "mark", F.regexp_count("text", F.lit(_WORD)).cast("long").alias("n_words"))
     found = [documents.select("doc_id", "mark", F.lit(0).alias("start"), F.lit(0).alias("size"), F.lit("").alias("window")).limit(0)]
+    start = F.col("at") + F.col("start")
     for size in sizes:
         wanted = fingerprints.where(F.col("size") == size).select("fingerprint")
         if few and size == WINDOW:
             # One scan gives the runs to look at, and beside them the number of words of each text.
             runs = _long_runs(documents, "doc_id", "mark", first=-1)
             runs = runs.join(F.broadcast(wanted.withColumn("found", F.lit(True))), "fingerprint", "left").where("found OR start = -1")
-            both = materialize(runs.select("doc_id", "mark", "start", F.when(F.col("found"), _as_text(size)).alias("window"), F.when(F.col("start") == -1, F.size("words")).cast("long").alias("n_words")))
-            counts = both.where("start = -1").select("doc_id", "mark", "n_words")
-            found.append(both.where("start >= 0").select("doc_id", "mark", "start", F.lit(size).alias("size"), "window"))
-            continue
-        runs = _runs(documents, size, "doc_id", "mark").join(F.broadcast(wanted), "fingerprint", "left_semi") if few else _candidates(documents, wanted, size)
-        found.append(runs.select("doc_id", "mark", "start", F.lit(size).alias("size"), _as_text(size).alias("window")))
+            n_words = F.when(F.col("start") == -1, F.col("at") + F.size("words")).cast("long")
+            both = materialize(runs.select("doc_id", "mark", start.alias("start"), F.when(F.col("found"), _as_text(size)).alias("window"), n_words.alias("n_words")))
+            counts = both.where("n_words IS NOT NULL").select("doc_id", "mark", "n_words")
+            runs = both.where("n_words IS NULL")
+        elif few:
+            runs = _runs(documents, size, "doc_id", "mark").join(F.broadcast(wanted), "fingerprint", "left_semi").select("doc_id", "mark", start.alias("start"), _as_text(size).alias("window"))
+        else:
+            runs = _candidates(documents, wanted, size)
+        found.append(runs.select("doc_id", "mark", "start", F.lit(size).alias("size"), "window"))
     hits = reduce(DataFrame.unionByName, found)
     return materialize(hits.distinct().join(texts, ["size", "window"], "left_semi")), counts
 
