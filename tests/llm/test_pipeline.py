@@ -63,6 +63,14 @@ def test_contaminated_documents_go_and_no_others(spark, stages):
     assert len(clean) < len(before)
 
 
+def test_decontamination_of_a_text_full_of_benchmark_passages(spark, documents, tmp_path):
+    """A row for every passage that holds all words of its text would be 60,000 times a megabyte here."""
+    spark.createDataFrame([(1, "same " * 10)], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = documents(["same " * 60_000, "other " * 60_000, "x " * 20_000 + "same " * 10])
+    stage = dict(corpus_pipeline.STAGES)["decontamination"]
+    assert ids(stage(spark, docs, str(tmp_path))) == {1}
+
+
 def test_personal_data_is_masked(stages):
     from test_pii import brute
 
